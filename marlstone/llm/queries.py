@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, mixing, sharding, tokenfile
+from . import fingerprints, jaccard, langid, mixing, packing, sharding, tokenfile, toxicity
 from ._shared import table
 
 
@@ -21,6 +21,24 @@ def op3_prefix_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def held_out(id_col: str, parts: int, part: int) -> Column:
+    """Whether crc32 of the id as text leaves this remainder; a null id's does not."""
+    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % parts == part, F.lit(False))
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    return toxicity.fit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out("doc_id", 5, 0))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies")
@@ -58,17 +76,34 @@ SELECT doc_id, size, source_size, target, copies * size AS taken, copies FROM co
 """
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similarity_classes(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 50257)
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> langid.Model:
+    return langid.fit(table(spark, sf_dir, "documents"), ~held_out("doc_id", 3, 1))
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(table(spark, sf_dir, "documents"), language_model(spark, sf_dir))
+    return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES = {
     "op2_histogram_sort": op2_histogram_sort,
     "op3_prefix_hashes": op3_prefix_hashes,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_toxicity": op6_toxicity,
     "op7_mix_sources": op7_mix_sources,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_token_files": op9_token_files,
+    "op10_language": op10_language,
 }
 
 ORACLES = {"op7_mix_sources": OP7_SQL}
