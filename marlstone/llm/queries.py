@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, jaccard, langid, mixing, packing, sharding, tokenfile, toxicity
+from . import ann, fingerprints, jaccard, langid, mixing, packing, sharding, tokenfile, toxicity
 from ._shared import table
 
 
+def op1_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op2_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.histogram_sort_shards(table(spark, sf_dir, "documents"), 16)
     return out.select(
@@ -96,6 +100,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_posting_lists": op1_posting_lists,
     "op2_histogram_sort": op2_histogram_sort,
     "op3_prefix_hashes": op3_prefix_hashes,
     "op5_best_fit_packing": op5_best_fit_packing,
