@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import ann, fingerprints, jaccard, langid, mixing, packing, sharding, tokenfile, toxicity
+from . import ann, fingerprints, jaccard, langid, mixing, packing, sharding, tokenfile, toolcalls, toxicity
 from ._shared import table
 
 
@@ -25,6 +25,60 @@ def op3_prefix_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+#: The tools of op4: their parameters' JSON types, and whether they are required.
+TOOLS: toolcalls.Schemas = {
+    "answer": {"text": ("string", True), "turn": ("integer", True)},
+    "summarise": {"text": ("string", True), "turn": ("integer", True), "style": ("string", False)},
+}
+
+
+def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations read as tool use: a user's turn calls `answer` and needs the user's turn before it, a system
+    turn calls `summarise` and needs every user's turn, and an assistant's turn is the result of the call of the
+    turn before it. Other roles call a tool that is not known."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    ident = lambda turn: F.concat(F.lit("call_"), turn.cast("string"))
+    asks = rows.where("role is null or role <> 'assistant'")
+    name = F.when(F.col("role") == "user", "answer").when(F.col("role") == "system", "summarise").otherwise(F.col("role"))
+    arguments = F.to_json(F.struct("turn", "text"))
+    # The user's turns of a conversation, two at a time: each needs the one before it, and the system's all.
+    turns = rows.where("role = 'user'").select("conv_id", "turn").distinct()
+    before = turns.withColumn("before", F.lag("turn").over(Window.partitionBy("conv_id").orderBy("turn")))
+    users = before.where("before is not null").select("conv_id", "turn", F.array(ident(F.col("before"))).alias("needs"))
+    systems = rows.where("role = 'system'").select("conv_id", F.col("turn").alias("at")).distinct()
+    systems = systems.join(turns, "conv_id").groupBy("conv_id", F.col("at").alias("turn")).agg(F.array_sort(F.collect_set(ident(F.col("turn")))).alias("needs"))
+    needs = users.withColumn("role", F.lit("user")).unionByName(systems.withColumn("role", F.lit("system")))
+    calls = asks.join(needs, ["conv_id", "turn", "role"], "left").select("conv_id", ident(F.col("turn")).alias("call_id"), "turn", name.alias("name"), arguments.alias("arguments"), "needs")
+    results = rows.where("role = 'assistant'").select("conv_id", ident(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
+    linked = toolcalls.link(calls, results, TOOLS)
+    return linked.withColumn("errors", F.array_join("errors", "; "))
+
+
+OP4_SQL = """
+WITH calls AS (
+  SELECT DISTINCT ON (conv_id, turn) conv_id, turn, role, text, count(*) OVER (PARTITION BY conv_id, turn) AS repeats
+  FROM conversations WHERE (role IS NULL OR role <> 'assistant') AND conv_id IS NOT NULL AND turn IS NOT NULL
+  ORDER BY conv_id, turn, CASE role WHEN 'user' THEN 'answer' WHEN 'system' THEN 'summarise' ELSE role END, text
+), results AS (
+  SELECT DISTINCT ON (conv_id, turn) conv_id, turn, text FROM conversations WHERE role = 'assistant' ORDER BY conv_id, turn, text
+), tangled AS (
+  SELECT DISTINCT s.conv_id FROM calls s JOIN calls u ON s.conv_id = u.conv_id AND s.role = 'system' AND u.role = 'user' AND u.turn > s.turn
+), leveled AS (
+  SELECT c.*, CASE WHEN c.conv_id NOT IN (SELECT conv_id FROM tangled) THEN 0
+    WHEN role = 'user' THEN count(*) FILTER (role = 'user') OVER (PARTITION BY conv_id ORDER BY turn) - 1
+    WHEN role = 'system' THEN count(*) FILTER (role = 'user') OVER (PARTITION BY conv_id) ELSE 0 END::INTEGER AS level
+  FROM calls c
+)
+SELECT l.conv_id, 'call_' || l.turn AS call_id, l.turn,
+  CASE role WHEN 'user' THEN 'answer' WHEN 'system' THEN 'summarise' ELSE role END AS name,
+  row_number() OVER (PARTITION BY l.conv_id ORDER BY level, l.turn) - 1 AS position, level,
+  CASE WHEN role IN ('user', 'system') THEN CASE WHEN l.text IS NULL THEN 'missing text' ELSE '' END ELSE 'unknown tool' END AS errors, repeats, r.turn AS result_turn,
+  '{"arguments":{"text":' || to_json(l.text) || ',"turn":' || l.turn || '},"id":"call_' || l.turn || '","name":"' ||
+    CASE role WHEN 'user' THEN 'answer' WHEN 'system' THEN 'summarise' ELSE role END || '","result":' || coalesce(to_json(r.text)::VARCHAR, 'null') || '}' AS canonical
+FROM leveled l LEFT JOIN results r ON r.conv_id = l.conv_id AND r.turn = l.turn + 1
+"""
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
@@ -103,6 +157,7 @@ QUERIES = {
     "op1_posting_lists": op1_posting_lists,
     "op2_histogram_sort": op2_histogram_sort,
     "op3_prefix_hashes": op3_prefix_hashes,
+    "op4_tool_calls": op4_tool_calls,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_toxicity": op6_toxicity,
     "op7_mix_sources": op7_mix_sources,
@@ -111,4 +166,4 @@ QUERIES = {
     "op10_language": op10_language,
 }
 
-ORACLES = {"op7_mix_sources": OP7_SQL}
+ORACLES = {"op4_tool_calls": OP4_SQL, "op7_mix_sources": OP7_SQL}
