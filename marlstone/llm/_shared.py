@@ -6,7 +6,8 @@ import atexit
 import json
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,10 +46,30 @@ def save(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables saved within are deleted at the end, but for those that the given function saves."""
+    before, kept = list(_written), []
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out = save(df, name)
+        kept.append(_written[-1])
+        return out
+
+    try:
+        yield keep
+    finally:
+        _delete([x for x in _written if x not in before and x not in kept])
+
+
 def release(spark: SparkSession | None = None) -> None:
     """Delete the tables that save() has written (of one session, or all). Results that still read them
     must have been consumed."""
-    for item in [x for x in _written if spark is None or x[0] is spark]:
+    _delete([x for x in _written if spark is None or x[0] is spark])
+
+
+def _delete(items: list[tuple[SparkSession, str]]) -> None:
+    for item in items:
         _written.remove(item)
         try:
             at = item[0]._jvm.org.apache.hadoop.fs.Path(item[1])
@@ -60,6 +81,15 @@ def release(spark: SparkSession | None = None) -> None:
 atexit.register(release)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small, where the session has Spark's own bounds: a worker holds a few at a time,
+    with their texts as Python strings beside them."""
+    for key, usual, ours in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "67108864b", "8m")):
+        key = f"spark.sql.execution.arrow.{key}"
+        if spark.conf.get(key, usual) == usual:
+            spark.conf.set(key, ours)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import array_literal, shuffle_partitions
+from ._shared import array_literal, bounded_batches, shuffle_partitions
 from .splitters import ordered_buckets
 
 #: The primes and the base of the polynomial.
@@ -226,6 +226,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fingerprint_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
     """Fingerprints of every text and of its edited text, whose second half is the start of the next text."""
     spark = df.sparkSession
+    bounded_batches(spark)
     plain = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     dealt = ordered_buckets(plain, "doc_id", "text", buckets or shuffle_partitions(spark))
     k1, k2, bucket = dealt.names

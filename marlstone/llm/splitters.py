@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import LONG_MIN, array_literal, save
+from ._shared import LONG_MIN, array_literal, fresh, save
 
 Key = tuple[int, int]
 _SPAN = 2**64
@@ -136,8 +136,6 @@ def ordered_buckets(df: DataFrame, id_col: str, text_col: str, n: int) -> Ordere
 
     Equal ids are ordered by the text's hash. The keys alone are saved; texts are read again by the step
     that needs them."""
-    from ._shared import fresh
-
     k1, k2, bucket = fresh(df, "mt_k1", "mt_k2", "mt_bucket")
     keyed = df.withColumns({
         k1: F.coalesce(F.col(id_col).cast("long"), F.lit(LONG_MIN)),

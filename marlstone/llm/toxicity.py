@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import bounded_batches
+
 BITS = 20
 _WORD = re.compile(r"\w+")
 #: Odd multipliers that mix a word's hash by its place in a pair.
@@ -109,6 +111,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(documents: DataFrame, labels: DataFrame, learnable: Column, train_rows: int = 5000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """The model of labelled documents. learnable: a condition on the labels' id column. train_rows: the
     documented bound of labelled rows of each class."""
+    bounded_batches(documents.sparkSession)
     known = (
         labels.where(learnable & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
         .groupBy(F.col(id_col).alias("id"))
@@ -142,6 +145,7 @@ def scorer(model: Model):
 
 def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """df with score (0 to 1) and predicted (1 from 0.5 on)."""
+    bounded_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf("double")
