@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._shared import bounded_batches, fresh
+
 DIMS = 8192
 UNDETERMINED = "und"
 #: Distinct n-grams at which a text's floor is 0.7 of the language's.
@@ -133,13 +135,15 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(documents: DataFrame, learnable: Column, train_rows: int = 1000, most_languages: int = 400, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """learnable: a condition on documents. train_rows: the documented bound of texts per language; only the
     most_languages most frequent languages are learned."""
+    bounded_batches(documents.sparkSession)
     rows = documents.where(learnable & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("ord"), F.col(id_col).alias("id"))
-    # The lowest hashes of each language, from ids alone; a pre-cut per slice keeps a hot language out of one task.
-    slices = rows.withColumn("slice", F.pmod("ord", F.lit(64)))
-    first = slices.withColumn("r", F.row_number().over(Window.partitionBy("lang", "slice").orderBy("ord", "id"))).where(F.col("r") <= train_rows)
-    chosen = first.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("ord", "id"))).where(F.col("r") <= train_rows)
     kept = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages)
-    chosen = chosen.join(F.broadcast(kept.select("lang")), "lang").select("id", "lang", "ord")
+    # The lowest hashes of each language. A bound of the hash, from the language's count, lets through little more
+    # than are wanted, so that a frequent language does not meet in one task.
+    share = (F.lit(1.5 * train_rows + 100) / F.col("count") - 0.5) * float(2**64)
+    low = rows.join(F.broadcast(kept), "lang").where((F.col("count") <= 2 * train_rows) | (F.col("ord") < share))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("ord", "id"))
+    chosen = low.withColumn("r", place).where(F.col("r") <= train_rows).select("id", "lang", "ord")
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     got = texts.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "ord", "text").mapInArrow(_extract, "lang string, ord long, at binary, n binary").toArrow()
     samples: dict[str, list[np.ndarray]] = {}
@@ -155,8 +159,7 @@ def fit(documents: DataFrame, learnable: Column, train_rows: int = 1000, most_la
 
 def identify(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """df with lang_pred, score (the cosine) and rejected."""
-    from ._shared import fresh
-
+    bounded_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
 
