@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import save, shuffle_partitions
+from ._shared import bounded_batches, fresh, save, scratch, shuffle_partitions
 from .components import components
 
 SHINGLE = 5
@@ -133,25 +133,25 @@ def paths_of(shingles: np.ndarray, runs: int, threshold: float) -> list[tuple[in
 
 
 _PATHS = "array<struct<b1:bigint,b2:bigint,b3:bigint>>"
-_SETS = f"doc_id long, node long, n int, tokens binary, sketch binary, paths {_PATHS}"
+_SETS = f"doc_id long, text_hash long, node long, n int, tokens binary, sketch binary, paths {_PATHS}"
 
 
 def _sets(runs: int, threshold: float):
     path = pa.list_(pa.struct([("b1", pa.int64()), ("b2", pa.int64()), ("b3", pa.int64())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("tokens", pa.binary()), ("sketch", pa.binary()), ("paths", path)])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("tokens", pa.binary()), ("sketch", pa.binary()), ("paths", path)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part, rows = batch.slice(at, 500), []
-                for doc_id, text in zip(part["doc_id"].to_pylist(), part["text"].to_pylist()):
+                for doc_id, h, text in zip(*[part[c].to_pylist() for c in ("doc_id", "text_hash", "text")]):
                     s = shingler(text or "")
                     if len(s):
                         paths = [dict(zip(("b1", "b2", "b3"), p)) for p in paths_of(s, runs, threshold)]
-                        rows.append((doc_id, node_of(s), len(s), s.astype("<u4").tobytes(), sketch_of(s).astype("<u2").tobytes(), paths))
+                        rows.append((doc_id, h, node_of(s), len(s), s.astype("<u4").tobytes(), sketch_of(s).astype("<u2").tobytes(), paths))
                     else:
-                        rows.append((doc_id, None, 0, None, None, []))
+                        rows.append((doc_id, h, None, 0, None, None, []))
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     return run
@@ -282,7 +282,8 @@ def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.
     """One row per row of df: doc_id, class_id, class_key, class_size (rows), n_links (rows linked to it,
     copies among them) and text_hash (of the text, to tell rows with equal ids apart)."""
     spark = df.sparkSession
-    plain = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    bounded_batches(spark)
+    plain = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     sets = save(plain.mapInArrow(_sets(runs_for(recall, threshold), threshold), _SETS), "sets")
     nodes = save(
         sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies")), "nodes"
@@ -306,8 +307,26 @@ def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.
     per_node = keyed.join(totals, "class_key").select(
         "node", "class_key", "class_id", "class_size", (F.col("links") + F.col("copies") - 1).alias("n_links")
     )
-    mine = sets.select("doc_id", "node")
+    mine = sets.select("doc_id", "text_hash", "node")
     alone = mine.where("node is null").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(None).cast("long").alias("class_key"), F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("n_links")
+        "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(None).cast("long").alias("class_key"), F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("n_links")
     )
-    return mine.where("node is not null").join(per_node, "node").select("doc_id", "class_id", "class_key", "class_size", "n_links").unionByName(alone)
+    return mine.where("node is not null").join(per_node, "node").select("doc_id", "text_hash", "class_id", "class_key", "class_size", "n_links").unionByName(alone)
+
+
+def representatives(df: DataFrame, threshold: float = 0.8, recall: float = 0.99, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of df, with its columns, of which each class keeps one: that of the least id, then of the least
+    hash of the text. Rows without words stay."""
+    with scratch() as keep:
+        rows = similarity_classes(df, threshold, recall, id_col, text_col)
+        each = rows.groupBy("class_key", "doc_id", "text_hash").agg(F.count("*").alias("n"))
+        least = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash", "n")).alias("k")
+        chosen = each.where("class_key is not null").groupBy("class_key").agg(least).select("k.doc_id", "k.text_hash", "k.n")
+        wordless = each.where("class_key is null").select("doc_id", "text_hash", F.lit(0).cast("long").alias("n"))
+        kept = keep(chosen.unionByName(wordless), "representatives")
+    i, h, n = fresh(df, "mt_id", "mt_hash", "mt_n")
+    kept = kept.select(F.col("doc_id").alias(i), F.col("text_hash").alias(h), F.col("n").alias(n))
+    found = df.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col(i)) & (F.xxhash64(text_col) == F.col(h)))
+    if not kept.where(F.col(n) > 1).isEmpty():  # rows equal in id and text
+        found = found.where(F.col(n) <= 1).unionByName(found.where(F.col(n) > 1).dropDuplicates([i, h]))
+    return found.select(*df.columns)
