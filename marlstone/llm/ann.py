@@ -4,7 +4,8 @@ Vectors are clustered into lists of near equal length: a bounded sample is halve
 along the line between two means, and the means of the leaves are the centroids. A vector goes to the list of its
 nearest centroid and, at a boundary, to others nearly as near, unless a list that it has already lies much nearer
 to that centroid than the vector does. Centroids are found by best-first search of a neighbour graph that every
-executor holds in memory. A query reads the lists whose centroids are at most SPREAD times as far as the nearest.
+executor holds in memory. A query reads the lists whose centroids are at most SPREAD times as far as the nearest,
+and in any case the nearest ones until they hold several times as many vectors as it wants.
 
 Nearness is the inner product: vectors get one more coordinate that makes all norms the largest one, so that the
 nearest in distance is the largest in product. Found neighbours are scored on the original vectors, in double
@@ -50,6 +51,7 @@ class Index:
     centroids: np.ndarray  # float32, with the added coordinate
     neighbours: np.ndarray  # of each centroid, its own number where it has fewer
     norm: float  # the largest
+    sizes: np.ndarray | None = None  # vectors of each list, once all are placed
 
 
 def balanced_centroids(x: np.ndarray, size: int) -> np.ndarray:
@@ -181,17 +183,18 @@ def lists_of(index: Index, x: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def lists_for(index: Index, q: np.ndarray) -> list[np.ndarray]:
-    """The lists each query reads. The beam doubles for queries whose last centroid is still near enough."""
+def lists_for(index: Index, q: np.ndarray, k: int) -> list[np.ndarray]:
+    """The lists each query reads. The beam doubles for queries whose last centroid still belongs to them."""
     out: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(q)
-    todo, beam = np.arange(len(q)), 64
+    todo, beam, need = np.arange(len(q)), 64, 4 * REPLICAS * k
     while len(todo):
         ids, dist = search_graph(index, q[todo], beam)
-        near = dist <= dist[:, :1] * SPREAD**2
-        full = near.all(axis=1) & (ids.shape[1] < len(index.centroids))
-        for i in np.flatnonzero(~full):
-            out[todo[i]] = ids[i][near[i]]
-        todo, beam = todo[full], beam * 2
+        sizes = index.sizes[ids]
+        wanted = (dist <= dist[:, :1] * SPREAD**2) | (np.cumsum(sizes, axis=1) - sizes < need)
+        more = wanted.all(axis=1) & (ids.shape[1] < len(index.centroids))
+        for i in np.flatnonzero(~more):
+            out[todo[i]] = ids[i][wanted[i] & np.isfinite(dist[i])]
+        todo, beam = todo[more], beam * 2
     return out
 
 
@@ -211,14 +214,16 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _assign(shared, what: str):
+def _assign(shared, k: int | None = None):
+    """The lists of vectors, or those that queries read for k neighbours."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = shared.value
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                x = _extended(_matrix(part["vec"]), index.norm, what == "query")
-                lists = lists_for(index, x) if what == "query" else lists_of(index, x)
+                x = _extended(_matrix(part["vec"]), index.norm, k is not None)
+                lists = lists_of(index, x) if k is None else lists_for(index, x, k)
                 yield pa.record_batch([part["id"], part["vec"], pa.array(lists, pa.list_(pa.int64()))], names=["id", "vec", "lists"])
 
     return run
@@ -286,11 +291,14 @@ def search(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col
     vectors = save(every.where(F.size("vec") == frequent["dims"]), "vectors")
     rows, square = vectors.agg(F.count("*"), F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).first()
     index = fit(vectors, frequent["dims"], rows, float(square) ** 0.5)
-    shared = spark.sparkContext.broadcast(index)
     schema = "id long, vec array<double>, lists array<bigint>"
-    split = lambda what, rows: rows.mapInArrow(_assign(shared, what), schema).select("id", "vec", F.explode("lists").alias("list"))
-    placed = save(split("vector", vectors), "posting-lists")
-    asked = save(split("query", vectors.where(is_query(F.col("id")))), "query-lists")
+    share = spark.sparkContext.broadcast
+    split = lambda rows, run: rows.mapInArrow(run, schema).select("id", "vec", F.explode("lists").alias("list"))
+    placed = save(split(vectors, _assign(share(index))), "posting-lists")
+    index.sizes = np.zeros(len(index.centroids), dtype=np.int64)
+    for r in placed.groupBy("list").count().collect():  # MOST_LISTS rows at most
+        index.sizes[r["list"]] = r["count"]
+    asked = save(split(vectors.where(is_query(F.col("id"))), _assign(share(index), k)), "query-lists")
     # Parts of lists and of queries, from counts: one row for each list, MOST_LISTS at most.
     parts = lambda t, name: t.groupBy("list").agg(F.ceil(F.count("*") / CELL).cast("int").alias(name))
     sizes = F.broadcast(parts(placed, "vparts").join(parts(asked, "qparts"), "list"))
