@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._shared import array_literal, fresh_path, save, shuffle_partitions
+from ._shared import array_literal, bounded_batches, fresh_path, save, shuffle_partitions
 from .splitters import ordered_buckets
 
 MAGIC = b"MTOK0001"
@@ -103,16 +103,17 @@ class TokenFile:
 
 
 class Encoder:
-    """Ids of texts by a byte-level BPE file of the tokenizers library, as little-endian u4.
+    """Ids of texts by a byte-level BPE file of the tokenizers library, as little-endian bytes.
 
     A text is cut before every single space between two others that are not white space: no token of such a
     vocabulary reaches over such a space, so the ids of the pieces are the ids of the text. Pieces not met
-    before are encoded together, a newline between them; the others come from a table of bounded size. Texts
-    with a space beside other white space, or with what may be a special token, are encoded whole."""
+    before are encoded together, a newline between them; the others come from a table of bounded size. Of a
+    piece that is letters and marks after them, the two are looked up apart. Texts with a space amid other white
+    space, or with what may be a special token, are encoded whole."""
 
-    ROOM = 250_000
+    ROOM = 1_000_000
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, wide: int = 4):
         import os
         import re
 
@@ -120,65 +121,113 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.odd = re.compile(r"\s (?:\s|$)|<\|")
-        self.seen: dict[str, bytes] = {}
-        self.newline = self._raw(["\n"])[0]
+        self.odd = re.compile(r"\s (?:\s|$)")
+        self.marked = re.compile(r"([^\W\d_]+)([^\w\s]+)").fullmatch
+        self.edgy: set[str] = {""}  # pieces met with white space at an end
+        self.kind, self.wide = f"<u{wide}", wide
+        self.seen: dict[str, bytes] = {}  # by the piece without its space
+        newline, *parts = self._raw(["\n", "a", " b", "c", "a\n b\nc"])
+        self.newline = newline[0]
         # Pieces are joined with newlines only where the file encodes a newline as one id of its own.
-        self.joins = len(self.newline) == 1 and np.array_equal(self._raw(["a\n b\nc"])[0], np.concatenate(self._raw(["a", "\n", " b", "\n", "c"])))
+        self.joins = len(newline) == 1 and [*parts[0], *newline, *parts[1], *newline, *parts[2]] == parts[3]
+        marks, word, both = self._raw([".,", " a", " a.,"])
+        self.splits = word + marks == both  # whether the file's pattern parts letters from marks
+        self.marks: dict[str, bytes] = {}
 
-    def _raw(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _raw(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> None:
-        plain, rest = [], []
+    def _bytes(self, ids: list[int]) -> bytes:
+        return np.array(ids, dtype=self.kind).tobytes()
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of pieces, each behind a space."""
+        plain, rest, marked, seen, out = set(), [], [], self.seen, {}
         for p in pieces:
-            (plain if self.joins and p and p.strip() and not any(c.isspace() for c in p[1:]) and (p[0] == " " or not p[0].isspace()) else rest).append(p)
-        for at in range(0, len(plain), 4096):
-            part = plain[at : at + 4096]
-            ids = self._raw(["\n".join(part)])[0]
-            cuts = np.flatnonzero(ids == self.newline[0])
-            if len(cuts) != len(part) - 1:
-                rest += part
-                continue
-            data, edges = ids.tobytes(), [0, *(int(c) for c in cuts)]
-            self.seen[part[0]] = data[: 4 * (edges[1] if len(edges) > 1 else len(ids))]
-            edges = [*edges[1:], len(ids)]
-            for p, a, b in zip(part[1:], edges, edges[1:]):
-                self.seen[p] = data[4 * a + 4 : 4 * b]
+            if self.splits and not p[-1:].isalnum() and (m := self.marked(p)):
+                letters, marks = m.groups()
+                marked.append((p, letters, marks))
+                if letters in seen:
+                    out[letters] = seen[letters]
+                else:
+                    plain.add(letters)
+                if marks not in self.marks:
+                    self.marks[marks] = b""
+            elif self.joins and p.split() == [p]:
+                plain.add(p)
+            else:
+                rest.append(p)
+        if not self.joins:
+            rest, plain = [*rest, *plain], ()
+        plain = list(plain)
+        groups = [plain[i : i + 64] for i in range(0, len(plain), 64)]
+        for at in range(0, len(groups), 64):
+            some = groups[at : at + 64]
+            for group, ids in zip(some, self._raw([" " + "\n ".join(g) for g in some])):
+                found = np.array(ids, dtype="<u4")
+                cuts = np.flatnonzero(found == self.newline).tolist()
+                if len(cuts) != len(group) - 1:
+                    rest += group
+                    continue
+                data, w = found.astype(self.kind).tobytes(), self.wide
+                for p, i, j in zip(group, [0, *[c + 1 for c in cuts]], [*cuts, len(found)]):
+                    out[p] = data[w * i : w * j]
         for at in range(0, len(rest), 4096):
-            for p, ids in zip(rest[at : at + 4096], self._raw(rest[at : at + 4096])):
-                self.seen[p] = ids.tobytes()
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+            for p, ids in zip(rest[at : at + 4096], self._raw([" " + x for x in rest[at : at + 4096]])):
+                out[p] = self._bytes(ids)
+        new = [m for m, b in self.marks.items() if not b]
+        self.marks.update(zip(new, map(self._bytes, self._raw(new))))
+        for p, letters, marks in marked:
+            out[p] = out[letters] + self.marks[marks]
+        if len(self.marks) > 10_000:
+            self.marks.clear()
+        return out
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), 256):
             yield from self._some(texts[at : at + 256])
 
-    def _some(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.seen) > self.ROOM:
-            self.seen.clear()
-        cut: list[list[str] | None] = []
-        for t in texts:
-            if self.odd.search(t):
-                cut.append(None)
-            else:
-                first, *more = t.split(" ")
-                cut.append([first, *[" " + x for x in more]])
-        seen = self.seen
-        new = {p for c in cut if c is not None for p in c if p not in seen}
-        self._learn(list(new))
-        whole = iter(self._raw([t for t, c in zip(texts, cut) if c is None]))
-        return [next(whole) if c is None else np.frombuffer(b"".join([seen[p] for p in c]), dtype="<u4") for c in cut]
+    def _some(self, texts: list[str]) -> list[bytes]:
+        parts = [t.split(" ") for t in texts]
+        pieces = set().union(*parts)
+        # A small table of the pieces at hand: the large one is asked once for each.
+        here = dict(zip(pieces, map(self.seen.get, pieces)))
+        new = [p for p, b in here.items() if b is None]
+        edgy = self.edgy
+        if len(edgy) < self.ROOM:  # else all texts are searched
+            edgy.update(p for p in new if not p or p[0].isspace() or p[-1].isspace())
+        full = len(edgy) >= self.ROOM
+        whole = lambda t, c: "<|" in t or (full or not edgy.isdisjoint(c)) and self.odd.search(t)
+        cut = [None if whole(t, c) else c for t, c in zip(texts, parts)]
+        learned = self._learn(new)
+        here.update(learned)
+        if len(self.seen) < self.ROOM:
+            self.seen.update(learned)
+        heads = iter(self._raw([c[0] for c in cut if c is not None]))
+        whole_ids = iter(self._raw([t for t, c in zip(texts, cut) if c is None]))
+        get = here.__getitem__
+        return [self._bytes(next(whole_ids)) if c is None else self._bytes(next(heads)) + b"".join(map(get, c[1:])) for c in cut]
+
+
+_encoders: dict[tuple[str, int], Encoder] = {}
+
+
+def encoder_for(path: str, wide: int) -> Encoder:
+    """One for each file and worker: what a task has met helps the tasks after it."""
+    if (path, wide) not in _encoders:
+        _encoders[path, wide] = Encoder(path, wide)
+    return _encoders[path, wide]
 
 
 def _encode(path: str, end_id: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        wide = 2 if bits <= 16 else 4
+        encoder, end = encoder_for(path, wide), end_id.to_bytes(wide, "little")
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 texts = [t or "" for t in part["text"].to_pylist()]
-                wide = 2 if bits <= 16 else 4
-                rows = [np.append(x, np.uint32(end_id)).astype(f"<u{wide}").tobytes() for x in encoder.encode(texts)]
+                rows = [x + end for x in encoder.encode(texts)]
                 names = [n for n in part.schema.names if n != "text"]
                 yield pa.record_batch([*[part[n] for n in names], pa.array(rows, pa.binary())], names=[*names, "ids"])
 
@@ -198,7 +247,7 @@ def _files(bits: int):
 
         for batch in batches:
             for doc_id, at, ids in zip(batch["doc_id"].to_pylist(), batch["bucket"].to_pylist(), batch["ids"]):
-                ids = np.frombuffer(ids.as_buffer(), dtype=kind).astype("<u4")
+                ids = np.frombuffer(ids.as_buffer(), dtype=kind)
                 if held and n + len(ids) > FILE_IDS:
                     yield close()
                 bucket = at
@@ -214,6 +263,7 @@ def write_token_files(df: DataFrame, path: str, tokenizer: str, vocabulary: int,
     """Encode every text and write the files of the table to the folder path. tokenizer: a path that is the
     same on all executors."""
     bits = bits_for(vocabulary)
+    bounded_batches(df.sparkSession)
     plain = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     dealt = ordered_buckets(plain, "doc_id", "text", shuffle_partitions(df.sparkSession))
     k1, k2, bucket = dealt.names
@@ -230,9 +280,8 @@ def _read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for data in batch["content"]:
             f = TokenFile(data.as_py())
             n = len(f.doc_ids)
-            sums = []
-            for i in range(n):
-                sums.append(zlib.crc32(f.document(i).astype("<u4").tobytes()))
+            ids, edges = memoryview(f.ids(0, f.n_ids).astype("<u4").tobytes()), (4 * f.starts).tolist()
+            sums = [zlib.crc32(ids[i:j]) for i, j in zip(edges, edges[1:])]
             columns = [
                 pa.array(f.doc_ids, pa.int64()), pa.array(np.full(n, f.bucket), pa.int32()),
                 pa.array(f.before + f.starts[:-1], pa.int64()), pa.array(f.lengths, pa.int64()), pa.array(sums, pa.int64()),
