@@ -4,8 +4,9 @@ Features are which word unigrams, bigrams and skip-grams (two words with one bet
 2**BITS coordinates. Every coordinate has its own learning rate, and L1 keeps only those weights that pay; the
 model is the list of those that are not zero, a few thousand numbers that every executor gets.
 
-The model is fitted on a bounded sample of labelled rows: at most train_rows of each class, those whose id
-hashes lowest. Scoring reads every text whole.
+The model is fitted on a bounded sample of labelled rows: at most train_rows toxic ones and CLEAN_PER_TOXIC times
+as many clean ones, those whose id hashes lowest. Clean rows stay the greater part, as they are in a corpus: a
+model of as many toxic ones finds too much. Scoring reads every text whole.
 
 Defined results: a null or empty text has no features and the score of the bias; labels that are neither 0 nor 1
 are left out, an id with several labels counts as toxic from an even split on; without labels of both classes
@@ -32,6 +33,7 @@ _WORD = re.compile(r"\w+")
 #: Odd multipliers that mix a word's hash by its place in a pair.
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 _KNOWN_WORDS = 200_000
+CLEAN_PER_TOXIC = 4
 
 
 class Features:
@@ -88,7 +90,7 @@ def fit_ftrl(examples: list[tuple[np.ndarray, int]], bits: int = BITS, alpha: fl
 
     for _ in range(epochs):
         for features, label in examples:
-            i = np.append(features, size)
+            i = np.append(features, np.int32(size))
             w = weights(i)
             p = 1.0 / (1.0 + math.exp(-max(-35.0, min(35.0, w.sum()))))
             g = p - label
@@ -108,9 +110,9 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([batch["ord"], batch["toxic"], pa.array(rows, pa.binary())], names=["ord", "toxic", "features"])
 
 
-def fit(documents: DataFrame, labels: DataFrame, learnable: Column, train_rows: int = 5000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+def fit(documents: DataFrame, labels: DataFrame, learnable: Column, train_rows: int = 2000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """The model of labelled documents. learnable: a condition on the labels' id column. train_rows: the
-    documented bound of labelled rows of each class."""
+    documented bound of toxic rows; that of clean rows is CLEAN_PER_TOXIC times as high."""
     bounded_batches(documents.sparkSession)
     known = (
         labels.where(learnable & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
@@ -118,13 +120,16 @@ def fit(documents: DataFrame, labels: DataFrame, learnable: Column, train_rows:
         .agg((F.avg(label_col) >= 0.5).cast("int").alias("toxic"))
         .withColumn("ord", F.xxhash64("id"))
     )
-    some = [known.where(F.col("toxic") == c).orderBy("ord", "id").limit(train_rows) for c in (0, 1)]
-    chosen = F.broadcast(some[0].unionByName(some[1]))  # 2 * train_rows rows at most
+    most = {0: CLEAN_PER_TOXIC * train_rows, 1: train_rows}
+    some = [known.where(F.col("toxic") == c).orderBy("ord", "id").limit(n) for c, n in most.items()]
+    chosen = F.broadcast(some[0].unionByName(some[1]))  # of bounded rows
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
     got = texts.select("text", "toxic", "ord").mapInArrow(_extract, "ord long, toxic int, features binary").toArrow()
-    order = np.argsort(got["ord"].to_numpy(), kind="stable")
+    # Another order than that of the choice, which ends with rows of the class of which more were chosen.
+    with np.errstate(over="ignore"):
+        order = np.argsort(got["ord"].to_numpy().astype(np.uint64) * _MIX[2], kind="stable")
     features, toxic = got["features"], got["toxic"].to_numpy()
-    return fit_ftrl([(np.frombuffer(features[int(i)].as_buffer(), dtype="<i4").astype(np.int64), int(toxic[i])) for i in order])
+    return fit_ftrl([(np.frombuffer(features[int(i)].as_buffer(), dtype="<i4"), int(toxic[i])) for i in order])
 
 
 def scorer(model: Model):
