@@ -12,6 +12,8 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shipping import ship
+
 LONG_MIN, LONG_MAX = -(2**63), 2**63 - 1
 
 #: Tables written to the shared folder by this process: (session, path). Removed at exit.
@@ -19,6 +21,7 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -84,6 +87,7 @@ atexit.register(release)
 def bounded_batches(spark: SparkSession) -> None:
     """Keep Arrow batches small, where the session has Spark's own bounds: a worker holds a few at a time,
     with their texts as Python strings beside them."""
+    ship(spark)
     for key, usual, ours in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "67108864b", "8m")):
         key = f"spark.sql.execution.arrow.{key}"
         if spark.conf.get(key, usual) == usual:

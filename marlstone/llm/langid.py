@@ -111,7 +111,9 @@ def fit_centroids(samples: dict[str, list[np.ndarray]], k: int = 4, lowest: floa
     idf = np.log((1 + texts) / (1 + df)) + 1
     names, centroids, floors = [], [], []
     for name in sorted(samples):
-        x = _unit(np.stack(samples[name]) * idf).astype(np.float32)
+        x = np.stack(samples[name])
+        x *= idf.astype(np.float32)
+        x = _unit(x)
         c = spherical_kmeans(x, k)
         cosines = (x @ c.T).max(axis=1)
         names += [name] * len(c)
@@ -132,7 +134,7 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(v) for v in zip(*out)], names=["lang", "ord", "at", "n"])
 
 
-def fit(documents: DataFrame, learnable: Column, train_rows: int = 1000, most_languages: int = 400, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+def fit(documents: DataFrame, learnable: Column, train_rows: int = 500, most_languages: int = 400, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """learnable: a condition on documents. train_rows: the documented bound of texts per language; only the
     most_languages most frequent languages are learned."""
     bounded_batches(documents.sparkSession)
@@ -149,11 +151,11 @@ def fit(documents: DataFrame, learnable: Column, train_rows: int = 1000, most_la
     samples: dict[str, list[np.ndarray]] = {}
     for i in np.argsort(got["ord"].to_numpy(), kind="stable"):
         i = int(i)
-        c = np.zeros(DIMS)
+        c = np.zeros(DIMS, dtype=np.float32)
         c[np.frombuffer(got["at"][i].as_buffer(), dtype="<u2")] = np.frombuffer(got["n"][i].as_buffer(), dtype="<f4")
         mine = samples.setdefault(got["lang"][i].as_py(), [])
         if len(mine) < train_rows:
-            mine.append(c.astype(np.float32))
+            mine.append(c)
     return fit_centroids(samples)
 
 
