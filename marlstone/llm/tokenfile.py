@@ -75,8 +75,8 @@ class TokenFile:
 
     def __init__(self, data: bytes):
         magic, self.bits, self.block, self.bucket, self.number, n, self.n_ids, self.before = _HEAD.unpack_from(data)
-        if magic != MAGIC or data[-1:] != b"\n":
-            raise ValueError("not a token file, or cut short")
+        if magic != MAGIC:
+            raise ValueError("not a token file")
         at = _HEAD.size
         self.data = memoryview(data)
         ids, known = np.frombuffer(data, "<i8", n, at), np.frombuffer(data, np.uint8, n, at + 8 * n)
@@ -86,6 +86,8 @@ class TokenFile:
         blocks = -(-self.n_ids // self.block)
         self.offsets = np.frombuffer(data, "<u8", blocks + 1, at + 17 * n).astype(np.int64)
         self.body = at + 17 * n + 8 * (blocks + 1)
+        if len(data) != self.body + self.offsets[-1] + 1:
+            raise ValueError("a token file that is cut short")
 
     def _block(self, i: int) -> np.ndarray:
         a, b = self.body + self.offsets[i], self.body + self.offsets[i + 1]
