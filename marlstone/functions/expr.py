@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: What Python's str.isspace() and \s take for white space, as the inside of a class.
@@ -48,12 +48,28 @@ def hits(c: Column, pattern: str) -> Column:
     return F.regexp_count(c, F.lit(pattern)).cast("long")
 
 
-def word_count(c: Column) -> Column:
-    return hits(c, f"{NOT_SPACE}+")
+def chars_in(c: Column, inside: str) -> Column:
+    """How many characters are of a class (the inside of a bracket): the rest is taken out and what stays is
+    measured, which makes one string where counting matches makes one for each character."""
+    return n_chars(sub(c, f"[^{inside}]+"))
+
+
+def chars_not_in(c: Column, inside: str) -> Column:
+    return n_chars(sub(c, f"[{inside}]+"))
+
+
+def pieces(c: Column, inside: str) -> Column:
+    """The runs of characters of a class (the inside of a bracket). Splitting at the rest is several times as fast
+    as collecting matches."""
+    return F.filter(F.split(c, f"[^{inside}]+", -1), lambda x: x != "")
 
 
 def words(c: Column) -> Column:
-    return F.regexp_extract_all(c, F.lit(f"({NOT_SPACE}+)"), F.lit(1))
+    return F.filter(F.split(c, f"{SPACE}+", -1), lambda x: x != "")
+
+
+def word_count(c: Column) -> Column:
+    return F.size(words(c)).cast("long")
 
 
 def n_chars(c: Column) -> Column:
@@ -69,3 +85,15 @@ def split_lines(c: Column) -> Column:
 def ratio(a: Column, b: Column) -> Column:
     """a / b as double, with 1 for a b of 0."""
     return a.cast("double") / F.greatest(b, F.lit(1)).cast("double")
+
+
+def unfold(df: DataFrame, keep: list[str], array: Column, pos: str, value: str) -> DataFrame:
+    """A row for each element: keep, its position from 0, the element. The outer form is filtered afterwards,
+    because the optimizer puts a test of the array's size before the plain one, which evaluates it again."""
+    return df.select(*keep, F.posexplode_outer(array).alias(pos, value)).where(F.col(pos).isNotNull())
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df on all cores, where its files make fewer partitions than there are; as it is otherwise."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df

@@ -6,11 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import domain
-from .expr import SPACE, WORD, hits, let, n_chars, ratio, split_lines, squeeze, strip, sub, text_of, word_count, words
+from .expr import WORD, WS, chars_in, chars_not_in, hits, let, n_chars, pieces, ratio, split_lines, squeeze, strip, sub, text_of, word_count, words
 from .text import ascii_key
 
 #: Words of Latin letters, as measures count them.
-LATIN = "[A-Za-zÀ-ÿ]+"
+LATIN = "A-Za-zÀ-ÿ"
 LATIN_HYPHEN = "[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ\\-]+"
 
 
@@ -43,26 +43,25 @@ def whole_word_hits(text: Column, terms: tuple[str, ...] = domain.WHOLE_WORDS) -
 
 def page_reference_density(text: Column) -> Column:
     """Numbers of 2 to 4 digits per word; 1 for fewer than 20 words."""
-    n = hits(text, LATIN)
+    n = F.size(pieces(text, LATIN))
     return F.when(n < 20, F.lit(1.0)).otherwise(ratio(hits(text, f"(?<!{WORD})\\p{{Nd}}{{2,4}}(?!{WORD})"), n))
 
 
 def vocabulary_diversity(text: Column) -> Column:
     """Distinct words per word, without case; 0 for fewer than 30 words."""
-    found = F.regexp_extract_all(F.lower(text), F.lit("([a-zà-ÿ]+)"), F.lit(1))
-    return let(found, lambda w: F.when(F.size(w) < 30, F.lit(0.0)).otherwise(ratio(F.size(F.array_distinct(w)), F.size(w))))
+    return let(pieces(F.lower(text), "a-zà-ÿ"), lambda w: F.when(F.size(w) < 30, F.lit(0.0)).otherwise(ratio(F.size(F.array_distinct(w)), F.size(w))))
 
 
 def alpha_share(text: Column) -> Column:
-    return ratio(hits(text, "\\p{L}"), n_chars(text))
+    return ratio(chars_in(text, "\\p{L}"), n_chars(text))
 
 
 def punctuation_share(text: Column) -> Column:
-    return ratio(hits(text, f"[^\\p{{L}}\\p{{N}}{SPACE[1:-1]}]"), n_chars(text))
+    return ratio(chars_not_in(text, f"\\p{{L}}\\p{{N}}{WS}"), n_chars(text))
 
 
 def mean_word_length(text: Column) -> Column:
-    return ratio(hits(text, f"[^{SPACE[1:-1]}]"), word_count(text))
+    return ratio(chars_not_in(text, WS), word_count(text))
 
 
 def drop_reason(text: Column, quality: Column) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import NOT_SPACE, SPACE, WORD, hits, let, n_chars, ratio, strip, sub, text_of, word_count
+from ..functions.expr import SPACE, WORD, WS, chars_in, chars_not_in, hits, let, n_chars, ratio, strip, sub, text_of, unfold, word_count, words
 
 LINES = "array<string>"
 
@@ -56,7 +56,7 @@ def line_features(line: Column) -> Column:
 
     def of(s: Column) -> Column:
         counts = F.struct(
-            s.alias("s"), n_chars(s).alias("len"), word_count(s).alias("words"), hits(s, "\\p{Nd}").alias("digits"), hits(s, "\\p{L}").alias("letters"), hits(s, "\\p{Lu}").alias("upper")
+            s.alias("s"), n_chars(s).alias("len"), word_count(s).alias("words"), chars_in(s, "\\p{Nd}").alias("digits"), chars_in(s, "\\p{L}").alias("letters"), chars_in(s, "\\p{Lu}").alias("upper")
         )
         return let(
             counts,
@@ -112,8 +112,8 @@ def block_class(lines: Column, f: Column, position: Column, in_index: Column, in
     return (
         F.when(f["n"] == 0, tagged("junk", "empty"))
         .when((f["n"] == 1) & (f["alpha_section_ratio"] == 1.0), tagged("alpha_section", "single-letter divider"))
-        .when((position < 0.15) & text.rlike(edges(FRONT_CUES)), tagged("front_matter", "ISBN/copyright/publisher boilerplate"))
-        .when(first.rlike(edges(CONTENTS_CUES)) & (f["n"] <= 3), tagged("toc_marker", "Contents heading"))
+        .when((position < 0.15) & text.rlike(f"(?i){FRONT_CUES}") & text.rlike(edges(FRONT_CUES)), tagged("front_matter", "ISBN/copyright/publisher boilerplate"))
+        .when((f["n"] <= 3) & first.rlike(edges(CONTENTS_CUES)), tagged("toc_marker", "Contents heading"))
         .when((f["dotted_ratio"] > 0.4) & (f["n"] >= 4), tagged("toc", F.format_string("dotted-leader ratio=%.2f", f["dotted_ratio"])))
         .when(first.rlike(INDEX_CUE), tagged("index_marker", "Index heading"))
         .when(
@@ -136,8 +136,8 @@ def measures(text: Column) -> Column:
     distinct."""
     t = text_of(text)
     return F.struct(
-        word_count(t).alias("words"), n_chars(t).alias("chars"), hits(t, f"[.!?]{SPACE}").alias("sentences"), hits(t, NOT_SPACE).alias("solid"), hits(t, "\\p{L}").alias("letters"),
-        hits(t, f"[^\\p{{L}}\\p{{N}}{SPACE[1:-1]}]").alias("marks"), F.size(F.array_distinct(F.regexp_extract_all(F.lower(t), F.lit(f"({NOT_SPACE}+)"), F.lit(1)))).alias("distinct"),
+        word_count(t).alias("words"), n_chars(t).alias("chars"), hits(t, f"[.!?]{SPACE}").alias("sentences"), chars_not_in(t, WS).alias("solid"), chars_in(t, "\\p{L}").alias("letters"),
+        chars_not_in(t, f"\\p{{L}}\\p{{N}}{WS}").alias("marks"), F.size(F.array_distinct(words(F.lower(t)))).alias("distinct"),
     )
 
 
@@ -256,11 +256,10 @@ def process(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", targe
     """chunks, audit and stats of every text: three reports from one pass over its blocks."""
     done = df.select(F.col(id_col).alias("book"), F.col(text_col).alias("raw"), classified(F.col(text_col)).alias("blocks"))
     chunked = done.withColumn("chunks", prose_chunks(F.col("blocks"), target, least))
-    chunks = chunked.select("book", F.posexplode("chunks").alias("chunk_idx", "c")).select("book", "chunk_idx", "c.*")
-    block = F.explode("blocks").alias("b")
+    chunks = unfold(chunked, ["book"], F.col("chunks"), "chunk_idx", "c").select("book", "chunk_idx", "c.*")
     sample = sub(F.left(F.array_join(F.col("b.lines"), "\n"), F.lit(240)), "\\n", " / ")
     audit = (
-        done.select("book", block)
+        unfold(done, ["book"], F.col("blocks"), "i", "b")
         .where("b.tag <> 'prose'")
         .select("book", "b.line_start", "b.line_end", "b.tag", "b.reason", F.size("b.lines").alias("n_lines"), chars(F.col("b.lines")).alias("n_chars"), sample.alias("sample"))
     )
@@ -274,5 +273,5 @@ def process(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", targe
 
 def tag_totals(done: DataFrame) -> DataFrame:
     """Blocks and characters of each tag, per book and over all (book null)."""
-    rows = done.select("book", F.explode("blocks").alias("b")).select("book", F.col("b.tag").alias("tag"), chars(F.col("b.lines")).cast("long").alias("chars"))
+    rows = unfold(done, ["book"], F.col("blocks"), "i", "b").select("book", F.col("b.tag").alias("tag"), chars(F.col("b.lines")).cast("long").alias("chars"))
     return rows.rollup("tag", "book").agg(F.count("*").alias("blocks"), F.sum("chars").alias("chars")).where("tag is not null")

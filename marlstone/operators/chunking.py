@@ -156,18 +156,20 @@ def pack_tokens(df: DataFrame, order: str, tokens: str, length: int, slices: int
     """Fixed blocks cut from all rows' tokens in order: block, tokens. The tail that fills no block is dropped.
 
     A row's offset is a prefix sum in two steps: sums of slices of the order, which are few, and sums within."""
-    n = F.size(tokens).cast("long")
-    rows = df.select(F.col(order).alias("o"), F.col(tokens).alias("t")).where(n > 0)
-    bounds = rows.stat.approxQuantile("o", [i / slices for i in range(1, slices)], 0.01) if slices > 1 else []
+    bounds = df.stat.approxQuantile(order, [i / slices for i in range(1, slices)], 0.01) if slices > 1 else []
+    rows = df.select(F.col(order).alias("o"), F.col(tokens).alias("t"))
     which = F.lit(0)
     for b in sorted(set(bounds)):
         which = which + (F.col("o") > b).cast("int")
     rows = rows.withColumn("slice", which)
-    sums = rows.groupBy("slice").agg(F.sum(F.size("t")).alias("s"))
-    sums = sums.select("slice", F.coalesce(F.sum("s").over(Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    sums = {r[0]: r[1] or 0 for r in rows.groupBy("slice").agg(F.sum(F.size("t"))).collect()}  # a row for each slice
+    before, total = [], 0
+    for i in range(max(sums, default=-1) + 1):
+        before.append(total)
+        total += sums.get(i, 0)
     inner = F.sum(F.size("t")).over(Window.partitionBy("slice").orderBy("o").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.size("t")
-    placed = rows.withColumn("inner", inner).join(F.broadcast(sums), "slice").withColumn("at", F.col("inner") + F.col("before"))
-    total = placed.agg(F.max(F.col("at") + F.size("t"))).first()[0] or 0
+    offset = F.element_at(F.array(*[F.lit(b) for b in before or [0]]), F.col("slice") + 1)
+    placed = rows.withColumn("at", inner + offset).where(F.size("t") > 0)
     # A row goes to each block that it reaches, with only its part of it.
     first, last = F.floor(F.col("at") / length), F.floor((F.col("at") + F.size("t") - 1) / length)
     parts = placed.withColumn("block", F.explode(F.sequence(first, last))).where(F.col("block") < total // length)

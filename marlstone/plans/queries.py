@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as P
 from ..functions import text as T
-from ..functions.expr import n_chars, strip, text_of, word_count, words
+from ..functions.expr import n_chars, spread, strip, text_of, unfold, word_count, words
 from ..operators import blocks as B
 from ..operators import chunking as C
 from ..operators import reports as R
@@ -67,7 +67,7 @@ def query(sql: str | None = None):
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -229,13 +229,13 @@ WITH m AS ({_MEASURES}), q AS (SELECT doc_id, text, {_QUALITY} AS quality FROM m
 SELECT outcome, count(*) AS n FROM d GROUP BY outcome
 """)
 def postfilter_cascade(spark, sf_dir):
-    rows = documents(spark, sf_dir).withColumn("reason", P.drop_reason(F.col("text"), B.quality(F.col("text"))))
-    kept = O.first_wins(rows.where("reason is null"), F.sha1(T.squeezed_key(F.col("text"))), "doc_id")
-    # Counts alone: dropped rows by reason, and of the others those that are first.
-    reasons = rows.groupBy("reason").agg(F.count("*").alias("n"))
-    n_kept = kept.agg(F.count("*").alias("k"))
-    counted = reasons.crossJoin(n_kept)  # one row
-    return counted.select(F.explode(F.when(F.col("reason").isNull(), F.array(F.struct(F.lit("kept").alias("o"), F.col("k").alias("n")), F.struct(F.lit("duplicate").alias("o"), (F.col("n") - F.col("k")).alias("n")))).otherwise(F.array(F.struct(F.col("reason").alias("o"), F.col("n").alias("n"))))).alias("x")).select(F.col("x.o").alias("outcome"), F.col("x.n").alias("n")).where("n > 0")
+    c = F.col("text")
+    rows = documents(spark, sf_dir).select(P.drop_reason(c, B.quality(c)).alias("reason"), F.sha1(T.squeezed_key(c)).alias("key"))
+    # Of the rows without a reason, the first of each key stays: how many keys there are says how many do.
+    groups = rows.groupBy("reason", F.when(F.col("reason").isNull(), F.col("key")).alias("key")).agg(F.count("*").alias("n"))
+    outcome = lambda name, n: F.struct(name.alias("outcome"), n.cast("long").alias("n"))
+    split = F.when(F.col("reason").isNull(), F.array(outcome(F.lit("kept"), F.lit(1)), outcome(F.lit("duplicate"), F.col("n") - 1))).otherwise(F.array(outcome(F.col("reason"), F.col("n"))))
+    return groups.select(F.explode(split).alias("x")).groupBy("x.outcome").agg(F.sum("x.n").alias("n")).where("n > 0")
 
 
 _PAIRS = """
@@ -287,7 +287,7 @@ SELECT page_id, min(pos)::INTEGER AS line_start, max(pos)::INTEGER AS line_end,
 """)
 def block_segments(spark, sf_dir):
     text = F.regexp_replace("html", "<[^>]+>", "\n")
-    b = table(spark, sf_dir, "pages").select("page_id", F.explode(B.segment(text)).alias("b"))
+    b = unfold(table(spark, sf_dir, "pages"), ["page_id"], B.segment(text), "i", "b")
     return b.select("page_id", "b.line_start", "b.line_end", F.sha1(F.array_join("b.lines", "\n")).alias("block"))
 
 
@@ -308,7 +308,7 @@ def block_features(spark, sf_dir):
 @query()
 def block_classes(spark, sf_dir):
     """Blocks of the pages with their classes; the classes carry state from block to block."""
-    b = table(spark, sf_dir, "pages").select("page_id", F.explode(B.classified(F.regexp_replace("html", "<[^>]+>", "\n"))).alias("b"))
+    b = unfold(table(spark, sf_dir, "pages"), ["page_id"], B.classified(F.regexp_replace("html", "<[^>]+>", "\n")), "i", "b")
     return b.select("page_id", "b.line_start", "b.line_end", "b.tag", "b.reason", "b.quality")
 
 
@@ -324,7 +324,7 @@ i AS (SELECT doc_id, w, unnest(range(n)) AS i FROM n)
 SELECT doc_id, i AS chunk_index, len(w[i * 680 + 1 : i * 680 + 800])::BIGINT AS word_count, sha1(array_to_string(w[i * 680 + 1 : i * 680 + 800], ' ')) AS chunk FROM i
 """)
 def chunk_words_sliding(spark, sf_dir):
-    c = documents(spark, sf_dir).select("doc_id", F.posexplode(C.word_windows(F.col("text"))).alias("chunk_index", "c"))
+    c = unfold(documents(spark, sf_dir), ["doc_id"], C.word_windows(F.col("text")), "chunk_index", "c")
     return c.select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), word_count(F.col("c")).alias("word_count"), F.sha1("c").alias("chunk"))
 
 
@@ -345,7 +345,7 @@ SELECT doc_id, run AS chunk_index, sha1(string_agg(p[i], chr(10) || chr(10) ORDE
 """)
 def chunk_greedy_words(spark, sf_dir):
     """Lines stand for paragraphs: these texts have no blank lines."""
-    c = documents(spark, sf_dir).select("doc_id", F.posexplode(C.paragraphs_by_words(_lines_as_paragraphs(F.col("text")), 60)).alias("i", "c"))
+    c = unfold(documents(spark, sf_dir), ["doc_id"], C.paragraphs_by_words(_lines_as_paragraphs(F.col("text")), 60), "i", "c")
     return c.select("doc_id", F.col("i").cast("long").alias("chunk_index"), F.sha1("c").alias("chunk"))
 
 
@@ -359,13 +359,13 @@ WITH RECURSIVE p AS (SELECT doc_id, {_PARAGRAPHS} AS p FROM documents), f AS (
 SELECT doc_id, (row_number() OVER (PARTITION BY doc_id ORDER BY run) - 1)::BIGINT AS chunk_index, sha1(c) AS chunk FROM c WHERE length(c) >= 300
 """)
 def chunk_sections(spark, sf_dir):
-    c = documents(spark, sf_dir).select("doc_id", F.posexplode(C.sections(_lines_as_paragraphs(F.col("text")))).alias("i", "c"))
+    c = unfold(documents(spark, sf_dir), ["doc_id"], C.sections(_lines_as_paragraphs(F.col("text"))), "i", "c")
     return c.select("doc_id", F.col("i").cast("long").alias("chunk_index"), F.sha1("c").alias("chunk"))
 
 
 @query()
 def chunk_greedy_chars(spark, sf_dir):
-    c = documents(spark, sf_dir).select("doc_id", F.posexplode(C.paragraphs_by_chars(_lines_as_paragraphs(F.col("text")), 700)).alias("i", "c"))
+    c = unfold(documents(spark, sf_dir), ["doc_id"], C.paragraphs_by_chars(_lines_as_paragraphs(F.col("text")), 700), "i", "c")
     return c.select("doc_id", F.col("i").cast("long").alias("chunk_index"), F.char_length("c").cast("long").alias("chars"), F.sha1("c").alias("chunk"))
 
 
