@@ -61,17 +61,14 @@ WITH calls AS (
   ORDER BY conv_id, turn, CASE role WHEN 'user' THEN 'answer' WHEN 'system' THEN 'summarise' ELSE role END, text
 ), results AS (
   SELECT DISTINCT ON (conv_id, turn) conv_id, turn, text FROM conversations WHERE role = 'assistant' ORDER BY conv_id, turn, text
-), tangled AS (
-  SELECT DISTINCT s.conv_id FROM calls s JOIN calls u ON s.conv_id = u.conv_id AND s.role = 'system' AND u.role = 'user' AND u.turn > s.turn
+), placed AS (
+  SELECT *, max(turn) FILTER (role = 'user') OVER (PARTITION BY conv_id) AS last_turn FROM calls
 ), leveled AS (
-  SELECT c.*, CASE WHEN c.conv_id NOT IN (SELECT conv_id FROM tangled) THEN 0
-    WHEN role = 'user' THEN count(*) FILTER (role = 'user') OVER (PARTITION BY conv_id ORDER BY turn) - 1
-    WHEN role = 'system' THEN count(*) FILTER (role = 'user') OVER (PARTITION BY conv_id) ELSE 0 END::INTEGER AS level
-  FROM calls c
+  SELECT *, CASE WHEN role = 'system' AND last_turn >= turn THEN last_turn ELSE turn END AS place, (role IS NOT NULL AND role = 'system' AND last_turn IS NOT NULL AND last_turn >= turn)::INTEGER AS level FROM placed
 )
 SELECT l.conv_id, 'call_' || l.turn AS call_id, l.turn,
   CASE role WHEN 'user' THEN 'answer' WHEN 'system' THEN 'summarise' ELSE role END AS name,
-  row_number() OVER (PARTITION BY l.conv_id ORDER BY level, l.turn) - 1 AS position, level,
+  row_number() OVER (PARTITION BY l.conv_id ORDER BY place, level, l.turn) - 1 AS position, level,
   CASE WHEN role IN ('user', 'system') THEN CASE WHEN l.text IS NULL THEN 'missing text' ELSE '' END ELSE 'unknown tool' END AS errors, repeats, r.turn AS result_turn,
   '{"arguments":{"text":' || to_json(l.text) || ',"turn":' || l.turn || '},"id":"call_' || l.turn || '","name":"' ||
     CASE role WHEN 'user' THEN 'answer' WHEN 'system' THEN 'summarise' ELSE role END || '","result":' || coalesce(to_json(r.text)::VARCHAR, 'null') || '}' AS canonical

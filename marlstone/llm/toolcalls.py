@@ -1,8 +1,10 @@
 """Linking of tool calls and their results in conversations.
 
 Calls and results are joined by (conversation, call id). Calls are put in an order in which each follows those it
-depends on: where all dependencies point back, that is the order of turns; only conversations with a dependency
-on a later call are peeled, level by level, until nothing is left or nothing more comes free, which is a cycle.
+depends on. A call's place is a pair (turn, level), its own turn and 0 unless it needs a call that is not before
+that: then the greatest place of those it needs, one level on. Only calls that are moved so, and those that need
+them, are looked at, round by round; a level beyond the number of the conversation's calls is a cycle. Conversations
+whose calls need earlier turns alone, however long, take no round.
 Arguments are checked against the tools' schemas, and each call is serialised as canonical JSON: keys sorted, no
 white space, the same bytes for the same content.
 
@@ -19,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import save
+from ._shared import LONG_MAX, LONG_MIN, save
 
 #: JSON types by the start of a variant's schema.
 _KINDS = {
@@ -63,21 +65,31 @@ def canonical(arguments: Column) -> Column:
     return F.coalesce(F.to_json(F.try_parse_json(arguments)), json_text(arguments))
 
 
-def levels(nodes: DataFrame, edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
-    """nodes: conv_id, call_id. edges: conv_id, call_id, needs, among them. The level of each node, 0 for those
-    that need nothing, else one more than the highest it needs; null on cycles and what follows them."""
-    done, left, open_ = None, save(nodes, "calls-left"), save(edges, "needs-left")
-    for level in range(max_rounds):
-        free = left.join(open_.select("conv_id", "call_id").distinct(), ["conv_id", "call_id"], "left_anti")
-        free = save(free.withColumn("level", F.lit(level)), "calls-free")
-        if free.isEmpty():
+def moved(edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
+    """edges: conv_id, call_id, turn, needs, their_turn, calls (of the conversation). The calls that do not stay in
+    their turns: conv_id, call_id, place (turn, level); the turn is LONG_MAX on cycles and what follows them."""
+    key, own = ["conv_id", "call_id"], F.struct(F.col("turn").alias("at"), F.lit(0).alias("level"))
+    place = lambda at, level: F.struct(at.alias("at"), level.cast("int").alias("level"))
+    endless = place(F.lit(LONG_MAX), F.lit(0))
+
+    def best(found: DataFrame) -> DataFrame:
+        top = found.groupBy(*key).agg(F.max("k").alias("k"), F.max("calls").alias("calls"))
+        return top.select(*key, F.when(F.col("k.level") > F.col("calls"), endless).otherwise(F.col("k")).alias("k"))
+
+    found = best(edges.where("their_turn >= turn").withColumn("k", place(F.col("their_turn"), F.lit(1))))
+    done = None
+    for _ in range(max_rounds):
+        if done is not None:
+            old = done.select(*key, F.col("place").alias("old"))
+            found = found.join(old, key, "left").where(F.col("old").isNull() | (F.col("k") > F.col("old"))).drop("old")
+        changed = save(found.select(*key, F.col("k").alias("place")), "moved")
+        if changed.isEmpty():
             break
-        done = free if done is None else done.unionByName(free)
-        left = save(left.join(free, ["conv_id", "call_id"], "left_anti"), "calls-left")
-        given = free.select("conv_id", F.col("call_id").alias("needs"))
-        open_ = save(open_.join(given, ["conv_id", "needs"], "left_anti"), "needs-left")
-    rest = left.withColumn("level", F.lit(None).cast("int"))
-    return rest if done is None else done.unionByName(rest)
+        done = changed if done is None else save(done.join(changed, key, "left_anti").unionByName(changed), "moved-all")
+        theirs = changed.select("conv_id", F.col("call_id").alias("needs"), F.col("place").alias("p"))
+        after = F.when(F.col("p.at") == LONG_MAX, endless).otherwise(place(F.col("p.at"), F.col("p.level") + 1))
+        found = best(edges.join(theirs, ["conv_id", "needs"]).withColumn("k", after).where(F.col("k") > own))
+    return changed if done is None else done
 
 
 def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
@@ -89,7 +101,8 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     first = lambda *cs: F.min(F.struct(*cs)).alias("first")
     # Each text occurs once here: the least row of an id is a struct, combined before the shuffle.
     one = calls.where(known).groupBy(*key).agg(first("turn", "name", "arguments", F.coalesce("needs", F.array().cast("array<string>")).alias("needs")), F.count("*").alias("repeats"))
-    one = save(one.select(*key, "first.*", "repeats"), "calls")
+    one = one.select(*key, "first.*", "repeats").withColumn("turn", F.coalesce("turn", F.lit(LONG_MIN)))  # before all others
+    one = save(one, "calls")
     answer = results.where(known).groupBy(*key).agg(first("turn", "content"))
     answer = answer.select(*key, F.col("first.turn").alias("result_turn"), F.col("first.content").alias("content"))
     needs = one.select("conv_id", "call_id", "turn", F.explode(F.array_distinct("needs")).alias("needs"))
@@ -97,32 +110,30 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     edges = save(needs.join(there, ["conv_id", "needs"], "left"), "needs")
     missing = edges.where("their_turn is null").groupBy(*key).agg(F.array_sort(F.collect_set(F.concat(F.lit("no call "), "needs"))).alias("missing"))
     edges = edges.where("their_turn is not null")
-    # A call of the same turn orders as a later one does: neither follows from the turns.
-    forward = F.coalesce(F.col("their_turn") < F.col("turn"), F.lit(False))
-    tangled = save(edges.where(~forward).select("conv_id").distinct(), "tangled")
-    leveled = levels(one.select(*key).join(tangled, "conv_id", "left_semi"), edges.select(*key, "needs").join(tangled, "conv_id", "left_semi"))
-    leveled = leveled.select(*key, F.struct("level").alias("peeled"))
-    out = one.join(answer, key, "left").join(missing, key, "left").join(leveled, key, "left")
+    # Conversations that need a call of a later turn, or of the same, which the turns do not order.
+    back = save(edges.where("their_turn >= turn").select("conv_id").distinct(), "tangled")
+    sizes = one.join(back, "conv_id", "left_semi").groupBy("conv_id").agg(F.count("*").alias("calls"))
+    out = one.join(answer, key, "left").join(missing, key, "left").join(moved(save(edges.join(sizes, "conv_id"), "needs-tangled")), key, "left")
     out = out.withColumns({
-        "cyclic": F.col("peeled").isNotNull() & F.col("peeled.level").isNull(),
-        "level": F.when(F.col("peeled").isNull(), F.lit(0)).otherwise(F.col("peeled.level")),
+        "at": F.coalesce("place.at", "turn"),
+        "level": F.when(F.col("place.at") == LONG_MAX, F.lit(None)).otherwise(F.coalesce("place.level", F.lit(0))).cast("int"),
     })
+    cyclic = F.col("level").isNull()
     errors = F.concat(
         argument_errors(F.col("name"), F.col("arguments"), schemas),
         F.coalesce("missing", F.array().cast("array<string>")),
-        F.when(F.col("cyclic"), F.array(F.lit("cycle"))).otherwise(F.array().cast("array<string>")),
+        F.when(cyclic, F.array(F.lit("cycle"))).otherwise(F.array().cast("array<string>")),
     )
     text = F.concat(
         F.lit('{"arguments":'), F.coalesce(canonical(F.col("arguments")), F.lit("null")), F.lit(',"id":'), json_text(F.col("call_id")),
         F.lit(',"name":'), json_text(F.col("name")), F.lit(',"result":'), json_text(F.col("content")), F.lit("}"),
     )
-    out = out.withColumns({"errors": errors, "canonical": text, "rank_level": F.coalesce("level", F.lit(2**31 - 1))})
-    slice_ = F.floor(F.coalesce("turn", F.lit(0)) / SLICE_TURNS)
-    out = save(out.select(*key, "turn", "name", "level", "errors", "repeats", "result_turn", "canonical", "rank_level", slice_.alias("slice")), "linked")
-    by = ["conv_id", "rank_level", "slice"]
+    out = out.withColumns({"errors": errors, "canonical": text, "slice": F.floor(F.col("at") / SLICE_TURNS), "turn": F.nullif("turn", F.lit(LONG_MIN))})
+    out = save(out.select(*key, "turn", "name", "at", "level", "errors", "repeats", "result_turn", "canonical", "slice"), "linked")
+    by = ["conv_id", "slice"]
     counts = out.groupBy(*by).agg(F.count("*").alias("n"))
-    earlier = Window.partitionBy("conv_id").orderBy("rank_level", "slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("conv_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(*by, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    place = F.row_number().over(Window.partitionBy(*by).orderBy("turn", "call_id")) - 1
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("at", F.col("level").asc_nulls_last(), "turn", "call_id")) - 1
     placed = out.withColumn("place", place).join(counts, by)
     return placed.select(*key, "turn", "name", (F.col("place") + F.col("before")).cast("long").alias("position"), "level", "errors", "repeats", "result_turn", "canonical")

@@ -44,7 +44,7 @@ def test_topological_order(spark):
     got = run(spark, calls + cycle)
     place = {k: got[7, k].position for k in needs}
     assert sorted(place.values()) == list(range(5)) and all(place[x] < place[k] for k, v in needs.items() for x in v)
-    assert {k: got[7, k].level for k in needs} == {"a": 2, "b": 3, "c": 0, "d": 1, "e": 1}
+    assert {k: got[7, k].level for k in needs} == {"a": 1, "b": 1, "c": 0, "d": 0, "e": 0}
     assert [got[8, k].level for k in "xyzw"] == [None, None, None, 0]
     assert "cycle" in got[8, "x"].errors and "no call gone" in got[8, "w"].errors
 
