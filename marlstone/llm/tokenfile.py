@@ -96,6 +96,9 @@ class TokenFile:
     def ids(self, start: int, stop: int) -> np.ndarray:
         if start >= stop:
             return np.zeros(0, dtype="<u4")
+        if self.bits in (8, 16, 32):  # blocks without gaps
+            at = self.body + start * self.bits // 8
+            return unpack(self.data[at : at + (stop - start) * self.bits // 8], self.bits, stop - start)
         first, last = start // self.block, (stop - 1) // self.block
         out = np.concatenate([self._block(i) for i in range(first, last + 1)])
         return out[start - first * self.block : stop - first * self.block]
