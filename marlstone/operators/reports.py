@@ -167,4 +167,33 @@ def annotation_report(df: DataFrame, annotation: str, required: tuple[str, ...],
     )
 
 
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("annotations", "SPACE")]
+
+
+def question_type(question: Column) -> Column:
+    """The first type whose words the question has."""
+    low = F.lower(text_of(question))
+    has = lambda *ws: F.exists(F.array(*[F.lit(w) for w in ws]), lambda w: F.contains(low, w))
+    return (
+        F.when(text_of(question).startswith("exam_reasoning"), "exam_reasoning").when(has("explain", "describe"), "explanation").when(has("what", "how"), "factual")
+        .when(has("compare", "differ"), "comparison").otherwise("other")
+    )
+
+
+def dataset_profile(df: DataFrame, question: str = "question", answer: str = "answer", topic: str = "topic", source: str = "source") -> DataFrame:
+    """One row: samples, mean words, distinct topics and sources, the share of the most frequent topic."""
+    rows = df.select(topic, source, word_count(text_of(F.col(question))).alias("q"), word_count(text_of(F.col(answer))).alias("a"))
+    top = rows.groupBy(topic).agg(F.count("*").alias("n")).agg(F.max("n").alias("top"))  # one row
+    total = rows.agg(F.count("*").alias("samples"), F.avg("q").alias("mean_question_words"), F.avg("a").alias("mean_answer_words"), F.countDistinct(topic).alias("topics"), F.countDistinct(source).alias("sources"))
+    return total.crossJoin(top).withColumn("top_topic_pct", F.try_divide(F.col("top") * 100.0, F.col("samples"))).drop("top")
+
+
+def diversity_verdict(sft: DataFrame, dpo: DataFrame) -> DataFrame:
+    """One row from two profiles: verdict, strengths and concerns (array<string>)."""
+    s, d = sft.select(*[F.col(c).alias(f"s_{c}") for c in sft.columns]), dpo.select(*[F.col(c).alias(f"d_{c}") for c in dpo.columns])
+    c, listed = F.col, lambda *x: F.array_compact(F.array(*x))
+    both = s.crossJoin(d)  # one row
+    return both.select(
+        F.when((c("s_samples") >= 25_000) & (c("d_samples") >= 8_000) & (c("s_sources") >= 15), "sufficient").otherwise("augment").alias("verdict"),
+        listed(F.when(c("s_samples") >= 25_000, "sft_size"), F.when(c("d_samples") >= 8_000, "dpo_size"), F.when(c("s_sources") >= 20, "source_diversity"), F.when(c("s_topics") >= 30, "topic_diversity")).alias("strengths"),
+        listed(F.when(c("s_topics") < 20, "few_topics"), F.when(c("d_topics") < 15, "few_dpo_topics"), F.when(c("s_top_topic_pct") > 30, "dominant_topic")).alias("concerns"),
+    )
