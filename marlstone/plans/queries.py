@@ -632,6 +632,56 @@ def inverted_abstracts(spark, sf_dir):
     return maps.select("doc_id", F.sha1(T.inverted_abstract(F.col("m"))).alias("text"))
 
 
+# Pages, cleaning damage, schedules and profiles
+
+
+@query()
+def html_to_text(spark, sf_dir):
+    from ..sources.markup import html_text
+
+    return table(spark, sf_dir, "pages").select("page_id", html_text(F.col("html")).alias("text")).select("page_id", F.sha1("text").alias("text"), n_chars(F.col("text")).alias("chars"))
+
+
+@query(r"""SELECT page_id, regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1) AS title, regexp_extract(url, '^https?://([^/]+)', 1) AS host, len(regexp_extract_all(html, '<a\s'))::BIGINT AS links FROM pages""")
+def page_title_url(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    return p.select("page_id", F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1).alias("title"), F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"), F.regexp_count("html", F.lit("<a\\s")).cast("long").alias("links"))
+
+
+@query("""WITH c AS (SELECT doc_id, length(text) AS n, CASE WHEN doc_id % 10 = 0 THEN least(length(text), 40) ELSE length(text) END AS k FROM documents WHERE doc_id % 10 < 5)
+SELECT doc_id AS name, k::DOUBLE / greatest(n, 1) AS ratio, n::BIGINT AS chars FROM c WHERE k::DOUBLE / greatest(n, 1) < 0.05::DOUBLE""")
+def restore_destroyed(spark, sf_dir):
+    raw = documents(spark, sf_dir).select(F.col("doc_id").alias("name"), "text")
+    cleaned = raw.where("name % 10 < 5").withColumn("text", F.when(F.col("name") % 10 == 0, F.left("text", F.lit(40))).otherwise(F.col("text")))
+    return O.restore_destroyed(raw, cleaned).select("name", "ratio", n_chars(F.col("text")).alias("chars"))
+
+
+@query("""WITH n AS (SELECT least(count(*), greatest(100, floor(count(*) * 0.01)))::BIGINT AS n FROM documents)
+SELECT doc_id, CASE WHEN row_number() OVER (ORDER BY sha1('42:' || doc_id)) <= (SELECT n FROM n) THEN 'val' ELSE 'train' END AS split FROM documents""")
+def carve_validation(spark, sf_dir):
+    from ..sources.files import carve
+
+    return carve(documents(spark, sf_dir).select("doc_id"), "doc_id")
+
+
+@query("""WITH d AS (SELECT doc_id, lang, CASE WHEN source = 'src0' THEN 'core' ELSE 'selective' END AS grp FROM documents),
+one AS (SELECT doc_id, 1 AS stage, row_number() OVER (PARTITION BY lang ORDER BY sha1('42:' || lang || ':' || doc_id)) - 1 AS turn FROM d WHERE grp = 'core'),
+m AS (SELECT doc_id, lang, unnest(range(CASE WHEN grp = 'core' THEN 2 ELSE 1 END)) AS copy FROM d),
+two AS (SELECT doc_id, 2 AS stage, row_number() OVER (PARTITION BY lang ORDER BY sha1('42+7:' || lang || ':' || doc_id || '#' || copy)) - 1 AS turn FROM m)
+SELECT stage, epoch, turn, doc_id FROM one, (SELECT unnest([1, 2]) AS epoch) UNION ALL SELECT stage, 1, turn, doc_id FROM two""")
+def training_schedule(spark, sf_dir):
+    d = documents(spark, sf_dir).select("doc_id", "lang", F.when(F.col("source") == "src0", "core").otherwise("selective").alias("grp"))
+    return O.schedule(d, "grp", "lang", "doc_id", core_epochs=2, mixed_epochs=1, weight=2.0).select("stage", "epoch", "turn", "doc_id")
+
+
+@query(f"""{_PAIRS}, w AS (SELECT conv_id, @NWORDS(question) AS q, @NWORDS(answer) AS a FROM p), t AS (SELECT conv_id, count(*) AS n FROM w GROUP BY conv_id)
+SELECT count(*) AS samples, avg(q)::DOUBLE AS mean_question_words, avg(a)::DOUBLE AS mean_answer_words, count(DISTINCT conv_id) AS topics, count(DISTINCT conv_id % 3) AS sources,
+  (SELECT max(n) FROM t) * 100.0::DOUBLE / count(*) AS top_topic_pct FROM w""")
+def dataset_profile(spark, sf_dir):
+    rows = chat_pairs(spark, sf_dir).select("question", "answer", F.col("conv_id").cast("string").alias("topic"), (F.col("conv_id") % 3).cast("string").alias("source"))
+    return R.dataset_profile(rows)
+
+
 # Fingerprint of the whole: the flagship
 
 
