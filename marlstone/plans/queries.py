@@ -287,7 +287,7 @@ SELECT page_id, min(pos)::INTEGER AS line_start, max(pos)::INTEGER AS line_end,
 """)
 def block_segments(spark, sf_dir):
     text = F.regexp_replace("html", "<[^>]+>", "\n")
-    b = unfold(table(spark, sf_dir, "pages"), ["page_id"], B.segment(text), "i", "b")
+    b = unfold(spread(table(spark, sf_dir, "pages")), ["page_id"], B.segment(text), "i", "b")
     return b.select("page_id", "b.line_start", "b.line_end", F.sha1(F.array_join("b.lines", "\n")).alias("block"))
 
 
@@ -308,7 +308,7 @@ def block_features(spark, sf_dir):
 @query()
 def block_classes(spark, sf_dir):
     """Blocks of the pages with their classes; the classes carry state from block to block."""
-    b = unfold(table(spark, sf_dir, "pages"), ["page_id"], B.classified(F.regexp_replace("html", "<[^>]+>", "\n")), "i", "b")
+    b = unfold(spread(table(spark, sf_dir, "pages")), ["page_id"], B.classified(F.regexp_replace("html", "<[^>]+>", "\n")), "i", "b")
     return b.select("page_id", "b.line_start", "b.line_end", "b.tag", "b.reason", "b.quality")
 
 
