@@ -28,8 +28,9 @@ from ._shared import array_literal, save
 from .mixing import word_count
 
 LENGTHS = (512, 1024, 2048, 4096, 8192)
-#: Rows that one task ranks.
-SLICE_ROWS = 200_000
+#: Rows of a length that one task ranks: so many, or fewer as long as there are at most SLICES more slices than
+#: lengths.
+SLICE_ROWS, LEAST_SLICE_ROWS, SLICES = 200_000, 1_000, 1024
 
 
 def sequence_cost(length: int) -> float:
@@ -142,7 +143,8 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sizes: t
     filled = pieces.where("length > 0")
     counts = {int(r[0]): int(r[1]) for r in filled.groupBy("length").count().collect()}  # most rows, at most
     plan = plan_bins(counts, sizes, cost)
-    slices = [max(1, -(-counts.get(n, 0) // SLICE_ROWS)) for n in range(most + 1)]
+    rows = min(SLICE_ROWS, max(LEAST_SLICE_ROWS, sum(counts.values()) // SLICES))
+    slices = [max(1, -(-counts.get(n, 0) // rows)) for n in range(most + 1)]
     sliced = filled.withColumn("slice", F.pmod(F.col("hash") + F.col("piece"), F.element_at(array_literal(slices, "bigint"), (F.col("length") + 1).cast("int"))))
     before = sliced.groupBy("length", "slice").count()
     earlier = Window.partitionBy("length").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)

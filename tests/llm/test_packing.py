@@ -93,6 +93,13 @@ def test_every_word_has_its_place(docs):
     whole(rows, docs.collect(), (16, 100))
 
 
+def test_frequent_lengths_are_ranked_in_slices(docs, monkeypatch):
+    from marlstone.llm import packing
+
+    monkeypatch.setattr(packing, "LEAST_SLICE_ROWS", 3)
+    whole(pack(docs, sizes=(8, 16)).collect(), docs.collect(), (8, 16))
+
+
 def test_odd_rows(odd, empty):
     rows = pack(odd).collect()
     whole(rows, odd.collect(), LENGTHS)
