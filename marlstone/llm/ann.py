@@ -16,7 +16,8 @@ queries of a list with more than CELL of them, and each part meets each part of
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do
 those whose length is not the most frequent one (of equals the greatest); rows that share an id are one
-candidate with its best score, and as queries one query with the best of its rows; a query never finds its own
+candidate with its best score, however many they are, and as queries one query with the best of its rows; equal
+rows are collapsed before they are placed; a query never finds its own
 id; with fewer candidates than k all that share a list are found; an empty table gives no rows. Only the id and
 the vector are read.
 """
@@ -51,7 +52,7 @@ class Index:
     centroids: np.ndarray  # float32, with the added coordinate
     neighbours: np.ndarray  # of each centroid, its own number where it has fewer
     norm: float  # the largest
-    sizes: np.ndarray | None = None  # vectors of each list, once all are placed
+    sizes: np.ndarray | None = None  # ids of each list, once all are placed
 
 
 def balanced_centroids(x: np.ndarray, size: int) -> np.ndarray:
@@ -244,15 +245,25 @@ def _compare(k: int):
             q, v, qi, vi = x[is_query], x[~is_query], ids[is_query], ids[~is_query]
             if not len(q) or not len(v):
                 return
+            order = np.argsort(vi, kind="stable")
+            v, vi = v[order], vi[order]
+            firsts = np.flatnonzero(np.r_[True, vi[1:] != vi[:-1]])
+            counts = np.diff(np.r_[firsts, len(vi)])
             for at in range(0, len(q), 512):
-                s = q[at : at + 512] @ v.T
-                own = qi[at : at + 512][:, None] == vi[None, :]
+                every = q[at : at + 512] @ v.T
+                # The best of each id, so that rows that share one take one of the k places.
+                s = every if len(firsts) == len(v) else np.maximum.reduceat(every, firsts, axis=1)
+                own = qi[at : at + 512][:, None] == vi[firsts][None, :]
                 s[own] = -np.inf
-                m = min(len(v), k)
-                top = np.argpartition(-s, m - 1, axis=1)[:, :m] if m < len(v) else np.tile(np.arange(len(v)), (len(s), 1))
+                m = min(len(firsts), k)
+                top = np.argpartition(-s, m - 1, axis=1)[:, :m] if m < len(firsts) else np.tile(np.arange(len(firsts)), (len(s), 1))
                 worst = np.take_along_axis(s, top, axis=1).min(axis=1)
                 # All of the k-th score go on, so that ties are settled by id.
-                who, which = np.nonzero((s >= worst[:, None]) & ~own)
+                who, found = np.nonzero((s >= worst[:, None]) & ~own)
+                which = firsts[found]
+                for g in np.unique(found[counts[found] > 1]):
+                    mine = np.flatnonzero(found == g)
+                    which[mine] += every[who[mine], firsts[g] : firsts[g] + counts[g]].argmax(axis=1)
                 exact = np.einsum("ij,ij->i", q[at + who], v[which])
                 yield pa.record_batch([pa.array(qi[at + who]), pa.array(vi[which]), pa.array(exact)], schema=pa.schema(kinds))
 
@@ -288,7 +299,7 @@ def search(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col
     frequent = every.groupBy(F.size("vec").alias("dims")).count().orderBy(F.desc("count"), F.desc("dims")).first()
     if frequent is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    vectors = save(every.where(F.size("vec") == frequent["dims"]), "vectors")
+    vectors = save(every.where(F.size("vec") == frequent["dims"]).dropDuplicates(["id", "vec"]), "vectors")
     rows, square = vectors.agg(F.count("*"), F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).first()
     index = fit(vectors, frequent["dims"], rows, float(square) ** 0.5)
     schema = "id long, vec array<double>, lists array<bigint>"
@@ -296,13 +307,14 @@ def search(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col
     split = lambda rows, run: rows.mapInArrow(run, schema).select("id", "vec", F.explode("lists").alias("list"))
     placed = save(split(vectors, _assign(share(index))), "posting-lists")
     index.sizes = np.zeros(len(index.centroids), dtype=np.int64)
-    for r in placed.groupBy("list").count().collect():  # MOST_LISTS rows at most
+    # Ids, not rows: a query reads on until its lists hold enough candidates.
+    for r in placed.groupBy("list").agg(F.countDistinct("id").alias("count")).collect():  # MOST_LISTS rows at most
         index.sizes[r["list"]] = r["count"]
     asked = save(split(vectors.where(is_query(F.col("id"))), _assign(share(index), k)), "query-lists")
     # Parts of lists and of queries, from counts: one row for each list, MOST_LISTS at most.
     parts = lambda t, name: t.groupBy("list").agg(F.ceil(F.count("*") / CELL).cast("int").alias(name))
     sizes = F.broadcast(parts(placed, "vparts").join(parts(asked, "qparts"), "list"))
-    part = lambda of, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(of)).cast("int")
+    part = lambda of, salt: F.pmod(F.xxhash64("id", "vec", F.lit(salt)), F.col(of)).cast("int")
     spread = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
     v = placed.join(sizes, "list").withColumn("vpart", part("vparts", 1)).withColumn("qpart", spread("qparts"))
     q = asked.join(sizes, "list").withColumn("qpart", part("qparts", 2)).withColumn("vpart", spread("vparts"))

@@ -40,6 +40,27 @@ def test_recall_and_scores(spark, monkeypatch, n, dims, list_rows):
     assert found / (20 * len(want)) >= 0.9
 
 
+@pytest.mark.parametrize("hot,copies", [(50, 1), (1, 2), (50, 3)])
+def test_rows_that_share_an_id_take_one_place(spark, monkeypatch, hot, copies):
+    """An id with many near rows, and rows that all occur twice: the other neighbours are found all the same."""
+    monkeypatch.setattr(ann, "CELL", 64)
+    r = np.random.default_rng(hot)
+    rows = [(i, v.tolist()) for i, v in enumerate(r.normal(size=(100, 8))) for _ in range(copies)]
+    rows += [(1, (3 * np.array(rows[0][1]) + 0.01 * r.normal(size=8)).tolist()) for _ in range(hot)]
+    rows += [(0, r.normal(size=8).tolist()) for _ in range(hot - 1)]
+    best = {}
+    for q, x in rows:
+        for v, y in rows:
+            if q % 20 == 0 and q != v:
+                best[q, v] = max(best.get((q, v), -math.inf), float(np.dot(x, y)))
+    want = {q: sorted((-s, v) for (a, v), s in best.items() if a == q)[:20] for q in range(0, 100, 20)}
+    got = {}
+    for x in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(x.query_id, []).append((-x.score, x.vec_id))
+    assert {q: [v for _, v in near] for q, near in got.items()} == {q: [v for _, v in near] for q, near in want.items()}
+    assert all(np.allclose([s for s, _ in got[q]], [s for s, _ in want[q]]) for q in want)
+
+
 def test_test_data(spark):
     e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding")
     rows = [(r.vec_id, np.array(r.embedding, dtype=float)) for r in e.collect()]
