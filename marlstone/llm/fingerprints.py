@@ -3,9 +3,11 @@
 A text's prefix arrays hold, for two primes, the hash of every prefix: H[i] = sum of (c[j] + 1) * B**j for
 j < i. The hash of any span follows from two entries, so that spans are compared without reading them, and
 the longest common extension of two positions is found by binary search over its length. A fingerprint keeps
-the length, the whole hash, and the hashes of prefixes and of suffixes at lengths that grow by the fourth root
-of two; two fingerprints are as alike as the prefix and the suffix that they share (each found by binary
-search) are long beside the longer text.
+the length, the whole hash, the hashes of prefixes and of suffixes at lengths that grow by the fourth root of
+two, and the hash and length of every span between two cuts. Cuts depend on the few code points before them
+alone, so that the spans between two edits are the same in both texts. Two fingerprints are as alike as the parts
+of the longer text that the other has too are long beside it: the shared prefix and suffix (each found by binary
+search) and between them the spans that both keep, each as often as both do.
 
 The hash of an edited text is put together from spans of the texts that it is made of; it is never rebuilt.
 
@@ -43,6 +45,24 @@ def _powers(base: int, prime: int) -> np.ndarray:
 
 _POWERS = [_powers(BASE, p) for p in PRIMES]
 _INVERSE = [pow(BASE, -1, p) for p in PRIMES]
+_INVERSE_POWERS = [_powers(i, p) for i, p in zip(_INVERSE, PRIMES)]
+
+#: Code points that a mark depends on; one position in 2**_RARE is marked; a mark is a cut if the mark before it
+#: is more than _QUIET away, so that no cut depends on where the text begins and runs of one code point have one
+#: cut. A span is at most _MOST_SPAN long.
+_WINDOW, _RARE, _QUIET, _MOST_SPAN = 8, 4, 8, 65535
+
+
+def marks(codes: np.ndarray) -> np.ndarray:
+    """Ends of the windows whose code points mark them, ascending."""
+    if len(codes) < _WINDOW:
+        return np.zeros(0, dtype=np.int64)
+    x, step = codes * np.uint32(0x9E3779B1), 1
+    for odd in (0x85EBCA6B, 0xC2B2AE35, 0x27D4EB2F):  # windows of 2, 4 and 8
+        x = (x[:-step] ^ x[:-step] >> np.uint32(15)) * np.uint32(odd) + x[step:]
+        step *= 2
+    x = (x ^ x >> np.uint32(15)) * np.uint32(0x2C1B3C6D)
+    return np.flatnonzero(x >> np.uint32(32 - _RARE) == 0) + _WINDOW
 
 
 class Prefixes:
@@ -50,7 +70,7 @@ class Prefixes:
 
     def __init__(self, text: str):
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-        self.n = len(codes)
+        self.n, self.codes, self.marks = len(codes), codes, marks(codes)
         self.h = []
         for prime, power in zip(PRIMES, _POWERS):
             p, h, last = np.uint64(prime), np.zeros(self.n + 1, dtype=np.uint64), np.uint64(0)
@@ -71,6 +91,9 @@ class Prefixes:
     def prefix(self, k: int, i: int) -> int:
         return int(self.h[k][i])
 
+    def prefixes(self, k: int, at: np.ndarray) -> np.ndarray:
+        return self.h[k][at]
+
     def span(self, i: int, j: int) -> tuple[int, ...]:
         """The hash of code points i to j, as if they stood at the start."""
         return tuple((int(h[j]) - int(h[i])) * pow(inv, i, p) % p for h, inv, p in zip(self.h, _INVERSE, PRIMES))
@@ -82,12 +105,21 @@ class Spliced:
     def __init__(self, a: Prefixes, keep: int, b: Prefixes, take: int):
         self.a, self.keep, self.b, self.n = a, keep, b, keep + take
         self.shift = [pow(BASE, keep, p) for p in PRIMES]
+        # Windows across the seam are read; those on either side are known.
+        left = max(0, keep - _WINDOW + 1)
+        seam = marks(np.concatenate([a.codes[left:keep], b.codes[: min(take, _WINDOW - 1)]]))
+        self.marks = np.concatenate([a.marks[: a.marks.searchsorted(keep, "right")], seam + left, b.marks[: b.marks.searchsorted(take, "right")] + keep])
 
     def prefix(self, k: int, i: int) -> int:
         if i <= self.keep:
             return int(self.a.h[k][i])
         return (int(self.a.h[k][self.keep]) + self.shift[k] * int(self.b.h[k][i - self.keep])) % PRIMES[k]
 
+    def prefixes(self, k: int, at: np.ndarray) -> np.ndarray:
+        m = at.searchsorted(self.keep, "right")
+        after = self.b.h[k][at[m:] - self.keep] * np.uint64(self.shift[k]) + self.a.h[k][self.keep]
+        return np.concatenate([self.a.h[k][at[:m]], after % np.uint64(PRIMES[k])])
+
 
 def spans_equal(a: Prefixes, i: int, b: Prefixes, j: int, length: int) -> bool:
     return i + length <= a.n and j + length <= b.n and a.span(i, i + length) == b.span(j, j + length)
@@ -123,11 +155,52 @@ def _short(h1: int, h2: int) -> int:
     return ((h1 * 0x9E3779B1 ^ h2 * 0x85EBCA77) >> 20) & 0xFFFFFF
 
 
-Parsed = tuple[int, int, list[int], list[int]]
+Parsed = tuple[int, int, list[int], list[int], bytes]
+
+
+def spans(x: Prefixes | Spliced) -> bytes:
+    """Of the spans between cuts, in order, 24 bits of the hash and 16 of the length."""
+    far = np.diff(x.marks, prepend=-_QUIET - 1) > _QUIET
+    ends = x.marks[far & (x.marks < x.n)]
+    if x.n:
+        ends = np.append(ends, x.n)
+    starts = np.concatenate([np.zeros(1, dtype=np.int64), ends[:-1]])[: len(ends)]
+    if len(ends) and (ends - starts).max() > _MOST_SPAN:
+        starts = np.concatenate([np.arange(a, b, _MOST_SPAN) for a, b in zip(starts, ends)])
+        ends = np.append(starts[1:], x.n)
+    hashes = []
+    for k, (prime, inverse) in enumerate(zip(PRIMES, _INVERSE)):
+        p = np.uint64(prime)
+        h = (x.prefixes(k, ends) + p - x.prefixes(k, starts)) % p * _INVERSE_POWERS[k][starts % _BLOCK] % p
+        if x.n > _BLOCK:
+            blocks = np.array([pow(inverse, at, prime) for at in range(0, x.n, _BLOCK)], dtype=np.uint64)
+            h = h * blocks[starts // _BLOCK] % p
+        hashes.append(h)
+    short = (hashes[0] * np.uint64(0x9E3779B1) ^ hashes[1] * np.uint64(0x85EBCA77)) >> np.uint64(20) & np.uint64(0xFFFFFF)
+    packed = (short << np.uint64(16) | (ends - starts).astype(np.uint64)).astype(">u8")
+    return packed.view(np.uint8).reshape(-1, 8)[:, 3:].tobytes()
+
+
+def _unpacked(kept: bytes) -> np.ndarray:
+    """One integer for each span; its lowest 16 bits are the length."""
+    out = np.zeros((len(kept) // 5, 8), dtype=np.uint8)
+    out[:, 3:] = np.frombuffer(kept, dtype=np.uint8).reshape(-1, 5)
+    return out.view(">u8")[:, 0].astype(np.uint64)
+
+
+def _numbered(v: np.ndarray) -> np.ndarray:
+    """Equal spans told apart by their number among each other."""
+    order = np.argsort(v, kind="stable")
+    ordered = v[order]
+    first = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))[: len(v)]
+    at = np.arange(len(v)) - np.repeat(first, np.diff(np.append(first, len(v))))
+    out = np.empty_like(v)
+    out[order] = ordered << np.uint64(24) | at.astype(np.uint64)
+    return out
 
 
 def parts(x: Prefixes | Spliced) -> Parsed:
-    """(length, whole hash, short hashes of prefixes, of suffixes)."""
+    """(length, whole hash, short hashes of prefixes, of suffixes, spans between cuts)."""
     (p1, p2), (i1, i2), n = PRIMES, _INVERSE, x.n
     w1, w2 = x.prefix(0, n), x.prefix(1, n)
     heads, tails = [], []
@@ -137,18 +210,18 @@ def parts(x: Prefixes | Spliced) -> Parsed:
         heads.append(_short(x.prefix(0, m), x.prefix(1, m)))
         at = n - m
         tails.append(_short((w1 - x.prefix(0, at)) * pow(i1, at, p1) % p1, (w2 - x.prefix(1, at)) * pow(i2, at, p2) % p2))
-    return n, w1 << 31 | w2, heads, tails
+    return n, w1 << 31 | w2, heads, tails, spans(x)
 
 
 def encoded(x: Parsed) -> str:
     pack = lambda v: base64.urlsafe_b64encode(b"".join(s.to_bytes(3, "big") for s in v)).decode()
-    return f"{x[0]}:{x[1]:016x}:{pack(x[2])}:{pack(x[3])}"
+    return f"{x[0]}:{x[1]:016x}:{pack(x[2])}:{pack(x[3])}:{base64.urlsafe_b64encode(x[4]).decode()}"
 
 
 def decoded(fingerprint: str) -> Parsed:
-    n, whole, heads, tails = fingerprint.split(":")
+    n, whole, heads, tails, kept = fingerprint.split(":")
     unpack = lambda s: [int.from_bytes(b[i : i + 3], "big") for b in [base64.urlsafe_b64decode(s)] for i in range(0, len(b), 3)]
-    return int(n), int(whole, 16), unpack(heads), unpack(tails)
+    return int(n), int(whole, 16), unpack(heads), unpack(tails), base64.urlsafe_b64decode(kept)
 
 
 def _shared(a: list[int], b: list[int]) -> int:
@@ -164,11 +237,19 @@ def _shared(a: list[int], b: list[int]) -> int:
 
 
 def alike(a: Parsed, b: Parsed) -> float:
-    """1 for equal texts, else the shared prefix and suffix as a share of the longer text, under 1."""
+    """1 for equal texts, else the shared prefix and suffix and the equal spans between them as a share of the
+    longer text, under 1 and at most the share that the shorter text is of it."""
     if a[:2] == b[:2]:
         return 1.0
-    most = max(a[0], b[0])
-    return min(_shared(a[2], b[2]) + _shared(a[3], b[3]), most - 1) / most if most else 0.0
+    a, b = sorted((a, b), key=lambda x: x[:2])
+    most, head = b[0], _shared(a[2], b[2])
+    tail = max(most - _shared(a[3], b[3]), head)
+    kept = _unpacked(b[4])
+    length = (kept & np.uint64(0xFFFF)).astype(np.int64)
+    ends = np.cumsum(length)
+    inside = np.maximum(np.minimum(ends, tail) - np.maximum(ends - length, head), 0)
+    both = int(inside[np.isin(_numbered(kept), _numbered(_unpacked(a[4])))].sum()) if len(a[4]) else 0
+    return min(head + most - tail + both, a[0], most - 1) / most
 
 
 def likeness(a: str, b: str) -> float:

@@ -1,10 +1,13 @@
 import hashlib
+import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from marlstone.llm import fingerprints as fp
 
+from .conftest import words
+
 texts = st.text(max_size=60)
 
 
@@ -63,6 +66,43 @@ def test_likeness():
     assert 0.8 < fp.likeness(f("q" + "abc" * 500), f("abc" * 500)) < 1
 
 
+def edited(text, edits, seed):
+    """With single words changed, spread over the whole text."""
+    r, w = random.Random(seed), text.split(" ")
+    for k in range(edits):
+        w[min(len(w) - 1, 3 + k * (len(w) - 6) // max(1, edits - 1))] = f"edit{r.randrange(10**6)}"
+    return " ".join(w)
+
+
+def test_scattered_edits_keep_what_lies_between():
+    f = lambda t: fp.encoded(fp.parts(fp.Prefixes(t)))
+    text, other = words(3, 600), words(4, 600)
+    for edits, least in ((2, 0.95), (5, 0.88), (12, 0.7)):
+        for seed in range(5):
+            near = edited(text, edits, seed)
+            assert least < fp.likeness(f(text), f(near)) < 1
+            assert fp.likeness(f(near), f(text)) == fp.likeness(f(text), f(near))
+    assert fp.likeness(f(text), f(other)) < 0.05
+    assert fp.likeness(f(text), f(text + " " + text)) <= 0.5
+    # Moved text counts, too.
+    assert fp.likeness(f(text + other), f(other + text)) > 0.9
+
+
+def test_near_next_of_scattered_edits(spark):
+    text = words(5, 600)
+    df = spark.createDataFrame([(2, text), (1, edited(text, 3, 1))], "doc_id long, text string")
+    assert all(0.9 < r.near_next < 1 for r in fp.fingerprint_documents(df, buckets=1).collect())
+
+
+def test_spans_of_long_and_monotone_texts():
+    text = words(6, 20_000)
+    for t in ("a" * 200_000, "ab" * 70_000, text, "a" * 70_000 + text):
+        p = fp.parts(fp.Prefixes(t))
+        assert int((fp._unpacked(p[4]) & fp.np.uint64(0xFFFF)).sum()) == len(t) and 5 * len(t) >= 9 * (len(p[4]) - 10)
+        at = len(t) // 3
+        assert p == fp.parts(fp.Spliced(fp.Prefixes(t[:at] + "x"), at, fp.Prefixes(t[at:] + "y"), len(t) - at))
+
+
 def test_odd_rows(odd, empty, spark):
     rows = fp.fingerprint_documents(odd).collect()
     assert len(rows) == 12 and [r.n_chars for r in rows if r.doc_id == 1] == [0]
