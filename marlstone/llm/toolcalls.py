@@ -3,8 +3,9 @@
 Calls and results are joined by (conversation, call id). Calls are put in an order in which each follows those it
 depends on. A call's place is a pair (turn, level), its own turn and 0 unless it needs a call that is not before
 that: then the greatest place of those it needs, one level on. Only calls that are moved so, and those that need
-them, are looked at, round by round; a level beyond the number of the conversation's calls is a cycle. Conversations
-whose calls need earlier turns alone, however long, take no round.
+them, are looked at, round by round, until none is left; a level beyond the number of the conversation's calls that
+were moved is a cycle. There are about as many rounds as calls in the longest chain of moved ones. Conversations whose
+calls need earlier turns alone, however long, take no round.
 Arguments are checked against the tools' schemas, and each call is serialised as canonical JSON: keys sorted, no
 white space, the same bytes for the same content.
 
@@ -18,6 +19,8 @@ has result null; empty tables give no rows. Only the named columns are read.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -65,30 +68,34 @@ def canonical(arguments: Column) -> Column:
     return F.coalesce(F.to_json(F.try_parse_json(arguments)), json_text(arguments))
 
 
-def moved(edges: DataFrame, max_rounds: int = 10_000) -> DataFrame:
-    """edges: conv_id, call_id, turn, needs, their_turn, calls (of the conversation). The calls that do not stay in
-    their turns: conv_id, call_id, place (turn, level); the turn is LONG_MAX on cycles and what follows them."""
+def moved(edges: DataFrame, max_rounds: int | None = None) -> DataFrame:
+    """edges: conv_id, call_id, turn, needs, their_turn. The calls that do not stay in their turns: conv_id, call_id,
+    place (turn, level); the turn is LONG_MAX on cycles and what follows them. An error is raised if max_rounds, where
+    it is given, do not settle all."""
     key, own = ["conv_id", "call_id"], F.struct(F.col("turn").alias("at"), F.lit(0).alias("level"))
     place = lambda at, level: F.struct(at.alias("at"), level.cast("int").alias("level"))
     endless = place(F.lit(LONG_MAX), F.lit(0))
 
-    def best(found: DataFrame) -> DataFrame:
-        top = found.groupBy(*key).agg(F.max("k").alias("k"), F.max("calls").alias("calls"))
-        return top.select(*key, F.when(F.col("k.level") > F.col("calls"), endless).otherwise(F.col("k")).alias("k"))
+    def best(found: DataFrame, done: DataFrame) -> DataFrame:
+        # Without a cycle a level counts moved calls, which differ, and all but the last of them are in done.
+        top, sizes = found.groupBy(*key).agg(F.max("k").alias("k")), done.groupBy("conv_id").agg(F.count("*").alias("calls"))
+        return top.join(sizes, "conv_id").select(*key, F.when(F.col("k.level") > F.col("calls") + 1, endless).otherwise(F.col("k")).alias("k"))
 
-    found = best(edges.where("their_turn >= turn").withColumn("k", place(F.col("their_turn"), F.lit(1))))
+    found = edges.where("their_turn >= turn").withColumn("k", place(F.col("their_turn"), F.lit(1))).groupBy(*key).agg(F.max("k").alias("k"))
     done = None
-    for _ in range(max_rounds):
+    for rounds in count():
         if done is not None:
             old = done.select(*key, F.col("place").alias("old"))
             found = found.join(old, key, "left").where(F.col("old").isNull() | (F.col("k") > F.col("old"))).drop("old")
         changed = save(found.select(*key, F.col("k").alias("place")), "moved")
         if changed.isEmpty():
             break
+        if rounds == max_rounds:
+            raise RuntimeError(f"calls are left unordered after {max_rounds} rounds")
         done = changed if done is None else save(done.join(changed, key, "left_anti").unionByName(changed), "moved-all")
         theirs = changed.select("conv_id", F.col("call_id").alias("needs"), F.col("place").alias("p"))
         after = F.when(F.col("p.at") == LONG_MAX, endless).otherwise(place(F.col("p.at"), F.col("p.level") + 1))
-        found = best(edges.join(theirs, ["conv_id", "needs"]).withColumn("k", after).where(F.col("k") > own))
+        found = best(edges.join(theirs, ["conv_id", "needs"]).withColumn("k", after).where(F.col("k") > own), done)
     return changed if done is None else done
 
 
@@ -112,8 +119,7 @@ def link(calls: DataFrame, results: DataFrame, schemas: Schemas) -> DataFrame:
     edges = edges.where("their_turn is not null")
     # Conversations that need a call of a later turn, or of the same, which the turns do not order.
     back = save(edges.where("their_turn >= turn").select("conv_id").distinct(), "tangled")
-    sizes = one.join(back, "conv_id", "left_semi").groupBy("conv_id").agg(F.count("*").alias("calls"))
-    out = one.join(answer, key, "left").join(missing, key, "left").join(moved(save(edges.join(sizes, "conv_id"), "needs-tangled")), key, "left")
+    out = one.join(answer, key, "left").join(missing, key, "left").join(moved(save(edges.join(back, "conv_id", "left_semi"), "needs-tangled")), key, "left")
     out = out.withColumns({
         "at": F.coalesce("place.at", "turn"),
         "level": F.when(F.col("place.at") == LONG_MAX, F.lit(None)).otherwise(F.coalesce("place.level", F.lit(0))).cast("int"),

@@ -1,6 +1,9 @@
 import json
 
-from marlstone.llm.toolcalls import link
+import pytest
+
+from marlstone.llm._shared import LONG_MAX
+from marlstone.llm.toolcalls import link, moved
 
 SCHEMAS = {"find": {"q": ("string", True), "n": ("integer", False)}, "sum": {"xs": ("array", True), "deep": ("object", False)}}
 CALLS = "conv_id long, call_id string, turn long, name string, arguments string, needs array<string>, extra string"
@@ -72,3 +75,16 @@ def test_query_on_odd_conversations(spark, tmp_path):
     got = {(r.conv_id, r.turn): r for r in op4_tool_calls(spark, str(tmp_path)).collect()}
     assert set(got) == {(1, 0), (1, 1), (3, 0), (4, 0), (5, 0)}
     assert got[1, 0].position == 1 and got[1, 1].errors == "missing text" and got[4, 0].repeats == 2
+
+
+def test_rounds_follow_the_moved_calls_and_never_end_early(spark):
+    edges = lambda rows: spark.createDataFrame([(*r, 100) for r in rows], "conv_id long, call_id string, turn long, needs string, their_turn long, calls long")
+    # A cycle of two and a call after it, among calls that stay: told within a few rounds.
+    stay = [(1, f"s{i}", i, f"s{i - 1}", i - 1) for i in range(11, 90)]
+    got = {r.call_id: tuple(r.place) for r in moved(edges([(1, "x", 0, "y", 1), (1, "y", 1, "x", 0), (1, "z", 2, "y", 1), *stay]), 12).collect()}
+    assert got == {c: (LONG_MAX, 0) for c in "xyz"}
+    # A chain of later turns' calls, longer than the rounds, is an error and not left unfinished; with enough it is ordered.
+    chain = edges([(1, f"c{i}", i, f"c{i + 1}", i + 1) for i in range(8)])
+    with pytest.raises(RuntimeError):
+        moved(chain, 4)
+    assert {r.call_id: tuple(r.place) for r in moved(chain).collect()} == {f"c{i}": (8, 8 - i) for i in range(8)}
