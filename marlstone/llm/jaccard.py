@@ -57,8 +57,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def runs_for(recall: float, threshold: float = 0.8, depth: int = DEPTH) -> int:
     """How many runs find a pair at the threshold with this recall even if its bucket is split to the depth.
-    Sets that large share 2 t / (1 + t) of their tokens, each chosen with 1 / (t size)."""
-    shared, lost = 2 / (1 + threshold), 0.0
+    Both choose a token under the larger set's chance, 1 / (t size). Sets of equal size share 2 t / (1 + t) of their
+    tokens; the least, t, is shared where one set is part of the other, and one shared choice is expected."""
+    shared, lost = 1.0, 0.0
     for _ in range(depth):
         lost = math.exp(-shared * (1 - lost))
     return max(1, math.ceil(math.log(1 - recall) / math.log(lost)))

@@ -76,6 +76,16 @@ def test_recall_of_the_paths():
     assert hits[1] >= 148 and hits[3] >= 145
 
 
+def test_recall_of_contained_sets():
+    """Text appended or cut off: the smaller set is part of the larger one, at the threshold."""
+    r, hits, runs = random.Random(8), 0, jc.runs_for(0.99)
+    for _ in range(1500):
+        b = np.array(r.sample(range(2**32), 100), dtype=np.uint32)
+        pa, pb = (jc.paths_of(np.sort(x), runs, 0.8) for x in (b[:80], b))
+        hits += bool({p[2] for p in pa} & {p[2] for p in pb} - {None})
+    assert hits / 1500 >= 0.985
+
+
 def test_sketches_estimate():
     r = random.Random(6)
     common = r.sample(range(2**32), 800)
