@@ -25,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import bounded_batches, fresh
+from ._shared import bounded_batches, fresh, save
 
 DIMS = 8192
+#: Texts of a language that are learned from, however many languages there are.
+LEAST_ROWS = 8
 UNDETERMINED = "und"
 #: Distinct n-grams at which a text's floor is 0.7 of the language's.
 FEW = 200
@@ -134,12 +136,15 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(v) for v in zip(*out)], names=["lang", "ord", "at", "n"])
 
 
-def fit(documents: DataFrame, learnable: Column, train_rows: int = 500, most_languages: int = 400, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
-    """learnable: a condition on documents. train_rows: the documented bound of texts per language; only the
-    most_languages most frequent languages are learned."""
+def fit(documents: DataFrame, learnable: Column, train_rows: int = 500, most_rows: int = 200_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
+    """learnable: a condition on documents. train_rows: the documented bound of texts per language. Every language
+    is learned; where there are so many that they would make more than most_rows together, each has its share of
+    these, but not less than LEAST_ROWS. The driver holds DIMS floats a row, the model several times as many a
+    language."""
     bounded_batches(documents.sparkSession)
     rows = documents.where(learnable & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("ord"), F.col(id_col).alias("id"))
-    kept = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages)
+    kept = save(rows.groupBy("lang").count(), "languages")
+    train_rows = min(train_rows, max(LEAST_ROWS, most_rows // max(1, kept.count())))
     # The lowest hashes of each language. A bound of the hash, from the language's count, lets through little more
     # than are wanted, so that a frequent language does not meet in one task.
     share = (F.lit(1.5 * train_rows + 100) / F.col("count") - 0.5) * float(2**64)

@@ -61,3 +61,18 @@ def test_odd_rows(odd, empty, docs):
     assert langid.identify(empty, model).collect() == []
     nothing = langid.fit(empty, F.lit(True))
     assert {r.lang_pred for r in langid.identify(odd, nothing).collect()} == {"und"}
+
+
+def test_every_language_is_learned(spark):
+    """However many there are; the rows of each are fewer then."""
+    r = np.random.default_rng(9)
+    rows = []
+    for k in range(410):
+        letters = r.choice(list("abcdefghijklmnopqrstuvwxyzäöüßéèñçøåæœþðłšžčřůő"), 12, replace=False)
+        lexicon = ["".join(r.choice(letters, 5)) for _ in range(12)]
+        rows += [(10 * k + i, " ".join(r.choice(lexicon, 40)), f"l{k:03}") for i in range(1 + (k < 400))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, F.lit(True), most_rows=410)
+    assert set(model.languages) == {lang for _, _, lang in rows}
+    rare = [(text, lang) for _, text, lang in rows if lang >= "l400"]
+    assert all(model.predict(text)[::2] == (lang, False) for text, lang in rare)
