@@ -19,11 +19,12 @@ def _least(edges: DataFrame) -> DataFrame:
     return edges.join(least, "u")
 
 
-def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """edges: u, v (longs). One row per node that has an edge: node, component (its least node)."""
+def components(edges: DataFrame) -> DataFrame:
+    """edges: u, v (longs). One row per node that has an edge: node, component (its least node). The rounds end
+    when the edges no longer change, as they do once all are stars."""
     now = save(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     sign = None
-    for _ in range(max_rounds):
+    while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))

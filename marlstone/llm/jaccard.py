@@ -3,10 +3,16 @@
 A document is the set of its SHINGLE-word shingles (lower case; 32-bit hashes). Documents with equal sets are one
 node. In each of several runs a set chooses tokens: those whose hash, seeded by the run and the path so far, is
 under 1 / (threshold * size); so two sets over the threshold are expected to choose at least one token
-together. Nodes that chose the same token form a bucket. A bucket of more than SMALL nodes is split by a second
-and a third choice; buckets that are small enough are compared node by node on min-hash sketches, and those
-that are still large after the third choice, which only sets that share most of their tokens stay in, count as
-linked until verified. Runs are repeated so often that a pair at the threshold is found with the target recall.
+together. Nodes that chose the same token form a bucket, and a bucket of up to SMALL nodes is compared node by node
+on min-hash sketches.
+
+A larger bucket is dealt out to slices, each with the same PIVOTS nodes of the bucket, and its nodes are compared
+with these alone: work in proportion to the bucket. A node nearly equal to a pivot is settled, because whatever is
+over the threshold with it is linked to that pivot too. If every node is like some pivot, the bucket is done; else
+those that are not settled choose again, and so are split until their buckets are small. Texts that share a passage
+and no more are like no pivot and drop out of each other's buckets after a few choices. What would still be
+together after LAST choices is linked until verified. Runs are repeated so often that a pair at the threshold is
+found with the target recall even if its bucket is split to the third choice.
 
 What the sketches link forms groups, and within a group every pair is verified on the exact sets, in blocks of
 bounded size: so the links of a group's members are all found and counted, whichever run met them. Links are
@@ -25,6 +31,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +42,16 @@ from ._shared import bounded_batches, fresh, save, scratch, shuffle_partitions
 from .components import components
 
 SHINGLE = 5
-#: Nodes of a bucket that are compared one by one; nodes of a block when sets are.
-SMALL, BLOCK = 64, 192
-DEPTH = 3
-#: Minima kept of a set; the share of equal ones from which a pair is verified, five deviations under 0.8.
-SKETCH, LIKELY = 128, 0.62
+#: Nodes of a bucket that are compared one by one; of a larger one, those that all others are compared with and the
+#: nodes of a slice.
+SMALL, PIVOTS, SLICE = 64, 32, 512
+#: Nodes of a block when sets are compared: in large groups up to MOST_BLOCK, so that a set is in some 16 blocks.
+BLOCK, MOST_BLOCK, BLOCK_TOKENS = 256, 1024, 4 << 20
+#: Choices that the number of runs allows for, and at most.
+DEPTH, LAST = 3, 16
+#: Minima kept of a set; the share of equal ones from which a pair is verified, five deviations under 0.8, and from
+#: which a node is settled by a pivot.
+SKETCH, LIKELY, SETTLED = 128, 0.62, 0.9
 _WORD = re.compile(r"\w+")
 _KNOWN_WORDS = 200_000
 _U = np.uint64
@@ -89,7 +101,7 @@ class Shingler:
         return np.unique((_mix(total) >> _U(32)).astype(np.uint32))
 
 
-def node_of(shingles: np.ndarray) -> int:
+def digest_of(shingles: np.ndarray) -> int:
     """A set's identity: 64 bits of its digest."""
     return int.from_bytes(hashlib.blake2b(shingles.astype("<u4").tobytes(), digest_size=8).digest(), "little", signed=True)
 
@@ -108,49 +120,39 @@ def sketches_alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a == b) & some).sum(axis=-1) / np.maximum(1, some.sum(axis=-1))
 
 
-def paths_of(shingles: np.ndarray, runs: int, threshold: float) -> list[tuple[int | None, ...]]:
-    """(choice 1, choices 1 to 2, choices 1 to 3) of all paths; None from where a path ends."""
-    tokens = shingles.astype(np.uint64)
-    chance = min(1.0, 1 / (threshold * len(tokens)))
-    limit = _U(min(2**64 - 1, int(chance * 2.0**64)))
-    ends = _mix(np.arange(1, runs + 1, dtype=np.uint64) * _M1)
-    rows: list[tuple[int, ...]] = [()] * runs
-    done: list[tuple[int | None, ...]] = []
-    for level in range(DEPTH):
-        nxt_ends, nxt_rows = [], []
+def first_ends(runs: int) -> np.ndarray:
+    """Where the paths of the runs begin."""
+    return _mix(np.arange(1, runs + 1, dtype=np.uint64) * _M1)
+
+
+def chosen(shingles: np.ndarray, ends: np.ndarray, threshold: float) -> np.ndarray:
+    """The paths, named by a hash, by which a set goes on from the given ones."""
+    tokens, out = shingles.astype(np.uint64), []
+    limit = _U(min(2**64 - 1, int(min(1.0, 1 / (threshold * len(tokens))) * 2.0**64)))
+    with np.errstate(over="ignore"):
         for at in range(0, len(ends), 16):
             part = ends[at : at + 16]
-            h = _mix(tokens[None, :] * _M2 ^ part[:, None])
+            h = tokens[None, :] * (_mix(part) | _U(1))[:, None]
             who, which = np.nonzero(h <= limit)
-            grown = _mix(h[who, which] + _U(level + 1))
-            nxt_ends.append(grown)
-            nxt_rows += [(*rows[at + int(i)], int(g)) for i, g in zip(who, grown.view(np.int64))]
-            if level:
-                done += [(*rows[at + int(i)], *[None] * (DEPTH - level)) for i in set(range(len(part))) - set(who.tolist())]
-        ends, rows = np.concatenate(nxt_ends) if nxt_ends else np.zeros(0, dtype=np.uint64), nxt_rows
-        if not len(ends):
-            break
-    return [r for r in rows + done if r and r[0] is not None]
+            out.append(_mix(h[who, which] ^ part[who]))
+    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
 
 
-_PATHS = "array<struct<b1:bigint,b2:bigint,b3:bigint>>"
-_SETS = f"doc_id long, text_hash long, node long, n int, tokens binary, sketch binary, paths {_PATHS}"
+_SETS = "doc_id long, text_hash long, digest long, n int, tokens binary, sketch binary, paths array<bigint>"
 
 
 def _sets(runs: int, threshold: float):
-    path = pa.list_(pa.struct([("b1", pa.int64()), ("b2", pa.int64()), ("b3", pa.int64())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("tokens", pa.binary()), ("sketch", pa.binary()), ("paths", path)])
+    schema = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("digest", pa.int64()), ("n", pa.int32()), ("tokens", pa.binary()), ("sketch", pa.binary()), ("paths", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler, ends = Shingler(), first_ends(runs)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part, rows = batch.slice(at, 500), []
                 for doc_id, h, text in zip(*[part[c].to_pylist() for c in ("doc_id", "text_hash", "text")]):
                     s = shingler(text or "")
                     if len(s):
-                        paths = [dict(zip(("b1", "b2", "b3"), p)) for p in paths_of(s, runs, threshold)]
-                        rows.append((doc_id, h, node_of(s), len(s), s.astype("<u4").tobytes(), sketch_of(s).astype("<u2").tobytes(), paths))
+                        rows.append((doc_id, h, digest_of(s), len(s), s.astype("<u4").tobytes(), sketch_of(s).astype("<u2").tobytes(), chosen(s, ends, threshold).view(np.int64)))
                     else:
                         rows.append((doc_id, h, None, 0, None, None, []))
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
@@ -158,6 +160,22 @@ def _sets(runs: int, threshold: float):
     return run
 
 
+def _deeper(threshold: float):
+    """The paths by which nodes go on from theirs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, b = [], []
+            for i, tokens, paths in zip(*[batch[c].to_pylist() for c in ("node", "tokens", "paths")]):
+                got = chosen(np.frombuffer(tokens, dtype="<u4"), np.array(paths, dtype=np.int64).view(np.uint64), threshold).view(np.int64)
+                node.append(np.full(len(got), i))
+                b.append(got)
+            if node:
+                yield pa.record_batch([pa.array(np.concatenate(x).astype(np.int64)) for x in (node, b)], names=["node", "b"])
+
+    return run
+
+
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[dict]]:
     """Runs of rows with equal keys; the rows come sorted by them. A group has bounded rows."""
     held: list[dict] = []
@@ -188,53 +206,79 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return [(i, int(r)) for i, r in enumerate(root) if i != r]
 
 
-def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spanning edges of each bucket's nodes with like sketches."""
-    u, v = [], []
-    for rows in _groups(batches, ["cell"]):
-        nodes = sorted({r["node"]: r["sketch"] for r in rows}.items())
-        if len(nodes) > 1:
-            s = np.frombuffer(b"".join(x for _, x in nodes), dtype="<u2").reshape(len(nodes), SKETCH)
-            alike = np.stack([sketches_alike(s[i], s) for i in range(len(s))]) >= LIKELY
-            for i, r in forest(alike):
-                u.append(nodes[i][0])
-                v.append(nodes[r][0])
-        if len(u) > 5000:
-            yield pa.record_batch([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-            u, v = [], []
-    if u:
-        yield pa.record_batch([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+#: Rows that _compare gives: an edge, a node of a path that goes on, the same of one that is like no pivot.
+_EDGE, _OPEN, _STRANGER = 0, 1, 2
+
+
+def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a small bucket the spanning edges of nodes with like sketches; of a slice of a large one the edges to its
+    pivots and, as (path, node), the nodes that no pivot settles."""
+    names = ["kind", "u", "v"]
+    out: list[tuple[int, int, int]] = []
+    for rows in _groups(batches, ["b", "slice"]):
+        rows = sorted({r["node"]: r for r in rows}.values(), key=lambda r: (not r["pivot"], r["node"]))
+        nodes, b = [r["node"] for r in rows], rows[0]["b"]
+        s = np.frombuffer(b"".join(r["sketch"] for r in rows), dtype="<u2").reshape(len(rows), SKETCH)
+        if not rows[0]["large"]:
+            if len(rows) > 1:
+                alike = np.stack([sketches_alike(x, s) for x in s]) >= LIKELY
+                out += [(_EDGE, nodes[i], nodes[r]) for i, r in forest(alike)]
+        else:
+            p = sum(r["pivot"] for r in rows)
+            alike = np.stack([sketches_alike(x, s) for x in s[:p]], axis=1) if p else np.zeros((len(rows), 1))
+            joined = set()
+            for i, near in enumerate(alike):
+                like = np.flatnonzero(near >= LIKELY)
+                if i < p:
+                    like = like[like < i]  # pivots among themselves
+                elif near.max() < SETTLED:
+                    out.append((_OPEN if len(like) else _STRANGER, b, nodes[i]))
+                if len(like):
+                    joined |= {(int(like[0]), int(k)) for k in like[1:]}
+                    out.append((_EDGE, nodes[i], nodes[like[0]]))
+            out += [(_EDGE, nodes[k], nodes[j]) for j, k in sorted(joined)]
+        if len(out) > 5000:
+            yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
+            out = []
+    if out:
+        yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], names=names)
 
 
 def common_tokens(sets: list[np.ndarray]) -> np.ndarray:
-    """The sizes of all intersections, by products of slices of the incidence matrix."""
+    """The sizes of all intersections. Tokens of a few sets are counted pair by pair, the others by products of
+    slices of the incidence matrix."""
     n = len(sets)
-    if n == 2:
-        both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        return np.array([[len(sets[0]), both], [both, len(sets[1])]])
-    values, column = np.unique(np.concatenate(sets), return_inverse=True)
+    values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(n), [len(s) for s in sets])
-    often = np.bincount(column)[column] > 1
-    row, column = row[often], np.unique(column[often], return_inverse=True)[1]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    out, width = np.zeros((n, n)), 4096
+    order = np.lexsort((row, column))
+    row, often = row[order], np.repeat(times, times)
+    out = np.zeros((n, n), dtype=np.float32)
+    for f in range(2, 9):
+        who, (i, j) = row[often == f].reshape(-1, f), np.tril_indices(f, -1)
+        for at in range(0, len(who), 100_000):
+            part = who[at : at + 100_000]
+            out += np.bincount((part[:, i] * n + part[:, j]).ravel(), minlength=n * n).reshape(n, n)
+    out += out.T
+    row, width = row[often > 8], 2048
+    column = np.repeat(np.arange((times > 8).sum()), times[times > 8])
     for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
         lo, hi = np.searchsorted(column, [at, at + width])
-        part = np.zeros((n, width), dtype=np.float32)
+        part = np.zeros((n, min(width, int(column[-1]) + 1 - at)), dtype=np.float32)
         part[row[lo:hi], column[lo:hi] - at] = 1
         out += part @ part.T
+    out[np.arange(n), np.arange(n)] = [len(s) for s in sets]
     return out
 
 
 def _verify(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int, int]] = []
+        names, kinds = ["node", "links", "parent", "whole"], [pa.int64()] * 3 + [pa.bool_()]
+        out: list[tuple[int, int, int, bool]] = []
         for rows in _groups(batches, ["component", "a", "b"]):
             rows = list({r["node"]: r for r in rows}.values())
             sets = [np.frombuffer(r["tokens"], dtype="<u4") for r in rows]
             size, block = np.array([len(s) for s in sets]), np.array([r["block"] for r in rows])
-            both = common_tokens(sets)
+            both = common_tokens(sets).astype(np.int64)
             # both / (x + y - both) >= t, in whole numbers where t is a short decimal
             union = size[:, None] + size[None, :] - both
             linked = both * 1000 >= union * round(threshold * 1000)
@@ -244,39 +288,47 @@ def _verify(threshold: float):
             copies = np.array([r["copies"] for r in rows])
             parent = dict(forest(linked))
             for i in np.flatnonzero(linked.any(axis=1)):
-                out.append((rows[i]["node"], int(copies[linked[i]].sum()), rows[parent.get(int(i), int(i))]["node"]))
+                out.append((rows[i]["node"], int(copies[linked[i]].sum()), rows[parent.get(int(i), int(i))]["node"], rows[i]["blocks"] == 1))
             if len(out) > 5000:
-                yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], names=["node", "links", "parent"])
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
                 out = []
         if out:
-            yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out)], names=["node", "links", "parent"])
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=names)
 
     return run
 
 
-def _candidate_edges(sets: DataFrame) -> DataFrame:
-    """Edges between nodes that may be alike, from the chosen paths of all nodes."""
-    p = sets.where("node is not null").select("node", F.explode("paths").alias("p")).select("node", "p.b1", "p.b2", "p.b3")
-    cells, stars = [], []
-    for level in range(1, DEPTH + 1):
-        b = f"b{level}"
-        own = p.where(F.col(b).isNotNull())
-        sizes = own.select("node", b).distinct().groupBy(b).agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1")
-        own = save(own.join(sizes, b).select("node", "b1", "b2", "b3", "size", "least"), f"buckets{level}")
-        cells.append(own.where(F.col("size") <= SMALL).select(F.col(b).alias("cell"), "node"))
-        p = own.where(F.col("size") > SMALL).select("node", "b1", "b2", "b3")
-        if level == DEPTH:
-            stars.append(own.where(F.col("size") > SMALL).select(F.col("node").alias("u"), F.col("least").alias("v")).distinct())
-    members = cells[0]
-    for c in cells[1:]:
-        members = members.unionByName(c)
-    members = save(members.distinct(), "members")
-    sketches = sets.where("node is not null").select("node", "sketch").join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"])
-    rows = members.join(sketches, "node").repartition(shuffle_partitions(sets.sparkSession), "cell").sortWithinPartitions("cell")
-    edges = rows.select("cell", "node", "sketch").mapInArrow(_candidates, "u long, v long")
-    for s in stars:
-        edges = edges.unionByName(s)
-    return edges
+def _candidate_edges(sets: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """Edges (u, v) between nodes that may be alike. sets: node, tokens, sketch, paths of every row; nodes: those
+    that stand for their copies."""
+    parts = shuffle_partitions(sets.sparkSession)
+    rows = sets.select("node", "paths").join(nodes.select("node"), "node", "left_semi").select("node", F.explode("paths").alias("b"))
+    edges = None
+    for depth in count(1):
+        sizes = save(rows.groupBy("b").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1"), "buckets")
+        met = rows.join(sizes, "b")
+        if depth == LAST:
+            stars = met.where(F.col("size") > SMALL).select(F.col("node").alias("u"), F.col("least").alias("v"))
+            met = met.where(F.col("size") <= SMALL)
+        large = F.col("size") > SMALL
+        slices = F.when(large, F.ceil(F.col("size") / SLICE)).otherwise(1).cast("int")
+        pivot = large & (F.pmod(F.xxhash64("b", "node"), F.col("size")) < PIVOTS)
+        met = met.select("b", "node", large.alias("large"), pivot.alias("pivot"), slices.alias("slices"))
+        own = F.array(F.pmod(F.xxhash64("node", "b", F.lit(1)), F.col("slices")).cast("int"))
+        met = met.withColumn("slice", F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("slices") - 1)).otherwise(own)))
+        met = met.join(sets.select("node", "sketch"), "node").select("b", "slice", "node", "large", "pivot", "sketch")
+        met = met.repartition(parts, "b", "slice").sortWithinPartitions("b", "slice")
+        found = save(met.mapInArrow(_compare, "kind long, u long, v long"), "compared")
+        now = found.where(F.col("kind") == _EDGE).select("u", "v")
+        edges = now if edges is None else edges.unionByName(now)
+        if depth == LAST:
+            return edges.unionByName(stars)
+        strangers = found.where(F.col("kind") == _STRANGER).select("u").distinct()
+        if strangers.isEmpty():
+            return edges
+        # A node has few paths: as many as it chose, over all runs.
+        on = found.where(F.col("kind") != _EDGE).join(strangers, "u", "left_semi").groupBy(F.col("v").alias("node")).agg(F.collect_set("u").alias("paths"))
+        rows = on.join(sets.select("node", "tokens"), "node").select("node", "tokens", "paths").mapInArrow(_deeper(threshold), "node long, b long")
 
 
 def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.99, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -285,34 +337,42 @@ def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.
     spark = df.sparkSession
     bounded_batches(spark)
     plain = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    sets = save(plain.mapInArrow(_sets(runs_for(recall, threshold), threshold), _SETS), "sets")
-    nodes = save(
-        sets.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies")), "nodes"
-    )
-    groups = save(components(_candidate_edges(sets)), "groups")
-    sizes = groups.groupBy("component").agg(F.count("*").alias("size"))
-    wide = groups.join(sizes, "component").join(nodes.select("node", "copies"), "node")
-    wide = wide.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    sets = plain.mapInArrow(_sets(runs_for(recall, threshold), threshold), _SETS)
+    # Rows are numbered as they are written; the least number of equal sets names their node.
+    sets = save(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
+    nodes = sets.where("digest is not null").groupBy("digest").agg(F.min("node").alias("node"), F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.max("n").alias("n"))
+    nodes = save(nodes, "nodes")
+    groups = save(components(_candidate_edges(sets, nodes, threshold)), "groups")
+    wide = groups.join(nodes.select("node", "copies", "n"), "node")
+    sizes = save(wide.groupBy("component").agg(F.count("*").alias("size"), F.sum("n").alias("tokens")), "group-sizes")
+    # Blocks of bounded nodes and tokens.
+    block = F.greatest(F.lit(BLOCK), F.least(F.lit(MOST_BLOCK), F.col("size") / 16))
+    blocks = F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int")
+    wide = wide.join(sizes.select("component", blocks.alias("blocks")), "component")
     wide = wide.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    tokens = sets.where("node is not null").select("node", "tokens").join(groups.select("node"), "node", "left_semi").dropDuplicates(["node"])
-    wide = wide.join(tokens, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    wide = wide.join(sets.select("node", "tokens"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     wide = wide.withColumns({"a": F.least("block", "other"), "b": F.greatest("block", "other")})
-    wide = wide.select("component", "a", "b", "node", "block", "copies", "tokens")
+    wide = wide.select("component", "a", "b", "node", "block", "blocks", "copies", "tokens")
     wide = wide.repartition(shuffle_partitions(spark), "component", "a", "b").sortWithinPartitions("component", "a", "b")
-    found = save(wide.mapInArrow(_verify(threshold), "node long, links long, parent long"), "links")
+    found = save(wide.mapInArrow(_verify(threshold), "node long, links long, parent long, whole boolean"), "links")
+    # A group of one block has its classes at once; those of larger groups follow from the edges of all blocks.
+    classes = found.where("whole").select("node", F.col("parent").alias("component"))
+    parts = found.where("not whole").select(F.col("node").alias("u"), F.col("parent").alias("v"))
+    if not parts.isEmpty():
+        classes = classes.unionByName(components(parts))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    classes = components(found.select(F.col("node").alias("u"), F.col("parent").alias("v")))
-    keyed = nodes.join(classes, "node", "left").withColumn("class_key", F.coalesce("component", "node"))
-    keyed = save(keyed.join(links, "node", "left").select("node", "class_key", "least_id", "copies", F.coalesce("links", F.lit(0)).alias("links")), "keyed")
-    totals = keyed.groupBy("class_key").agg(F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size"))
-    per_node = keyed.join(totals, "class_key").select(
-        "node", "class_key", "class_id", "class_size", (F.col("links") + F.col("copies") - 1).alias("n_links")
-    )
-    mine = sets.select("doc_id", "text_hash", "node")
-    alone = mine.where("node is null").select(
+    linked = classes.join(links, "node").join(nodes, "node")
+    totals = save(linked.groupBy("component").agg(F.min("digest").alias("class_key"), F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size")), "classes")
+    together = linked.join(totals, "component").select("node", "class_key", "class_id", "class_size", "links")
+    per_node = nodes.join(together, "node", "left").select(
+        "digest", F.coalesce("class_key", "digest").alias("class_key"), F.when(F.col("class_key").isNull(), F.col("least_id")).otherwise(F.col("class_id")).alias("class_id"),
+        F.coalesce("class_size", "copies").alias("class_size"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+    )
+    mine = sets.select("doc_id", "text_hash", "digest")
+    alone = mine.where("digest is null").select(
         "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(None).cast("long").alias("class_key"), F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("n_links")
     )
-    return mine.where("node is not null").join(per_node, "node").select("doc_id", "text_hash", "class_id", "class_key", "class_size", "n_links").unionByName(alone)
+    return mine.where("digest is not null").join(per_node, "digest").select("doc_id", "text_hash", "class_id", "class_key", "class_size", "n_links").unionByName(alone)
 
 
 def representatives(df: DataFrame, threshold: float = 0.8, recall: float = 0.99, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -64,15 +64,22 @@ def test_large_groups_of_near_copies(spark, monkeypatch, small, block):
     same(spark.createDataFrame(rows, "doc_id long, text string"), rows)
 
 
+def shares(a, b, runs, depth):
+    """Whether two sets have a path of so many choices in common."""
+    ends = jc.first_ends(runs)
+    for _ in range(depth):
+        ends = np.intersect1d(jc.chosen(a, ends, 0.8), jc.chosen(b, ends, 0.8))
+    return bool(len(ends))
+
+
 def test_recall_of_the_paths():
     """Pairs at the threshold share a first choice, and a third one, as often as the runs are counted on."""
     r, hits = random.Random(5), {1: 0, 3: 0}
     for _ in range(150):
         common = r.sample(range(2**32), 160)
         a, b = (np.array(sorted(common + r.sample(range(2**32), 20)), dtype=np.uint32) for _ in range(2))
-        pa, pb = jc.paths_of(a, jc.runs_for(0.99), 0.8), jc.paths_of(b, jc.runs_for(0.99), 0.8)
         for depth in hits:
-            hits[depth] += bool({p[depth - 1] for p in pa} & {p[depth - 1] for p in pb} - {None})
+            hits[depth] += shares(a, b, jc.runs_for(0.99), depth)
     assert hits[1] >= 148 and hits[3] >= 145
 
 
@@ -81,11 +88,35 @@ def test_recall_of_contained_sets():
     r, hits, runs = random.Random(8), 0, jc.runs_for(0.99)
     for _ in range(1500):
         b = np.array(r.sample(range(2**32), 100), dtype=np.uint32)
-        pa, pb = (jc.paths_of(np.sort(x), runs, 0.8) for x in (b[:80], b))
-        hits += bool({p[2] for p in pa} & {p[2] for p in pb} - {None})
+        hits += shares(np.sort(b[:80]), np.sort(b), runs, 3)
     assert hits / 1500 >= 0.985
 
 
+def groups_of(df, monkeypatch):
+    """The sizes of the groups that are verified, greatest first."""
+    seen, real = [], jc.components
+    monkeypatch.setattr(jc, "components", lambda e: seen.append(real(e)) or seen[-1])
+    rows = jc.similarity_classes(df).collect()
+    return rows, sorted((r["count"] for r in seen[0].groupBy("component").count().collect()), reverse=True)
+
+
+def test_a_shared_passage_makes_no_group(spark, monkeypatch):
+    """800 unrelated texts with one passage of 60 words: a Jaccard of about 0.2, in one bucket at times."""
+    passage = words(2, 60)
+    rows = [(i, words(1000 + i, 100, 10**6) + " " + passage) for i in range(800)]
+    rows, sizes = groups_of(spark.createDataFrame(rows, "doc_id long, text string"), monkeypatch)
+    assert len(rows) == 800 and all(r.class_size == 1 and r.n_links == 0 for r in rows)
+    assert sum(sizes) <= 8
+
+
+def test_many_near_copies(spark):
+    """5,000 texts with one word of their own each, and their exact link counts."""
+    base = words(4, 60).split()
+    rows = [(i, " ".join([*base[:-1], f"own{i}"])) for i in range(5000)]
+    got = jc.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 5000 and {(r.class_id, r.class_size, r.n_links) for r in got} == {(0, 5000, 4999)}
+
+
 def test_sketches_estimate():
     r = random.Random(6)
     common = r.sample(range(2**32), 800)
