@@ -6,11 +6,13 @@ model is the list of those that are not zero, a few thousand numbers that every
 
 The model is fitted on a bounded sample of labelled rows: at most train_rows toxic ones and CLEAN_PER_TOXIC times
 as many clean ones, those whose id hashes lowest. Clean rows stay the greater part, as they are in a corpus: a
-model of as many toxic ones finds too much. Scoring reads every text whole.
+model of as many toxic ones finds too much. Features are extracted in all tasks; one task, not the driver, holds
+those of the sample and fits. Scoring reads every text whole.
 
 Defined results: a null or empty text has no features and the score of the bias; labels that are neither 0 nor 1
-are left out, an id with several labels counts as toxic from an even split on; without labels of both classes
-the bias alone decides; an empty table gives no rows; columns named like the results are replaced.
+are left out, an id with several labels counts as toxic from an even split on, an id with several texts teaches the
+least of them; without labels of both classes the bias alone decides; equal hashes are ordered by id; an empty table
+gives no rows; columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -107,12 +109,30 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     features = Features()
     for batch in batches:
         rows = [features.distinct(t or "").astype("<i4").tobytes() for t in batch["text"].to_pylist()]
-        yield pa.record_batch([batch["ord"], batch["toxic"], pa.array(rows, pa.binary())], names=["ord", "toxic", "features"])
+        with np.errstate(over="ignore"):
+            # Another order than that of the choice, which ends with rows of the class of which more were chosen.
+            place = (batch["ord"].to_numpy().view(np.uint64) * _MIX[2]).view(np.int64)
+        yield pa.record_batch([pa.array(place), batch["ord"], batch["toxic"], pa.array(rows, pa.binary())], names=["place", "ord", "toxic", "features"])
+
+
+def _fitted(most_features: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        examples, held = [], 0
+        for batch in batches:
+            for toxic, features in zip(batch["toxic"].to_pylist(), batch["features"].to_pylist()):
+                held += len(features) // 4
+                if held <= most_features or not examples:
+                    examples.append((np.frombuffer(features, dtype="<i4"), toxic))
+        model = fit_ftrl(examples)
+        yield pa.record_batch([pa.array([model.bias]), pa.array([model.index.astype("<i4").tobytes()], pa.binary()), pa.array([model.weight.astype("<f4").tobytes()], pa.binary())], names=["bias", "index", "weight"])
+
+    return run
 
 
-def fit(documents: DataFrame, labels: DataFrame, learnable: Column, train_rows: int = 2000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
+def fit(documents: DataFrame, labels: DataFrame, learnable: Column, train_rows: int = 2000, most_features: int = 1 << 24, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model:
     """The model of labelled documents. learnable: a condition on the labels' id column. train_rows: the
-    documented bound of toxic rows; that of clean rows is CLEAN_PER_TOXIC times as high."""
+    documented bound of toxic rows; that of clean rows is CLEAN_PER_TOXIC times as high. most_features: that of
+    their distinct features together, four bytes each; rows beyond it, in an order of their hashes, are left out."""
     bounded_batches(documents.sparkSession)
     known = (
         labels.where(learnable & F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1))
@@ -124,12 +144,14 @@ def fit(documents: DataFrame, labels: DataFrame, learnable: Column, train_rows:
     some = [known.where(F.col("toxic") == c).orderBy("ord", "id").limit(n) for c, n in most.items()]
     chosen = F.broadcast(some[0].unionByName(some[1]))  # of bounded rows
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id")
-    got = texts.select("text", "toxic", "ord").mapInArrow(_extract, "ord long, toxic int, features binary").toArrow()
-    # Another order than that of the choice, which ends with rows of the class of which more were chosen.
-    with np.errstate(over="ignore"):
-        order = np.argsort(got["ord"].to_numpy().astype(np.uint64) * _MIX[2], kind="stable")
-    features, toxic = got["features"], got["toxic"].to_numpy()
-    return fit_ftrl([(np.frombuffer(features[int(i)].as_buffer(), dtype="<i4"), int(toxic[i])) for i in order])
+    texts = texts.groupBy("id", "toxic", "ord").agg(F.min("text").alias("text"))
+    rows = texts.select("text", "toxic", "ord").mapInArrow(_extract, "place long, ord long, toxic int, features binary")
+    # The sample, which is bounded, in one task.
+    rows = rows.repartition(1).sortWithinPartitions("place", "ord", "toxic", "features")
+    got = rows.mapInArrow(_fitted(most_features), "bias double, index binary, weight binary").collect()
+    if not got:
+        return Model(0.0)
+    return Model(got[0]["bias"], np.frombuffer(got[0]["index"], dtype="<i4"), np.frombuffer(got[0]["weight"], dtype="<f4"))
 
 
 def scorer(model: Model):

@@ -69,3 +69,13 @@ def test_sample_is_bounded_and_by_hash(docs, sf_dir, spark):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     a, b = (tx.fit(docs, labels, F.lit(True), train_rows=10) for _ in range(2))
     assert a.index.tolist() == b.index.tolist() and a.bias == b.bias
+
+
+def test_repeated_rows_and_long_texts_keep_the_sample_bounded(spark):
+    """An id that fills a table teaches once; beyond most_features rows are left out, but not the first."""
+    docs = spark.createDataFrame([(i, f"word{i} " * 3) for i in range(20)] + [(1, "same again")] * 300, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id long, toxic int")
+    a = tx.fit(docs, labels, F.lit(True))
+    b = tx.fit(docs.dropDuplicates(["doc_id", "text"]), labels, F.lit(True))
+    assert a.bias == b.bias and a.index.tolist() == b.index.tolist()
+    assert tx.fit(docs, labels, F.lit(True), most_features=1).bias != a.bias
