@@ -7,11 +7,13 @@ rejected if that cosine lies under the language's floor, a share of the lowest c
 short texts, whose cosines are low by nature, the floor sinks with the root of their n-grams.
 
 The model is fitted on a bounded sample: at most train_rows texts of each language, those whose ids hash lowest.
-Prediction reads every text whole.
+Document frequencies are summed and centroids fitted in tasks, one language in each at a time; the driver gets
+DIMS counts and the centroids. Prediction reads every text whole.
 
 Defined results: a text that is null or has no letter is `und`, score 0, rejected; so is every text if no
-language could be learned; rows without a language teach nothing; an empty table gives no rows; columns named
-like the results are replaced.
+language could be learned; rows without a language teach nothing; rows that repeat id and language teach once, the
+least of their texts; of languages whose centroids are equally near the first by name is taken; an empty table gives
+no rows; columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from ._shared import bounded_batches, fresh, save
 DIMS = 8192
 #: Texts of a language that are learned from, however many languages there are.
 LEAST_ROWS = 8
+#: Languages up to which the tables of them and of their chosen texts are broadcast.
+BROADCAST_LANGUAGES = 10_000
 UNDETERMINED = "und"
 #: Distinct n-grams at which a text's floor is 0.7 of the language's.
 FEW = 200
@@ -102,27 +106,28 @@ def spherical_kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
-def fit_centroids(samples: dict[str, list[np.ndarray]], k: int = 4, lowest: float = 0.01, slack: float = 0.6) -> Model:
-    """samples: counts of each language's texts. The floor of a language is slack times the lowest share's
-    quantile of its sample's cosines."""
-    texts = sum(len(v) for v in samples.values())
-    df = np.zeros(DIMS)
-    for rows in samples.values():
-        for r in rows:
-            df += r > 0
-    idf = np.log((1 + texts) / (1 + df)) + 1
-    names, centroids, floors = [], [], []
-    for name in sorted(samples):
-        x = np.stack(samples[name])
-        x *= idf.astype(np.float32)
-        x = _unit(x)
-        c = spherical_kmeans(x, k)
-        cosines = (x @ c.T).max(axis=1)
-        names += [name] * len(c)
-        centroids.append(c)
-        floors += [slack * float(np.quantile(cosines, lowest))] * len(c)
-    matrix = np.concatenate(centroids).T if centroids else np.zeros((DIMS, 0))
-    return Model(names, np.ascontiguousarray(matrix, dtype=np.float32), idf, np.array(floors))
+def inverse_frequency(df: np.ndarray, texts: int) -> np.ndarray:
+    return np.log((1 + texts) / (1 + df)) + 1
+
+
+def fit_language(rows: list[np.ndarray], idf: np.ndarray, k: int = 4, lowest: float = 0.01, slack: float = 0.6) -> tuple[np.ndarray, float]:
+    """(centroids, floor) of a language from its texts' counts. The floor is slack times the lowest share's quantile
+    of the cosines."""
+    x = np.stack(rows).astype(np.float32)
+    x *= idf.astype(np.float32)
+    x = _unit(x)
+    c = spherical_kmeans(x, k)
+    return c, slack * float(np.quantile((x @ c.T).max(axis=1), lowest))
+
+
+def _present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many texts each coordinate occurs."""
+    df = np.zeros(DIMS, dtype=np.int64)
+    for batch in batches:
+        for at in batch["at"].to_pylist():
+            df[np.frombuffer(at, dtype="<u2")] += 1
+    dims = np.flatnonzero(df)
+    yield pa.record_batch([pa.array(dims.astype(np.int32)), pa.array(df[dims])], names=["dim", "n"])
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,32 +141,49 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(v) for v in zip(*out)], names=["lang", "ord", "at", "n"])
 
 
+def _dense(at: bytes, n: bytes) -> np.ndarray:
+    c = np.zeros(DIMS, dtype=np.float32)
+    c[np.frombuffer(at, dtype="<u2")] = np.frombuffer(n, dtype="<f4")
+    return c
+
+
 def fit(documents: DataFrame, learnable: Column, train_rows: int = 500, most_rows: int = 200_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """learnable: a condition on documents. train_rows: the documented bound of texts per language. Every language
     is learned; where there are so many that they would make more than most_rows together, each has its share of
-    these, but not less than LEAST_ROWS. The driver holds DIMS floats a row, the model several times as many a
-    language."""
-    bounded_batches(documents.sparkSession)
+    these, but not less than LEAST_ROWS. A task holds DIMS floats a row of one language, the driver and the model
+    several times as many a language."""
+    spark = documents.sparkSession
+    bounded_batches(spark)
     rows = documents.where(learnable & F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("ord"), F.col(id_col).alias("id"))
     kept = save(rows.groupBy("lang").count(), "languages")
-    train_rows = min(train_rows, max(LEAST_ROWS, most_rows // max(1, kept.count())))
+    languages = kept.count()
+    train_rows = min(train_rows, max(LEAST_ROWS, most_rows // max(1, languages)))
+    small = (lambda t: F.broadcast(t)) if languages <= BROADCAST_LANGUAGES else (lambda t: t)
     # The lowest hashes of each language. A bound of the hash, from the language's count, lets through little more
     # than are wanted, so that a frequent language does not meet in one task.
     share = (F.lit(1.5 * train_rows + 100) / F.col("count") - 0.5) * float(2**64)
-    low = rows.join(F.broadcast(kept), "lang").where((F.col("count") <= 2 * train_rows) | (F.col("ord") < share))
+    low = rows.join(small(kept), "lang").where((F.col("count") <= 2 * train_rows) | (F.col("ord") < share)).select("id", "lang", "ord").distinct()
     place = F.row_number().over(Window.partitionBy("lang").orderBy("ord", "id"))
     chosen = low.withColumn("r", place).where(F.col("r") <= train_rows).select("id", "lang", "ord")
     texts = documents.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    got = texts.join(F.broadcast(chosen), ["id", "lang"]).select("lang", "ord", "text").mapInArrow(_extract, "lang string, ord long, at binary, n binary").toArrow()
-    samples: dict[str, list[np.ndarray]] = {}
-    for i in np.argsort(got["ord"].to_numpy(), kind="stable"):
-        i = int(i)
-        c = np.zeros(DIMS, dtype=np.float32)
-        c[np.frombuffer(got["at"][i].as_buffer(), dtype="<u2")] = np.frombuffer(got["n"][i].as_buffer(), dtype="<f4")
-        mine = samples.setdefault(got["lang"][i].as_py(), [])
-        if len(mine) < train_rows:
-            mine.append(c)
-    return fit_centroids(samples)
+    texts = texts.join(small(chosen), ["id", "lang"]).groupBy("id", "lang", "ord").agg(F.min("text").alias("text"))
+    sample = save(texts.select("lang", "ord", "text").mapInArrow(_extract, "lang string, ord long, at binary, n binary"), "language-sample")
+    df, texts = np.zeros(DIMS), sample.count()
+    for r in sample.select("at").mapInArrow(_present, "dim int, n long").groupBy("dim").agg(F.sum("n").alias("n")).collect():  # DIMS rows
+        df[r["dim"]] = r["n"]
+    idf = inverse_frequency(df, texts)
+
+    def one(table: pa.Table) -> pa.Table:
+        order = np.argsort(table["ord"].to_numpy(), kind="stable")
+        at, n = table["at"].to_pylist(), table["n"].to_pylist()
+        c, floor = fit_language([_dense(at[i], n[i]) for i in order], idf)
+        return pa.table({"lang": [table["lang"][0].as_py()], "k": pa.array([len(c)], pa.int32()), "centroids": pa.array([c.astype("<f4").tobytes()], pa.binary()), "floor": [floor]})
+
+    got = sample.groupBy("lang").applyInArrow(one, "lang string, k int, centroids binary, floor double").collect()
+    got.sort(key=lambda r: r["lang"])
+    matrix = np.concatenate([np.frombuffer(r["centroids"], dtype="<f4").reshape(r["k"], DIMS) for r in got]).T if got else np.zeros((DIMS, 0))
+    each = lambda f: [f(r) for r in got for _ in range(r["k"])]
+    return Model(each(lambda r: r["lang"]), np.ascontiguousarray(matrix, dtype=np.float32), idf, np.array(each(lambda r: r["floor"])))
 
 
 def identify(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

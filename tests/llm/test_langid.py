@@ -1,3 +1,5 @@
+import math
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -76,3 +78,65 @@ def test_every_language_is_learned(spark):
     assert set(model.languages) == {lang for _, _, lang in rows}
     rare = [(text, lang) for _, text, lang in rows if lang >= "l400"]
     assert all(model.predict(text)[::2] == (lang, False) for text, lang in rare)
+
+
+def plain_model(rows, k=4):
+    """{language: (centroids as {coordinate: value}, floor)} and the weights, by loops over plain dictionaries."""
+    counts = [(lang, {int(i): float(c[i]) for i in np.flatnonzero(c)}) for lang, text in rows if (c := langid.counts(text)) is not None]
+    df = Counter(i for _, c in counts for i in c)
+    idf = {i: math.log((1 + len(counts)) / (1 + df[i])) + 1 for i in range(langid.DIMS)}
+    unit = lambda v: {i: x / n for i, x in v.items()} if (n := math.sqrt(sum(x * x for x in v.values()))) else v
+    dot = lambda a, b: sum(x * b.get(i, 0.0) for i, x in a.items())
+    out = {}
+    for lang in sorted({name for name, _ in counts}):
+        x = [unit({i: n * idf[i] for i, n in c.items()}) for name, c in counts if name == lang]
+        mean = {i: sum(v.get(i, 0.0) for v in x) for v in x for i in v}
+        c = [max(x, key=lambda v: dot(v, mean))]
+        while len(c) < min(k, len(x)):
+            c.append(min(x, key=lambda v: max(dot(v, y) for y in c)))
+        for _ in range(12):
+            own = [max(range(len(c)), key=lambda j: dot(v, c[j])) for v in x]
+            for j in range(len(c)):
+                mine = [v for v, o in zip(x, own) if o == j]
+                c[j] = unit({i: sum(v.get(i, 0.0) for v in mine) for v in mine for i in v}) if mine else c[j]
+        near = sorted(max(dot(v, y) for y in c) for v in x)
+        at = 0.01 * (len(near) - 1)
+        low = near[int(at)] + (near[min(len(near) - 1, int(at) + 1)] - near[int(at)]) * (at - int(at))
+        out[lang] = c, 0.6 * low
+    return out, idf
+
+
+def test_model_and_predictions_equal_brute_force(spark, docs):
+    """Centroids, floors, languages, cosines and rejections of a whole small table."""
+    rows = [r for r in docs.collect() if r.doc_id is not None][:90]
+    learned = sorted((r for r in rows if zlib.crc32(str(r.doc_id).encode()) % 3 != 1 and r.lang is not None), key=lambda r: r.doc_id)
+    df = spark.createDataFrame(rows, docs.schema)
+    ordered = df.where(~held_out("doc_id", 3, 1) & F.col("lang").isNotNull()).orderBy(F.xxhash64("doc_id")).select("lang", "text").collect()
+    assert len(ordered) == len(learned)
+    plain, idf = plain_model([(r.lang, r.text or "") for r in ordered])
+    model = langid.fit(df, ~held_out("doc_id", 3, 1))
+    assert model.languages == [lang for lang, (c, _) in plain.items() for _ in c]
+    assert np.allclose(model.idf, [idf[i] for i in range(langid.DIMS)])
+    flat = [(lang, v, floor) for lang, (c, floor) in plain.items() for v in c]
+    for j, (_, v, floor) in enumerate(flat):
+        assert abs(model.floors[j] - floor) < 1e-4 and np.allclose(model.centroids[:, j], [v.get(i, 0.0) for i in range(langid.DIMS)], atol=1e-4)
+    got = {r.doc_id: r for r in langid.identify(df, model).collect()}
+    for r in rows:
+        c = langid.counts(r.text or "")
+        if c is None:
+            assert got[r.doc_id].lang_pred == "und"
+            continue
+        v = {int(i): c[i] * idf[int(i)] for i in np.flatnonzero(c)}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        cosines = [sum(x * y.get(i, 0.0) for i, x in v.items()) / norm for _, y, _ in flat]
+        best = max(range(len(flat)), key=lambda j: cosines[j])
+        n = len(v)
+        assert abs(got[r.doc_id].score - cosines[best]) < 1e-4 and got[r.doc_id].lang_pred == flat[best][0]
+        if abs(cosines[best] - flat[best][2] * (n / (n + 200)) ** 0.5) > 1e-3:
+            assert got[r.doc_id].rejected == (cosines[best] < flat[best][2] * (n / (n + 200)) ** 0.5)
+
+
+def test_repeated_rows_teach_once(spark, docs):
+    some = docs.limit(40)
+    a, b = langid.fit(some, F.lit(True)), langid.fit(some.unionByName(some).unionByName(some), F.lit(True))
+    assert a.languages == b.languages and np.allclose(a.centroids, b.centroids) and np.allclose(a.idf, b.idf)
