@@ -2,57 +2,68 @@
 
 Vectors are clustered into lists of near equal length: a bounded sample is halved again and again at the median
 along the line between two means, and the means of the leaves are the centroids. A vector goes to the list of its
-nearest centroid and, at a boundary, to others nearly as near, unless a list that it has already lies much nearer
-to that centroid than the vector does. Centroids are found by best-first search of a neighbour graph that every
-executor holds in memory. A query reads the lists whose centroids are at most SPREAD times as far as the nearest,
-and in any case the nearest ones until they hold several times as many vectors as it wants.
+nearest centroid and, at a boundary, to another nearly as near: the one for which what the first centroid leaves of
+the vector counts twice, so that a query that misses one list for that rest finds the other. Centroids are found by
+best-first search of a neighbour graph that every executor holds in memory.
+
+A query reads the lists whose centroids are at most so many times as far as its NEAREST nearest ones on average.
+This ratio is not fixed but measured: the exact neighbours of PROBES vectors are found in one pass over the table, and
+the least ratio that reaches the target recall on them is taken. A query reads more only where these lists hold too
+few vectors.
 
 Nearness is the inner product: vectors get one more coordinate that makes all norms the largest one, so that the
 nearest in distance is the largest in product. Found neighbours are scored on the original vectors, in double
 precision.
 
 Lists and their queries meet in cells of bounded size: a list longer than CELL vectors is divided, as are the
-queries of a list with more than CELL of them, and each part meets each part of the other.
-
-Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part, nor do
-those whose length is not the most frequent one (of equals the greatest); rows that share an id are one
-candidate with its best score, however many they are, and as queries one query with the best of its rows; equal
-rows are collapsed before they are placed; a query never finds its own
-id; with fewer candidates than k all that share a list are found; an empty table gives no rows. Only the id and
-the vector are read.
+queries of a list with more than CELL of them, and each part meets each part of the other. A cell gives at most k
+pairs a query. Of equal vectors only the k + 1 least ids are candidates, as no query can return more: a vector that a
+third of all rows share costs no more than others.
+
+Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part; vectors of
+different lengths are not candidates of each other, and those of lengths of CELL rows or less, but for the most
+frequent length, are compared without an index; rows that share an id are one candidate with its best score, however many they are, and as queries
+one query with the best of its rows; equal rows are one; a query never finds its own id; a product that overflows to
+no number counts as the least; with fewer candidates than k all are found; an empty table gives no rows. Only the id
+and the vector are read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shipping import ship
 from ._shared import save, shuffle_partitions
 
 #: Vectors of a list, of the sample that the centroids are fitted on, and lists, at most.
-LIST_ROWS, SAMPLE_ROWS, MOST_LISTS = 128, 65_536, 16_384
-#: Lists of a vector at most; how much farther than the nearest centroid one may be to get a copy.
-REPLICAS, BOUNDARY = 4, 1.15
-#: A list is left out if one already taken is within this share of the vector's distance to its centroid.
-APART = 0.3
-#: How much farther than the nearest centroid the lists are that a query reads.
-SPREAD = 1.15
+LIST_ROWS, SAMPLE_ROWS, MOST_LISTS = 8, 65_536, 16_384
+#: How much farther than the nearest centroid another one may be for a vector to get a copy in its list.
+BOUNDARY = 1.3
+#: Vectors whose exact neighbours are found to set what queries read, and the share of these that must be reached.
+PROBES, TARGET = 512, 0.93
+#: Centroids whose mean distance other centroids' distances are compared with.
+NEAREST = 32
 #: Vectors and queries that one cell compares.
 CELL = 4096
-_DEGREE = 24
+_DEGREE, _OPEN = 24, 8
 
 
 @dataclass
 class Index:
     centroids: np.ndarray  # float32, with the added coordinate
     neighbours: np.ndarray  # of each centroid, its own number where it has fewer
-    norm: float  # the largest
-    sizes: np.ndarray | None = None  # ids of each list, once all are placed
+    scale: float  # the largest absolute component
+    norm: float  # the largest, of vectors divided by the scale
+    sizes: np.ndarray | None = None  # candidates of each list, once all are placed
+    ratio: float = 1.0  # of the distance of lists that a query reads to that of its nearest ones
+    beam: int = 64  # centroids that are looked at for that
 
 
 def balanced_centroids(x: np.ndarray, size: int) -> np.ndarray:
@@ -101,13 +112,16 @@ def neighbour_graph(c: np.ndarray, degree: int = _DEGREE) -> np.ndarray:
         near = np.argpartition(d, min(n - 1, 3 * degree))[: 3 * degree + 1]
         near = near[np.argsort(d[near], kind="stable")]
         near = near[near != i]
-        apart = ((c[near][:, None, :] - c[near][None, :, :]) ** 2).sum(axis=2)
+        apart = norms[near][:, None] + norms[near] - 2 * (c[near] @ c[near].T)
         own = d[near] + norms[i]
         taken: list[int] = []
+        least = np.full(len(near), np.inf)  # distance to those taken
         for k in range(len(near)):
-            if len(taken) < degree and all(apart[k, t] > own[k] for t in taken):
+            if len(taken) < degree and least[k] > own[k]:
                 taken.append(k)
-        rest = [k for k in range(len(near)) if k not in set(taken)][: degree - len(taken)]
+                least = np.minimum(least, apart[k])
+        chosen = set(taken)
+        rest = [k for k in range(len(near)) if k not in chosen][: degree - len(taken)]
         links = near[taken + rest]
         out[i, : len(links)] = links
         out[i, degree] = (i + 1) % n
@@ -116,7 +130,7 @@ def neighbour_graph(c: np.ndarray, degree: int = _DEGREE) -> np.ndarray:
 
 def search_graph(index: Index, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each query, up to beam centroids (numbers, squared distances; infinite where there are fewer), nearest
-    first. All queries walk the graph at once, each opening its nearest unopened centroid in a step."""
+    first. All queries walk the graph at once, each opening its nearest unopened centroids in a step."""
     c, m, n = index.centroids, len(q), len(index.centroids)
     norms = (c * c).sum(axis=1)
     beam = min(beam, n)
@@ -130,84 +144,158 @@ def search_graph(index: Index, q: np.ndarray, beam: int) -> tuple[np.ndarray, np
     dist[:, : len(starts)] = norms[starts] - 2 * (q @ c[starts].T)
     opened[:, : len(starts)] = False
     seen[:, starts] = True
-    rows = np.arange(m)
-    live = rows
-    while len(live):
-        open_dist = np.where(opened[live], np.inf, dist[live])
-        best = open_dist.argmin(axis=1)
-        more = np.isfinite(open_dist[np.arange(len(live)), best])
-        live, best = live[more], best[more]
+    live, steps = np.arange(m), min(_OPEN, width)
+    while True:
+        ahead = np.where(opened[live], np.inf, dist[live])
+        pick = np.argpartition(ahead, steps - 1, axis=1)[:, :steps]
+        good = np.isfinite(np.take_along_axis(ahead, pick, axis=1))
+        more = good.any(axis=1)
+        live, pick, good = live[more], pick[more], good[more]
         if not len(live):
             break
-        opened[live, best] = True
-        links = index.neighbours[ids[live, best]]
-        fresh = ~seen[live[:, None], links]
-        seen[live[:, None], links] = True
-        d = norms[links] - 2 * np.einsum("ij,ikj->ik", q[live], c[links])
-        # A link that occurs twice counts once.
-        order = np.sort(links, axis=1)
-        if (order[:, 1:] == order[:, :-1]).any():
-            first = np.zeros_like(fresh)
-            for col in range(links.shape[1]):
-                first[:, col] = ~(links[:, :col] == links[:, col : col + 1]).any(axis=1)
-            fresh &= first
-        d = np.where(fresh, d, np.inf)
+        now = opened[live]
+        np.put_along_axis(now, pick, True, axis=1)
+        links = index.neighbours[np.take_along_axis(ids[live], pick, axis=1)].reshape(len(live), -1)
+        fresh = np.repeat(good, index.neighbours.shape[1], axis=1) & ~seen[live[:, None], links]
+        # A link that occurs twice in a step counts once.
+        order = np.argsort(np.where(fresh, links, -1), axis=1, kind="stable")
+        ordered = np.take_along_axis(links, order, axis=1)
+        again = np.zeros_like(fresh)
+        np.put_along_axis(again, order[:, 1:], ordered[:, 1:] == ordered[:, :-1], axis=1)
+        fresh &= ~again
+        row, col = np.nonzero(fresh)
+        at = links[row, col]
+        seen[live[row], at] = True
+        d = np.full(links.shape, np.inf, dtype=np.float32)
+        d[row, col] = norms[at] - 2 * np.einsum("ij,ij->i", q[live[row]], c[at])
         all_d, all_i = np.concatenate([dist[live], d], axis=1), np.concatenate([ids[live], links], axis=1)
-        all_o = np.concatenate([opened[live], ~fresh], axis=1)
-        keep = np.argsort(all_d, axis=1, kind="stable")[:, :width]
+        all_o = np.concatenate([now, ~fresh], axis=1)
+        keep = np.argpartition(all_d, width - 1, axis=1)[:, :width]
         dist[live], ids[live], opened[live] = (np.take_along_axis(v, keep, axis=1) for v in (all_d, all_i, all_o))
-    dist += (q * q).sum(axis=1)[:, None]
-    return ids[:, :beam], np.maximum(dist[:, :beam], 0)
+    order = np.argsort(dist, axis=1, kind="stable")[:, :beam]
+    dist, ids = np.take_along_axis(dist, order, axis=1), np.take_along_axis(ids, order, axis=1)
+    return ids, np.maximum(dist + (q * q).sum(axis=1)[:, None], 0)
 
 
-def _extended(x: np.ndarray, norm: float, query: bool) -> np.ndarray:
-    """With the added coordinate; queries scaled to the norm, which changes no order."""
+def _extended(index: Index, x: np.ndarray, query: bool) -> np.ndarray:
+    """Scaled, with the added coordinate; queries brought to the largest norm, which changes no order."""
+    x = x / index.scale
     length = np.linalg.norm(x, axis=1)
     if query:
-        return np.concatenate([x * (norm / length)[:, None], np.zeros((len(x), 1))], axis=1).astype(np.float32)
-    return np.concatenate([x, np.sqrt(np.maximum(0, norm * norm - length * length))[:, None]], axis=1).astype(np.float32)
+        tiny = np.maximum(np.abs(x).max(axis=1), np.finfo(float).tiny)[:, None]
+        x = x / tiny
+        x = x * (index.norm / np.linalg.norm(x, axis=1))[:, None]
+        return np.concatenate([x, np.zeros((len(x), 1))], axis=1).astype(np.float32)
+    return np.concatenate([x, np.sqrt(np.maximum(0, index.norm**2 - length * length))[:, None]], axis=1).astype(np.float32)
 
 
 def lists_of(index: Index, x: np.ndarray) -> list[np.ndarray]:
-    """The lists of each vector: the nearest centroid's, and those of boundary copies."""
-    ids, dist = search_graph(index, x, 32)
-    out = []
-    for row, d in zip(ids, dist):
-        taken = [row[0]]
-        for k in range(1, len(row)):
-            if len(taken) == REPLICAS or d[k] > d[0] * BOUNDARY**2:
-                break
-            apart = ((index.centroids[taken] - index.centroids[row[k]]) ** 2).sum(axis=1)
-            if (apart > APART**2 * d[k]).all():
-                taken.append(row[k])
-        out.append(np.array(taken))
-    return out
+    """The lists of each vector: the nearest centroid's and, at a boundary, another's."""
+    ids, dist = search_graph(index, x, 24)
+    c = index.centroids
+    rest = x - c[ids[:, 0]]
+    length = np.sqrt((rest * rest).sum(axis=1))
+    along = rest / np.where(length > 0, length, 1)[:, None]
+    # What the other centroid leaves of the vector, and once more what of that lies along the first rest.
+    shared = (x * along).sum(axis=1)[:, None] - np.einsum("ij,ikj->ik", along, c[ids])
+    cost = np.where((dist <= dist[:, :1] * BOUNDARY**2) & (length > 0)[:, None], dist + shared * shared, np.inf)
+    cost[:, 0] = np.inf
+    best = cost.argmin(axis=1)
+    return [row[[0, b]] if np.isfinite(k[b]) else row[:1] for row, b, k in zip(ids, best, cost)]
+
+
+def _reference(far: np.ndarray) -> np.ndarray:
+    """The mean of the least distances of each row, which come first; infinite ones are not there."""
+    near = far[:, :NEAREST]
+    there = np.isfinite(near)
+    return (np.where(there, near, 0).sum(axis=1) / np.maximum(1, there.sum(axis=1)))[:, None]
 
 
 def lists_for(index: Index, q: np.ndarray, k: int) -> list[np.ndarray]:
-    """The lists each query reads. The beam doubles for queries whose last centroid still belongs to them."""
+    """The lists each query reads, nearest first: those that the index says and on until they hold several times k
+    candidates, for which the beam doubles."""
     out: list[np.ndarray] = [np.zeros(0, dtype=np.int64)] * len(q)
-    todo, beam, need = np.arange(len(q)), 64, 4 * REPLICAS * k
+    todo, beam, need = np.arange(len(q)), index.beam, 8 * k
     while len(todo):
         ids, dist = search_graph(index, q[todo], beam)
-        sizes = index.sizes[ids]
-        wanted = (dist <= dist[:, :1] * SPREAD**2) | (np.cumsum(sizes, axis=1) - sizes < need)
-        more = wanted.all(axis=1) & (ids.shape[1] < len(index.centroids))
+        sizes = np.where(np.isfinite(dist), index.sizes[ids], 0)
+        far = np.sqrt(dist)
+        wanted = (far <= index.ratio * _reference(far)) | (np.cumsum(sizes, axis=1) - sizes < need)
+        more = (sizes.sum(axis=1) < need) & (ids.shape[1] < len(index.centroids))
         for i in np.flatnonzero(~more):
             out[todo[i]] = ids[i][wanted[i] & np.isfinite(dist[i])]
         todo, beam = todo[more], beam * 2
     return out
 
 
-def fit(vectors: DataFrame, dims: int, rows: int, norm: float) -> Index:
+def fit(vectors: DataFrame, dims: int, rows: int, scale: float, norm: float) -> Index:
     """The index of a table of id, vec (doubles) from a sample of SAMPLE_ROWS rows at most, those whose ids hash
     lowest."""
     sample = vectors.select("id", "vec").orderBy(F.xxhash64("id"), "id").limit(SAMPLE_ROWS) if rows > SAMPLE_ROWS else vectors
     got = sample.select("vec").toArrow()["vec"].combine_chunks()
-    x = np.asarray(got.values).reshape(-1, dims)
     lists = min(MOST_LISTS, max(1, -(-rows // LIST_ROWS)))
-    c = balanced_centroids(_extended(x, norm, False), max(1, -(-len(x) // lists)))
-    return Index(c, neighbour_graph(c), norm)
+    index = Index(np.zeros((0, dims + 1)), np.zeros((0, 0)), scale, norm)
+    x = _extended(index, np.asarray(got.values).reshape(-1, dims), False)
+    index.centroids = balanced_centroids(x, max(1, -(-len(x) // lists)))
+    index.neighbours = neighbour_graph(index.centroids)
+    return index
+
+
+def calibrate(index: Index, vectors: DataFrame, placed: DataFrame, k: int, target: float) -> None:
+    """Set the ratio of distances, and how many centroids are looked at, from the exact neighbours of PROBES
+    vectors."""
+    share = vectors.sparkSession.sparkContext.broadcast
+    order = F.xxhash64("id", F.lit(2))
+    probes = vectors.select("id", "vec").orderBy(order, "id", "vec").limit(PROBES).toArrow()
+    x, ids = _matrix(probes["vec"].combine_chunks()), np.asarray(probes["id"])
+    found = vectors.select("id", "vec").mapInArrow(_nearest_to(share((ids, x)), k), "probe int, id long, vec array<double>, score double")
+    best = found.withColumn("r", F.row_number().over(Window.partitionBy("probe").orderBy(F.desc("score"), "id"))).where(F.col("r") <= k)
+    # At most k rows a probe; a neighbour is reached by the first of its lists.
+    got = placed.select("id", "vec", "list").join(F.broadcast(best.select("probe", "id", "vec")), ["id", "vec"]).select("probe", "id", "list").toArrow()
+    if not len(got):
+        return
+    q, c = _extended(index, x, True), index.centroids
+    d = np.sqrt(np.maximum(0, (q * q).sum(axis=1)[:, None] + (c * c).sum(axis=1) - 2 * (q @ c.T)))
+    far = d / np.maximum(_reference(np.sort(d, axis=1)), np.finfo(np.float32).tiny)
+    p, v, at = (np.asarray(got[name].combine_chunks()) for name in ("probe", "id", "list"))
+    one = np.unique(np.stack([p.astype(np.int64), v], axis=1), axis=0, return_inverse=True)[1].ravel()
+    ratio = np.full(one.max() + 1, np.inf)
+    np.minimum.at(ratio, one, far[p, at])
+    index.ratio = float(np.quantile(ratio, target, method="higher")) * (1 + 1e-6)
+    # Few queries have more lists within the ratio than are looked at.
+    index.beam = max(NEAREST, int(np.quantile((far <= index.ratio).sum(axis=1), 0.98, method="higher")))
+
+
+def _nearest_to(shared, k: int):
+    """The k nearest to each probe of what a task holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, q = shared.value
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+        def least() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            v, x, s = (np.concatenate(c) for c in zip(*held))
+            top = np.argpartition(-s, min(k, len(v)) - 1, axis=0)[: min(k, len(v))]
+            keep = np.unique(top)
+            return v[keep], x[keep], s[keep]
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, 8192):
+                part = batch.slice(at, 8192)
+                v, x = np.asarray(part["id"]), _matrix(part["vec"])
+                s = np.nan_to_num(x @ q.T, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+                s[v[:, None] == ids[None, :]] = -np.inf
+                held.append((v, x, s))
+                held = [least()]
+        if held:
+            v, x, s = held[0]
+            m = min(k, len(v))
+            top = np.argpartition(-s, m - 1, axis=0)[:m]
+            for j in range(len(ids)):
+                rows = top[:, j][np.isfinite(s[top[:, j], j])]
+                yield pa.record_batch([pa.array(np.full(len(rows), j, dtype=np.int32)), pa.array(v[rows]), pa.array(list(x[rows]), pa.list_(pa.float64())), pa.array(s[rows, j])], names=["probe", "id", "vec", "score"])
+
+    return run
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -223,7 +311,7 @@ def _assign(shared, k: int | None = None):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                x = _extended(_matrix(part["vec"]), index.norm, k is not None)
+                x = _extended(index, _matrix(part["vec"]), k is not None)
                 lists = lists_of(index, x) if k is None else lists_for(index, x, k)
                 yield pa.record_batch([part["id"], part["vec"], pa.array(lists, pa.list_(pa.int64()))], names=["id", "vec", "lists"])
 
@@ -250,21 +338,25 @@ def _compare(k: int):
             firsts = np.flatnonzero(np.r_[True, vi[1:] != vi[:-1]])
             counts = np.diff(np.r_[firsts, len(vi)])
             for at in range(0, len(q), 512):
-                every = q[at : at + 512] @ v.T
+                every = np.nan_to_num(q[at : at + 512] @ v.T, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
                 # The best of each id, so that rows that share one take one of the k places.
                 s = every if len(firsts) == len(v) else np.maximum.reduceat(every, firsts, axis=1)
                 own = qi[at : at + 512][:, None] == vi[firsts][None, :]
-                s[own] = -np.inf
+                s = np.where(own, -np.inf, s)
                 m = min(len(firsts), k)
-                top = np.argpartition(-s, m - 1, axis=1)[:, :m] if m < len(firsts) else np.tile(np.arange(len(firsts)), (len(s), 1))
-                worst = np.take_along_axis(s, top, axis=1).min(axis=1)
-                # All of the k-th score go on, so that ties are settled by id.
-                who, found = np.nonzero((s >= worst[:, None]) & ~own)
+                worst = -np.partition(-s, m - 1, axis=1)[:, m - 1]
+                # Those of the k-th score but for rounding are scored again, and the least ids among equals go on.
+                slack = np.where(np.isfinite(worst), np.abs(worst), 0) * 1e-12
+                who, found = np.nonzero((s >= (worst - slack)[:, None]) & ~own)
                 which = firsts[found]
                 for g in np.unique(found[counts[found] > 1]):
                     mine = np.flatnonzero(found == g)
                     which[mine] += every[who[mine], firsts[g] : firsts[g] + counts[g]].argmax(axis=1)
-                exact = np.einsum("ij,ij->i", q[at + who], v[which])
+                exact = np.nan_to_num(np.einsum("ij,ij->i", q[at + who], v[which]), nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+                order = np.lexsort((vi[which], -exact, who))
+                who, which, exact = who[order], which[order], exact[order]
+                place = np.arange(len(who)) - np.searchsorted(who, who)
+                who, which, exact = (a[place < k] for a in (who, which, exact))
                 yield pa.record_batch([pa.array(qi[at + who]), pa.array(vi[which]), pa.array(exact)], schema=pa.schema(kinds))
 
         for batch in batches:
@@ -292,28 +384,53 @@ def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), vec.alias("vec")).where(F.col("id").isNotNull() & F.col("vec").isNotNull() & fine)
 
 
-def search(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """query_id, rank, vec_id, score of the k nearest of each row that is_query, a function of the id, takes."""
+def search(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", target: float = TARGET) -> DataFrame:
+    """query_id, rank, vec_id, score of the k nearest of each row that is_query, a function of the id, takes.
+    target: the recall that the lists are chosen for."""
     spark = df.sparkSession
-    every = usable(df, id_col, vec_col)
-    frequent = every.groupBy(F.size("vec").alias("dims")).count().orderBy(F.desc("count"), F.desc("dims")).first()
-    if frequent is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    vectors = save(every.where(F.size("vec") == frequent["dims"]).dropDuplicates(["id", "vec"]), "vectors")
-    rows, square = vectors.agg(F.count("*"), F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).first()
-    index = fit(vectors, frequent["dims"], rows, float(square) ** 0.5)
+    ship(spark)
+    every = usable(df, id_col, vec_col).withColumn("dims", F.size("vec")).dropDuplicates(["id", "vec"])
+    place = F.row_number().over(Window.partitionBy("vec").orderBy("id"))
+    rows = every.withColumn("place", place).where((F.col("place") <= k + 1) | is_query(F.col("id")))
+    rows = save(rows.select("id", "vec", "dims", (F.col("place") <= k + 1).alias("candidate"), is_query(F.col("id")).alias("asks")), "vectors")
+    counts = rows.where("candidate").groupBy("dims").agg(F.count("*").alias("n"))
+    lengths = counts.orderBy(F.desc("n"), F.desc("dims")).limit(1).unionByName(counts.where(F.col("n") > CELL)).distinct().collect()  # fewer than rows / CELL
+    rare = rows.where(~F.col("dims").isin([r["dims"] for r in lengths])) if lengths else rows
+    # Rare lengths are one list each, with a number that no index uses.
+    by = (-F.col("dims")).cast("long").alias("list")
+    pairs = [(rare.where("candidate").select("id", "vec", by), rare.where("asks").select("id", "vec", by))]
+    for r in lengths:
+        pairs.append(_indexed(rows.where(F.col("dims") == r["dims"]), r["dims"], r["n"], k, target))
+    near = reduce(DataFrame.unionByName, [_met(spark, placed, asked, k) for placed, asked in pairs])
+    best = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _indexed(rows: DataFrame, dims: int, n: int, k: int, target: float) -> tuple[DataFrame, DataFrame]:
+    """Candidates and queries of one length with the lists that they are in and read."""
+    share = rows.sparkSession.sparkContext.broadcast
+    vectors = rows.where("candidate")
+    scale = float(rows.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x))))).first()[0])
+    square = float(rows.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + (x / scale) * (x / scale)))).first()[0])
+    index = fit(vectors, dims, n, scale, square**0.5)
     schema = "id long, vec array<double>, lists array<bigint>"
-    share = spark.sparkContext.broadcast
-    split = lambda rows, run: rows.mapInArrow(run, schema).select("id", "vec", F.explode("lists").alias("list"))
+    split = lambda t, run: t.select("id", "vec").mapInArrow(run, schema).select("id", "vec", F.explode("lists").alias("list"))
     placed = save(split(vectors, _assign(share(index))), "posting-lists")
     index.sizes = np.zeros(len(index.centroids), dtype=np.int64)
     # Ids, not rows: a query reads on until its lists hold enough candidates.
     for r in placed.groupBy("list").agg(F.countDistinct("id").alias("count")).collect():  # MOST_LISTS rows at most
         index.sizes[r["list"]] = r["count"]
-    asked = save(split(vectors.where(is_query(F.col("id"))), _assign(share(index), k)), "query-lists")
-    # Parts of lists and of queries, from counts: one row for each list, MOST_LISTS at most.
+    calibrate(index, vectors, placed, k, target)
+    return placed, save(split(rows.where("asks"), _assign(share(index), k)), "query-lists")
+
+
+def _met(spark, placed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """The best k of each cell for each of its queries."""
+    # Parts of lists and of queries, from counts: a row for each list, MOST_LISTS or one for each rare length.
     parts = lambda t, name: t.groupBy("list").agg(F.ceil(F.count("*") / CELL).cast("int").alias(name))
-    sizes = F.broadcast(parts(placed, "vparts").join(parts(asked, "qparts"), "list"))
+    sizes = parts(placed, "vparts").join(parts(asked, "qparts"), "list")
     part = lambda of, salt: F.pmod(F.xxhash64("id", "vec", F.lit(salt)), F.col(of)).cast("int")
     spread = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
     v = placed.join(sizes, "list").withColumn("vpart", part("vparts", 1)).withColumn("qpart", spread("qparts"))
@@ -321,8 +438,4 @@ def search(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col
     columns = ("list", "vpart", "qpart", "id", "vec")
     cells = v.select(*columns, F.lit(False).alias("query")).unionByName(q.select(*columns, F.lit(True).alias("query")))
     cells = cells.repartition(shuffle_partitions(spark), "list", "vpart", "qpart").sortWithinPartitions("list", "vpart", "qpart")
-    near = cells.mapInArrow(_compare(k), "query_id long, vec_id long, score double")
-    best = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    return cells.mapInArrow(_compare(k), "query_id long, vec_id long, score double")

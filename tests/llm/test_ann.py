@@ -44,6 +44,7 @@ def test_recall_and_scores(spark, monkeypatch, n, dims, list_rows):
 def test_rows_that_share_an_id_take_one_place(spark, monkeypatch, hot, copies):
     """An id with many near rows, and rows that all occur twice: the other neighbours are found all the same."""
     monkeypatch.setattr(ann, "CELL", 64)
+    monkeypatch.setattr(ann, "LIST_ROWS", 200)
     r = np.random.default_rng(hot)
     rows = [(i, v.tolist()) for i, v in enumerate(r.normal(size=(100, 8))) for _ in range(copies)]
     rows += [(1, (3 * np.array(rows[0][1]) + 0.01 * r.normal(size=8)).tolist()) for _ in range(hot)]
@@ -70,10 +71,103 @@ def test_test_data(spark):
     assert sum(len(got[q] & {v for v, _ in want[q]}) for q in want) / sum(map(len, want.values())) >= 0.9
 
 
+def asked(df, monkeypatch):
+    """What search finds, by query, and the share of all candidates that a query reads."""
+    seen, real = [], ann._indexed
+
+    def indexed(*args):
+        placed, queries = real(*args)
+        n = placed.groupBy("list").count()
+        read = queries.join(n, "list").agg({"count": "sum"}).first()[0]
+        seen.append(read / queries.select("id").distinct().count() / placed.select("id").distinct().count())
+        return placed, queries
+
+    monkeypatch.setattr(ann, "_indexed", indexed)
+    got = {}
+    for r in ann.search(df, lambda i: i % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    return got, seen
+
+
+def recall(got, rows):
+    want = brute(rows)
+    assert set(got) == set(want)
+    return sum(len(got[q] & {v for v, _ in want[q]}) for q in want) / sum(map(len, want.values()))
+
+
+def test_lists_are_pruned(spark, monkeypatch):
+    """At a recall of 0.9 a query reads a small part of the vectors where these have structure, and under a fifth
+    of the check tool's, which have hardly any."""
+    r = np.random.default_rng(11)
+    x = 3 * r.normal(size=(200, 24))[r.integers(0, 200, 6000)] + r.normal(size=(6000, 24))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got, read = asked(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), monkeypatch)
+    assert recall(got, rows) >= 0.9 and read[0] < 0.12
+
+
+def test_the_check_tools_vectors(spark, monkeypatch):
+    e = spark.read.parquet("/root/testdata/check_l/embeddings.parquet").select("vec_id", "embedding")
+    got, read = asked(e, monkeypatch)
+    rows = e.toPandas()
+    ids, x = rows["vec_id"].to_numpy(), np.stack(rows["embedding"].to_list()).astype(float)
+    q = np.flatnonzero(ids % 20 == 0)
+    s = x[q] @ x.T
+    s[np.arange(len(q)), q] = -np.inf
+    top = ids[np.argpartition(-s, 19, axis=1)[:, :20]]
+    assert np.mean([len(got[i] & set(t.tolist())) / 20 for i, t in zip(ids[q].tolist(), top)]) >= 0.9
+    assert read[0] < 0.2
+
+
+def test_widely_differing_norms(spark, monkeypatch):
+    r = np.random.default_rng(12)
+    rows = [(i, v.tolist()) for i, v in enumerate(r.normal(size=(4000, 12)) * np.exp(r.normal(size=4000) * 1.5)[:, None])]
+    got, _ = asked(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), monkeypatch)
+    assert recall(got, rows) >= 0.9
+
+
+@pytest.mark.parametrize("copies", [1000, 4000])
+def test_a_hot_vector_costs_no_more_than_others(spark, monkeypatch, copies):
+    """Its copies are folded to k + 1 candidates, and cells give k pairs a query at most."""
+    monkeypatch.setattr(ann, "CELL", 256)
+    r = np.random.default_rng(13)
+    x = r.normal(size=(2000, 8)).round(2)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(2000 + i, x[7].tolist()) for i in range(copies)]
+    made, real = [], ann._met
+
+    def met(spark, placed, queries, k):
+        out = real(spark, placed, queries, k)
+        made.append((placed.count(), queries.count(), out.count()))
+        return out
+
+    monkeypatch.setattr(ann, "_met", met)
+    got = {}
+    for n in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i % 20 == 0).collect():
+        got.setdefault(n.query_id, []).append((n.rank, n.vec_id))
+    assert sum(p for p, *_ in made) <= 2 * 2 * (2000 + 21) and sum(n for *_, n in made) <= 20 * sum(q for _, q, _ in made)
+    # The hot vector's copies find each other's least ids, without their own.
+    exact = [(i, float(x[7] @ v)) for i, v in enumerate(x)]
+    above = sorted(i for i, s in exact if s > float(x[7] @ x[7]))
+    for q in range(2000, 2000 + copies, 20):
+        equal = [i for i in [7, *range(2000, 2000 + copies)] if i != q][: 20 - len(above)]
+        assert {v for _, v in got[q]} >= set(equal) - set(above) or len(above) >= 20
+
+
+def test_other_lengths_and_magnitudes(spark):
+    """Vectors of every length find those of their own; huge and tiny components neither overflow nor vanish."""
+    r = np.random.default_rng(14)
+    rows = [(i, (10.0 ** (150 if i % 2 else -150) * r.normal(size=3 + i % 3)).tolist()) for i in range(300)]
+    got = {}
+    for n in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), lambda i: i % 20 == 0).collect():
+        got.setdefault(n.query_id, []).append((n.rank, n.vec_id))
+    for q in range(0, 300, 20):
+        mine = sorted(((-float(np.dot(rows[q][1], x)), v) for v, x in rows if v != q and len(x) == len(rows[q][1])))[:20]
+        assert [v for _, v in sorted(got[q])] == [v for _, v in mine]
+
+
 def test_graph_finds_the_nearest():
     r = np.random.default_rng(2)
     c = r.normal(size=(300, 12)).astype(np.float32)
-    index = ann.Index(c, ann.neighbour_graph(c), 1.0)
+    index = ann.Index(c, ann.neighbour_graph(c), 1.0, 1.0)
     q = r.normal(size=(50, 12)).astype(np.float32)
     ids, dist = ann.search_graph(index, q, 32)
     exact = ((q[:, None, :] - c[None]) ** 2).sum(axis=2)
