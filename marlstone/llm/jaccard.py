@@ -46,7 +46,9 @@ SHINGLE = 5
 #: nodes of a slice.
 SMALL, PIVOTS, SLICE = 64, 32, 512
 #: Nodes of a block when sets are compared: in large groups up to MOST_BLOCK, so that a set is in some 16 blocks.
-BLOCK, MOST_BLOCK, BLOCK_TOKENS = 256, 1024, 4 << 20
+BLOCK, MOST_BLOCK, BLOCK_TOKENS = 192, 512, 1 << 20
+#: Rows, of a few longs each, up to which a counted side of a join is broadcast instead of moving all sets.
+FEW_ROWS = 100_000
 #: Choices that the number of runs allows for, and at most.
 DEPTH, LAST = 3, 16
 #: Minima kept of a set; the share of equal ones from which a pair is verified, five deviations under 0.8, and from
@@ -161,17 +163,15 @@ def _sets(runs: int, threshold: float):
 
 
 def _deeper(threshold: float):
-    """The paths by which nodes go on from theirs."""
+    """Nodes with the paths by which they go on from theirs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            node, b = [], []
-            for i, tokens, paths in zip(*[batch[c].to_pylist() for c in ("node", "tokens", "paths")]):
-                got = chosen(np.frombuffer(tokens, dtype="<u4"), np.array(paths, dtype=np.int64).view(np.uint64), threshold).view(np.int64)
-                node.append(np.full(len(got), i))
-                b.append(got)
-            if node:
-                yield pa.record_batch([pa.array(np.concatenate(x).astype(np.int64)) for x in (node, b)], names=["node", "b"])
+            on = [
+                chosen(np.frombuffer(tokens, dtype="<u4"), np.array(paths, dtype=np.int64).view(np.uint64), threshold).view(np.int64)
+                for tokens, paths in zip(batch["tokens"].to_pylist(), batch["paths"].to_pylist())
+            ]
+            yield pa.record_batch([batch["node"], batch["tokens"], batch["sketch"], pa.array(on, pa.list_(pa.int64()))], names=["node", "tokens", "sketch", "paths"])
 
     return run
 
@@ -302,7 +302,7 @@ def _candidate_edges(sets: DataFrame, nodes: DataFrame, threshold: float) -> Dat
     """Edges (u, v) between nodes that may be alike. sets: node, tokens, sketch, paths of every row; nodes: those
     that stand for their copies."""
     parts = shuffle_partitions(sets.sparkSession)
-    rows = sets.select("node", "paths").join(nodes.select("node"), "node", "left_semi").select("node", F.explode("paths").alias("b"))
+    here, rows = sets, sets.select("node", "paths").join(nodes.select("node"), "node", "left_semi").select("node", F.explode("paths").alias("b"))
     edges = None
     for depth in count(1):
         sizes = save(rows.groupBy("b").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1"), "buckets")
@@ -316,19 +316,23 @@ def _candidate_edges(sets: DataFrame, nodes: DataFrame, threshold: float) -> Dat
         met = met.select("b", "node", large.alias("large"), pivot.alias("pivot"), slices.alias("slices"))
         own = F.array(F.pmod(F.xxhash64("node", "b", F.lit(1)), F.col("slices")).cast("int"))
         met = met.withColumn("slice", F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("slices") - 1)).otherwise(own)))
-        met = met.join(sets.select("node", "sketch"), "node").select("b", "slice", "node", "large", "pivot", "sketch")
+        met = met.join(here.select("node", "sketch"), "node").select("b", "slice", "node", "large", "pivot", "sketch")
         met = met.repartition(parts, "b", "slice").sortWithinPartitions("b", "slice")
         found = save(met.mapInArrow(_compare, "kind long, u long, v long"), "compared")
         now = found.where(F.col("kind") == _EDGE).select("u", "v")
         edges = now if edges is None else edges.unionByName(now)
         if depth == LAST:
             return edges.unionByName(stars)
-        strangers = found.where(F.col("kind") == _STRANGER).select("u").distinct()
-        if strangers.isEmpty():
+        strangers = found.where(F.col("kind") == _STRANGER)
+        several, left = found.agg(F.count_if(F.col("kind") == _STRANGER), F.count_if(F.col("kind") != _EDGE)).first()
+        if not several:
             return edges
+        strangers = strangers.select("u").distinct()
         # A node has few paths: as many as it chose, over all runs.
         on = found.where(F.col("kind") != _EDGE).join(strangers, "u", "left_semi").groupBy(F.col("v").alias("node")).agg(F.collect_set("u").alias("paths"))
-        rows = on.join(sets.select("node", "tokens"), "node").select("node", "tokens", "paths").mapInArrow(_deeper(threshold), "node long, b long")
+        on = here.select("node", "tokens", "sketch").join(F.broadcast(on) if left <= FEW_ROWS else on, "node")
+        here = save(on.mapInArrow(_deeper(threshold), "node long, tokens binary, sketch binary, paths array<bigint>"), "open")
+        rows = here.select("node", F.explode("paths").alias("b"))
 
 
 def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.99, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -350,7 +354,8 @@ def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.
     blocks = F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int")
     wide = wide.join(sizes.select("component", blocks.alias("blocks")), "component")
     wide = wide.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    wide = wide.join(sets.select("node", "tokens"), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    wide = wide.select("component", "node", "block", "blocks", "copies")
+    wide = sets.select("node", "tokens").join(F.broadcast(wide) if groups.count() <= FEW_ROWS else wide, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     wide = wide.withColumns({"a": F.least("block", "other"), "b": F.greatest("block", "other")})
     wide = wide.select("component", "a", "b", "node", "block", "blocks", "copies", "tokens")
     wide = wide.repartition(shuffle_partitions(spark), "component", "a", "b").sortWithinPartitions("component", "a", "b")
