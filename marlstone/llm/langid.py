@@ -72,7 +72,7 @@ def counts(text: str) -> np.ndarray | None:
 
 def _unit(x: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(x, axis=-1, keepdims=True)
-    return x / np.where(norm > 0, norm, 1)
+    return x / np.where(norm > 0, norm, 1).astype(x.dtype)
 
 
 @dataclass
@@ -110,12 +110,12 @@ def inverse_frequency(df: np.ndarray, texts: int) -> np.ndarray:
     return np.log((1 + texts) / (1 + df)) + 1
 
 
-def fit_language(rows: list[np.ndarray], idf: np.ndarray, k: int = 4, lowest: float = 0.01, slack: float = 0.6) -> tuple[np.ndarray, float]:
-    """(centroids, floor) of a language from its texts' counts. The floor is slack times the lowest share's quantile
-    of the cosines."""
-    x = np.stack(rows).astype(np.float32)
+def fit_language(x: np.ndarray, idf: np.ndarray, k: int = 4, lowest: float = 0.01, slack: float = 0.6) -> tuple[np.ndarray, float]:
+    """(centroids, floor) of a language from its texts' counts, float32, which are changed. The floor is slack times
+    the lowest share's quantile of the cosines."""
     x *= idf.astype(np.float32)
-    x = _unit(x)
+    for i in range(len(x)):
+        x[i] = _unit(x[i])
     c = spherical_kmeans(x, k)
     return c, slack * float(np.quantile((x @ c.T).max(axis=1), lowest))
 
@@ -141,12 +141,6 @@ def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(v) for v in zip(*out)], names=["lang", "ord", "at", "n"])
 
 
-def _dense(at: bytes, n: bytes) -> np.ndarray:
-    c = np.zeros(DIMS, dtype=np.float32)
-    c[np.frombuffer(at, dtype="<u2")] = np.frombuffer(n, dtype="<f4")
-    return c
-
-
 def fit(documents: DataFrame, learnable: Column, train_rows: int = 500, most_rows: int = 200_000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """learnable: a condition on documents. train_rows: the documented bound of texts per language. Every language
     is learned; where there are so many that they would make more than most_rows together, each has its share of
@@ -175,8 +169,10 @@ def fit(documents: DataFrame, learnable: Column, train_rows: int = 500, most_row
 
     def one(table: pa.Table) -> pa.Table:
         order = np.argsort(table["ord"].to_numpy(), kind="stable")
-        at, n = table["at"].to_pylist(), table["n"].to_pylist()
-        c, floor = fit_language([_dense(at[i], n[i]) for i in order], idf)
+        x = np.zeros((len(order), DIMS), dtype=np.float32)
+        for r, i in enumerate(order.tolist()):
+            x[r, np.frombuffer(table["at"][i].as_buffer(), dtype="<u2")] = np.frombuffer(table["n"][i].as_buffer(), dtype="<f4")
+        c, floor = fit_language(x, idf)
         return pa.table({"lang": [table["lang"][0].as_py()], "k": pa.array([len(c)], pa.int32()), "centroids": pa.array([c.astype("<f4").tobytes()], pa.binary()), "floor": [floor]})
 
     got = sample.groupBy("lang").applyInArrow(one, "lang string, k int, centroids binary, floor double").collect()

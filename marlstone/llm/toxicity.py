@@ -83,12 +83,11 @@ def fit_ftrl(examples: list[tuple[np.ndarray, int]], bits: int = BITS, alpha: fl
         return Model(0.0, bits=bits)
     size = 1 << bits
     z, n = np.zeros(size + 1), np.zeros(size + 1)
-    strength = np.full(size + 1, l1)
-    strength[size] = 0.0
 
-    def weights(i: np.ndarray) -> np.ndarray:
-        zi = z[i]
-        return -(zi - np.clip(zi, -strength[i], strength[i])) / ((beta + np.sqrt(n[i])) / alpha + l2)
+    def weights(i) -> np.ndarray:
+        w = -(z[i] - np.clip(z[i], -l1, l1)) / ((beta + np.sqrt(n[i])) / alpha + l2)
+        w[-1] = -z[size] / ((beta + np.sqrt(n[size])) / alpha + l2)  # the bias comes last
+        return w
 
     for _ in range(epochs):
         for features, label in examples:
@@ -99,10 +98,9 @@ def fit_ftrl(examples: list[tuple[np.ndarray, int]], bits: int = BITS, alpha: fl
             root = np.sqrt(n[i])
             n[i] += g * g
             z[i] += g - (np.sqrt(n[i]) - root) / alpha * w
-    every = np.arange(size + 1)
-    w = weights(every)
-    kept = np.flatnonzero(w[:size])
-    return Model(float(w[size]), kept.astype(np.int32), w[kept].astype(np.float32), bits)
+    kept = np.append(np.flatnonzero(np.abs(z[:size]) > l1), size)
+    w = weights(kept)
+    return Model(float(w[-1]), kept[:-1].astype(np.int32), w[:-1].astype(np.float32), bits)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,10 +117,11 @@ def _fitted(most_features: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples, held = [], 0
         for batch in batches:
-            for toxic, features in zip(batch["toxic"].to_pylist(), batch["features"].to_pylist()):
-                held += len(features) // 4
+            for toxic, features in zip(batch["toxic"].to_pylist(), batch["features"]):
+                features = np.frombuffer(features.as_buffer(), dtype="<i4")
+                held += len(features)
                 if held <= most_features or not examples:
-                    examples.append((np.frombuffer(features, dtype="<i4"), toxic))
+                    examples.append((features, toxic))
         model = fit_ftrl(examples)
         yield pa.record_batch([pa.array([model.bias]), pa.array([model.index.astype("<i4").tobytes()], pa.binary()), pa.array([model.weight.astype("<f4").tobytes()], pa.binary())], names=["bias", "index", "weight"])
 
