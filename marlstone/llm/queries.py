@@ -34,19 +34,20 @@ TOOLS: toolcalls.Schemas = {
 
 def op4_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations read as tool use: a user's turn calls `answer` and needs the user's turn before it, a system
-    turn calls `summarise` and needs every user's turn, and an assistant's turn is the result of the call of the
-    turn before it. Other roles call a tool that is not known."""
+    turn calls `summarise` and needs the last user's turn, and so all of them, and an assistant's turn is the result
+    of the call of the turn before it. Other roles call a tool that is not known."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     ident = lambda turn: F.concat(F.lit("call_"), turn.cast("string"))
     asks = rows.where("role is null or role <> 'assistant'")
     name = F.when(F.col("role") == "user", "answer").when(F.col("role") == "system", "summarise").otherwise(F.col("role"))
     arguments = F.to_json(F.struct("turn", "text"))
-    # The user's turns of a conversation, two at a time: each needs the one before it, and the system's all.
+    # The user's turns of a conversation, two at a time: each needs the one before it, and the system's the last.
     turns = rows.where("role = 'user'").select("conv_id", "turn").distinct()
     before = turns.withColumn("before", F.lag("turn").over(Window.partitionBy("conv_id").orderBy("turn")))
     users = before.where("before is not null").select("conv_id", "turn", F.array(ident(F.col("before"))).alias("needs"))
-    systems = rows.where("role = 'system'").select("conv_id", F.col("turn").alias("at")).distinct()
-    systems = systems.join(turns, "conv_id").groupBy("conv_id", F.col("at").alias("turn")).agg(F.array_sort(F.collect_set(ident(F.col("turn")))).alias("needs"))
+    systems = rows.where("role = 'system'").select("conv_id", "turn").distinct()
+    last = turns.groupBy("conv_id").agg(F.max("turn").alias("last"))
+    systems = systems.join(last, "conv_id").select("conv_id", "turn", F.array(ident(F.col("last"))).alias("needs"))
     needs = users.withColumn("role", F.lit("user")).unionByName(systems.withColumn("role", F.lit("system")))
     calls = asks.join(needs, ["conv_id", "turn", "role"], "left").select("conv_id", ident(F.col("turn")).alias("call_id"), "turn", name.alias("name"), arguments.alias("arguments"), "needs")
     results = rows.where("role = 'assistant'").select("conv_id", ident(F.col("turn") - 1).alias("call_id"), "turn", F.col("text").alias("content"))
@@ -138,7 +139,7 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return tokenfile.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 50257)
+    return tokenfile.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def language_model(spark: SparkSession, sf_dir: str) -> langid.Model:

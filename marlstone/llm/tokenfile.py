@@ -1,6 +1,6 @@
 """Token-id files with fixed-width bit packing.
 
-Every id takes the fewest bits that hold any id of the vocabulary. A file is one bounded run of documents in
+Every id takes the fewest bits that hold any id of the tokenizer's vocabulary; one that needs more is an error. A file is one bounded run of documents in
 ascending id order: a header, the documents' ids and lengths, the byte offsets of the blocks, and the blocks,
 each of BLOCK ids packed low bit first and filled up to whole bytes. With the offsets a reader unpacks any block
 by itself, in numpy, without touching the rest. Files are written by Spark's own writer, so that they go
@@ -40,8 +40,17 @@ def bits_for(vocabulary: int) -> int:
     return max(1, (vocabulary - 1).bit_length())
 
 
+def vocabulary_of(path: str) -> int:
+    """One more than the greatest id of a tokenizer's file."""
+    from tokenizers import Tokenizer
+
+    return max(Tokenizer.from_file(path).get_vocab().values(), default=0) + 1
+
+
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """ids, low bit first, bits each, filled up to a whole byte."""
+    if bits < 32 and len(ids) and int(ids.max()) >> bits:
+        raise ValueError(f"id {int(ids.max())} needs more than {bits} bits")
     if bits in (8, 16, 32):
         return ids.astype(f"<u{bits // 8}").tobytes()
     as_bits = (ids.astype("<u4")[:, None] >> np.arange(bits, dtype="<u4")) & 1
@@ -130,6 +139,8 @@ class Encoder:
         self.marked = re.compile(r"([^\W\d_]+)([^\w\s]+)").fullmatch
         self.edgy: set[str] = {""}  # pieces met with white space at an end
         self.kind, self.wide = f"<u{wide}", wide
+        if max(self.tokenizer.get_vocab().values(), default=0) >> 8 * wide:
+            raise ValueError(f"ids of {path} need more than {wide} bytes")
         self.seen: dict[str, bytes] = {}  # by the piece without its space
         newline, *parts = self._raw(["\n", "a", " b", "c", "a\n b\nc"])
         self.newline = newline[0]
@@ -264,10 +275,10 @@ def _files(bits: int):
     return run
 
 
-def write_token_files(df: DataFrame, path: str, tokenizer: str, vocabulary: int, end_id: int, id_col: str = "doc_id", text_col: str = "text") -> None:
+def write_token_files(df: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encode every text and write the files of the table to the folder path. tokenizer: a path that is the
     same on all executors."""
-    bits = bits_for(vocabulary)
+    bits = bits_for(max(vocabulary_of(tokenizer), end_id + 1))
     bounded_batches(df.sparkSession)
     plain = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     dealt = ordered_buckets(plain, "doc_id", "text", shuffle_partitions(df.sparkSession))
@@ -307,8 +318,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     return local.select("doc_id", (F.col("start") + offset).alias("start"), "n_tokens", "ids_crc32")
 
 
-def round_trip(df: DataFrame, tokenizer: str, vocabulary: int, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(df: DataFrame, tokenizer: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the token files of df to the shared folder and read them back."""
     path = fresh_path(df.sparkSession, "tokens")
-    write_token_files(df, path, tokenizer, vocabulary, end_id, id_col, text_col)
+    write_token_files(df, path, tokenizer, end_id, id_col, text_col)
     return read_token_files(df.sparkSession, path)

@@ -52,7 +52,7 @@ def test_pieces_encode_like_whole_texts(tokenizer, encoder, text):
 
 
 def test_query_equals_brute_force(docs, spark, tokenizer):
-    got = {r.doc_id: r for r in tf.round_trip(docs, PATH, 50257).collect()}
+    got = {r.doc_id: r for r in tf.round_trip(docs, PATH).collect()}
     at = 0
     for r in docs.orderBy("doc_id").collect():
         ids = [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0]
@@ -62,7 +62,7 @@ def test_query_equals_brute_force(docs, spark, tokenizer):
 
 
 def test_odd_rows(odd, empty, monkeypatch):
-    rows = sorted(tf.round_trip(odd, PATH, 50257).collect(), key=lambda r: r.start)
+    rows = sorted(tf.round_trip(odd, PATH).collect(), key=lambda r: r.start)
     assert len(rows) == 12 and rows[0].doc_id is None
     assert [r.doc_id for r in rows[1:]] == sorted(r.doc_id for r in rows[1:])
     at = 0
@@ -70,4 +70,12 @@ def test_odd_rows(odd, empty, monkeypatch):
         assert r.start == at
         at += r.n_tokens
     assert [r.n_tokens for r in rows if r.doc_id in (1, 2)] == [1, 1]
-    assert tf.round_trip(empty, PATH, 50257).collect() == []
+    assert tf.round_trip(empty, PATH).collect() == []
+
+
+def test_ids_that_need_more_bits_are_errors():
+    with pytest.raises(ValueError):
+        tf.pack(np.array([5, 8], dtype="<u4"), 3)
+    with pytest.raises(ValueError):
+        tf.Encoder(PATH, 1)
+    assert tf.vocabulary_of(PATH) == max(Tokenizer.from_file(PATH).get_vocab().values()) + 1
