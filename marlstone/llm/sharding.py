@@ -28,7 +28,7 @@ def histogram_sort_shards(
     id_col: str = "doc_id",
     text_col: str = "text",
     tolerance: float = 0.002,
-    cell_bytes: int = 64 << 20,
+    cell_bytes: int = 16 << 20,
     max_cells: int = 1024,
 ) -> DataFrame:
     """df with size, shard and slot. tolerance: of a shard's ideal bytes, at each of its edges.
@@ -50,7 +50,8 @@ def histogram_sort_shards(
     for s, rows in zip(shard_of, cells.counts):
         before.append(seen.get(s, 0))
         seen[s] = seen.get(s, 0) + rows
-    placed = keyed.withColumn(cell, cell_of(F.col(k1), F.col(k2), cells.boundaries))
+    # Each cell is a partition of its own, so that none meets another by its hash.
+    placed = keyed.withColumn(cell, cell_of(F.col(k1), F.col(k2), cells.boundaries).cast("int")).repartitionById(len(shard_of), F.col(cell))
     rank = F.row_number().over(Window.partitionBy(cell).orderBy(k1, F.col(id_col), k2))
     return placed.withColumns({
         "shard": F.element_at(array_literal(shard_of, "int"), F.col(cell) + 1),

@@ -70,12 +70,17 @@ class Cells:
         return [b - a for a, b in zip(edges, edges[1:])]
 
 
-def find_splitters(keyed: DataFrame, targets: list[tuple[float, float]], probes: int = 31, max_rounds: int = 64) -> Cells:
+#: Boundaries counted in one round, but for one for each open target.
+_MOST_PROBES = 8192
+
+
+def find_splitters(keyed: DataFrame, targets: list[tuple[float, float]], probes: int = 31) -> Cells:
     """Boundaries at which the bytes below meet the targets.
 
     keyed: columns k1, k2, size (longs, not null). targets: (share of all bytes, tolerated error as a share
     of all bytes), ascending. A target is met by the first boundary within its tolerance; if a single key
-    holds so many bytes that none is, by the nearest. Edges of k1 are probed before k2 divides a k1.
+    holds so many bytes that none is, by the nearest. Edges of k1 are probed before k2 divides a k1. Every round
+    narrows what holds an open target, down to two neighbouring keys, so the rounds end by themselves.
     """
     top = keyed.agg(
         F.coalesce(F.sum("size"), F.lit(0)), F.count("*"), F.min(F.struct("k1", "k2")), F.max(F.struct("k1", "k2"))
@@ -87,8 +92,9 @@ def find_splitters(keyed: DataFrame, targets: list[tuple[float, float]], probes:
     at, below = [low, high], {low: (0, 0), high: (total, rows)}
     goals = [(share * total, max(0.0, slack * total)) for share, slack in targets]
     chosen: dict[int, int] = {}
-    for _ in range(max_rounds):
+    while True:
         asked: set[int] = set()
+        each = max(1, min(probes, _MOST_PROBES // max(1, len(goals) - len(chosen))))
         for j, (goal, slack) in enumerate(goals):
             if j in chosen:
                 continue
@@ -99,7 +105,7 @@ def find_splitters(keyed: DataFrame, targets: list[tuple[float, float]], probes:
             if abs(below[best][0] - goal) <= slack or hi - lo <= 1:
                 chosen[j] = best
                 continue
-            found = {lo + (hi - lo) * p // (probes + 1) for p in range(1, probes + 1)}
+            found = {lo + (hi - lo) * p // (each + 1) for p in range(1, each + 1)}
             share = (goal - below[lo][0]) / max(1, below[hi][0] - below[lo][0])
             found.add(lo + int((hi - lo) * share))
             if hi - lo > 2 * _SPAN:  # between k1 values

@@ -51,3 +51,21 @@ def test_splitters_equal_brute_force(spark):
     assert len(cells.boundaries) == 7
     for j, below in enumerate(cells.bytes_below, 1):
         assert abs(below / cells.total_bytes - j / 8) < 0.01
+
+
+def test_shards_and_slots_equal_a_sorted_list(docs, spark):
+    """Shard and slot are the place in the list sorted by the hash of the text, cut near each sixteenth of all bytes."""
+    from pyspark.sql import functions as F
+
+    some = docs.where("text is not null").dropDuplicates(["text"])
+    got = histogram_sort_shards(some, cell_bytes=3000).withColumn("h", F.xxhash64("text")).collect()
+    order = sorted(got, key=lambda r: r.h)
+    assert [(r.shard, r.slot) for r in order] == sorted((r.shard, r.slot) for r in got)
+    total, below, cuts = sum(r.size for r in got), 0, {}
+    for r in order:
+        cuts.setdefault(r.shard, below)
+        below += r.size
+    most = max(r.size for r in got)
+    for j in range(1, 16):
+        edge = min((c for s, c in cuts.items() if s >= j), default=total)
+        assert abs(edge - j / 16 * total) <= 0.002 / 16 * total + most
