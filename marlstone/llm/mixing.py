@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import fresh, save, seeded_unit
+from ._shared import array_literal, fresh, save, seeded_unit, shuffle_partitions
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Rows of the table of sources up to which it is broadcast.
@@ -26,28 +26,41 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def _numbered(by: DataFrame) -> DataFrame:
+    """by with number, from 0, of its sources by code point, null last: ranks in ranges and the rows of the ranges
+    before, so that no task numbers them all."""
+    spark = by.sparkSession
+    ranges = by.repartitionByRange(shuffle_partitions(spark), F.col("source").asc_nulls_last()).withColumn("range", F.spark_partition_id())
+    ranges = save(ranges, "source-ranges")  # the ranges are sampled: written, so that they stay the same
+    counts = {r["range"]: r["count"] for r in ranges.groupBy("range").count().collect()}  # a row for each range
+    before, n = [], 0
+    for i in range(max(counts, default=-1) + 1):
+        before.append(n)
+        n += counts.get(i, 0)
+    rank = F.row_number().over(Window.partitionBy("range").orderBy(F.col("source").asc_nulls_last())) - 1
+    return ranges.withColumn("number", rank + F.element_at(array_literal(before or [0], "bigint"), F.col("range") + 1)).drop("range")
+
+
 def source_targets(sized: DataFrame, source_col: str, size_col: str, weights: tuple[int, ...], most: int) -> DataFrame:
     """One row per source: source, source_size, target.
 
     Targets fill like water: all sources stand at one level per unit of weight, except those whose level is
-    capped at most * words. Sorted by cap per weight, the capped ones come first; the level is what is left
-    over the weights that are left. Sources are ordered by code point, null last, for their weights."""
+    capped at most * words. The level starts as if none were capped; those above their cap at it are, what they
+    leave raises the level for the rest, and so on until no more are above. Sources are ordered by code point, null
+    last, for their weights. Sums are of whole numbers, exact in any order up to 2 ** 53."""
     by = sized.groupBy(F.col(source_col).alias("source")).agg(F.sum(size_col).alias("source_size"))
-    order = Window.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))
-    by = by.withColumn("weight", weight).withColumn("cap", F.col("source_size") * F.lit(float(most)))
-    fill = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").asc_nulls_last())
-    before = fill.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    by = by.withColumns({
-        "used": F.coalesce(F.sum("cap").over(before), F.lit(0.0)),
-        "left": F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)),
-        "total": F.sum("source_size").over(whole).cast("double"),
-    })
-    # The level if this source and all after it are uncapped; the first source below its cap fixes it for all.
-    by = by.withColumn("level", (F.col("total") - F.col("used")) / F.col("left"))
-    level = F.min(F.when(F.col("level") * F.col("weight") <= F.col("cap"), F.struct((F.col("cap") / F.col("weight")).alias("at"), F.col("level").alias("v")))).over(whole)["v"]
-    target = F.when(F.col("source_size") == 0, F.lit(0.0)).otherwise(F.least(F.col("cap"), level * F.col("weight")))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("number") % len(weights) + 1).cast("int"))
+    by = save(_numbered(by).withColumns({"weight": weight, "cap": F.col("source_size") * F.lit(float(most))}).drop("number"), "source-weights")
+    total, capped, level = None, -1, 0.0
+    while True:
+        over = F.col("cap") < F.lit(level) * F.col("weight")
+        now = by.agg(F.sum("source_size").cast("double").alias("total"), F.count_if(over).alias("n"), F.sum(F.when(over, F.col("cap"))).alias("used"), F.sum(F.when(~over, F.col("weight"))).alias("left")).first()
+        if total is None:
+            total = now["total"] or 0.0
+        if now["n"] == capped or not now["left"]:
+            break
+        capped, level = now["n"], (total - (now["used"] or 0.0)) / now["left"]
+    target = F.when(F.col("source_size") == 0, F.lit(0.0)).otherwise(F.least(F.col("cap"), F.lit(level) * F.col("weight")))
     return by.withColumn("target", target).select("source", "source_size", "target")
 
 
@@ -64,7 +77,9 @@ def mix(
     key, = fresh(df, "mt_source")
     size, = fresh(df, "mt_size")
     narrow = save(df.select(F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")).groupBy("source").agg(F.sum("size").alias("size")), "source-words")
-    targets = save(source_targets(narrow, "source", "size", weights, most), "source-targets")
+    targets = source_targets(narrow, "source", "size", weights, most)
+    # A source with a third of all rows is split by the join where its side is not broadcast: nothing above needs its
+    # rows together.
     small = targets.count() <= BROADCAST_SOURCES
     # A null source joins by a key that no source has.
     as_key = lambda c: F.concat(F.when(c.isNull(), F.lit("n")).otherwise(F.lit("s")), F.coalesce(c, F.lit("")))
