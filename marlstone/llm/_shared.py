@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import json
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -26,9 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; one of our own only where that is unset, as in tests."""
+    """The folder named in spark.checkpoint.dir; one of our own only where that is unset and driver and executors
+    are one process, as in tests."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="marlstone-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")

@@ -105,3 +105,53 @@ def test_odd_rows(odd, empty):
     whole(rows, odd.collect(), LENGTHS)
     assert all(r.length == 0 and r.bin is None for r in rows if r.doc_id in (1, 2, 3))
     assert pack(empty).collect() == []
+
+
+def item_by_item(lengths, sizes, cost):
+    """The least cost over all plans, made by placing one item after the other."""
+    best = None
+    for least in sizes:
+        bins = []  # [capacity, used]
+        for n in sorted(lengths, reverse=True):
+            fit = [b for b in bins if b[0] - b[1] >= n]
+            if fit:
+                b = min(fit, key=lambda b: b[0] - b[1])
+            else:
+                shorter = sum(x for x in lengths if x < n)
+                b = [min((s for s in sizes if s >= n and s >= least), default=max(sizes), key=lambda s: (cost(s) / min(s, s // n * n + shorter), s)), 0]
+                bins.append(b)
+            b[1] += n
+        total = sum(cost(min(s for s in sizes if s >= used)) for _, used in bins)
+        best = total if best is None else min(best, total)
+    return best
+
+
+def cheapest(lengths, sizes, cost):
+    """The least cost of any packing, by trying all."""
+    best = [sum(cost(min(s for s in sizes if s >= n)) for n in lengths)]
+
+    def place(i, bins):
+        if i == len(lengths):
+            best[0] = min(best[0], sum(cost(min(s for s in sizes if s >= b)) for b in bins))
+            return
+        for b in sorted(set(bins)):
+            if b + lengths[i] <= max(sizes):
+                rest = list(bins)
+                rest[rest.index(b)] += lengths[i]
+                place(i + 1, rest)
+        place(i + 1, [*bins, lengths[i]])
+
+    place(0, [])
+    return best[0]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_several_sizes_equal_item_by_item_and_are_near_the_cheapest(seed):
+    r = random.Random(seed)
+    sizes, cost = (8, 16, 32), lambda n: n + n * n / 64 + 2
+    lengths = [r.randint(1, 32) for _ in range(8)]
+    plan = plan_bins({n: lengths.count(n) for n in set(lengths)}, sizes, cost)
+    assert abs(plan.cost - item_by_item(lengths, sizes, cost)) < 1e-9
+    assert cheapest(lengths, sizes, cost) - 1e-9 <= plan.cost <= 1.25 * cheapest(lengths, sizes, cost)
+    many = [r.randint(1, 32) for _ in range(300)]
+    assert abs(plan_bins({n: many.count(n) for n in set(many)}, sizes, cost).cost - item_by_item(many, sizes, cost)) < 1e-6
