@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 
@@ -18,7 +20,9 @@ def ship(spark: SparkSession) -> None:
         return
     _sent.add(context.applicationId)
     top = os.path.dirname(os.path.abspath(__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="marlstone-"), "marlstone.zip")
+    folder = tempfile.mkdtemp(prefix="marlstone-")  # code, served to the executors from here until the end
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "marlstone.zip")
     with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
         for folder, _, names in os.walk(top):
             for name in names:
