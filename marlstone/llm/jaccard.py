@@ -8,10 +8,11 @@ on min-hash sketches.
 
 A larger bucket is dealt out to slices, each with the same PIVOTS nodes of the bucket, and its nodes are compared
 with these alone: work in proportion to the bucket. A node nearly equal to a pivot is settled, because whatever is
-over the threshold with it is linked to that pivot too. If every node is like some pivot, the bucket is done; else
-those that are not settled choose again, and so are split until their buckets are small. Texts that share a passage
-and no more are like no pivot and drop out of each other's buckets after a few choices. What would still be
-together after LAST choices is linked until verified. Runs are repeated so often that a pair at the threshold is
+over the threshold with it is linked to that pivot too. If every node is like some pivot, the bucket is done; if up
+to SMALL are like none, these are compared with all that are not settled, and it is done too; else those that are
+not settled choose again, and so are split until their buckets are small. Texts that share a passage and no more are
+like no pivot and drop out of each other's buckets after a few choices. What would still be together after LAST
+choices is linked until verified. Runs are repeated so often that a pair at the threshold is
 found with the target recall even if its bucket is split to the third choice.
 
 What the sketches link forms groups, and within a group every pair is verified on the exact sets, in blocks of
@@ -49,11 +50,11 @@ SMALL, PIVOTS, SLICE = 64, 32, 512
 BLOCK, MOST_BLOCK, BLOCK_TOKENS = 192, 512, 1 << 20
 #: Rows, of a few longs each, up to which a counted side of a join is broadcast instead of moving all sets.
 FEW_ROWS = 100_000
-#: Choices that the number of runs allows for, and at most.
-DEPTH, LAST = 3, 16
+#: Choices that the number of runs allows for, made at a time after the first, and at most.
+DEPTH, STEP, LAST = 3, 2, 17
 #: Minima kept of a set; the share of equal ones from which a pair is verified, five deviations under 0.8, and from
 #: which a node is settled by a pivot.
-SKETCH, LIKELY, SETTLED = 128, 0.62, 0.9
+SKETCH, LIKELY, SETTLED = 128, 0.62, 0.85
 _WORD = re.compile(r"\w+")
 _KNOWN_WORDS = 200_000
 _U = np.uint64
@@ -163,14 +164,16 @@ def _sets(runs: int, threshold: float):
 
 
 def _deeper(threshold: float):
-    """Nodes with the paths by which they go on from theirs."""
+    """Nodes with the paths by which they go on from theirs, STEP choices on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            on = [
-                chosen(np.frombuffer(tokens, dtype="<u4"), np.array(paths, dtype=np.int64).view(np.uint64), threshold).view(np.int64)
-                for tokens, paths in zip(batch["tokens"].to_pylist(), batch["paths"].to_pylist())
-            ]
+            on = []
+            for tokens, paths in zip(batch["tokens"].to_pylist(), batch["paths"].to_pylist()):
+                ends = np.array(paths, dtype=np.int64).view(np.uint64)
+                for _ in range(STEP):
+                    ends = chosen(np.frombuffer(tokens, dtype="<u4"), ends, threshold)
+                on.append(ends.view(np.int64))
             yield pa.record_batch([batch["node"], batch["tokens"], batch["sketch"], pa.array(on, pa.list_(pa.int64()))], names=["node", "tokens", "sketch", "paths"])
 
     return run
@@ -206,20 +209,22 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return [(i, int(r)) for i, r in enumerate(root) if i != r]
 
 
-#: Rows that _compare gives: an edge, a node of a path that goes on, the same of one that is like no pivot.
+#: Rows that _compare gives: an edge, a node of a path that is not settled, the same of one that is like no pivot.
 _EDGE, _OPEN, _STRANGER = 0, 1, 2
+#: How a bucket's nodes are compared: each with each, with its pivots, or with its strangers for the last time.
+_ALL, _PIVOTS, _STRANGERS = 0, 1, 2
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of a small bucket the spanning edges of nodes with like sketches; of a slice of a large one the edges to its
-    pivots and, as (path, node), the nodes that no pivot settles."""
+    pivots or strangers and, as (path, node), the nodes that no pivot settles."""
     names = ["kind", "u", "v"]
     out: list[tuple[int, int, int]] = []
     for rows in _groups(batches, ["b", "slice"]):
         rows = sorted({r["node"]: r for r in rows}.values(), key=lambda r: (not r["pivot"], r["node"]))
         nodes, b = [r["node"] for r in rows], rows[0]["b"]
         s = np.frombuffer(b"".join(r["sketch"] for r in rows), dtype="<u2").reshape(len(rows), SKETCH)
-        if not rows[0]["large"]:
+        if rows[0]["how"] == _ALL:
             if len(rows) > 1:
                 alike = np.stack([sketches_alike(x, s) for x in s]) >= LIKELY
                 out += [(_EDGE, nodes[i], nodes[r]) for i, r in forest(alike)]
@@ -231,7 +236,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 like = np.flatnonzero(near >= LIKELY)
                 if i < p:
                     like = like[like < i]  # pivots among themselves
-                elif near.max() < SETTLED:
+                elif rows[0]["how"] == _PIVOTS and near.max() < SETTLED:
                     out.append((_OPEN if len(like) else _STRANGER, b, nodes[i]))
                 if len(like):
                     joined |= {(int(like[0]), int(k)) for k in like[1:]}
@@ -303,33 +308,34 @@ def _candidate_edges(sets: DataFrame, nodes: DataFrame, threshold: float) -> Dat
     that stand for their copies."""
     parts = shuffle_partitions(sets.sparkSession)
     here, rows = sets, sets.select("node", "paths").join(nodes.select("node"), "node", "left_semi").select("node", F.explode("paths").alias("b"))
-    edges = None
-    for depth in count(1):
+    edges = last = None
+    for depth in count(1, STEP):
         sizes = save(rows.groupBy("b").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1"), "buckets")
-        met = rows.join(sizes, "b")
-        if depth == LAST:
-            stars = met.where(F.col("size") > SMALL).select(F.col("node").alias("u"), F.col("least").alias("v"))
-            met = met.where(F.col("size") <= SMALL)
-        large = F.col("size") > SMALL
-        slices = F.when(large, F.ceil(F.col("size") / SLICE)).otherwise(1).cast("int")
+        met, large = rows.join(sizes, "b"), F.col("size") > SMALL
+        if depth >= LAST:
+            stars = met.where(large).select(F.col("node").alias("u"), F.col("least").alias("v"))
+            edges, met = edges.unionByName(stars), met.where(~large)
         pivot = large & (F.pmod(F.xxhash64("b", "node"), F.col("size")) < PIVOTS)
-        met = met.select("b", "node", large.alias("large"), pivot.alias("pivot"), slices.alias("slices"))
+        met = met.select("b", "node", F.when(large, _PIVOTS).otherwise(_ALL).alias("how"), pivot.alias("pivot"), F.when(large, F.ceil(F.col("size") / SLICE)).otherwise(1).cast("int").alias("slices"))
+        met = met if last is None else met.unionByName(last)
         own = F.array(F.pmod(F.xxhash64("node", "b", F.lit(1)), F.col("slices")).cast("int"))
         met = met.withColumn("slice", F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("slices") - 1)).otherwise(own)))
-        met = met.join(here.select("node", "sketch"), "node").select("b", "slice", "node", "large", "pivot", "sketch")
+        met = met.join(here.select("node", "sketch"), "node").select("b", "slice", "node", "how", "pivot", "sketch")
         met = met.repartition(parts, "b", "slice").sortWithinPartitions("b", "slice")
         found = save(met.mapInArrow(_compare, "kind long, u long, v long"), "compared")
         now = found.where(F.col("kind") == _EDGE).select("u", "v")
         edges = now if edges is None else edges.unionByName(now)
-        if depth == LAST:
-            return edges.unionByName(stars)
-        strangers = found.where(F.col("kind") == _STRANGER)
-        several, left = found.agg(F.count_if(F.col("kind") == _STRANGER), F.count_if(F.col("kind") != _EDGE)).first()
-        if not several:
+        left, strangers = found.agg(F.count_if(F.col("kind") != _EDGE), F.count_if(F.col("kind") == _STRANGER)).first()
+        if not strangers:
             return edges
-        strangers = strangers.select("u").distinct()
+        # What is not settled, of buckets with strangers: by how many these are the bucket ends here or is split.
+        rest = found.where(F.col("kind") != _EDGE).select(F.col("u").alias("b"), F.col("v").alias("node"), (F.col("kind") == _STRANGER).alias("pivot"))
+        of = save(rest.groupBy("b").agg(F.count_if("pivot").alias("strangers"), F.ceil(F.count("*") / SLICE).cast("int").alias("slices")).where("strangers > 0"), "strangers")
+        rest = rest.join(of, "b")
+        ends = F.col("strangers") <= SMALL
+        last = rest.where(ends).select("b", "node", F.lit(_STRANGERS).alias("how"), "pivot", "slices")
         # A node has few paths: as many as it chose, over all runs.
-        on = found.where(F.col("kind") != _EDGE).join(strangers, "u", "left_semi").groupBy(F.col("v").alias("node")).agg(F.collect_set("u").alias("paths"))
+        on = rest.groupBy("node").agg(F.collect_set(F.when(~ends, F.col("b"))).alias("paths"))
         on = here.select("node", "tokens", "sketch").join(F.broadcast(on) if left <= FEW_ROWS else on, "node")
         here = save(on.mapInArrow(_deeper(threshold), "node long, tokens binary, sketch binary, paths array<bigint>"), "open")
         rows = here.select("node", F.explode("paths").alias("b"))
