@@ -35,6 +35,7 @@ WHOLE_WORDS = (
     "cleft lip", "cleft palate", "oral surgery", "oral pathol", "dental material", "dental cement", "dental anest", "trigeminal",
     "inferior alveolar nerve", "lingual nerve",
 )
+# The same for abstracts.
 ABSTRACT_WORDS = (
     "dent(?:al|ist|in|ition|ure)", "tooth", "teeth", "molar", "premolar", "incisor", "canine teeth",
     "oral (?:health|cavity|mucosa|cancer|surgery|hygiene|pathol)", "gingiv", "periodon", "endodon", "orthodon", "prosthodon",

@@ -102,6 +102,7 @@ def block_features(lines: Column) -> Column:
     return let(F.transform(lines, line_features), of)
 
 
+# Fixed values, too: the tags, their order, the thresholds and the reasons of block_class, and those of quality.
 def block_class(lines: Column, f: Column, position: Column, in_index: Column, in_refs: Column) -> Column:
     """struct<tag, reason> of a block by its features, its place in the text (0 to 1) and what goes on before it;
     the first rule that holds."""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import SPACE, let, strip, sub, text_of, word_count, words
 from ..functions.text import prefilter
+from .rows import SLICE_ROWS, draw, offsets, sliced
 
 BLANK_LINE = f"\\n{SPACE}*\\n"
 
@@ -152,31 +153,32 @@ def running_concat(df: DataFrame, group: str, order: str, text_col: str = "text"
     return rows.repartition(group).sortWithinPartitions(group, order).select(group, "t").mapInArrow(fold, f"`{group}` {kind}, chunk_idx long, text string, n_rows long")
 
 
-def pack_tokens(df: DataFrame, order: str, tokens: str, length: int, slices: int = 64) -> DataFrame:
+def pack_tokens(df: DataFrame, order: str, tokens: str, length: int, rows: int = SLICE_ROWS, shuffle: str | None = None, max_sequences: int = 0) -> DataFrame:
     """Fixed blocks cut from all rows' tokens in order: block, tokens. The tail that fills no block is dropped.
+    shuffle: a seed, by which rows are put in the order of a draw instead; max_sequences: blocks at most (0: all).
 
     A row's offset is a prefix sum in two steps: sums of slices of the order, which are few, and sums within."""
-    bounds = df.stat.approxQuantile(order, [i / slices for i in range(1, slices)], 0.01) if slices > 1 else []
-    rows = df.select(F.col(order).alias("o"), F.col(tokens).alias("t"))
-    which = F.lit(0)
-    for b in sorted(set(bounds)):
-        which = which + (F.col("o") > b).cast("int")
-    rows = rows.withColumn("slice", which)
-    sums = {r[0]: r[1] or 0 for r in rows.groupBy("slice").agg(F.sum(F.size("t"))).collect()}  # a row for each slice
-    before, total = [], 0
-    for i in range(max(sums, default=-1) + 1):
-        before.append(total)
-        total += sums.get(i, 0)
-    inner = F.sum(F.size("t")).over(Window.partitionBy("slice").orderBy("o").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.size("t")
-    offset = F.element_at(F.array(*[F.lit(b) for b in before or [0]]), F.col("slice") + 1)
-    placed = rows.withColumn("at", inner + offset).where(F.size("t") > 0)
+    kept = df.select(F.col(order).alias("o") if shuffle is None else draw(shuffle, F.col(order)).alias("o"), F.col(tokens).alias("t"))
+    parts, _ = sliced(kept, "o", rows)
+    before, total = offsets(parts, F.size("t"))
+    blocks = total // length if max_sequences <= 0 else min(max_sequences, total // length)
+    inner = F.sum(F.size("t")).over(Window.partitionBy("_slice").orderBy("o").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.size("t")
+    placed = parts.withColumn("at", inner + before).where(F.size("t") > 0)
     # A row goes to each block that it reaches, with only its part of it.
     first, last = F.floor(F.col("at") / length), F.floor((F.col("at") + F.size("t") - 1) / length)
-    parts = placed.withColumn("block", F.explode(F.sequence(first, last))).where(F.col("block") < total // length)
+    cut = placed.withColumn("block", F.explode(F.sequence(first, last))).where(F.col("block") < blocks)
     lo = F.greatest(F.lit(0), F.col("block") * length - F.col("at"))
     hi = F.least(F.size("t"), (F.col("block") + 1) * length - F.col("at"))
-    parts = parts.select("block", F.struct((F.col("at") + lo).alias("at"), F.slice("t", (lo + 1).cast("int"), (hi - lo).cast("int")).alias("t")).alias("p"))
-    return parts.groupBy("block").agg(F.flatten(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["t"])).alias("tokens"))
+    cut = cut.select("block", F.struct((F.col("at") + lo).alias("at"), F.slice("t", (lo + 1).cast("int"), (hi - lo).cast("int")).alias("t")).alias("p"))
+    return cut.groupBy("block").agg(F.flatten(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["t"])).alias("tokens"))
+
+
+def packing_summary(df: DataFrame, tokens: str, length: int, max_sequences: int = 0) -> DataFrame:
+    """One row: documents, tokens, sequences, used_tokens and dropped_tokens of pack_tokens."""
+    total = F.coalesce(F.sum(F.size(tokens)), F.lit(0)).cast("long")
+    whole = F.floor(total / length)
+    sums = df.agg(F.count("*").alias("documents"), total.alias("tokens"), (whole if max_sequences <= 0 else F.least(whole, F.lit(max_sequences))).alias("sequences"))
+    return sums.withColumn("used_tokens", F.col("sequences") * length).withColumn("dropped_tokens", F.col("tokens") - F.col("used_tokens"))
 
 
 __all__ = [n for n in dir() if not n.startswith("_") and n not in ("annotations", "sub")]

@@ -36,13 +36,21 @@ class Echo:
         return self.prefix + prompt
 
 
+def share_of(quota: int, workers: int) -> int:
+    """What one of so many workers may use of a quota for all of them, so that together they keep it."""
+    if quota < workers:
+        raise ValueError(f"a quota of {quota} cannot be shared by {workers} workers: use fewer")
+    return quota // workers
+
+
 class Limited:
     """Keys in turn, each with so many requests and tokens in any 60 seconds, parked for a while after a refusal.
-    now and sleep are the clock's."""
+    The quota is that of the key; ask() runs workers tasks at a time, each with its share (workers), so that a key's
+    quota holds over all of them. now and sleep are the clock's."""
 
-    def __init__(self, providers: list[Provider], requests: int = 12, tokens: int = 240_000, park: float = 60.0, tries: int = 4, now=time.monotonic, sleep=time.sleep):
+    def __init__(self, providers: list[Provider], requests: int = 12, tokens: int = 240_000, park: float = 60.0, tries: int = 4, workers: int = 1, now=time.monotonic, sleep=time.sleep):
         self.keys = [(p, deque()) for p in providers]
-        self.requests, self.tokens, self.park, self.tries, self.now, self.sleep = requests, tokens, park, tries, now, sleep
+        self.requests, self.tokens, self.park, self.tries, self.now, self.sleep = share_of(requests, workers), share_of(tokens, workers), park, tries, now, sleep
         self.parked = [0.0] * len(providers)
 
     def _free(self, cost: int) -> int | None:
@@ -114,9 +122,11 @@ def reassemble(chunks: DataFrame, book: str, idx: str, original: str, answer: st
     return rows.select(book, F.when(~failed, text).alias("text"), F.size("c").alias("chunks"))
 
 
-def batched_prompts(df: DataFrame, order: str, item: Column, head: str, size: int = 20, slices: int = 64) -> DataFrame:
+def batched_prompts(df: DataFrame, order: str, item: Column, head: str, size: int = 20, slices: int | None = None) -> DataFrame:
     """Prompts of up to size items each, as a JSON list behind head: batch, prompt, members (ids in order). Items
-    are batched within slices of the hash of their id, so that no task numbers them all."""
+    are batched within slices of the hash of their id, of some thousand batches each, so that no task numbers them
+    all."""
+    slices = slices or max(1, -(-df.count() // (1000 * size)))
     rows = df.select(F.col(order).alias("o"), item.alias("item")).withColumn("slice", F.pmod(F.xxhash64("o"), F.lit(slices)))
     n = F.row_number().over(Window.partitionBy("slice").orderBy("o")) - 1
     rows = rows.withColumn("batch", F.concat_ws(":", "slice", F.floor(n / size)))
@@ -124,6 +134,17 @@ def batched_prompts(df: DataFrame, order: str, item: Column, head: str, size: in
     return g.select("batch", F.concat(F.lit(head), F.lit("\n\n"), F.to_json(F.transform("m", lambda x: x["item"]))).alias("prompt"), F.transform("m", lambda x: x["o"]).alias("members"))
 
 
+def cleaned_turns(answers: DataFrame) -> DataFrame:
+    """id, text of answered batches (members, turns, answer): the answer is a JSON list of {i, text}; a turn whose i
+    is missing, out of range or given an empty text keeps its own, of several texts for one i the last counts."""
+    list_ = F.regexp_extract(text_of(F.col("answer")), "(?s)(\\[.*\\])", 1)
+    given = F.coalesce(F.from_json(list_, "array<struct<i:int,text:string>>"), F.array().cast("array<struct<i:int,text:string>>"))
+    rows = answers.withColumn("given", given).select("turns", "given", F.posexplode("members").alias("i", "id"))
+    mine = F.filter("given", lambda g: (g["i"] == F.col("i")) & (strip(text_of(g["text"])) != ""))
+    last = F.when(F.size(mine) > 0, strip(F.element_at(mine, -1)["text"]))
+    return rows.select("id", F.coalesce(last, F.get("turns", F.col("i"))).alias("text"))
+
+
 def tagged(answers: DataFrame, topics: list[str], default: str = "Dentistry") -> DataFrame:
     """id, topic of answered batches (members, answer): topics not listed, missing or unreadable are the default."""
     list_ = F.regexp_extract(text_of(F.col("answer")), "(?s)(\\[.*\\])", 1)

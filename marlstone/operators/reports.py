@@ -10,6 +10,11 @@ from ..functions.text import dedup_key
 from .rows import last_wins
 
 
+def counts(df: DataFrame, *keys: str) -> DataFrame:
+    """How many rows there are of each combination of keys."""
+    return df.groupBy(*keys).agg(F.count("*").alias("n"))
+
+
 def top_k(df: DataFrame, key: str, k: int, order: str) -> DataFrame:
     """The k most frequent values with their counts; of equal counts the first seen."""
     return df.groupBy(key).agg(F.count("*").alias("n"), F.min(order).alias("first_seen")).orderBy(F.desc("n"), "first_seen").limit(k)
@@ -109,12 +114,23 @@ def has_repetition(text: Column) -> Column:
         return (F.size(s) > 3) & thrice
 
     def phrases(w: Column) -> Column:
-        last = F.size(w) - 11
-        again = F.exists(
-            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-            lambda i: F.contains(F.array_join(F.slice(w, i + 11, F.size(w)), " "), F.array_join(F.slice(w, i + 1, F.lit(10)), " ")),
-        )
-        return (F.size(w) > 20) & again
+        # Ten words occur again as text where the eight within are equal words, the first ends the word at its place
+        # and the last begins the one at its own. Only eights that occur twice are looked at, by their hash.
+        eights = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 10, F.lit(0))), lambda i: F.struct(F.xxhash64(F.slice(w, i + 2, F.lit(8))).alias("h"), i.alias("i")))
+
+        def twice(s: Column) -> Column:
+            same = lambda i, j: F.coalesce(F.get(s, i)["h"] == F.get(s, j)["h"], F.lit(False))
+            return F.filter(s, lambda x, i: same(i, i + 1) | ((i > 0) & same(i, F.greatest(i - 1, F.lit(0)))))
+
+        def again(d: Column) -> Column:
+            def matches(x: Column, y: Column) -> Column:
+                near = (x["h"] == y["h"]) & (y["i"] >= x["i"] + 10)
+                ends = F.get(w, y["i"]).endswith(F.get(w, x["i"])) & F.get(w, y["i"] + 9).startswith(F.get(w, x["i"] + 9))
+                return near & ends & (F.slice(w, x["i"] + 2, F.lit(8)) == F.slice(w, y["i"] + 2, F.lit(8)))
+
+            return F.exists(d, lambda x: F.exists(d, lambda y: matches(x, y)))
+
+        return (F.size(w) > 20) & let(let(F.array_sort(eights), twice), again)
 
     return let(F.split(t, "\\. ", -1), sentences) | let(words(t), phrases)
 
@@ -160,13 +176,12 @@ def annotation_report(df: DataFrame, annotation: str, required: tuple[str, ...],
     v = F.try_parse_json(a)
     value = F.try_variant_get(v, f"$.{score}", "double")
     n_flags = F.size(F.coalesce(F.try_variant_get(v, f"$.{flags}", "array<string>"), F.array().cast("array<string>")))
-    return df.agg(
+    report = df.agg(
         F.count("*").alias("rows"), F.count_if(v.isNull()).alias("invalid"), F.count_if(v.isNotNull() & (F.size(missing) > 0)).alias("missing_keys"), F.count_if(n_flags > 0).alias("flagged"),
         F.avg(value).alias("mean_score"), F.min(value).alias("least_score"), F.max(value).alias("greatest_score"),
-        F.slice(F.array_sort(F.collect_set(F.when(v.isNull(), F.left(a, F.lit(80))))), 1, 5).alias("examples"),
     )
-
-
+    bad = df.where(v.isNull()).select(F.left(a, F.lit(80)).alias("a")).where("a is not null").distinct().orderBy("a").limit(5)
+    return report.crossJoin(bad.agg(F.array_sort(F.collect_list("a")).alias("examples")))  # one row each, of five values at most
 
 
 def question_type(question: Column) -> Column:

@@ -1,12 +1,13 @@
 """Row sets: coercion to fixed shapes, union, deduplication, splits, samples and schedules.
 
 Random choices follow from hashes of a seed and a key, so that they are the same on every run and engine. Exact
-counts of a split need ranks over the whole table: rows are first cut off by a bound on the hash, and only the
-small rest is ranked.
+counts of a split need the n-th digest, which is found by counting prefixes, and ranks over a whole table are made of
+ranks within slices of its order and the rows of the slices before.
 """
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, Window
@@ -93,6 +94,26 @@ def dedup_across_shapes(questions: DataFrame, texts: DataFrame) -> tuple[DataFra
     return q, unseen(t, q, F.sha1(dedup_key(F.left("text", F.lit(500)))), F.sha1(dedup_key(F.col("question"))))
 
 
+def listed(df: DataFrame, allowed: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is on a list."""
+    return df.join(allowed.select(key).distinct(), key, "left_semi")
+
+
+def missing(required: tuple[str, ...], present: Column) -> Column:
+    """array<string>: what is required and not present."""
+    return F.array_except(F.array(*[F.lit(r) for r in required]), present)
+
+
+def distinct_ids(df: DataFrame, key: str) -> DataFrame:
+    """The ids that occur, each once, in order."""
+    return df.where(F.col(key).isNotNull()).select(key).distinct().orderBy(key)
+
+
+def with_book(images: DataFrame, books: DataFrame, key: str = "book", rank: str = "src_rank") -> DataFrame:
+    """Images with the book of their key; of books that share one the one of the least rank."""
+    return images.join(first_wins(books, F.col(key), rank), key)
+
+
 def overlay(raw: DataFrame, cleaned: DataFrame, key: str, value: str) -> DataFrame:
     """raw with the values that cleaned has instead."""
     new = cleaned.select(key, F.col(value).alias("_new"))
@@ -117,17 +138,81 @@ def draw(seed: str, *keys: Column) -> Column:
     return F.sha1(F.concat_ws(":", F.lit(seed), *[F.coalesce(k.cast("string"), F.lit("")) for k in keys]))
 
 
+def _nth(digests: DataFrame, name: str, n: int) -> tuple[str, int, int]:
+    """(prefix, wanted, there): the digests that begin so are there in that number, and wanted of them, with all
+    below, make n. Found by counting prefixes of four more hex digits a round: 65,536 counts at most, no sort."""
+    prefix, left = "", n
+    while True:
+        size = len(prefix) + 4
+        counts = digests.where(F.col(name).startswith(prefix)).groupBy(F.left(name, F.lit(size)).alias("p")).count().collect()
+        for p, there in sorted((r["p"], r["count"]) for r in counts):
+            if left <= there:
+                break
+            left -= there
+        if p == prefix or left == there or there == 1:
+            return p, left, there
+        prefix = p
+
+
 def take_lowest(df: DataFrame, digest: Column, n: int, total: int) -> DataFrame:
-    """df with taken, true for exactly n rows: those with the lowest digests. Only rows under a bound, somewhat
-    more than n, are ranked, so no task sees the table."""
-    if n <= 0:
-        return df.withColumn("taken", F.lit(False))
-    share = min(1.0, (n + 6 * math.sqrt(n) + 16) / max(1, total))
-    bound = format(min(16**8 - 1, int(share * 16**8)), "08x")
+    """df with taken, true for exactly n of its total rows: those with the lowest digests, and among rows of one
+    digest those whose other columns hash lowest. Rows that are equal in all are not told apart: an error if some of
+    them would have to be taken."""
+    if n <= 0 or n >= total:
+        return df.withColumn("taken", F.lit(n > 0))
     marked = df.withColumn("_d", digest)
-    edge = marked.where(F.substring("_d", 1, 8) <= bound).select("_d").orderBy("_d").offset(n - 1).limit(1).collect()
-    limit = edge[0][0] if edge else "g"
-    return marked.withColumn("taken", F.col("_d") <= limit).drop("_d")
+    prefix, wanted, there = _nth(marked.select("_d"), "_d", n)
+    own = F.left("_d", F.lit(len(prefix)))
+    if wanted == there:
+        return marked.withColumn("taken", own <= prefix).drop("_d")
+    tied = marked.withColumn("_e", F.sha1(F.to_json(F.struct(*df.columns))))
+    second, wanted, there = _nth(tied.where(own == prefix).select("_e"), "_e", wanted)
+    if wanted != there:
+        raise ValueError(f"{wanted} of {there} equal rows would have to be taken")
+    return tied.withColumn("taken", (own < prefix) | ((own == prefix) & (F.left("_e", F.lit(len(second))) <= second))).drop("_d", "_e")
+
+
+#: Rows that one task ranks, and slices at most.
+SLICE_ROWS, MOST_SLICES = 1_000_000, 4096
+
+
+def sliced(df: DataFrame, order: str, rows: int = SLICE_ROWS) -> tuple[DataFrame, int]:
+    """df with _slice, which ascends with the order, of about so many rows each, and the number of slices. The
+    bounds are quantiles of a bounded sample of the values, those that hash lowest, and so the same on every run."""
+    n = min(MOST_SLICES, -(-df.count() // rows))
+    if n < 2:
+        return df.withColumn("_slice", F.lit(0)), 1
+    got = df.select(order).where(F.col(order).isNotNull()).orderBy(F.xxhash64(order)).limit(32 * n).collect()
+    values = sorted(r[0] for r in got)
+    bounds = sorted({values[i * len(values) // n] for i in range(1, n)}) if values else []
+    step = max(1, math.isqrt(len(bounds)))
+    parts = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+    below = lambda keys: F.size(F.filter(F.array(*[F.lit(k) for k in keys]), lambda k: k <= F.col(order)))
+    # Two steps of some sqrt(n) comparisons.
+    head = below([p[0] for p in parts]) if parts else F.lit(0)
+    inner = F.lit(0)
+    for i, p in enumerate(parts):
+        inner = F.when(F.col("_head") == i + 1, below(p)).otherwise(inner)
+    out = df.withColumn("_head", F.when(F.col(order).isNull(), F.lit(0)).otherwise(head))
+    return out.withColumn("_slice", F.when(F.col("_head") == 0, F.lit(0)).otherwise((F.col("_head") - 1) * step + inner)).drop("_head"), len(bounds) + 1
+
+
+def offsets(df: DataFrame, size: Column) -> tuple[Column, int]:
+    """The sum of size over all slices before a row's own, from a row for each slice, and the total."""
+    sums = {r["_slice"]: int(r["n"] or 0) for r in df.groupBy("_slice").agg(F.sum(size).alias("n")).collect()}
+    before, total = [], 0
+    for i in range(max(sums, default=-1) + 1):
+        before.append(total)
+        total += sums.get(i, 0)
+    return F.element_at(F.from_json(F.lit(json.dumps(before or [0])), "array<bigint>"), F.col("_slice") + 1), total
+
+
+def numbered(df: DataFrame, order: str, name: str = "n", rows: int = SLICE_ROWS) -> DataFrame:
+    """df with name: each row's place in the order, from 0; ranks within slices and the rows of those before."""
+    parts, _ = sliced(df, order, rows)
+    before, _ = offsets(parts, F.lit(1))
+    rank = F.row_number().over(Window.partitionBy("_slice").orderBy(order)) - 1
+    return parts.withColumn(name, rank + before).drop("_slice")
 
 
 def split_train_val(df: DataFrame, key: str, share: float = 0.05, least: int = 1, seed: str = "42") -> DataFrame:
@@ -166,13 +251,12 @@ def sample(df: DataFrame, key: str, n: int, seed: str = "42") -> DataFrame:
     return df.orderBy(draw(seed, F.col(key)), key).limit(n)
 
 
-def every_nth(df: DataFrame, order: str, k: int) -> DataFrame:
+def every_nth(df: DataFrame, order: str, k: int, rows: int = SLICE_ROWS) -> DataFrame:
     """k rows at even steps of the order, the first among them; none if there are fewer than k."""
     step = df.count() // k
     if not step:
         return df.limit(0)
-    ranked = df.select(order).orderBy(order).withColumn("_n", F.row_number().over(Window.orderBy(order)) - 1)
-    picked = ranked.where((F.col("_n") % step == 0) & (F.col("_n") < step * k)).select(order)
+    picked = numbered(df.select(order), order, "_n", rows).where((F.col("_n") % step == 0) & (F.col("_n") < step * k)).select(order)
     return df.join(picked, order, "left_semi")
 
 
@@ -187,9 +271,16 @@ def oversample(df: DataFrame, group: str, chosen: str, weight: float, key: str,
 
 def round_robin(df: DataFrame, group: str, key: str, seed: str = "42") -> DataFrame:
     """df with turn and place: one row of each group in every turn, groups shuffled within it. Sorting by (turn,
-    place) gives the order."""
-    within = Window.partitionBy(group).orderBy(draw(seed, F.col(group), F.col(key)), key)
-    return df.withColumn("turn", F.row_number().over(within).cast("long") - 1).withColumn("place", draw(seed, F.col(group), F.col("turn")))
+    place) gives the order. Ranks are counted in slices of the draw, so that a group that holds a third of all rows
+    goes to many tasks."""
+    drawn = df.withColumn("_d", draw(seed, F.col(group), F.col(key))).withColumn("_s", F.left("_d", F.lit(2)))
+    within = Window.partitionBy(group, "_s").orderBy("_d", key)
+    counts = drawn.groupBy(group, "_s").agg(F.count("*").alias("_c"))
+    earlier = Window.partitionBy(group).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(F.col(group).alias("_g"), F.col("_s").alias("_t"), F.coalesce(F.sum("_c").over(earlier), F.lit(0)).alias("_b"))
+    ranked = drawn.withColumn("_r", F.row_number().over(within).cast("long") - 1)
+    out = ranked.join(before, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_s") == F.col("_t")))
+    return out.withColumn("turn", F.col("_r") + F.col("_b")).withColumn("place", draw(seed, F.col(group), F.col("turn"))).drop("_d", "_s", "_r", "_b", "_g", "_t")
 
 
 def schedule(df: DataFrame, group: str, subject: str, key: str, core: str = "core", core_epochs: int = 1, mixed_epochs: int = 1, weight: float = 1.0, seed: str = "42") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
-from ..functions.expr import squeeze, strip, text_of
+from ..functions.expr import SPACE, WORD, squeeze, strip, text_of
 
 # Elements whose text is not content.
 SKIPPED = frozenset("script style noscript header footer nav aside".split())
@@ -55,6 +55,7 @@ def html_text(c: Column) -> Column:
     return _batched(text_of_html, StringType(), pa.string())(c)
 
 
+# The shapes of lines that are not text, and of headings and items.
 _FENCE = re.compile(r"\s*```")
 _TABLE = re.compile(r"\s*\|.*\|\s*$")
 _RULE = re.compile(r"\s*\|?\s*-{2,}(\s*\|\s*-{2,})+\s*\|?\s*$")
@@ -114,34 +115,28 @@ def markdown_text(c: Column, keep_figures: bool = False) -> Column:
     return _batched(lambda t: text_of_markdown(t, keep_figures), StringType(), pa.string())(c)
 
 
-_SPEAKER = re.compile(r"\b([A-Z][A-Za-z0-9_.' \-]{1,40}):\s")
-_TURNS = ArrayType(StructType().add("speaker", "string").add("text", "string"))
-
-
-def turns_of_dialogue(text: str) -> list[dict[str, str]]:
-    """Turns behind "Name: " marks; the whole text, without a speaker, if there is none."""
-    marks = list(_SPEAKER.finditer(text))
-    if not marks:
-        return [{"speaker": "", "text": text.strip()}] if text else []
-    ends = [m.start() for m in marks[1:]] + [len(text)]
-    turns = [{"speaker": m[1].strip(), "text": text[m.end() : end].strip()} for m, end in zip(marks, ends)]
-    return [t for t in turns if t["text"]]
+# What stands before a turn, and how clinicians' names begin or what they hold.
+SPEAKER = f"(?<!{WORD})([A-Z][A-Za-z0-9_.' \\-]{{1,40}}):{SPACE}"
+CLINICAL_STARTS, CLINICAL_PARTS = ("dr ", "dr.", "doctor "), ("dds", "dmd")
 
 
 def dialogue_turns(c: Column) -> Column:
-    """array<struct<speaker, text>>"""
-    kind = pa.list_(pa.struct([("speaker", pa.string()), ("text", pa.string())]))
-    return _batched(turns_of_dialogue, _TURNS, kind)(c)
+    """array<struct<speaker, text>>: a dialogue split at "Name: " marks, without empty turns; a text without a mark is
+    one turn without a speaker, an empty one none."""
+    names, texts = F.regexp_extract_all(text_of(c), F.lit(SPEAKER), F.lit(1)), F.split(text_of(c), SPEAKER, -1)
+    turn = lambda name, text: F.struct(strip(name).alias("speaker"), strip(text).alias("text"))
+    turns = F.zip_with(names, F.slice(texts, 2, F.greatest(F.size(texts) - 1, F.lit(1))), turn)
+    none = F.array().cast("array<struct<speaker:string,text:string>>")
+    return F.when(text_of(c) == "", none).when(F.size(names) > 0, F.filter(turns, lambda t: t["text"] != "")).otherwise(F.array(turn(F.lit(""), c)))
 
 
 def is_clinician(name: Column) -> Column:
-    n = F.lower(name)
-    return n.startswith("dr ") | n.startswith("dr.") | n.startswith("doctor ") | F.contains(n, F.lit("dds")) | F.contains(n, F.lit("dmd"))
+    n, any_of = F.lower(name), lambda tests: F.exists(F.array(*tests), lambda t: t)
+    return any_of([n.startswith(x) for x in CLINICAL_STARTS] + [F.contains(n, F.lit(x)) for x in CLINICAL_PARTS])
 
 
 def dialogue_question_answer(title: Column, turns: Column) -> Column:
-    """struct<question, first, answer> of a column of turns (not the call that makes them: lambdas cannot hold
-    Python functions): the title and first turn; all of the clinicians' replies, else the first
+    """struct<question, first, answer> of turns: the title and first turn; all of the clinicians' replies, else the first
     reply of another speaker; null without one."""
     first = F.get(turns, F.lit(0))
     replies = F.filter(F.slice(turns, 2, F.greatest(F.size(turns), F.lit(1))), lambda t: (t["speaker"] != "") & (t["speaker"] != first["speaker"]))

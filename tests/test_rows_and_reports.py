@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import pytest
@@ -18,6 +19,37 @@ def test_split_counts(spark, n):
     assert len(rows) == n and sum(r.split == "val" for r in rows) == (max(1, int(n * 0.05)) if n else 0)
 
 
+@pytest.mark.parametrize("n", [1, 50, 333, 999])
+def test_the_lowest_are_as_many_as_asked_for(spark, n):
+    """Distinct keys, one key that all rows share, and rows that are equal in all."""
+    rows = spark.range(1000)
+    assert O.take_lowest(rows, O.draw("s", F.col("id")), n, 1000).where("taken").count() == n
+    want = sorted(range(1000), key=lambda i: hashlib.sha1(f"s:{i}".encode()).hexdigest())[:n]
+    assert sorted(r.id for r in O.take_lowest(rows, O.draw("s", F.col("id")), n, 1000).where("taken").collect()) == sorted(want)
+    assert O.take_lowest(rows, O.draw("s", F.lit("same")), n, 1000).where("taken").count() == n
+    with pytest.raises(ValueError):
+        O.take_lowest(rows.select(F.lit(1).alias("k")), O.draw("s", F.col("k")), n, 1000)
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_ranks_in_slices(spark, kind):
+    rows = spark.range(700).select(((F.col("id") * 37) % 701).cast(kind).alias("o"))
+    got = O.numbered(rows, "o", rows=64)
+    values = sorted(r.o for r in rows.collect())
+    assert {r.o: r.n for r in got.collect()} == {v: i for i, v in enumerate(values)}
+    assert sorted(r.o for r in O.every_nth(rows, "o", 5, 64).collect()) == sorted(values[i * 140] for i in range(5))
+
+
+def test_no_task_holds_a_whole_table(spark):
+    """Ranks, splits, turns and packing plan no exchange to a single partition but for sums and limits."""
+    from marlstone.operators import chunking as C
+
+    df = spark.range(5000).select("id", (F.col("id") % 3).cast("string").alias("g"), F.array(F.col("id")).alias("t"))
+    plans = [O.numbered(df, "id", rows=500), O.every_nth(df, "id", 7, 500), O.split_train_val(df, "id"), O.round_robin(df, "g", "id"), C.pack_tokens(df, "id", "t", 16, 500), O.split_by_group(df, "g", 0.3)]
+    for p in plans:
+        assert "SinglePartition" not in p._jdf.queryExecution().toString()
+
+
 def test_splits_are_stable_and_whole(ids):
     a = {r.id: r.split for r in O.split_train_val(ids, "id").collect()}
     assert a == {r.id: r.split for r in O.split_train_val(ids.repartition(7), "id").collect()}
@@ -94,19 +126,18 @@ def test_accuracy(spark):
     assert (a.scored, a.correct, a.accuracy) == (2, 1, 0.5) and R.accuracy(mk([])).first().accuracy is None
 
 
-def repeats(text):
-    s = text.split(". ")
-    if len(s) > 3 and any(x and s.count(x) > 2 for x in s):
-        return True
-    w = text.split()
-    return len(w) > 20 and any(" ".join(w[i : i + 10]) in " ".join(w[i + 10 :]) for i in range(len(w) - 10))
-
-
 def test_repetition(spark):
+    """Written by hand: the text and whether it repeats itself."""
     ten = " ".join(f"w{i}" for i in range(10))
-    texts = ["", "a. a. a. b", "a. a. a", "a. b. a. c", ten + " x " + ten, ten + " x y " + " ".join(f"v{i}" for i in range(12)), "one " * 21, "w " + ten[:-1] + " q " + ten]
-    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
-    assert [r.v for r in df.select("i", R.has_repetition(F.col("t")).alias("v")).orderBy("i").collect()] == [repeats(t) for t in texts]
+    cases = [
+        ("", False), ("a. a. a. b", True), ("a. a. a", False), ("a. b. a. c", False), (". . . . ", False), (ten + " x " + ten, True),
+        (ten + " x y " + " ".join(f"v{i}" for i in range(12)), False), ("one " * 21, True), ("one " * 20, False), ("w " + ten[:-1] + " q " + ten, True),
+        # The ten words as text: the first may end a longer word, the last begin one, but not those within.
+        (ten + " x m" + ten + "n", True), (ten + " x " + ten.replace("w4", "w44"), False), (ten + " x " + ten.replace("w0", "v0"), False), (ten + " " + ten + " x", True), (ten.replace("w9", "w8") + " y " + ten, False),
+        (" ".join(f"{i % 12}" for i in range(60)), True), (" ".join(f"{i}" for i in range(4000)), False), ("é ü " * 15, True),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string")
+    assert [r.v for r in df.select("i", R.has_repetition(F.col("t")).alias("v")).orderBy("i").collect()] == [v for _, v in cases]
     b = lambda x, y: df.limit(1).select(R.better_answer(F.lit(x), F.lit(y)).alias("v")).first().v
     assert b("x", "x" * 300) == "candidate" and b("a\nb", "ab") == "baseline" and b("", "") == "tie"
 
