@@ -8,14 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import domain as D
 from ..functions import predicates as P
 from ..functions import text as T
-from ..functions.expr import n_chars, spread, strip, text_of, unfold, word_count, words
+from ..functions.expr import let, n_chars, spread, strip, text_of, unfold, word_count, words
 from ..operators import blocks as B
 from ..operators import chunking as C
+from ..operators import models as M
 from ..operators import reports as R
 from ..operators import rows as O
 from ..shipping import ship
@@ -164,21 +166,29 @@ def dedup_keys(spark, sf_dir):
 # Filters and measures
 
 
-@query(rf"""
-SELECT doc_id, regexp_matches(text, '(?i)(^|[^\p{{L}}\p{{N}}_])(the{WORD}*|verla{WORD}*|stre)($|[^\p{{L}}\p{{N}}_])') AS relevant,
-  regexp_matches(text, '(?i)tooth|teeth') AS field FROM documents WHERE lang = 'en'
+def _alternatives(patterns) -> str:
+    """Patterns with \\b at both ends as one for RE2, the edges spelled out around all of them."""
+    inner = "|".join(p.removeprefix("\\b").removesuffix("\\b").replace("\\w", WORD) for p in patterns)
+    return rf"(?i)(^|[^\p{{L}}\p{{N}}_])({inner})($|[^\p{{L}}\p{{N}}_])"
+
+
+@query(f"""
+SELECT doc_id, coalesce(regexp_matches(text, '{_alternatives(D.RELEVANT)}'), false) AS field, coalesce(regexp_matches(text, '{_alternatives((r"\b the\w*\b".replace(" ", ""), r"\bverla\w*\b", r"\bstre\b"))}'), false) AS common FROM documents
 """)
 def keyword_relevance(spark, sf_dir):
+    """The field's patterns, which these texts hardly have, and three that they have."""
     patterns = (r"\bthe\w*\b", r"\bverla\w*\b", r"\bstre\b")
     c = F.col("text")
-    return documents(spark, sf_dir).where("lang = 'en'").select("doc_id", P.relevant(c, patterns=patterns).alias("relevant"), c.rlike("(?i)tooth|teeth").alias("field"))
+    return documents(spark, sf_dir).select("doc_id", P.relevant(c).alias("field"), P.relevant(c, patterns=patterns).alias("common"))
 
 
-@query(rf"""
-SELECT doc_id, @COUNT(regexp_replace(lower(text), '([^\p{{L}}\p{{N}}_])', '\1\1', 'g');; (^|[^\p{{L}}\p{{N}}_])(and|the|in)($|[^\p{{L}}\p{{N}}_]))::BIGINT AS hits FROM documents
-""")
+def _whole_words(terms) -> str:
+    return f"@COUNT(regexp_replace(lower(coalesce(text, '')), '([^\\p{{L}}\\p{{N}}_])', '\\1\\1', 'g');; (^|[^\\p{{L}}\\p{{N}}_])({'|'.join(terms).replace(' ', '  ')})($|[^\\p{{L}}\\p{{N}}_]))::BIGINT"
+
+
+@query(f"SELECT doc_id, {_whole_words(D.WHOLE_WORDS)} AS field, {_whole_words(('and', 'the', 'in'))} AS common FROM documents")
 def keyword_ge2(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", P.whole_word_hits(F.col("text"), ("and", "the", "in")).alias("hits"))
+    return documents(spark, sf_dir).select("doc_id", P.whole_word_hits(F.col("text")).alias("field"), P.whole_word_hits(F.col("text"), ("and", "the", "in")).alias("common"))
 
 
 _LATIN = "@COUNT(text;; [A-Za-zÀ-ÿ]+)"
@@ -379,7 +389,15 @@ def pack_tokens(spark, sf_dir):
     return C.pack_tokens(d, "doc_id", "w", 512).select("block", F.sha1(F.array_join("tokens", " ")).alias("tokens"))
 
 
-@query()
+@query("""
+WITH RECURSIVE r AS (SELECT source, doc_id, @STRIP(text) AS t, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS n FROM documents WHERE @STRIP(coalesce(text, '')) <> ''),
+f AS (
+  SELECT source, n, t, 0::BIGINT AS idx, length(t)::BIGINT + 1 AS size FROM r WHERE n = 1
+  UNION ALL
+  SELECT r.source, r.n, r.t, CASE WHEN f.size >= 5000 THEN f.idx + 1 ELSE f.idx END, CASE WHEN f.size >= 5000 THEN length(r.t) + 1 ELSE f.size + length(r.t) + 1 END FROM f JOIN r ON r.source IS NOT DISTINCT FROM f.source AND r.n = f.n + 1
+)
+SELECT source, idx AS chunk_idx, count(*) AS n_rows, sha1(string_agg(t, ' ' ORDER BY n)) AS chunk FROM f GROUP BY source, idx
+""")
 def running_concat(spark, sf_dir):
     c = C.running_concat(documents(spark, sf_dir).select("source", "doc_id", "text"), "source", "doc_id", target=5000)
     return c.select("source", "chunk_idx", "n_rows", F.sha1("text").alias("chunk"))
@@ -419,15 +437,18 @@ def overlay_labels(spark, sf_dir):
 
 
 @query("""
-WITH t AS (SELECT conv_id, min(turn) FILTER (role = 'user') AS u, min(turn) FILTER (role = 'assistant') AS a FROM conversations GROUP BY conv_id)
-SELECT t.conv_id, (SELECT min(text) FROM conversations c WHERE c.conv_id = t.conv_id AND c.turn = t.u) AS question, (SELECT min(text) FROM conversations c WHERE c.conv_id = t.conv_id AND c.turn = t.a) AS answer
-FROM t WHERE u IS NOT NULL AND a IS NOT NULL
+WITH t AS (SELECT conv_id, min(turn) FILTER (role = 'user') AS u, min(turn) FILTER (role = 'assistant') AS a FROM conversations GROUP BY conv_id),
+f AS (SELECT t.conv_id, @STRIP((SELECT min(text) FROM conversations c WHERE c.conv_id = t.conv_id AND c.turn = t.u AND c.role = 'user')) AS question,
+  @STRIP((SELECT min(text) FROM conversations c WHERE c.conv_id = t.conv_id AND c.turn = t.a AND c.role = 'assistant')) AS answer FROM t)
+SELECT * FROM f WHERE question <> '' AND answer <> ''
 """)
 def chat_first_turns(spark, sf_dir):
-    c = table(spark, sf_dir, "conversations")
-    first = lambda role: F.min(F.when(F.col("role") == role, F.struct("turn", "text")))
-    t = c.groupBy("conv_id").agg(first("user").alias("u"), first("assistant").alias("a")).where("u is not null and a is not null")
-    return t.select("conv_id", F.col("u.text").alias("question"), F.col("a.text").alias("answer"))
+    from ..sources.records import first_message
+
+    null = F.lit(None).cast("string")
+    message = F.struct("turn", "text", F.col("role").alias("role"), null.alias("from"), F.col("text").alias("content"), null.alias("value"))
+    c = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(message)).alias("m"))
+    return c.select("conv_id", first_message(F.col("m"), ("user",)).alias("question"), first_message(F.col("m"), ("assistant",)).alias("answer")).where("question <> '' and answer <> ''")
 
 
 @query(f"""{_PAIRS}, s AS (SELECT conv_id, turn, @STRIP(coalesce(question, '')) AS question, @STRIP(coalesce(answer, '')) AS answer FROM p)
@@ -493,7 +514,7 @@ SELECT doc_id, CASE WHEN i % 20 < 8 THEN 'clinical_student' WHEN i % 20 < 13 THE
   greatest(1, least(6, round_even(w / 250.0::DOUBLE, 0)))::INTEGER AS target FROM n""")
 def task_styles(spark, sf_dir):
     d = documents(spark, sf_dir)
-    ids = d.select("doc_id").orderBy("doc_id").withColumn("i", F.row_number().over(Window.orderBy("doc_id")) - 1)
+    ids = O.numbered(d.select("doc_id"), "doc_id", "i")
     return d.select("doc_id", "text").join(ids, "doc_id").select("doc_id", O.task_style(F.col("i")).alias("style"), O.targets(word_count(F.col("text")), 250, 1, 6).alias("target"))
 
 
@@ -516,15 +537,15 @@ def lang_rollup(spark, sf_dir):
     return documents(spark, sf_dir).select("lang", "source", n_chars(F.col("text")).alias("c")).rollup("lang", "source").agg(F.count("*").alias("n"), F.sum("c").alias("chars"))
 
 
-_KEYS = "WITH k AS (SELECT sha1(@KEY(left(text, 60))) AS q, sha1(left(@KEY(text), 300)) AS a, coalesce(source, '?') AS source FROM documents WHERE text <> '')"
+_KEYS = _PAIRS.strip() + ", k AS (SELECT sha1(@KEY(question)) AS q, sha1(left(@KEY(answer), 300)) AS a, 'chat' || (conv_id % 3) AS source FROM p WHERE question <> '' AND answer <> '')"
 
 
 def _keys(spark, sf_dir):
-    d = documents(spark, sf_dir).select(F.left("text", F.lit(60)).alias("question"), F.col("text").alias("answer"), "source")
-    return R.pair_keys(d)
+    """Whole questions; of answers the first 300 characters of their keys, as the report compares them."""
+    return R.pair_keys(chat_pairs(spark, sf_dir).withColumn("source", F.concat(F.lit("chat"), (F.col("conv_id") % 3).cast("string"))))
 
 
-@query(f"""{_KEYS}, p AS (SELECT q, a, count(*) AS n FROM k GROUP BY q, a), g AS (SELECT q, sum(n) AS n, count(*) AS answers, sum(n - 1) AS extra FROM p GROUP BY q)
+@query(f"""{_KEYS}, c AS (SELECT q, a, count(*) AS n FROM k GROUP BY q, a), g AS (SELECT q, sum(n) AS n, count(*) AS answers, sum(n - 1) AS extra FROM c GROUP BY q)
 SELECT sum(n)::BIGINT AS n_rows, count(*) AS distinct_questions, sum(n - 1)::BIGINT AS repeated_question_extras, sum(answers)::BIGINT AS distinct_pairs, sum(extra)::BIGINT AS duplicate_pair_extras,
   count(*) FILTER (answers > 1) AS contradictions, round(sum(n - 1) * 100.0::DOUBLE / sum(n), 2) AS duplication_rate_pct, round(sum(extra) * 100.0::DOUBLE / sum(n), 2) AS pair_duplication_rate_pct FROM g""")
 def dup_report(spark, sf_dir):
@@ -587,15 +608,24 @@ def accuracy_compare(spark, sf_dir):
     return R.compare_accuracy(run(n_chars(F.col("text")) > 1000), run(F.col("lang") == "en"), "ord")
 
 
-@query()
+_AGAIN = """(len(s) > 3 AND len(list_filter(list_distinct(list_filter(s, lambda x: x <> '')), lambda x: len(list_filter(s, lambda y: y = x)) > 2)) > 0)
+  OR (len(w) > 20 AND len(list_filter(range(0, len(w) - 10), lambda i: contains(array_to_string(w[i + 11:], ' '), array_to_string(w[i + 1:i + 10], ' ')))) > 0)"""
+
+
+@query(f"""{_PAIRS}, t AS (SELECT length(question) AS b, length(answer) AS c, string_split(question, '. ') AS s, @WORDS(question) AS w, string_split(answer, '. ') AS s2, @WORDS(answer) AS w2 FROM p),
+r AS (SELECT b, c, ({_AGAIN}) AS rb, s2 AS s, w2 AS w FROM t)
+SELECT count(*) AS questions, avg(b)::DOUBLE AS mean_length_baseline, avg(c)::DOUBLE AS mean_length_candidate, count(*) FILTER (rb) AS repetitions_baseline, count(*) FILTER ({_AGAIN}) AS repetitions_candidate FROM r""")
 def answers_compare(spark, sf_dir):
     pairs = chat_pairs(spark, sf_dir).select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), "question", "answer", F.lit(0).alias("ord"))
     return R.compare_answers(pairs.select("id", "ord", F.col("question").alias("prediction")), pairs.select("id", "ord", F.col("answer").alias("prediction")), "ord")
 
 
-@query("""SELECT doc_id, regexp_extract(text, '(?i)(^|[^\\p{L}\\p{N}_])([abcd])($|[^\\p{L}\\p{N}_])', 2) <> '' AS any_letter FROM documents""")
+_ALONE = r"(?i)(?:^|[^\p{L}\p{N}_])([abcd])(?:$|[^\p{L}\p{N}_])"
+
+
+@query(f"""SELECT doc_id, upper(coalesce(nullif(regexp_extract(regexp_extract(@STRIP(coalesce(text, '')), '^([^\\r\\n\\x0b\\x0c\\x1c-\\x1e\\x85]*)', 1), '{_ALONE}', 1), ''), nullif(regexp_extract(text, '{_ALONE}', 1), ''), '')) AS letter FROM documents""")
 def choice_extraction(spark, sf_dir):
-    return documents(spark, sf_dir).select("doc_id", (T.choice_of(F.col("text")) != "").alias("any_letter"))
+    return documents(spark, sf_dir).select("doc_id", T.choice_of(F.col("text")).alias("letter"))
 
 
 # Events: windows over time, and nested properties
@@ -605,15 +635,15 @@ def choice_extraction(spark, sf_dir):
 WINDOW w AS (PARTITION BY user_id ORDER BY epoch(date_trunc('second', ts))::BIGINT RANGE BETWEEN 3600 PRECEDING AND CURRENT ROW)""")
 def rate_window(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("s", F.unix_timestamp(F.col("ts").cast("timestamp")))
-    w = Window.partitionBy("user_id").orderBy("s").rangeBetween(-3600, 0)
-    return e.select("event_id", "user_id", F.count("*").over(w).alias("trailing"), F.round(F.sum("value").over(w), 6).alias("total"))
+    used = M.usage_in_window(e, "user_id", "s", "value", 3600)
+    return used.select("event_id", "user_id", F.col("requests").alias("trailing"), F.round("tokens_used", 6).alias("total"))
 
 
-@query("SELECT epoch(date_trunc('hour', ts))::BIGINT AS hour, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY ALL")
+@query("SELECT epoch(date_trunc('hour', ts))::BIGINT AS hour, event_type, count(*) AS n FROM events GROUP BY ALL")
 def tumbling_counts(spark, sf_dir):
-    e = table(spark, sf_dir, "events").withColumn("t", F.col("ts").cast("timestamp"))
-    g = e.groupBy(F.window("t", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 6).alias("total"))
-    return g.select(F.unix_timestamp("w.start").alias("hour"), "event_type", "n", "total")
+    from ..streaming.ingest import tumbling
+
+    return tumbling(table(spark, sf_dir, "events"), "ts", "event_type").select(F.unix_timestamp("start").alias("hour"), "event_type", "n")
 
 
 @query("SELECT event_id, list_sort(json_keys(props)) AS keys, len(json_keys(props))::INTEGER AS n FROM events WHERE props IS NOT NULL AND json_valid(props)")
@@ -626,9 +656,18 @@ def json_props(spark, sf_dir):
 SELECT doc_id, sha1(string_agg(word, ' ' ORDER BY pos)) AS text FROM u GROUP BY doc_id""")
 def inverted_abstracts(spark, sf_dir):
     """Texts turned into maps from words to positions, and back."""
-    w = words(F.col("text"))
-    p = documents(spark, sf_dir).select("doc_id", F.posexplode(w).alias("pos", "word"))
-    maps = p.groupBy("doc_id", "word").agg(F.collect_list("pos").alias("at")).groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("word", "at"))).alias("m"))
+    def places(w):
+        """The map within the row: positions sorted by word, one entry a word."""
+        ordered = F.array_sort(F.transform(w, lambda x, i: F.struct(x.alias("w"), i.alias("i"))))
+
+        def grouped(o):
+            starts = F.filter(F.sequence(F.lit(0), F.size(o) - 1), lambda i: (i == 0) | (F.get(o, i)["w"] != F.get(o, F.greatest(i - 1, F.lit(0)))["w"]))
+            ends = F.concat(F.slice(starts, 2, F.size(starts)), F.array(F.size(o)))
+            return F.map_from_entries(F.zip_with(starts, ends, lambda a, b: F.struct(F.get(o, a)["w"].alias("key"), F.transform(F.slice(o, a + 1, b - a), lambda x: x["i"]).alias("value"))))
+
+        return let(ordered, grouped)
+
+    maps = documents(spark, sf_dir).select("doc_id", words(F.col("text")).alias("w")).where(F.size("w") > 0).select("doc_id", places(F.col("w")).alias("m"))
     return maps.select("doc_id", F.sha1(T.inverted_abstract(F.col("m"))).alias("text"))
 
 
@@ -648,11 +687,11 @@ def page_title_url(spark, sf_dir):
     return p.select("page_id", F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1).alias("title"), F.regexp_extract("url", "^https?://([^/]+)", 1).alias("host"), F.regexp_count("html", F.lit("<a\\s")).cast("long").alias("links"))
 
 
-@query("""WITH c AS (SELECT doc_id, length(text) AS n, CASE WHEN doc_id % 10 = 0 THEN least(length(text), 40) ELSE length(text) END AS k FROM documents WHERE doc_id % 10 < 5)
+@query("""WITH c AS (SELECT doc_id, length(text) AS n, CASE WHEN doc_id % 10 = 0 THEN least(length(text), 40) ELSE length(text) END AS k FROM documents)
 SELECT doc_id AS name, k::DOUBLE / greatest(n, 1) AS ratio, n::BIGINT AS chars FROM c WHERE k::DOUBLE / greatest(n, 1) < 0.05::DOUBLE""")
 def restore_destroyed(spark, sf_dir):
     raw = documents(spark, sf_dir).select(F.col("doc_id").alias("name"), "text")
-    cleaned = raw.where("name % 10 < 5").withColumn("text", F.when(F.col("name") % 10 == 0, F.left("text", F.lit(40))).otherwise(F.col("text")))
+    cleaned = raw.withColumn("text", F.when(F.col("name") % 10 == 0, F.left("text", F.lit(40))).otherwise(F.col("text")))
     return O.restore_destroyed(raw, cleaned).select("name", "ratio", n_chars(F.col("text")).alias("chars"))
 
 
@@ -682,6 +721,206 @@ def dataset_profile(spark, sf_dir):
     return R.dataset_profile(rows)
 
 
+# Names and keys, light cleaning, further rule sets
+
+
+@query(rf"""SELECT page_id, left(regexp_replace(url, '[^A-Za-z0-9._-]', '_', 'g'), 120) AS stem, left(@SQUEEZE(regexp_replace('g__' || url, '[<>:"/\\|?*\x00-\x1f]', '_', 'g')), 230) || '.txt' AS name,
+  array_to_string(list_transform(regexp_extract_all(lower(url), '\p{{Nd}}+|\P{{Nd}}+'), lambda x: CASE WHEN regexp_matches(x, '^\p{{Nd}}') THEN lpad(x, greatest(length(x), 12)::INTEGER, '0') ELSE x END), '') AS natural,
+  string_split(url, ':')[1] AS prefix FROM pages""")
+def name_keys(spark, sf_dir):
+    u = F.col("url")
+    return table(spark, sf_dir, "pages").select("page_id", T.safe_stem(u).alias("stem"), T.safe_name(F.lit("g"), u).alias("name"), T.natural_key(u).alias("natural"), T.source_prefix(u).alias("prefix"))
+
+
+@query(rf"""WITH t AS (SELECT doc_id, @STRIP(regexp_replace(regexp_replace(coalesce(text, ''), '[ \t]+', ' ', 'g'), '\n{{3,}}', chr(10) || chr(10), 'g')) AS t FROM documents)
+SELECT doc_id, CASE WHEN length(t) <= 300 THEN t WHEN contains(left(t, 300), ' ') THEN @STRIP(regexp_extract(left(t, 300), '(?s)^(.*) ', 1)) ELSE @STRIP(left(t, 300)) END AS short FROM t""")
+def compact_texts(spark, sf_dir):
+    return documents(spark, sf_dir).select("doc_id", T.compact(F.col("text"), 300).alias("short"))
+
+
+@query("SELECT doc_id, sha1(@STRIP(regexp_replace(@SQUEEZE(coalesce(text, '')), 'Click to expand\\.\\.\\.', '', 'g'))) AS body FROM documents")
+def forum_texts(spark, sf_dir):
+    return documents(spark, sf_dir).select("doc_id", F.sha1(T.forum_text(F.col("text"))).alias("body"))
+
+
+_NOISE = rf"""(regexp_matches(s, '^\p{{Nd}}{{1,4}}$') OR regexp_matches(s, '^https?://[^{WS}]+$') OR (regexp_matches(s, '(?i)(^|[^\p{{L}}\p{{N}}_])ISBN[{WS}\-:]*[\p{{Nd}}\-X]+') AND length(s) < 80)
+  OR regexp_matches(s, '(?i)^(©|\(c\)|Copyright)[{WS}]+\p{{Nd}}{{4}}')
+  OR (regexp_matches(s, '^[A-Z][a-zA-Z''\-]+([{WS}]+[A-Z]\.?){{0,3}}(.*[^\p{{L}}\p{{N}}_])(19|20)\p{{Nd}}{{2}}([^\p{{L}}\p{{N}}_].*)?[;:].*\p{{Nd}}+[-\p{{Nd}}]*\.?$') AND length(s) < 200))"""
+
+
+@query(rf"""WITH l AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents), k AS (
+  SELECT doc_id, list_transform(list_filter(l, lambda x: @STRIP(x) = '' OR NOT {_NOISE.replace("(s,", "(@STRIP(x),").replace("length(s)", "length(@STRIP(x))")}), lambda x: CASE WHEN @STRIP(x) = '' THEN '' ELSE x END) AS k FROM l)
+SELECT doc_id, len(k)::BIGINT AS n_lines, sha1(@STRIP(regexp_replace(array_to_string(k, chr(10)), '\n{{3,}}', chr(10) || chr(10), 'g'))) AS cleaned FROM k""")
+def light_clean_lines(spark, sf_dir):
+    c = F.col("text")
+    dropped = F.filter(F.split(text_of(c), "\n", -1), lambda x: (strip(x) != "") & (T.light_clean(x) == ""))
+    return documents(spark, sf_dir).select("doc_id", (F.size(F.split(text_of(c), "\n", -1)) - F.size(dropped)).cast("long").alias("n_lines"), F.sha1(T.light_clean(c)).alias("cleaned"))
+
+
+_DAMAGE = "CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN left(text, length(text) // 2) WHEN 2 THEN 'Sure, here: ' || text || text WHEN 3 THEN '![i](u) ' || left(text, length(text) // 8) ELSE text || ' As an AI' END"
+_SHARE = "length(t2)::DOUBLE / greatest(length(text), 1)"
+
+
+@query(f"""WITH c AS (SELECT doc_id, coalesce(text, '') AS text, {_DAMAGE} AS t2 FROM documents WHERE text IS NOT NULL), r AS (SELECT *, {_SHARE} AS r FROM c)
+SELECT doc_id, array_to_string(list_filter([CASE WHEN round_even(r, 4) < 0.7::DOUBLE THEN 'low_retention' END, CASE WHEN round_even(r, 4) > 1.1::DOUBLE THEN 'unexpected_growth' END, CASE WHEN @STRIP(t2) = '' THEN 'empty_output' END,
+    CASE WHEN starts_with(lower(@STRIP(t2)), 'sure') THEN 'assistant_preface_detected' END], lambda x: x IS NOT NULL), ',') AS simple,
+  CASE WHEN t2 = '' THEN 'empty_output' ELSE array_to_string(list_filter([CASE WHEN NOT r BETWEEN 0.8::DOUBLE AND 1.2::DOUBLE THEN 'length_ratio' END, CASE WHEN starts_with(lower(@STRIP(t2)), 'sure') OR starts_with(lower(@STRIP(t2)), 'here') THEN 'assistant_preface_detected' END,
+    CASE WHEN contains(t2, 'As an AI') THEN 'assistant_disclaimer_detected' END], lambda x: x IS NOT NULL), ',') END AS chunk,
+  CASE WHEN t2 = '' THEN 'empty' ELSE array_to_string(list_filter([CASE WHEN regexp_matches(t2, '```|<!--|!\\[') THEN 'residual_markdown' END, CASE WHEN length(t2) < 200 THEN 'very_short' END, CASE WHEN r < 0.2::DOUBLE THEN 'low_retained_ratio' END], lambda x: x IS NOT NULL), ',') END AS preparation FROM r""")
+def retention_rule_sets(spark, sf_dir):
+    """The other three rule sets, on texts damaged in five ways; the ratio in a chunk's warning is left out."""
+    m, t = F.col("doc_id") % 5, F.col("text")
+    part = lambda k: F.expr(f"left(text, char_length(text) div {k})")
+    damaged = F.when(m == 0, F.lit("")).when(m == 1, part(2)).when(m == 2, F.concat(F.lit("Sure, here: "), t, t)).when(m == 3, F.concat(F.lit("![i](u) "), part(8))).otherwise(F.concat(t, F.lit(" As an AI")))
+    d = documents(spark, sf_dir).where("text is not null").select("doc_id", "text", damaged.alias("t2"))
+    of = lambda f: F.array_join(f(F.col("text"), F.col("t2")), ",")
+    return d.select("doc_id", of(P.cleaning_warnings_simple).alias("simple"), F.regexp_replace(of(P.chunk_warnings), "length_ratio_[0-9.]+", "length_ratio").alias("chunk"), of(P.preparation_warnings).alias("preparation"))
+
+
+# Merges, benchmark, reports on questions, graphs
+
+
+@query("SELECT doc_id FROM documents WHERE sha1(@KEY(text)) NOT IN (SELECT sha1(@KEY(text)) FROM benchmark WHERE text IS NOT NULL)")
+def anti_join_benchmark(spark, sf_dir):
+    b = table(spark, sf_dir, "benchmark").where("text is not null")
+    return O.unseen(documents(spark, sf_dir), b, T.key_hash(F.col("text")), T.key_hash(F.col("text"))).select("doc_id")
+
+
+@query("""WITH b AS (SELECT item_id, unnest(string_split(text, chr(10))) AS line FROM benchmark), d AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+k AS (SELECT DISTINCT item_id, sha1(@KEY(line)) AS k FROM b WHERE @NWORDS(line) >= 8), t AS (SELECT DISTINCT doc_id, sha1(@KEY(line)) AS k FROM d WHERE @NWORDS(line) >= 8)
+SELECT item_id, count(*) AS documents FROM (SELECT DISTINCT item_id, doc_id FROM k JOIN t USING (k)) GROUP BY item_id""")
+def benchmark_contamination(spark, sf_dir):
+    """Documents that hold a line of a benchmark item, of eight words and more, up to its key."""
+
+    def keys(df, id_col):
+        lines = unfold(df.where("text is not null"), [id_col], F.split("text", "\n", -1), "i", "line")
+        return lines.where(word_count(F.col("line")) >= 8).select(id_col, T.key_hash(F.col("line")).alias("k")).distinct()
+
+    met = keys(table(spark, sf_dir, "benchmark"), "item_id").join(keys(documents(spark, sf_dir), "doc_id"), "k")
+    return met.select("item_id", "doc_id").distinct().groupBy("item_id").agg(F.count("*").alias("documents"))
+
+
+@query(f"""{_PAIRS}, s AS (SELECT (conv_id % 3 > 0)::INTEGER AS src_rank, conv_id * 1000 + turn AS ord, @STRIP(question) AS question FROM p WHERE length(@STRIP(question)) >= 10 AND length(@STRIP(answer)) >= 20),
+q AS (SELECT src_rank, ord, sha1(@KEY(question)) AS k FROM s QUALIFY row_number() OVER (PARTITION BY sha1(@KEY(question)) ORDER BY src_rank, ord) = 1),
+d AS (SELECT (source IS DISTINCT FROM 'src0')::INTEGER AS src_rank, doc_id AS ord, @STRIP(text) AS text FROM documents WHERE length(@STRIP(text)) >= 50),
+t AS (SELECT src_rank, ord, sha1(@KEY(left(text, 500))) AS k FROM d QUALIFY row_number() OVER (PARTITION BY sha1(@KEY(left(text, 500))) ORDER BY src_rank, ord) = 1),
+m AS (SELECT 'sft' AS shape, src_rank, ord FROM q UNION ALL SELECT 'cpt', src_rank, ord FROM t WHERE k NOT IN (SELECT k FROM q)),
+n AS (SELECT shape, greatest(1, floor(count(*) * 0.05))::BIGINT AS n FROM m GROUP BY shape)
+SELECT m.shape, m.src_rank, m.ord, CASE WHEN row_number() OVER (PARTITION BY m.shape ORDER BY sha1('42:' || m.ord)) <= n.n THEN 'val' ELSE 'train' END AS split FROM m JOIN n USING (shape)""")
+def final_merge(spark, sf_dir):
+    """Coerce every source, unite them by rank, keep the first of each key over both shapes, split."""
+    pairs = chat_pairs(spark, sf_dir).select("conv_id", "question", "answer", (F.col("conv_id") * 1000 + F.col("turn")).alias("ord"))
+    sft = O.coerce_sft(O.union_ranked(pairs.where("conv_id % 3 = 0"), pairs.where("conv_id % 3 > 0")))
+    d = documents(spark, sf_dir).select("text", "source", F.col("doc_id").alias("ord"))
+    cpt = O.coerce_cpt(O.union_ranked(d.where("source = 'src0'"), d.where("source is null or source <> 'src0'")))
+    shapes = zip(("sft", "cpt"), O.dedup_across_shapes(sft, cpt))
+    a, b = (O.split_train_val(rows.select(F.lit(shape).alias("shape"), "src_rank", "ord"), "ord") for shape, rows in shapes)
+    return a.unionByName(b)
+
+
+@query(f"{_PAIRS} SELECT conv_id, turn, sha1(@STRIP(regexp_replace(regexp_replace(question, '[ \\t]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'))) AS q FROM p WHERE length(@STRIP(question)) BETWEEN 5 AND 6000 AND length(@STRIP(answer)) BETWEEN 5 AND 30000")
+def bounded_pairs(spark, sf_dir):
+    b = O.bounded_sft(F.col("question"), F.col("answer"), F.lit("chat"), F.lit(None).cast("string"))
+    rows = chat_pairs(spark, sf_dir).select("conv_id", "turn", b.alias("b")).where("b is not null")
+    return rows.select("conv_id", "turn", F.sha1("b.question").alias("q"))
+
+
+@query(f"""{_PAIRS}, q AS (SELECT lower(question) AS low, question FROM p)
+SELECT CASE WHEN starts_with(question, 'exam_reasoning') THEN 'exam_reasoning' WHEN contains(low, 'explain') OR contains(low, 'describe') THEN 'explanation' WHEN contains(low, 'what') OR contains(low, 'how') THEN 'factual'
+  WHEN contains(low, 'compare') OR contains(low, 'differ') THEN 'comparison' ELSE 'other' END AS kind, count(*) AS n FROM q GROUP BY 1""")
+def question_types(spark, sf_dir):
+    return chat_pairs(spark, sf_dir).groupBy(R.question_type(F.col("question")).alias("kind")).agg(F.count("*").alias("n"))
+
+
+@query("""WITH b AS (SELECT doc_id, (quality = CASE WHEN length(text) > 1000 THEN 1 ELSE 0 END) AS c FROM documents JOIN labels USING (doc_id))
+SELECT count(c) AS scored, count(*) FILTER (c) AS correct, round(count(*) FILTER (c) / count(c)::DOUBLE, 4) AS accuracy FROM b""")
+def label_accuracy(spark, sf_dir):
+    j = documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
+    return R.accuracy(j.select((F.col("quality") == F.when(n_chars(F.col("text")) > 1000, 1).otherwise(0)).alias("correct")))
+
+
+@query("""SELECT count(*) AS "rows", count(*) FILTER (NOT coalesce(json_valid(props), false)) AS invalid, count(*) FILTER (json_valid(props) AND NOT json_exists(props, '$.k')) AS missing_keys, 0::BIGINT AS flagged,
+  avg((props->>'$.k')::DOUBLE) AS mean_score, min((props->>'$.k')::DOUBLE) AS least_score, max((props->>'$.k')::DOUBLE) AS greatest_score FROM events""")
+def annotation_summary(spark, sf_dir):
+    return R.annotation_report(table(spark, sf_dir, "events"), "props", ("k",), "k", "flags").drop("examples")
+
+
+@query("""WITH RECURSIVE e AS (SELECT r_name AS parent, n_name AS child FROM region JOIN nation ON r_regionkey = n_regionkey UNION ALL SELECT n_name, 'c' || c_custkey FROM nation JOIN customer ON n_nationkey = c_nationkey),
+w AS (SELECT 'ASIA' AS category, 0 AS depth UNION ALL SELECT child, depth + 1 FROM w JOIN e ON e.parent = w.category WHERE depth < 2)
+SELECT category, min(depth)::INTEGER AS depth FROM w GROUP BY category""")
+def category_walk(spark, sf_dir):
+    from ..sources.paged import walk_categories
+
+    r, n, c = (table(spark, sf_dir, t) for t in ("region", "nation", "customer"))
+    first = r.join(n, r["r_regionkey"] == n["n_regionkey"]).select(F.col("r_name").alias("parent"), F.col("n_name").alias("child"))
+    second = n.join(c, n["n_nationkey"] == c["c_nationkey"]).select(F.col("n_name").alias("parent"), F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("child"))
+    return walk_categories(first.unionByName(second), ["ASIA"], 2)
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def documents_not_done(spark, sf_dir):
+    from ..sources.paged import not_done
+
+    return not_done(documents(spark, sf_dir).select("doc_id"), table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query("""WITH n AS (SELECT doc_id, @NWORDS(coalesce(text, ''))::BIGINT AS n FROM documents), t AS (SELECT count(*) AS documents, sum(n)::BIGINT AS tokens FROM n)
+SELECT documents, tokens, least(tokens // 512, 100)::BIGINT AS sequences, least(tokens // 512, 100)::BIGINT * 512 AS used_tokens, tokens - least(tokens // 512, 100)::BIGINT * 512 AS dropped_tokens FROM t""")
+def packing_summary(spark, sf_dir):
+    return C.packing_summary(documents(spark, sf_dir).select(words(text_of(F.col("text"))).alias("w")), "w", 512, 100)
+
+
+@query("""WITH w AS (SELECT doc_id, list_append(@WORDS(text), '</s>') AS w FROM documents), u AS (SELECT sha1('7:' || doc_id) AS o, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM w),
+n AS (SELECT token, row_number() OVER (ORDER BY o, pos) - 1 AS i FROM u)
+SELECT (i // 256)::BIGINT AS block, sha1(string_agg(token, ' ' ORDER BY i)) AS tokens FROM n WHERE i < 256 * 500 GROUP BY i // 256 HAVING count(*) = 256""")
+def pack_tokens_shuffled(spark, sf_dir):
+    d = documents(spark, sf_dir).select("doc_id", F.array_append(words(F.col("text")), F.lit("</s>")).alias("w"))
+    return C.pack_tokens(d, "doc_id", "w", 256, shuffle="7", max_sequences=500).select("block", F.sha1(F.array_join("tokens", " ")).alias("tokens"))
+
+
+@query(f"""{_PAIRS}, t AS (SELECT conv_id, turn, @STRIP(question) AS q, @STRIP(answer) AS c, question || ' ' || answer AS src FROM p), m AS (SELECT *, {_tokens("c")} AS a, {_tokens("src")} AS s, {_tokens("q")} AS r FROM t)
+SELECT conv_id, turn, CASE WHEN NOT length(q) BETWEEN 25 AND 800 THEN 'q_length' WHEN regexp_matches(q, '{_alternatives((D.META_QUESTIONS,))}') THEN 'meta_question' WHEN NOT length(c) BETWEEN 80 AND 3000 THEN 'chosen_length' WHEN NOT length(q) BETWEEN 80 AND 3000 THEN 'rejected_length'
+  WHEN (CASE WHEN len(a) = 0 THEN 0.0::DOUBLE ELSE len(list_intersect(a, s))::DOUBLE / len(a) END) < 0.4::DOUBLE THEN 'grounding'
+  WHEN NOT coalesce(CASE WHEN len(a) > 0 AND len(r) > 0 THEN 1 - len(list_intersect(a, r))::DOUBLE / (len(a) + len(r) - len(list_intersect(a, r))) END >= 0.3::DOUBLE, false) THEN 'rejected_too_similar'
+  WHEN lower(c) = lower(q) THEN 'identical' ELSE 'ok' END AS fault, regexp_matches(q, '{_alternatives((D.META_QUESTIONS,))}') AS meta FROM m""")
+def question_faults(spark, sf_dir):
+    q, a = F.col("question"), F.col("answer")
+    return chat_pairs(spark, sf_dir).select("conv_id", "turn", P.question_fault(q, a, q, F.concat(q, F.lit(" "), a)).alias("fault"), P.meta_question(strip(q)).alias("meta"))
+
+
+@query(f"""WITH t AS (SELECT doc_id, @COUNT(regexp_replace(coalesce(text, ''), '([^\\p{{L}}\\p{{N}}_])', '\\1\\1', 'g');; {_alternatives((D.FRONT_MATTER.replace(' ', '  '),))}) AS f, @COUNT(coalesce(text, '');; [A-Za-zÀ-ÿ][A-Za-zÀ-ÿ\\-]+) AS w FROM documents)
+SELECT doc_id, doc_id % 10 >= 5 AND f::DOUBLE / greatest(w, 1) <= 0.012::DOUBLE AS worth, f::DOUBLE / greatest(w, 1) AS density FROM t""")
+def front_matter(spark, sf_dir):
+    c = F.col("text")
+    return documents(spark, sf_dir).select("doc_id", P.worth_questions(c, (F.col("doc_id") % 10).cast("int")).alias("worth"), P.front_matter_density(c).alias("density"))
+
+
+@query(f"SELECT lang, source, ({' OR '.join(f'contains(lower(h), {chr(39)}{x}{chr(39)})' for x in D.HEADINGS)}) AS relevant FROM (SELECT lang, source, string_agg(DISTINCT left(text, 40), ' ' ORDER BY left(text, 40)) AS h FROM documents GROUP BY ALL)")
+def heading_relevance(spark, sf_dir):
+    """Headings: the first 40 characters of a group's texts."""
+    h = documents(spark, sf_dir).groupBy("lang", "source").agg(F.array_sort(F.collect_set(F.left("text", F.lit(40)))).alias("h"))
+    return h.select("lang", "source", P.headings_relevant(F.col("h")).alias("relevant"))
+
+
+@query("SELECT doc_id, list_sort(list_filter(['text', 'lang', 'source'], lambda k: CASE k WHEN 'text' THEN coalesce(text, '') = '' WHEN 'lang' THEN lang IS NULL ELSE source IS NULL END)) AS missing FROM documents WHERE source IN ('src0', 'src1', 'src2')")
+def listed_and_missing(spark, sf_dir):
+    """Rows of listed sources, and which required fields they lack."""
+    listed = spark.createDataFrame([("src0",), ("src1",), ("src2",)], "source string")
+    rows = O.listed(documents(spark, sf_dir), listed, "source")
+    present = F.array_compact(F.array(F.when(text_of(F.col("text")) != "", F.lit("text")), F.when(F.col("lang").isNotNull(), F.lit("lang")), F.when(F.col("source").isNotNull(), F.lit("source"))))
+    return rows.select("doc_id", F.array_sort(O.missing(("text", "lang", "source"), present)).alias("missing"))
+
+
+@query("SELECT DISTINCT user_id FROM events WHERE user_id IS NOT NULL")
+def distinct_ids(spark, sf_dir):
+    return O.distinct_ids(table(spark, sf_dir, "events"), "user_id")
+
+
+@query("SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
+def counts_by_key(spark, sf_dir):
+    return R.counts(table(spark, sf_dir, "events"), "event_type")
+
+
 # Fingerprint of the whole: the flagship
 
 
