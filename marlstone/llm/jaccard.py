@@ -48,8 +48,6 @@ SHINGLE = 5
 SMALL, PIVOTS, SLICE = 64, 32, 512
 #: Nodes of a block when sets are compared: in large groups up to MOST_BLOCK, so that a set is in some 16 blocks.
 BLOCK, MOST_BLOCK, BLOCK_TOKENS = 192, 512, 1 << 20
-#: Rows, of a few longs each, up to which a counted side of a join is broadcast instead of moving all sets.
-FEW_ROWS = 100_000
 #: Choices that the number of runs allows for, made at a time after the first, and at most.
 DEPTH, STEP, LAST = 3, 2, 17
 #: Minima kept of a set; the share of equal ones from which a pair is verified, five deviations under 0.8, and from
@@ -303,11 +301,12 @@ def _verify(threshold: float):
     return run
 
 
-def _candidate_edges(sets: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """Edges (u, v) between nodes that may be alike. sets: node, tokens, sketch, paths of every row; nodes: those
-    that stand for their copies."""
+def _candidate_edges(sets: DataFrame, nodes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Edges (u, v) between nodes that may be alike, and the sets of all nodes that can have one, so that what comes
+    after the first choices moves these alone. sets: node, tokens, sketch, paths of every row; nodes: those that
+    stand for their copies."""
     parts = shuffle_partitions(sets.sparkSession)
-    here, rows = sets, sets.select("node", "paths").join(nodes.select("node"), "node", "left_semi").select("node", F.explode("paths").alias("b"))
+    here, active, rows = sets, None, sets.select("node", "paths").join(nodes.select("node"), "node", "left_semi").select("node", F.explode("paths").alias("b"))
     edges = last = None
     for depth in count(1, STEP):
         sizes = save(rows.groupBy("b").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1"), "buckets")
@@ -315,7 +314,8 @@ def _candidate_edges(sets: DataFrame, nodes: DataFrame, threshold: float) -> Dat
         if depth >= LAST:
             stars = met.where(large).select(F.col("node").alias("u"), F.col("least").alias("v"))
             edges, met = edges.unionByName(stars), met.where(~large)
-        pivot = large & (F.pmod(F.xxhash64("b", "node"), F.col("size")) < PIVOTS)
+        # The same nodes are pivots wherever they can be, so that edges of one group repeat each other.
+        pivot = large & (F.pmod(F.xxhash64("node", F.lit(2)), F.lit(1 << 30)) * F.col("size") < PIVOTS << 30)
         met = met.select("b", "node", F.when(large, _PIVOTS).otherwise(_ALL).alias("how"), pivot.alias("pivot"), F.when(large, F.ceil(F.col("size") / SLICE)).otherwise(1).cast("int").alias("slices"))
         met = met if last is None else met.unionByName(last)
         own = F.array(F.pmod(F.xxhash64("node", "b", F.lit(1)), F.col("slices")).cast("int"))
@@ -325,9 +325,11 @@ def _candidate_edges(sets: DataFrame, nodes: DataFrame, threshold: float) -> Dat
         found = save(met.mapInArrow(_compare, "kind long, u long, v long"), "compared")
         now = found.where(F.col("kind") == _EDGE).select("u", "v")
         edges = now if edges is None else edges.unionByName(now)
-        left, strangers = found.agg(F.count_if(F.col("kind") != _EDGE), F.count_if(F.col("kind") == _STRANGER)).first()
-        if not strangers:
-            return edges
+        if active is None:
+            met_any = found.select(F.explode(F.when(F.col("kind") == _EDGE, F.array("u", "v")).otherwise(F.array("v"))).alias("node")).distinct()
+            here = active = save(sets.select("node", "tokens", "sketch").join(met_any, "node", "left_semi"), "active")
+        if found.where(F.col("kind") == _STRANGER).isEmpty():
+            return edges, active
         # What is not settled, of buckets with strangers: by how many these are the bucket ends here or is split.
         rest = found.where(F.col("kind") != _EDGE).select(F.col("u").alias("b"), F.col("v").alias("node"), (F.col("kind") == _STRANGER).alias("pivot"))
         of = save(rest.groupBy("b").agg(F.count_if("pivot").alias("strangers"), F.ceil(F.count("*") / SLICE).cast("int").alias("slices")).where("strangers > 0"), "strangers")
@@ -336,7 +338,7 @@ def _candidate_edges(sets: DataFrame, nodes: DataFrame, threshold: float) -> Dat
         last = rest.where(ends).select("b", "node", F.lit(_STRANGERS).alias("how"), "pivot", "slices")
         # A node has few paths: as many as it chose, over all runs.
         on = rest.groupBy("node").agg(F.collect_set(F.when(~ends, F.col("b"))).alias("paths"))
-        on = here.select("node", "tokens", "sketch").join(F.broadcast(on) if left <= FEW_ROWS else on, "node")
+        on = here.select("node", "tokens", "sketch").join(on, "node")
         here = save(on.mapInArrow(_deeper(threshold), "node long, tokens binary, sketch binary, paths array<bigint>"), "open")
         rows = here.select("node", F.explode("paths").alias("b"))
 
@@ -352,7 +354,8 @@ def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.
     sets = save(sets.withColumn("node", F.monotonically_increasing_id()), "sets")
     nodes = sets.where("digest is not null").groupBy("digest").agg(F.min("node").alias("node"), F.min("doc_id").alias("least_id"), F.count("*").alias("copies"), F.max("n").alias("n"))
     nodes = save(nodes, "nodes")
-    groups = save(components(_candidate_edges(sets, nodes, threshold)), "groups")
+    edges, active = _candidate_edges(sets, nodes, threshold)
+    groups = save(components(edges), "groups")
     wide = groups.join(nodes.select("node", "copies", "n"), "node")
     sizes = save(wide.groupBy("component").agg(F.count("*").alias("size"), F.sum("n").alias("tokens")), "group-sizes")
     # Blocks of bounded nodes and tokens.
@@ -361,7 +364,7 @@ def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.
     wide = wide.join(sizes.select("component", blocks.alias("blocks")), "component")
     wide = wide.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     wide = wide.select("component", "node", "block", "blocks", "copies")
-    wide = sets.select("node", "tokens").join(F.broadcast(wide) if groups.count() <= FEW_ROWS else wide, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    wide = active.select("node", "tokens").join(wide, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     wide = wide.withColumns({"a": F.least("block", "other"), "b": F.greatest("block", "other")})
     wide = wide.select("component", "a", "b", "node", "block", "blocks", "copies", "tokens")
     wide = wide.repartition(shuffle_partitions(spark), "component", "a", "b").sortWithinPartitions("component", "a", "b")
