@@ -45,7 +45,7 @@ from .components import components
 SHINGLE = 5
 #: Nodes of a bucket that are compared one by one; of a larger one, those that all others are compared with and the
 #: nodes of a slice.
-SMALL, PIVOTS, SLICE = 64, 32, 512
+SMALL, PIVOTS, SLICE = 384, 32, 512
 #: Nodes of a block when sets are compared: in large groups up to MOST_BLOCK, so that a set is in some 16 blocks.
 BLOCK, MOST_BLOCK, BLOCK_TOKENS = 192, 512, 1 << 20
 #: Choices that the number of runs allows for, made at a time after the first, and at most.
