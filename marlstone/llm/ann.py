@@ -15,9 +15,10 @@ Nearness is the inner product: vectors get one more coordinate that makes all no
 nearest in distance is the largest in product. Found neighbours are scored on the original vectors, in double
 precision.
 
-Lists and their queries meet in cells of bounded size: a list longer than CELL vectors is divided, as are the
-queries of a list with more than CELL of them, and each part meets each part of the other. A cell gives at most k
-pairs a query. Of equal vectors only the k + 1 least ids are candidates, as no query can return more: a vector that a
+Lists and their queries meet in cells of bounded size: neighbouring lists make up a group of some CELL vectors, to
+which a query goes once, with the lists that it reads there. A group of more than CELL vectors is divided, as are the
+queries of a group with more than CELL of them, and each part meets each part of the other. Within a cell a query is
+compared with its lists alone. A cell gives at most k pairs a query. Of equal vectors only the k + 1 least ids are candidates, as no query can return more: a vector that a
 third of all rows share costs no more than others.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part; vectors of
@@ -88,7 +89,7 @@ def balanced_centroids(x: np.ndarray, size: int) -> np.ndarray:
         todo += [rows[order[:half]], rows[order[half:]]]
     c = np.stack(leaves)
     for _ in range(4 if len(c) > 1 else 0):
-        own = np.concatenate([_nearest(x[i : i + 4096], c) for i in range(0, len(x), 4096)])
+        own = np.concatenate([_nearest(x[i : i + 512], c) for i in range(0, len(x), 512)])
         n = np.bincount(own, minlength=len(c))
         sums = np.zeros_like(c)
         np.add.at(sums, own, x)
@@ -303,8 +304,20 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def _assign(shared, k: int | None = None):
-    """The lists of vectors, or those that queries read for k neighbours."""
+def _grouped(lists: list[np.ndarray], per: int) -> tuple[list[int], list[int], list[np.ndarray]]:
+    """Of each row's lists the groups of so many: (row, group, the lists in it)."""
+    rows, groups, parts = [], [], []
+    for i, mine in enumerate(lists):
+        mine = np.sort(mine)
+        for part in np.split(mine, np.flatnonzero(np.diff(mine // per)) + 1):
+            rows.append(i)
+            groups.append(int(part[0] // per))
+            parts.append(part)
+    return rows, groups, parts
+
+
+def _assign(shared, per: int = 1, k: int | None = None):
+    """The lists of vectors, or those that queries read for k neighbours, by group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = shared.value
@@ -312,8 +325,9 @@ def _assign(shared, k: int | None = None):
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 x = _extended(index, _matrix(part["vec"]), k is not None)
-                lists = lists_of(index, x) if k is None else lists_for(index, x, k)
-                yield pa.record_batch([part["id"], part["vec"], pa.array(lists, pa.list_(pa.int64()))], names=["id", "vec", "lists"])
+                rows, groups, lists = _grouped(lists_of(index, x) if k is None else lists_for(index, x, k), per)
+                rows = pa.array(rows, pa.int64())
+                yield pa.record_batch([part["id"].take(rows), part["vec"].take(rows), pa.array(groups, pa.int64()), pa.array(lists, pa.list_(pa.int64()))], names=["id", "vec", "cell", "lists"])
 
     return run
 
@@ -333,15 +347,31 @@ def _compare(k: int):
             q, v, qi, vi = x[is_query], x[~is_query], ids[is_query], ids[~is_query]
             if not len(q) or not len(v):
                 return
+            lists = rows["lists"].combine_chunks()
+            read, mine = lists.filter(pa.array(is_query)), np.asarray(lists.filter(pa.array(~is_query)).flatten())
             order = np.argsort(vi, kind="stable")
-            v, vi = v[order], vi[order]
+            v, vi, mine = v[order], vi[order], mine[order]
+            by_list = np.argsort(mine, kind="stable")
+            there, starts = np.unique(mine[by_list], return_index=True)
+            columns = dict(zip(there.tolist(), np.split(by_list, starts[1:])))
             firsts = np.flatnonzero(np.r_[True, vi[1:] != vi[:-1]])
             counts = np.diff(np.r_[firsts, len(vi)])
-            for at in range(0, len(q), 512):
-                every = np.nan_to_num(q[at : at + 512] @ v.T, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+            for at in range(0, len(q), 256):
+                some = q[at : at + 256]
+                every, met = np.full((len(some), len(v)), -np.inf), np.zeros((len(some), len(v)), dtype=bool)
+                asked = read.slice(at, 256)
+                wants = np.repeat(np.arange(len(some)), np.asarray(asked.value_lengths()))
+                which_list = np.asarray(asked.flatten())
+                by = np.argsort(which_list, kind="stable")
+                wanted, starts = np.unique(which_list[by], return_index=True)
+                for name, who in zip(wanted.tolist(), np.split(wants[by], starts[1:])):
+                    if name in columns:
+                        at_both = np.ix_(who, columns[name])
+                        every[at_both] = np.nan_to_num(some[who] @ v[columns[name]].T, nan=-np.inf, posinf=np.inf, neginf=-np.inf)
+                        met[at_both] = True
                 # The best of each id, so that rows that share one take one of the k places.
-                s = every if len(firsts) == len(v) else np.maximum.reduceat(every, firsts, axis=1)
-                own = qi[at : at + 512][:, None] == vi[firsts][None, :]
+                s, met = (every, met) if len(firsts) == len(v) else (np.maximum.reduceat(every, firsts, axis=1), np.logical_or.reduceat(met, firsts, axis=1))
+                own = (qi[at : at + 256][:, None] == vi[firsts][None, :]) | ~met
                 s = np.where(own, -np.inf, s)
                 m = min(len(firsts), k)
                 worst = -np.partition(-s, m - 1, axis=1)[:, m - 1]
@@ -360,7 +390,7 @@ def _compare(k: int):
                 yield pa.record_batch([pa.array(qi[at + who]), pa.array(vi[which]), pa.array(exact)], schema=pa.schema(kinds))
 
         for batch in batches:
-            cells = np.stack([np.asarray(batch[c]) for c in ("list", "vpart", "qpart")], axis=1)
+            cells = np.stack([np.asarray(batch[c]) for c in ("cell", "vpart", "qpart")], axis=1)
             edges = [0, *(np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1), batch.num_rows]
             for a, b in zip(edges, edges[1:]):
                 if a == b:
@@ -397,8 +427,9 @@ def search(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col
     lengths = counts.orderBy(F.desc("n"), F.desc("dims")).limit(1).unionByName(counts.where(F.col("n") > CELL)).distinct().collect()  # fewer than rows / CELL
     rare = rows.where(~F.col("dims").isin([r["dims"] for r in lengths])) if lengths else rows
     # Rare lengths are one list each, with a number that no index uses.
-    by = (-F.col("dims")).cast("long").alias("list")
-    pairs = [(rare.where("candidate").select("id", "vec", by), rare.where("asks").select("id", "vec", by))]
+    by = (-F.col("dims")).cast("long")
+    by = (by.alias("cell"), F.array(by).alias("lists"))
+    pairs = [(rare.where("candidate").select("id", "vec", *by), rare.where("asks").select("id", "vec", *by))]
     for r in lengths:
         pairs.append(_indexed(rows.where(F.col("dims") == r["dims"]), r["dims"], r["n"], k, target))
     near = reduce(DataFrame.unionByName, [_met(spark, placed, asked, k) for placed, asked in pairs])
@@ -415,27 +446,30 @@ def _indexed(rows: DataFrame, dims: int, n: int, k: int, target: float) -> tuple
     scale = float(rows.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x))))).first()[0])
     square = float(rows.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + (x / scale) * (x / scale)))).first()[0])
     index = fit(vectors, dims, n, scale, square**0.5)
-    schema = "id long, vec array<double>, lists array<bigint>"
-    split = lambda t, run: t.select("id", "vec").mapInArrow(run, schema).select("id", "vec", F.explode("lists").alias("list"))
-    placed = save(split(vectors, _assign(share(index))), "posting-lists")
+    schema = "id long, vec array<double>, cell long, lists array<bigint>"
+    per = max(1, CELL // (2 * LIST_ROWS)) if len(index.centroids) < MOST_LISTS else max(1, CELL * len(index.centroids) // (2 * n))
+    split = lambda t, run: t.select("id", "vec").mapInArrow(run, schema)
+    # A row for each list of a vector.
+    by_list = split(vectors, _assign(share(index))).withColumn("list", F.explode("lists"))
+    placed = save(by_list.select("id", "vec", "list", F.floor(F.col("list") / per).alias("cell"), F.array("list").alias("lists")), "posting-lists")
     index.sizes = np.zeros(len(index.centroids), dtype=np.int64)
     # Ids, not rows: a query reads on until its lists hold enough candidates.
     for r in placed.groupBy("list").agg(F.countDistinct("id").alias("count")).collect():  # MOST_LISTS rows at most
         index.sizes[r["list"]] = r["count"]
     calibrate(index, vectors, placed, k, target)
-    return placed, save(split(rows.where("asks"), _assign(share(index), k)), "query-lists")
+    return placed.drop("list"), save(split(rows.where("asks"), _assign(share(index), per, k)), "query-lists")
 
 
 def _met(spark, placed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     """The best k of each cell for each of its queries."""
-    # Parts of lists and of queries, from counts: a row for each list, MOST_LISTS or one for each rare length.
-    parts = lambda t, name: t.groupBy("list").agg(F.ceil(F.count("*") / CELL).cast("int").alias(name))
-    sizes = parts(placed, "vparts").join(parts(asked, "qparts"), "list")
+    # Parts of groups and of queries, from counts: a row for each group, MOST_LISTS or one for each rare length.
+    parts = lambda t, name: t.groupBy("cell").agg(F.ceil(F.count("*") / CELL).cast("int").alias(name))
+    sizes = parts(placed, "vparts").join(parts(asked, "qparts"), "cell")
     part = lambda of, salt: F.pmod(F.xxhash64("id", "vec", F.lit(salt)), F.col(of)).cast("int")
     spread = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
-    v = placed.join(sizes, "list").withColumn("vpart", part("vparts", 1)).withColumn("qpart", spread("qparts"))
-    q = asked.join(sizes, "list").withColumn("qpart", part("qparts", 2)).withColumn("vpart", spread("vparts"))
-    columns = ("list", "vpart", "qpart", "id", "vec")
+    v = placed.join(sizes, "cell").withColumn("vpart", part("vparts", 1)).withColumn("qpart", spread("qparts"))
+    q = asked.join(sizes, "cell").withColumn("qpart", part("qparts", 2)).withColumn("vpart", spread("vparts"))
+    columns = ("cell", "vpart", "qpart", "id", "vec", "lists")
     cells = v.select(*columns, F.lit(False).alias("query")).unionByName(q.select(*columns, F.lit(True).alias("query")))
-    cells = cells.repartition(shuffle_partitions(spark), "list", "vpart", "qpart").sortWithinPartitions("list", "vpart", "qpart")
+    cells = cells.repartition(shuffle_partitions(spark), "cell", "vpart", "qpart").sortWithinPartitions("cell", "vpart", "qpart")
     return cells.mapInArrow(_compare(k), "query_id long, vec_id long, score double")

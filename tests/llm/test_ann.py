@@ -77,8 +77,8 @@ def asked(df, monkeypatch):
 
     def indexed(*args):
         placed, queries = real(*args)
-        n = placed.groupBy("list").count()
-        read = queries.join(n, "list").agg({"count": "sum"}).first()[0]
+        lists = lambda df: df.selectExpr("explode(lists) AS list")
+        read = lists(queries).join(lists(placed).groupBy("list").count(), "list").agg({"count": "sum"}).first()[0]
         seen.append(read / queries.select("id").distinct().count() / placed.select("id").distinct().count())
         return placed, queries
 
