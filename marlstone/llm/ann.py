@@ -22,7 +22,7 @@ compared with its lists alone. A cell gives at most k pairs a query. Of equal ve
 third of all rows share costs no more than others.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part; vectors of
-different lengths are not candidates of each other, and those of lengths of CELL rows or less, but for the most
+different lengths are not candidates of each other, and those of lengths of RARE rows or less, but for the most
 frequent length, are compared without an index; rows that share an id are one candidate with its best score, however many they are, and as queries
 one query with the best of its rows; equal rows are one; a query never finds its own id; a product that overflows to
 no number counts as the least; with fewer candidates than k all are found; an empty table gives no rows. Only the id
@@ -51,8 +51,8 @@ BOUNDARY = 1.3
 PROBES, TARGET = 512, 0.93
 #: Centroids whose mean distance other centroids' distances are compared with.
 NEAREST = 32
-#: Vectors and queries that one cell compares.
-CELL = 4096
+#: Vectors and queries that one cell compares, less if they take more than CELL_BYTES; lengths of so few rows are rare.
+CELL, CELL_BYTES, RARE = 16_384, 8 << 20, 4096
 _DEGREE, _OPEN = 24, 8
 
 
@@ -356,10 +356,10 @@ def _compare(k: int):
             columns = dict(zip(there.tolist(), np.split(by_list, starts[1:])))
             firsts = np.flatnonzero(np.r_[True, vi[1:] != vi[:-1]])
             counts = np.diff(np.r_[firsts, len(vi)])
-            for at in range(0, len(q), 256):
-                some = q[at : at + 256]
+            for at in range(0, len(q), 128):
+                some = q[at : at + 128]
                 every, met = np.full((len(some), len(v)), -np.inf), np.zeros((len(some), len(v)), dtype=bool)
-                asked = read.slice(at, 256)
+                asked = read.slice(at, 128)
                 wants = np.repeat(np.arange(len(some)), np.asarray(asked.value_lengths()))
                 which_list = np.asarray(asked.flatten())
                 by = np.argsort(which_list, kind="stable")
@@ -371,7 +371,7 @@ def _compare(k: int):
                         met[at_both] = True
                 # The best of each id, so that rows that share one take one of the k places.
                 s, met = (every, met) if len(firsts) == len(v) else (np.maximum.reduceat(every, firsts, axis=1), np.logical_or.reduceat(met, firsts, axis=1))
-                own = (qi[at : at + 256][:, None] == vi[firsts][None, :]) | ~met
+                own = (qi[at : at + 128][:, None] == vi[firsts][None, :]) | ~met
                 s = np.where(own, -np.inf, s)
                 m = min(len(firsts), k)
                 worst = -np.partition(-s, m - 1, axis=1)[:, m - 1]
@@ -424,22 +424,23 @@ def search(df: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col
     rows = every.withColumn("place", place).where((F.col("place") <= k + 1) | is_query(F.col("id")))
     rows = save(rows.select("id", "vec", "dims", (F.col("place") <= k + 1).alias("candidate"), is_query(F.col("id")).alias("asks")), "vectors")
     counts = rows.where("candidate").groupBy("dims").agg(F.count("*").alias("n"))
-    lengths = counts.orderBy(F.desc("n"), F.desc("dims")).limit(1).unionByName(counts.where(F.col("n") > CELL)).distinct().collect()  # fewer than rows / CELL
+    lengths = counts.orderBy(F.desc("n"), F.desc("dims")).limit(1).unionByName(counts.where(F.col("n") > RARE)).distinct().collect()  # fewer than rows / RARE
     rare = rows.where(~F.col("dims").isin([r["dims"] for r in lengths])) if lengths else rows
     # Rare lengths are one list each, with a number that no index uses.
     by = (-F.col("dims")).cast("long")
     by = (by.alias("cell"), F.array(by).alias("lists"))
-    pairs = [(rare.where("candidate").select("id", "vec", *by), rare.where("asks").select("id", "vec", *by))]
+    pairs = [(rare.where("candidate").select("id", "vec", *by), rare.where("asks").select("id", "vec", *by), min(CELL, RARE))]
     for r in lengths:
-        pairs.append(_indexed(rows.where(F.col("dims") == r["dims"]), r["dims"], r["n"], k, target))
-    near = reduce(DataFrame.unionByName, [_met(spark, placed, asked, k) for placed, asked in pairs])
+        most = min(CELL, max(RARE // 8, CELL_BYTES // (8 * r["dims"])))
+        pairs.append((*_indexed(rows.where(F.col("dims") == r["dims"]), r["dims"], r["n"], k, target, most), most))
+    near = reduce(DataFrame.unionByName, [_met(spark, placed, asked, k, most) for placed, asked, most in pairs])
     best = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _indexed(rows: DataFrame, dims: int, n: int, k: int, target: float) -> tuple[DataFrame, DataFrame]:
+def _indexed(rows: DataFrame, dims: int, n: int, k: int, target: float, most: int) -> tuple[DataFrame, DataFrame]:
     """Candidates and queries of one length with the lists that they are in and read."""
     share = rows.sparkSession.sparkContext.broadcast
     vectors = rows.where("candidate")
@@ -447,7 +448,7 @@ def _indexed(rows: DataFrame, dims: int, n: int, k: int, target: float) -> tuple
     square = float(rows.agg(F.max(F.aggregate("vec", F.lit(0.0), lambda a, x: a + (x / scale) * (x / scale)))).first()[0])
     index = fit(vectors, dims, n, scale, square**0.5)
     schema = "id long, vec array<double>, cell long, lists array<bigint>"
-    per = max(1, CELL // (2 * LIST_ROWS)) if len(index.centroids) < MOST_LISTS else max(1, CELL * len(index.centroids) // (2 * n))
+    per = max(1, most * len(index.centroids) // (2 * n))  # lists that hold about so many vectors
     split = lambda t, run: t.select("id", "vec").mapInArrow(run, schema)
     # A row for each list of a vector.
     by_list = split(vectors, _assign(share(index))).withColumn("list", F.explode("lists"))
@@ -460,10 +461,10 @@ def _indexed(rows: DataFrame, dims: int, n: int, k: int, target: float) -> tuple
     return placed.drop("list"), save(split(rows.where("asks"), _assign(share(index), per, k)), "query-lists")
 
 
-def _met(spark, placed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+def _met(spark, placed: DataFrame, asked: DataFrame, k: int, most: int) -> DataFrame:
     """The best k of each cell for each of its queries."""
     # Parts of groups and of queries, from counts: a row for each group, MOST_LISTS or one for each rare length.
-    parts = lambda t, name: t.groupBy("cell").agg(F.ceil(F.count("*") / CELL).cast("int").alias(name))
+    parts = lambda t, name: t.groupBy("cell").agg(F.ceil(F.count("*") / most).cast("int").alias(name))
     sizes = parts(placed, "vparts").join(parts(asked, "qparts"), "cell")
     part = lambda of, salt: F.pmod(F.xxhash64("id", "vec", F.lit(salt)), F.col(of)).cast("int")
     spread = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))

@@ -134,8 +134,8 @@ def test_a_hot_vector_costs_no_more_than_others(spark, monkeypatch, copies):
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(2000 + i, x[7].tolist()) for i in range(copies)]
     made, real = [], ann._met
 
-    def met(spark, placed, queries, k):
-        out = real(spark, placed, queries, k)
+    def met(spark, placed, queries, k, most):
+        out = real(spark, placed, queries, k, most)
         made.append((placed.count(), queries.count(), out.count()))
         return out
 
