@@ -23,6 +23,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,18 +117,25 @@ class TokenFile:
         return self.ids(int(self.starts[i]), int(self.starts[i + 1]))
 
 
+#: Stands for a newline at the start of a piece; texts that hold it are encoded whole.
+LINE = "\x01"
+
+
 class Encoder:
     """Ids of texts by a byte-level BPE file of the tokenizers library, as little-endian bytes.
 
-    A text is cut before every single space between two others that are not white space: no token of such a
-    vocabulary reaches over such a space, so the ids of the pieces are the ids of the text. Pieces not met
-    before are encoded together, a newline between them; the others come from a table of bounded size. Of a
-    piece that is letters and marks after them, the two are looked up apart. Texts with a space amid other white
-    space, or with what may be a special token, are encoded whole."""
+    A text is cut before every single space between two others that are not white space, and before its newlines:
+    no token of such a vocabulary reaches over such a place, so the ids of the pieces are the ids of the text. Arrow
+    cuts the texts of a batch, numbers their different pieces and lays out the ids; pieces not met before are
+    encoded together, a newline between them, the others come from a table of bounded size. Of a piece that is
+    letters and marks after them, the two are looked up apart. A text whose newlines touch other white space is
+    cut at spaces alone; one with a space amid other white space, or with what may be a special token, is encoded
+    whole, and so is every text where the file's normalizer, pre-tokenizer or model is another."""
 
     ROOM = 1_000_000
 
     def __init__(self, path: str, wide: int = 4):
+        import json
         import os
         import re
 
@@ -135,20 +143,27 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.odd = re.compile(r"\s (?:\s|$)")
-        self.marked = re.compile(r"([^\W\d_]+)([^\w\s]+)").fullmatch
+        self.odd = re.compile(r"\s (?:\s|$)").search
+        # Newlines that are not one or two between other characters, or one at the end.
+        self.tangled = re.compile(r"\n(?:[^\S\n]|\n(?:\s|\Z)|(?<=[^\S\n]\n))").search
+        self.marked = re.compile(rf"({LINE}?[^\W\d_]+)([^\w\s]+)").fullmatch
         self.edgy: set[str] = {""}  # pieces met with white space at an end
         self.kind, self.wide = f"<u{wide}", wide
         if max(self.tokenizer.get_vocab().values(), default=0) >> 8 * wide:
             raise ValueError(f"ids of {path} need more than {wide} bytes")
         self.seen: dict[str, bytes] = {}  # by the piece without its space
-        newline, *parts = self._raw(["\n", "a", " b", "c", "a\n b\nc"])
-        self.newline = newline[0]
-        # Pieces are joined with newlines only where the file encodes a newline as one id of its own.
-        self.joins = len(newline) == 1 and [*parts[0], *newline, *parts[1], *newline, *parts[2]] == parts[3]
-        marks, word, both = self._raw([".,", " a", " a.,"])
-        self.splits = word + marks == both  # whether the file's pattern parts letters from marks
         self.marks: dict[str, bytes] = {}
+        parts = json.loads(self.tokenizer.to_str())
+        before, model = parts["pre_tokenizer"] or {}, parts["model"]
+        (newline,) = self._raw(["\n"])
+        self.newline = newline[0] if newline else -1
+        self.special = [x["content"] for x in parts["added_tokens"]]
+        self.cuts = (
+            (before.get("type"), before.get("use_regex"), before.get("add_prefix_space")) == ("ByteLevel", True, False)
+            and parts["normalizer"] is None
+            and (model["type"], model.get("dropout"), len(newline)) == ("BPE", None, 1)
+            and not any(x["lstrip"] or x["rstrip"] for x in parts["added_tokens"])
+        )
 
     def _raw(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -157,40 +172,40 @@ class Encoder:
         return np.array(ids, dtype=self.kind).tobytes()
 
     def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """The ids of pieces, each behind a space."""
-        plain, rest, marked, seen, out = set(), [], [], self.seen, {}
+        """The ids of pieces, each behind a space or, where it starts with LINE, behind a newline."""
+        joined, rest, marked, seen, out = set(), [], [], self.seen, {}
         for p in pieces:
-            if self.splits and not p[-1:].isalnum() and (m := self.marked(p)):
+            if not p[-1:].isalnum() and (m := self.marked(p)):
                 letters, marks = m.groups()
                 marked.append((p, letters, marks))
                 if letters in seen:
                     out[letters] = seen[letters]
                 else:
-                    plain.add(letters)
+                    joined.add(letters)
                 if marks not in self.marks:
                     self.marks[marks] = b""
-            elif self.joins and p.split() == [p]:
-                plain.add(p)
+            elif p.split() == [p]:
+                joined.add(p)
             else:
                 rest.append(p)
-        if not self.joins:
-            rest, plain = [*rest, *plain], ()
-        plain = list(plain)
-        groups = [plain[i : i + 64] for i in range(0, len(plain), 64)]
-        for at in range(0, len(groups), 64):
-            some = groups[at : at + 64]
-            for group, ids in zip(some, self._raw([" " + "\n ".join(g) for g in some])):
-                found = np.array(ids, dtype="<u4")
-                cuts = np.flatnonzero(found == self.newline).tolist()
-                if len(cuts) != len(group) - 1:
-                    rest += group
-                    continue
-                data, w = found.astype(self.kind).tobytes(), self.wide
-                for p, i, j in zip(group, [0, *[c + 1 for c in cuts]], [*cuts, len(found)]):
-                    out[p] = data[w * i : w * j]
+        for lines in (False, True):
+            some = [p for p in joined if (p[0] == LINE) == lines]
+            for at in range(0, len(some), 4096):
+                groups = [some[i : i + 64] for i in range(at, min(at + 4096, len(some)), 64)]
+                # Each piece's ids come after a newline's; pieces behind a newline keep it.
+                spelt = ["\n" + "\n".join([p[1:] for p in g] if lines else [" " + p for p in g]) for g in groups]
+                for group, ids in zip(groups, self._raw(spelt)):
+                    found = np.array(ids, dtype="<u4")
+                    edges = np.flatnonzero(found == self.newline).tolist()
+                    if len(edges) != len(group):
+                        rest += group
+                        continue
+                    data, w, skip = found.astype(self.kind).tobytes(), self.wide, not lines
+                    for p, i, j in zip(group, edges, [*edges[1:], len(found)]):
+                        out[p] = data[w * (i + skip) : w * j]
         for at in range(0, len(rest), 4096):
-            for p, ids in zip(rest[at : at + 4096], self._raw([" " + x for x in rest[at : at + 4096]])):
-                out[p] = self._bytes(ids)
+            some = rest[at : at + 4096]
+            out.update(zip(some, map(self._bytes, self._raw(["\n" + p[1:] if p[:1] == LINE else " " + p for p in some]))))
         new = [m for m, b in self.marks.items() if not b]
         self.marks.update(zip(new, map(self._bytes, self._raw(new))))
         for p, letters, marks in marked:
@@ -199,30 +214,49 @@ class Encoder:
             self.marks.clear()
         return out
 
-    def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 256):
-            yield from self._some(texts[at : at + 256])
-
-    def _some(self, texts: list[str]) -> list[bytes]:
-        parts = [t.split(" ") for t in texts]
-        pieces = set().union(*parts)
-        # A small table of the pieces at hand: the large one is asked once for each.
-        here = dict(zip(pieces, map(self.seen.get, pieces)))
-        new = [p for p, b in here.items() if b is None]
+    def encode(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        if not self.cuts:
+            for at in range(0, len(texts), 256):
+                yield from map(self._bytes, self._raw(texts.slice(at, 256).to_pylist()))
+        elif len(texts):
+            edges, data = self._some(texts)
+            for i, j in zip(edges, edges[1:]):
+                yield data[i:j].tobytes()
+
+    def _some(self, texts: pa.Array) -> tuple[list[int], memoryview]:
+        """The edges of the texts' ids in a buffer, and the buffer."""
+        strings = texts.to_pylist()
+        tangled = pa.array([self.tangled(t) is not None for t in strings])
+        lined = pc.if_else(tangled, texts, pc.replace_substring(texts, "\n", " " + LINE))
+        cut = pc.split_pattern(lined, " ")
+        edges = cut.offsets.to_numpy().astype(np.int64)
+        coded = cut.flatten().dictionary_encode()
+        pieces, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        found = list(map(self.seen.get, pieces))
+        new = [p for p, b in zip(pieces, found) if b is None]
         edgy = self.edgy
         if len(edgy) < self.ROOM:  # else all texts are searched
             edgy.update(p for p in new if not p or p[0].isspace() or p[-1].isspace())
-        full = len(edgy) >= self.ROOM
-        whole = lambda t, c: "<|" in t or (full or not edgy.isdisjoint(c)) and self.odd.search(t)
-        cut = [None if whole(t, c) else c for t, c in zip(texts, parts)]
+        if len(edgy) < self.ROOM:
+            sharp = np.fromiter((p in edgy for p in pieces), dtype=bool, count=len(pieces))
+            suspect = np.logical_or.reduceat(sharp[at], edges[:-1]).tolist()
+        else:
+            suspect = [True] * len(strings)
+        special = [LINE, "<|", *self.special]
+        whole = [any(x in t for x in special) or bool(s and self.odd(t)) for t, s in zip(strings, suspect)]
         learned = self._learn(new)
-        here.update(learned)
         if len(self.seen) < self.ROOM:
             self.seen.update(learned)
-        heads = iter(self._raw([c[0] for c in cut if c is not None]))
-        whole_ids = iter(self._raw([t for t, c in zip(texts, cut) if c is None]))
-        get = here.__getitem__
-        return [self._bytes(next(whole_ids)) if c is None else self._bytes(next(heads)) + b"".join(map(get, c[1:])) for c in cut]
+        table = [learned[p] if b is None else b for p, b in zip(pieces, found)]
+        # A text's first piece has no space before it; that of a text to be encoded whole is all of it.
+        firsts = self._raw([t if w else pieces[i] for t, w, i in zip(strings, whole, at[edges[:-1]].tolist())])
+        for i in np.flatnonzero(whole).tolist():
+            at[edges[i] : edges[i + 1]] = len(table)
+        at[edges[:-1]] = len(table) + 1 + np.arange(len(strings))
+        laid = pa.array([*table, b"", *map(self._bytes, firsts)], pa.large_binary()).take(pa.array(at))
+        _, offsets, data = laid.buffers()
+        return np.frombuffer(offsets, "<i8", len(laid) + 1)[edges].tolist(), memoryview(data or b"")
 
 
 _encoders: dict[tuple[str, int], Encoder] = {}
@@ -240,10 +274,9 @@ def _encode(path: str, end_id: int, bits: int):
         wide = 2 if bits <= 16 else 4
         encoder, end = encoder_for(path, wide), end_id.to_bytes(wide, "little")
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                texts = [t or "" for t in part["text"].to_pylist()]
-                rows = [x + end for x in encoder.encode(texts)]
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                rows = [x + end for x in encoder.encode(pc.fill_null(part["text"], ""))]
                 names = [n for n in part.schema.names if n != "text"]
                 yield pa.record_batch([*[part[n] for n in names], pa.array(rows, pa.binary())], names=[*names, "ids"])
 

@@ -51,6 +51,20 @@ def test_pieces_encode_like_whole_texts(tokenizer, encoder, text):
     assert np.frombuffer(next(encoder.encode([text])), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("\n\n\n \x01ab.1½")), max_size=20), max_size=8))
+def test_lines_encode_like_whole_texts(tokenizer, encoder, texts):
+    got = [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_files_with_other_rules_encode_whole_texts():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    other, texts = tf.Encoder(path, 4), ["One two.\nThree four", "", "a  b\n\nc"]
+    plain = Tokenizer.from_file(path)
+    assert [np.frombuffer(x, "<u4").tolist() for x in other.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_query_equals_brute_force(docs, spark, tokenizer):
     got = {r.doc_id: r for r in tf.round_trip(docs, PATH).collect()}
     at = 0
