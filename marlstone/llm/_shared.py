@@ -69,6 +69,23 @@ def scratch() -> Iterator[Callable[[DataFrame, str], DataFrame]]:
         _delete([x for x in _written if x not in before and x not in kept])
 
 
+def last_saved() -> tuple[SparkSession, str]:
+    """What discard() takes, of the table saved last."""
+    return _written[-1]
+
+
+def discard(item: tuple[SparkSession, str] | None) -> None:
+    """Delete a saved table that nothing will read again."""
+    if item in _written:
+        _delete([item])
+
+
+def drop_shuffles(spark: SparkSession) -> None:
+    """Shuffle files of jobs that have ended stay on the executors' disks until the driver collects its garbage, which
+    with its small plans may be never."""
+    spark._jvm.System.gc()
+
+
 def release(spark: SparkSession | None = None) -> None:
     """Delete the tables that save() has written (of one session, or all). Results that still read them
     must have been consumed."""

@@ -19,6 +19,11 @@ What the sketches link forms groups, and within a group every pair is verified o
 bounded size: so the links of a group's members are all found and counted, whichever run met them. Links are
 never emitted as rows: a block gives each node's number of links and the edges of a spanning forest.
 
+Where only the classes are asked for, pairs that are known to be connected need not be compared. Each block of a large
+group is verified within itself and against PIVOTS nodes of the group that are in every block; then what is not in
+the group's largest class so far is verified against the whole group. Classes are the same as by all pairs; the work
+is in proportion to the group where it is one class, and that of all pairs only where most of it is not.
+
 Defined results: a text without words (null, empty) is alone in its class; one of fewer than SHINGLE words is one
 shingle; a text without word characters is split at white space; the class id is the least id of the class
 (null if all are), class_key tells classes apart that share an id; repeated rows are copies of each other; an
@@ -36,10 +41,10 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import bounded_batches, fresh, save, scratch, shuffle_partitions
+from ._shared import bounded_batches, discard, drop_shuffles, fresh, last_saved, save, scratch, shuffle_partitions
 from .components import components
 
 SHINGLE = 5
@@ -305,7 +310,8 @@ def _candidate_edges(sets: DataFrame, nodes: DataFrame, threshold: float) -> tup
     """Edges (u, v) between nodes that may be alike, and the sets of all nodes that can have one, so that what comes
     after the first choices moves these alone. sets: node, tokens, sketch, paths of every row; nodes: those that
     stand for their copies."""
-    parts = shuffle_partitions(sets.sparkSession)
+    spark, opened = sets.sparkSession, None
+    parts = shuffle_partitions(spark)
     here, active, rows = sets, None, sets.select("node", "paths").join(nodes.select("node"), "node", "left_semi").select("node", F.explode("paths").alias("b"))
     edges = last = None
     for depth in count(1, STEP):
@@ -326,8 +332,11 @@ def _candidate_edges(sets: DataFrame, nodes: DataFrame, threshold: float) -> tup
         now = found.where(F.col("kind") == _EDGE).select("u", "v")
         edges = now if edges is None else edges.unionByName(now)
         if active is None:
-            met_any = found.select(F.explode(F.when(F.col("kind") == _EDGE, F.array("u", "v")).otherwise(F.array("v"))).alias("node")).distinct()
-            here = active = save(sets.select("node", "tokens", "sketch").join(met_any, "node", "left_semi"), "active")
+            met_any = save(found.select(F.explode(F.when(F.col("kind") == _EDGE, F.array("u", "v")).otherwise(F.array("v"))).alias("node")).distinct(), "met")
+            here = active = sets.select("node", "tokens", "sketch")
+            if 2 * met_any.count() <= nodes.count():  # else they are not worth a second copy
+                here = active = save(active.join(met_any, "node", "left_semi"), "active")
+        drop_shuffles(spark)
         if found.where(F.col("kind") == _STRANGER).isEmpty():
             return edges, active
         # What is not settled, of buckets with strangers: by how many these are the bucket ends here or is split.
@@ -340,12 +349,57 @@ def _candidate_edges(sets: DataFrame, nodes: DataFrame, threshold: float) -> tup
         on = rest.groupBy("node").agg(F.collect_set(F.when(~ends, F.col("b"))).alias("paths"))
         on = here.select("node", "tokens", "sketch").join(on, "node")
         here = save(on.mapInArrow(_deeper(threshold), "node long, tokens binary, sketch binary, paths array<bigint>"), "open")
+        discard(opened)
+        opened = last_saved()
         rows = here.select("node", F.explode("paths").alias("b"))
 
 
-def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.99, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _verified(wide: DataFrame, threshold: float) -> DataFrame:
+    """wide: component, a, b (blocks that are compared), node, block, blocks, copies, tokens."""
+    wide = wide.select("component", "a", "b", "node", "block", "blocks", "copies", "tokens")
+    wide = wide.repartition(shuffle_partitions(wide.sparkSession), "component", "a", "b").sortWithinPartitions("component", "a", "b")
+    return save(wide.mapInArrow(_verify(threshold), "node long, links long, parent long, whole boolean"), "links")
+
+
+def _blocks(nodes: str, tokens: str, block: Column) -> Column:
+    return F.greatest(F.ceil(F.col(nodes) / block), F.ceil(F.col(tokens) / BLOCK_TOKENS)).cast("int")
+
+
+def _spanning(members: DataFrame, threshold: float) -> DataFrame:
+    """What _verified gives, without pairs that are connected anyhow: the classes follow from it, not the links.
+    members: component, node, n, block, blocks, size, copies, tokens."""
+    pivot = F.pmod(F.xxhash64("node", F.lit(3)), F.lit(1 << 30)) * F.col("size") < PIVOTS << 30
+    a = F.when(pivot, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))
+    found = _verified(members.withColumn("a", F.explode(a)).withColumn("b", F.col("a")), threshold)
+    parts = found.where("not whole").select(F.col("node").alias("u"), F.col("parent").alias("v"))
+    if members.where("blocks > 1").isEmpty():
+        return found
+    # Of each large group the class that is largest so far, and the rest, those without a link among them.
+    known = save(components(parts).withColumnRenamed("component", "class"), "known")
+    large = members.where("blocks > 1").select("component", "node", "n").join(known, "node", "left")
+    counts = large.groupBy("component", "class").agg(F.count("*").alias("c"), F.sum("n").alias("n"))
+    sizes = counts.groupBy("component").agg(
+        F.max(F.when(F.col("class").isNotNull(), F.struct("c", "class", "n"))).alias("main"), F.sum("c").alias("c"), F.sum("n").alias("n")
+    )
+    of_main = lambda f: F.coalesce(F.col("main")[f], F.lit(0))
+    sizes = sizes.select("component", F.col("main.class").alias("main"), of_main("c").alias("c"), of_main("n").alias("n"), (F.col("c") - of_main("c")).alias("others"), (F.col("n") - of_main("n")).alias("other_n"))
+    most = F.lit(MOST_BLOCK)
+    sizes = save(sizes.where("others > 0").select("component", "main", _blocks("others", "other_n", most).alias("first"), _blocks("c", "n", most).alias("second")), "rest-sizes")
+    if sizes.isEmpty():
+        return found
+    # Blocks of the rest come first and meet all, those of the largest class meet the rest.
+    place = large.join(sizes, "component").withColumn("other", ~F.col("class").eqNullSafe(F.col("main")) | F.col("class").isNull())
+    own = lambda n: F.pmod(F.xxhash64("node"), F.greatest(n, F.lit(1))).cast("int")
+    place = place.select("node", F.when(F.col("other"), own(F.col("first"))).otherwise(F.col("first") + own(F.col("second"))).alias("block"), F.when(F.col("other"), F.col("first") + F.col("second")).otherwise(F.col("first")).alias("meets"))
+    again = members.select("component", "node", "blocks", "copies", "tokens").join(place, "node").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("meets") - 1)))
+    again = again.withColumns({"a": F.least("block", "with"), "b": F.greatest("block", "with")})
+    return found.unionByName(_verified(again, threshold))
+
+
+def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.99, id_col: str = "doc_id", text_col: str = "text", links: bool = True) -> DataFrame:
     """One row per row of df: doc_id, class_id, class_key, class_size (rows), n_links (rows linked to it,
-    copies among them) and text_hash (of the text, to tell rows with equal ids apart)."""
+    copies among them) and text_hash (of the text, to tell rows with equal ids apart). Without links, which take all
+    pairs of a group, there is no n_links."""
     spark = df.sparkSession
     bounded_batches(spark)
     plain = df.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
@@ -356,44 +410,46 @@ def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.
     nodes = save(nodes, "nodes")
     edges, active = _candidate_edges(sets, nodes, threshold)
     groups = save(components(edges), "groups")
+    drop_shuffles(spark)
     wide = groups.join(nodes.select("node", "copies", "n"), "node")
     sizes = save(wide.groupBy("component").agg(F.count("*").alias("size"), F.sum("n").alias("tokens")), "group-sizes")
     # Blocks of bounded nodes and tokens.
     block = F.greatest(F.lit(BLOCK), F.least(F.lit(MOST_BLOCK), F.col("size") / 16))
-    blocks = F.greatest(F.ceil(F.col("size") / block), F.ceil(F.col("tokens") / BLOCK_TOKENS)).cast("int")
-    wide = wide.join(sizes.select("component", blocks.alias("blocks")), "component")
+    wide = wide.join(sizes.select("component", "size", _blocks("size", "tokens", block).alias("blocks")), "component")
     wide = wide.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    wide = wide.select("component", "node", "block", "blocks", "copies")
-    wide = active.select("node", "tokens").join(wide, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    wide = wide.withColumns({"a": F.least("block", "other"), "b": F.greatest("block", "other")})
-    wide = wide.select("component", "a", "b", "node", "block", "blocks", "copies", "tokens")
-    wide = wide.repartition(shuffle_partitions(spark), "component", "a", "b").sortWithinPartitions("component", "a", "b")
-    found = save(wide.mapInArrow(_verify(threshold), "node long, links long, parent long, whole boolean"), "links")
+    wide = active.select("node", "tokens").join(wide, "node")
+    if links:
+        wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        found = _verified(wide.withColumns({"a": F.least("block", "other"), "b": F.greatest("block", "other")}), threshold)
+    else:
+        found = _spanning(save(wide, "members"), threshold)
     # A group of one block has its classes at once; those of larger groups follow from the edges of all blocks.
     classes = found.where("whole").select("node", F.col("parent").alias("component"))
     parts = found.where("not whole").select(F.col("node").alias("u"), F.col("parent").alias("v"))
     if not parts.isEmpty():
         classes = classes.unionByName(components(parts))
-    links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    linked = classes.join(links, "node").join(nodes, "node")
+    linked = classes.join(nodes, "node")
     totals = save(linked.groupBy("component").agg(F.min("digest").alias("class_key"), F.min("least_id").alias("class_id"), F.sum("copies").alias("class_size")), "classes")
-    together = linked.join(totals, "component").select("node", "class_key", "class_id", "class_size", "links")
+    together = linked.join(totals, "component").select("node", "class_key", "class_id", "class_size")
+    if links:
+        together = together.join(found.groupBy("node").agg(F.sum("links").alias("links")), "node")
+    n_links = [(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")] if links else []
     per_node = nodes.join(together, "node", "left").select(
         "digest", F.coalesce("class_key", "digest").alias("class_key"), F.when(F.col("class_key").isNull(), F.col("least_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.coalesce("class_size", "copies").alias("class_size"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        F.coalesce("class_size", "copies").alias("class_size"), *n_links,
     )
     mine = sets.select("doc_id", "text_hash", "digest")
     alone = mine.where("digest is null").select(
-        "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(None).cast("long").alias("class_key"), F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("n_links")
+        "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(None).cast("long").alias("class_key"), F.lit(1).cast("long").alias("class_size"), *[F.lit(0).cast("long").alias("n_links")][: len(n_links)]
     )
-    return mine.where("digest is not null").join(per_node, "digest").select("doc_id", "text_hash", "class_id", "class_key", "class_size", "n_links").unionByName(alone)
+    return mine.where("digest is not null").join(per_node, "digest").select(*alone.columns).unionByName(alone)
 
 
 def representatives(df: DataFrame, threshold: float = 0.8, recall: float = 0.99, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of df, with its columns, of which each class keeps one: that of the least id, then of the least
     hash of the text. Rows without words stay."""
     with scratch() as keep:
-        rows = similarity_classes(df, threshold, recall, id_col, text_col)
+        rows = similarity_classes(df, threshold, recall, id_col, text_col, links=False)
         each = rows.groupBy("class_key", "doc_id", "text_hash").agg(F.count("*").alias("n"))
         least = F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "text_hash", "n")).alias("k")
         chosen = each.where("class_key is not null").groupBy("class_key").agg(least).select("k.doc_id", "k.text_hash", "k.n")

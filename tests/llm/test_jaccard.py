@@ -167,3 +167,57 @@ def test_representatives(odd, empty, docs):
     rows = sorted((r.doc_id, r.text) for r in docs.select("doc_id", "text").collect())
     firsts = {rows[first][0] for first, _ in brute(rows)}
     assert {r.doc_id for r in jc.representatives(docs).collect()} == firsts
+
+
+def drifting(n):
+    """Each text differs from the one before by one word: a class that only its chain holds together."""
+    text, rows = words(11, 60).split(), []
+    for i in range(n):
+        text[(7 * i) % 60] = f"drift{i}"
+        rows.append((10_000 + i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [20, 192])
+def test_classes_without_links(spark, monkeypatch, block):
+    """The classes are those of all pairs, also where a group has several, or none that holds most of it."""
+    monkeypatch.setattr(jc, "BLOCK", block)
+    monkeypatch.setattr(jc, "MOST_BLOCK", block)
+    monkeypatch.setattr(jc, "PIVOTS", 2)
+    rows = copies(120) + drifting(90) + [(-1, ""), (-2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    roots, least = [first for first, _ in brute(rows)], {}
+    for (doc_id, _), first in zip(rows, roots):
+        least[first] = min(doc_id, least.get(first, doc_id))
+    firsts = [least[first] for first in roots]
+    got = jc.similarity_classes(df, links=False)
+    assert "n_links" not in got.columns
+    assert {r.doc_id: r.class_id for r in got.collect()} == {rows[i][0]: f for i, f in enumerate(firsts)}
+    assert {r.doc_id for r in jc.representatives(df).collect()} == set(firsts)
+
+
+def test_representatives_of_many_near_copies_move_each_set_once(spark, monkeypatch, tmp_path):
+    """Of 3,000 near copies one stays, and not all pairs of them are compared for that."""
+    real, at = jc._verify, str(tmp_path)
+
+    def counted(threshold):
+        run = real(threshold)
+
+        def count(batches):
+            import uuid
+
+            def passed():
+                with open(f"{at}/{uuid.uuid4().hex}", "w") as out:
+                    for b in batches:
+                        print(b.num_rows, file=out)
+                        yield b
+
+            yield from run(passed())
+
+        return count
+
+    monkeypatch.setattr(jc, "_verify", counted)
+    base = words(4, 60).split()
+    rows = [(i, " ".join([*base[:-1], f"own{i}"])) for i in range(3000)]
+    assert [r.doc_id for r in jc.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [0]
+    assert sum(int(x) for f in tmp_path.iterdir() for x in f.read_text().split()) < 2 * 3000
