@@ -15,6 +15,9 @@ like no pivot and drop out of each other's buckets after a few choices. What wou
 choices is linked until verified. Runs are repeated so often that a pair at the threshold is
 found with the target recall even if its bucket is split to the third choice.
 
+Sets are wide and most of them meet nothing, so they stay where they are written: the rows of a few nodes are found by
+bitmaps of their numbers, and only sets that go on to a bucket's later choices or to a group are moved.
+
 What the sketches link forms groups, and within a group every pair is verified on the exact sets, in blocks of
 bounded size: so the links of a group's members are all found and counted, whichever run met them. Links are
 never emitted as rows: a block gives each node's number of links and the edges of a spanning forest.
@@ -36,7 +39,7 @@ import hashlib
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import count
 
 import numpy as np
@@ -58,6 +61,8 @@ DEPTH, STEP, LAST = 3, 2, 17
 #: Minima kept of a set; the share of equal ones from which a pair is verified, five deviations under 0.8, and from
 #: which a node is settled by a pivot.
 SKETCH, LIKELY, SETTLED = 128, 0.62, 0.85
+#: Bitmaps that are broadcast at most, of 4 KB for each 32,768 numbers. With more of them nodes are found by a join.
+MOST_MAPS = 8192
 _WORD = re.compile(r"\w+")
 _KNOWN_WORDS = 200_000
 _U = np.uint64
@@ -131,9 +136,9 @@ def first_ends(runs: int) -> np.ndarray:
     return _mix(np.arange(1, runs + 1, dtype=np.uint64) * _M1)
 
 
-def chosen(shingles: np.ndarray, ends: np.ndarray, threshold: float) -> np.ndarray:
-    """The paths, named by a hash, by which a set goes on from the given ones."""
-    tokens, out = shingles.astype(np.uint64), []
+def choices(shingles: np.ndarray, ends: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """The paths, named by a hash, by which a set goes on from the given ones, and the places of those."""
+    tokens, out, at_end = shingles.astype(np.uint64), [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
     limit = _U(min(2**64 - 1, int(min(1.0, 1 / (threshold * len(tokens))) * 2.0**64)))
     with np.errstate(over="ignore"):
         for at in range(0, len(ends), 16):
@@ -141,9 +146,15 @@ def chosen(shingles: np.ndarray, ends: np.ndarray, threshold: float) -> np.ndarr
             h = tokens[None, :] * (_mix(part) | _U(1))[:, None]
             who, which = np.nonzero(h <= limit)
             out.append(_mix(h[who, which] ^ part[who]))
-    return np.concatenate(out) if out else np.zeros(0, dtype=np.uint64)
+            at_end.append(who + at)
+    return np.concatenate(out), np.concatenate(at_end)
+
+
+def chosen(shingles: np.ndarray, ends: np.ndarray, threshold: float) -> np.ndarray:
+    return choices(shingles, ends, threshold)[0]
 
 
+_ON = "node long, b long, path long"
 _SETS = "doc_id long, text_hash long, digest long, n int, tokens binary, sketch binary, paths array<bigint>"
 
 
@@ -167,21 +178,37 @@ def _sets(runs: int, threshold: float):
 
 
 def _deeper(threshold: float):
-    """Nodes with the paths by which they go on from theirs, STEP choices on."""
+    """Each path b of a node with the paths by which it goes on from there, STEP choices on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            on = []
-            for tokens, paths in zip(batch["tokens"].to_pylist(), batch["paths"].to_pylist()):
-                ends = np.array(paths, dtype=np.int64).view(np.uint64)
+            nodes, starts, on = [], [], []
+            for node, tokens, paths in zip(*[batch[c].to_pylist() for c in ("node", "tokens", "paths")]):
+                start = ends = np.array(paths, dtype=np.int64).view(np.uint64)
                 for _ in range(STEP):
-                    ends = chosen(np.frombuffer(tokens, dtype="<u4"), ends, threshold)
+                    ends, of = choices(np.frombuffer(tokens, dtype="<u4"), ends, threshold)
+                    start = start[of]
+                nodes.append(np.full(len(ends), node, dtype=np.int64))
+                starts.append(start.view(np.int64))
                 on.append(ends.view(np.int64))
-            yield pa.record_batch([batch["node"], batch["tokens"], batch["sketch"], pa.array(on, pa.list_(pa.int64()))], names=["node", "tokens", "sketch", "paths"])
+            if nodes:
+                yield pa.record_batch([pa.array(np.concatenate(c), pa.int64()) for c in (nodes, starts, on)], names=["node", "b", "path"])
 
     return run
 
 
+def _picker(ids: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """What gives the rows of a table whose node is one of ids, exactly. The table is not moved: nodes are numbered
+    without gaps within each task that wrote them, so that bitmaps of the numbers are small and go to all."""
+    number, bit = F.bitmap_bucket_number("node").alias("map"), F.bitmap_bit_position("node").alias("bit")
+    maps = save(ids.select(number, bit).repartition("map").groupBy("map").agg(F.bitmap_construct_agg("bit").alias("bits")), "maps")
+    if maps.count() > MOST_MAPS:
+        return lambda wide: wide.join(ids, "node", "left_semi")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(F.col("bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = F.getbit(byte, (F.col("bit") % 8).cast("int")) == 1
+    return lambda wide: wide.select("*", number, bit).join(F.broadcast(maps), "map").where(held).select(*wide.columns)
+
+
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[list[dict]]:
     """Runs of rows with equal keys; the rows come sorted by them. A group has bounded rows."""
     held: list[dict] = []
@@ -312,7 +339,7 @@ def _candidate_edges(sets: DataFrame, nodes: DataFrame, threshold: float) -> tup
     stand for their copies."""
     spark, opened = sets.sparkSession, None
     parts = shuffle_partitions(spark)
-    here, active, rows = sets, None, sets.select("node", "paths").join(nodes.select("node"), "node", "left_semi").select("node", F.explode("paths").alias("b"))
+    here, active, rows = sets, None, _picker(nodes.select("node"))(sets.select("node", "paths")).select("node", F.explode("paths").alias("b"))
     edges = last = None
     for depth in count(1, STEP):
         sizes = save(rows.groupBy("b").agg(F.count("*").alias("size"), F.min("node").alias("least")).where("size > 1"), "buckets")
@@ -333,25 +360,28 @@ def _candidate_edges(sets: DataFrame, nodes: DataFrame, threshold: float) -> tup
         edges = now if edges is None else edges.unionByName(now)
         if active is None:
             met_any = save(found.select(F.explode(F.when(F.col("kind") == _EDGE, F.array("u", "v")).otherwise(F.array("v"))).alias("node")).distinct(), "met")
-            here = active = sets.select("node", "tokens", "sketch")
+            active = sets.select("node", "tokens", "sketch", "paths")
             if 2 * met_any.count() <= nodes.count():  # else they are not worth a second copy
-                here = active = save(active.join(met_any, "node", "left_semi"), "active")
+                active = save(_picker(met_any)(active), "active")
         drop_shuffles(spark)
         if found.where(F.col("kind") == _STRANGER).isEmpty():
             return edges, active
         # What is not settled, of buckets with strangers: by how many these are the bucket ends here or is split.
         rest = found.where(F.col("kind") != _EDGE).select(F.col("u").alias("b"), F.col("v").alias("node"), (F.col("kind") == _STRANGER).alias("pivot"))
         of = save(rest.groupBy("b").agg(F.count_if("pivot").alias("strangers"), F.ceil(F.count("*") / SLICE).cast("int").alias("slices")).where("strangers > 0"), "strangers")
-        rest = rest.join(of, "b")
+        rest = save(rest.join(of, "b"), "rest")
         ends = F.col("strangers") <= SMALL
         last = rest.where(ends).select("b", "node", F.lit(_STRANGERS).alias("how"), "pivot", "slices")
-        # A node has few paths: as many as it chose, over all runs.
-        on = rest.groupBy("node").agg(F.collect_set(F.when(~ends, F.col("b"))).alias("paths"))
-        on = here.select("node", "tokens", "sketch").join(on, "node")
-        here = save(on.mapInArrow(_deeper(threshold), "node long, tokens binary, sketch binary, paths array<bigint>"), "open")
+        here, on = _picker(rest.select("node"))(active), rest.where(~ends).select("node", "b")
+        # After the first choice a node goes on from all its paths where its set is, and those that end here are dropped;
+        # later, of many possible paths, those that go on are brought to it.
+        if depth == 1:
+            on = here.select("node", "tokens", "paths").mapInArrow(_deeper(threshold), _ON).join(on, ["node", "b"], "left_semi")
+        else:
+            on = here.select("node", "tokens").join(on.groupBy("node").agg(F.collect_set("b").alias("paths")), "node").mapInArrow(_deeper(threshold), _ON)
+        rows = save(on.select("node", F.col("path").alias("b")), "open")
         discard(opened)
         opened = last_saved()
-        rows = here.select("node", F.explode("paths").alias("b"))
 
 
 def _verified(wide: DataFrame, threshold: float) -> DataFrame:
@@ -417,7 +447,7 @@ def similarity_classes(df: DataFrame, threshold: float = 0.8, recall: float = 0.
     block = F.greatest(F.lit(BLOCK), F.least(F.lit(MOST_BLOCK), F.col("size") / 16))
     wide = wide.join(sizes.select("component", "size", _blocks("size", "tokens", block).alias("blocks")), "component")
     wide = wide.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    wide = active.select("node", "tokens").join(wide, "node")
+    wide = _picker(groups)(active.select("node", "tokens")).join(wide, "node")
     if links:
         wide = wide.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         found = _verified(wide.withColumns({"a": F.least("block", "other"), "b": F.greatest("block", "other")}), threshold)

@@ -221,3 +221,41 @@ def test_representatives_of_many_near_copies_move_each_set_once(spark, monkeypat
     rows = [(i, " ".join([*base[:-1], f"own{i}"])) for i in range(3000)]
     assert [r.doc_id for r in jc.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()] == [0]
     assert sum(int(x) for f in tmp_path.iterdir() for x in f.read_text().split()) < 2 * 3000
+
+
+@pytest.mark.parametrize("most", [8192, 0])
+def test_rows_of_some_nodes(spark, monkeypatch, most):
+    """By bitmaps, or a join where they would be too many: numbers at the ends of bitmaps and of tasks, repeated ones."""
+    monkeypatch.setattr(jc, "MOST_MAPS", most)
+    near = [0, 1, 7, 8, 9, 32766, 32767, 32768, 32769, 32770, 65536, 65537, (1 << 33) - 1, 1 << 33, (1 << 33) + 1, 5 << 33, (5 << 33) + 40_000]
+    wide = spark.createDataFrame([(n, f"{n}") for n in [*near, *near]], "node long, tokens string")
+    for ids in (near[::2], near[1::2], near + near, [], [3, 32771, 2 << 33]):
+        got = jc._picker(spark.createDataFrame([(n,) for n in ids], "node long"))(wide)
+        assert got.columns == wide.columns
+        assert sorted(r.node for r in got.collect()) == sorted(n for n in [*near, *near] if n in ids)
+
+
+def shuffled(spark):
+    """Bytes that all stages so far have written to shuffles."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_sets_that_meet_nothing_are_not_moved(spark):
+    """Also where no table is small enough for Spark to broadcast it of its own accord, as in large inputs."""
+    rows = [(i, words(2000 + i, 3000, 10**6)) for i in range(200)] + [(1000, words(2000, 3000, 10**6))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    usual = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        texts = jc.save(df, "texts")
+        before = shuffled(spark)
+        got = jc.similarity_classes(texts).collect()
+        moved = shuffled(spark) - before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", usual)
+    assert len(got) == 201 and sorted(r.doc_id for r in got if r.class_size == 2) == [0, 1000]
+    sets = 4 * sum(len(jc.Shingler()(t)) for _, t in rows)
+    assert moved < sets / 4
