@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import SPACE, WORD, WS, chars_in, chars_not_in, hits, let, n_chars, ratio, strip, sub, text_of, unfold, word_count, words
+from ..functions.expr import SPACE, WORD, chars_in, chars_not_in, hits, let, n_chars, ratio, squeeze, strip, sub, text_of, unfold
 
 LINES = "array<string>"
 
@@ -33,7 +33,7 @@ def segment(text: Column) -> Column:
 
 # The shapes of lines that tell tables of contents, indexes, references and diagrams.
 DOTTED = "\\.{3,}\\s*\\p{Nd}+\\s*\\z"
-PAGE_TAIL = ",\\s*\\p{Nd}+([\\s,\\-–]+\\p{Nd}+)*\\s*\\z"
+PAGE_TAIL = ",\\s*\\p{Nd}+([\\s,\\-–]++\\p{Nd}++)*+\\s*\\z"
 AUTHOR = "\\A\\s*\\p{Nd}+\\.?\\s+[A-Z][A-Za-z'\\-]+,\\s+[A-Z]\\."
 FORMULA = "\\A(?:[A-Z]?[a-z]?\\p{Nd}?\\+?-?|[A-Z][A-Z]?\\p{Nd}?\\+?-?|[HCONSP][a-z0-9+\\-]{0,3})\\z"
 LETTER = "\\A\\s*[A-Z]\\s*\\z"
@@ -51,12 +51,24 @@ def edges(alternatives: str, flags: str = "(?i)") -> str:
     return f"{flags}{edge}(?:{alternatives}){edge}"
 
 
+def solid(s: Column) -> Column:
+    """A struct of s, its number of words, and solid: s without white space, in which runs of letters are longer, so that
+    fewer matches count what is in it."""
+
+    def of(q: Column) -> Column:
+        joined = F.replace(q, F.lit(" "), F.lit(""))
+        return let(joined, lambda x: F.struct(s.alias("s"), q.alias("squeezed"), x.alias("solid"), F.when(q == "", F.lit(0)).otherwise(n_chars(q) - n_chars(x) + 1).cast("long").alias("words")))
+
+    return let(squeeze(s), of)
+
+
 def line_features(line: Column) -> Column:
     """A struct of what a line looks like."""
 
-    def of(s: Column) -> Column:
+    def of(x: Column) -> Column:
+        s = x["s"]
         counts = F.struct(
-            s.alias("s"), n_chars(s).alias("len"), word_count(s).alias("words"), chars_in(s, "\\p{Nd}").alias("digits"), chars_in(s, "\\p{L}").alias("letters"), chars_in(s, "\\p{Lu}").alias("upper")
+            s.alias("s"), n_chars(s).alias("len"), x["words"].alias("words"), chars_in(x["solid"], "\\p{Nd}").alias("digits"), chars_in(x["solid"], "\\p{L}").alias("letters"), chars_in(x["solid"], "\\p{Lu}").alias("upper")
         )
         return let(
             counts,
@@ -68,12 +80,13 @@ def line_features(line: Column) -> Column:
             ),
         )
 
-    return let(strip(text_of(line)), of)
+    return let(strip(text_of(line)), lambda s: let(solid(s), of))
 
 
 def _mean(features: Column, of) -> Column:
+    """Null for a block without lines."""
     total = F.aggregate(features, F.lit(0.0), lambda a, f: a + of(f).cast("double"))
-    return total / F.size(features)
+    return total / F.nullif(F.size(features), F.lit(0))
 
 
 def _median(values: Column) -> Column:
@@ -81,7 +94,7 @@ def _median(values: Column) -> Column:
         n = F.size(v)
         return (F.get(v, F.floor((n - 1) / 2).cast("int")) + F.get(v, F.floor(n / 2).cast("int"))) / F.lit(2.0)
 
-    return let(F.array_sort(values), middle)
+    return let(F.sort_array(values), middle)
 
 
 def block_features(lines: Column) -> Column:
@@ -135,11 +148,13 @@ def block_class(lines: Column, f: Column, position: Column, in_index: Column, in
 def measures(text: Column) -> Column:
     """What quality() looks at, each counted once: a struct of words, chars, sentences, solid, letters, marks,
     distinct."""
-    t = text_of(text)
-    return F.struct(
-        word_count(t).alias("words"), n_chars(t).alias("chars"), hits(t, f"[.!?]{SPACE}").alias("sentences"), chars_not_in(t, WS).alias("solid"), chars_in(t, "\\p{L}").alias("letters"),
-        chars_not_in(t, f"\\p{{L}}\\p{{N}}{WS}").alias("marks"), F.size(F.array_distinct(words(F.lower(t)))).alias("distinct"),
-    )
+    def of(x: Column) -> Column:
+        return F.struct(
+            x["words"].alias("words"), n_chars(x["s"]).alias("chars"), hits(x["s"], f"[.!?]{SPACE}").alias("sentences"), n_chars(x["solid"]).alias("solid"), chars_in(x["solid"], "\\p{L}").alias("letters"),
+            chars_not_in(x["solid"], "\\p{L}\\p{N}").alias("marks"), F.size(F.array_distinct(F.array_remove(F.split(F.lower(x["squeezed"]), " ", -1), ""))).alias("distinct"),
+        )
+
+    return let(text_of(text), lambda t: let(solid(t), of))
 
 
 def quality(text: Column) -> Column:
