@@ -9,6 +9,8 @@ from ..functions.expr import SPACE, let, strip, sub, text_of, word_count, words
 from ..functions.text import prefilter
 from .rows import SLICE_ROWS, draw, offsets, sliced
 
+#: Tokens that one task puts in their places.
+SLICE_TOKENS = 4_000_000
 BLANK_LINE = f"\\n{SPACE}*\\n"
 
 
@@ -157,11 +159,15 @@ def pack_tokens(df: DataFrame, order: str, tokens: str, length: int, rows: int =
     """Fixed blocks cut from all rows' tokens in order: block, tokens. The tail that fills no block is dropped.
     shuffle: a seed, by which rows are put in the order of a draw instead; max_sequences: blocks at most (0: all).
 
-    A row's offset is a prefix sum in two steps: sums of slices of the order, which are few, and sums within."""
+    A row's offset is a prefix sum in two steps: sums of slices of the order, of bounded rows and tokens, and sums
+    within. A slice is one task; those that begin behind the last block stay where they are."""
     kept = df.select(F.col(order).alias("o") if shuffle is None else draw(shuffle, F.col(order)).alias("o"), F.col(tokens).alias("t"))
-    parts, _ = sliced(kept, "o", rows)
+    parts, n = sliced(kept, "o", rows, F.size("t"), SLICE_TOKENS)
     before, total = offsets(parts, F.size("t"))
     blocks = total // length if max_sequences <= 0 else min(max_sequences, total // length)
+    parts = parts.where(before < blocks * length)
+    if n > 1:
+        parts = parts.repartitionById(n, F.col("_slice").cast("int"))
     inner = F.sum(F.size("t")).over(Window.partitionBy("_slice").orderBy("o").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.size("t")
     placed = parts.withColumn("at", inner + before).where(F.size("t") > 0)
     # A row goes to each block that it reaches, with only its part of it.
@@ -170,6 +176,8 @@ def pack_tokens(df: DataFrame, order: str, tokens: str, length: int, rows: int =
     lo = F.greatest(F.lit(0), F.col("block") * length - F.col("at"))
     hi = F.least(F.size("t"), (F.col("block") + 1) * length - F.col("at"))
     cut = cut.select("block", F.struct((F.col("at") + lo).alias("at"), F.slice("t", (lo + 1).cast("int"), (hi - lo).cast("int")).alias("t")).alias("p"))
+    if n > 1:
+        cut = cut.repartition(max(n, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "block")
     return cut.groupBy("block").agg(F.flatten(F.transform(F.array_sort(F.collect_list("p")), lambda p: p["t"])).alias("tokens"))
 
 

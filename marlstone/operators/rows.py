@@ -176,10 +176,12 @@ def take_lowest(df: DataFrame, digest: Column, n: int, total: int) -> DataFrame:
 SLICE_ROWS, MOST_SLICES = 1_000_000, 4096
 
 
-def sliced(df: DataFrame, order: str, rows: int = SLICE_ROWS) -> tuple[DataFrame, int]:
-    """df with _slice, which ascends with the order, of about so many rows each, and the number of slices. The
-    bounds are quantiles of a bounded sample of the values, those that hash lowest, and so the same on every run."""
-    n = min(MOST_SLICES, -(-df.count() // rows))
+def sliced(df: DataFrame, order: str, rows: int = SLICE_ROWS, weight: Column | None = None, most: int = 1) -> tuple[DataFrame, int]:
+    """df with _slice, which ascends with the order, of about so many rows each, and of about most of the summed weight
+    if one is given, and the number of slices. The bounds are quantiles of a bounded sample of the values, those that
+    hash lowest, and so the same on every run."""
+    count, heavy = df.agg(F.count("*"), F.sum(F.lit(0) if weight is None else weight)).first()
+    n = min(MOST_SLICES, max(-(-count // rows), -(-int(heavy or 0) // most)))
     if n < 2:
         return df.withColumn("_slice", F.lit(0)), 1
     got = df.select(order).where(F.col(order).isNotNull()).orderBy(F.xxhash64(order)).limit(32 * n).collect()
