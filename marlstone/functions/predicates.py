@@ -2,20 +2,37 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import domain
-from .expr import WORD, WS, chars_in, chars_not_in, hits, let, n_chars, pieces, ratio, split_lines, squeeze, strip, sub, text_of, word_count, words
+from .expr import WORD, WS, chars_in, chars_not_in, hits, let, listed, n_chars, pieces, ratio, split_lines, squeeze, strip, sub, text_of, word_count, words
 from .text import ascii_key
 
 #: Words of Latin letters, as measures count them.
-LATIN = "A-Za-zÀ-ÿ"
+LATIN = listed("AZ", "az", "Àÿ")
 LATIN_HYPHEN = "[A-Za-zÀ-ÿ][A-Za-zÀ-ÿ\\-]+"
 
 
+def _stem(pattern: str) -> str | None:
+    """What is between the \\b at both ends, if it begins and ends in letters, so that they are edges before and after
+    a word; else null."""
+    group = "\\(\\?:[a-z \\-]+(?:\\\\w\\*)?(?:\\|[a-z \\-]+(?:\\\\w\\*)?)*\\)"
+    m = re.fullmatch(f"\\\\b([a-z](?:[a-z \\-]|{group})*(?:\\\\w\\*)?)\\\\b", pattern)
+    ends = [] if m is None else re.split("[|)]+", m[1].removesuffix("\\w*"))
+    return m[1] if ends and all(re.search("[a-z]$", e.removesuffix("\\w*")) for e in ends if e) else None
+
+
 def unicode_pattern(patterns: tuple[str, ...] | list[str]) -> str:
-    """Alternatives with \\b and \\w in their Unicode meaning, without case."""
+    """Alternatives with \\b and \\w in their Unicode meaning, without case. Those that are whole words are tried only
+    where a word begins, and of them those with its first letter."""
+    stems = [_stem(p) for p in patterns]
+    if stems and all(stems):
+        first = {s[0]: [x[1:] for x in stems if x[0] == s[0]] for s in stems}
+        tried = "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in first.items()).replace("\\w", WORD)
+        return f"(?iu)(?=[{''.join(first)}])(?<!{WORD})(?:{tried})(?!{WORD})"
     joined = "|".join(patterns).replace("\\w", WORD)
     # An edge before a letter or digit in the pattern, or after one: spelled out by looking around.
     return "(?iu)" + joined.replace("\\b", f"(?:(?<={WORD})(?!{WORD})|(?<!{WORD})(?={WORD}))")
@@ -44,12 +61,12 @@ def whole_word_hits(text: Column, terms: tuple[str, ...] = domain.WHOLE_WORDS) -
 def page_reference_density(text: Column) -> Column:
     """Numbers of 2 to 4 digits per word; 1 for fewer than 20 words."""
     n = F.size(pieces(text, LATIN))
-    return F.when(n < 20, F.lit(1.0)).otherwise(ratio(hits(text, f"(?<!{WORD})\\p{{Nd}}{{2,4}}(?!{WORD})"), n))
+    return F.when(n < 20, F.lit(1.0)).otherwise(ratio(hits(text, f"\\p{{Nd}}(?<!{WORD}\\p{{Nd}})\\p{{Nd}}{{1,3}}(?!{WORD})"), n))
 
 
 def vocabulary_diversity(text: Column) -> Column:
     """Distinct words per word, without case; 0 for fewer than 30 words."""
-    return let(pieces(F.lower(text), "a-zà-ÿ"), lambda w: F.when(F.size(w) < 30, F.lit(0.0)).otherwise(ratio(F.size(F.array_distinct(w)), F.size(w))))
+    return let(pieces(F.lower(text), listed("az", "àÿ")), lambda w: F.when(F.size(w) < 30, F.lit(0.0)).otherwise(ratio(F.size(F.array_distinct(w)), F.size(w))))
 
 
 def alpha_share(text: Column) -> Column:
@@ -142,7 +159,7 @@ def good_preference(prompt: Column, chosen: Column, rejected: Column, least: int
 def repeated_line_share(text: Column) -> Column:
     """Of the lines of 5 to 120 characters, the share that occur three times or more, to 4 places."""
     norms = F.filter(F.transform(split_lines(text_of(text)), lambda x: F.lower(squeeze(x))), lambda x: n_chars(x).between(5, 120))
-    ordered = F.array_sort(norms)
+    ordered = F.sort_array(norms)
 
     def share(s: Column) -> Column:
         same = lambda i, j: (i + j >= 0) & (i + j < F.size(s)) & F.coalesce(F.get(s, F.greatest(i, F.lit(0)) + 0 * j) == F.get(s, F.greatest(i + j, F.lit(0))), F.lit(False))

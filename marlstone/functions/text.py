@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .expr import LINE_BREAK, SPACE, WORD, let, n_chars, rstrip, split_lines, squeeze, strip, sub, text_of
+from .expr import LINE_BREAK, SPACE, WORD, let, listed, n_chars, rstrip, split_lines, squeeze, strip, sub, text_of
 
 # The characters replaced one for one, those removed, and the spaced-out ligatures of OCR with
 # what they stand for.
@@ -30,6 +30,8 @@ REMOVED_LINES = (
     f"{SPACE}*(?i:Page){SPACE}+\\p{{Nd}}+({SPACE}+(?i:of){SPACE}+\\p{{Nd}}+)?{SPACE}*", f"{SPACE}*(http|https|www)[^{SPACE[1:-1]}]+{SPACE}*",
     f"{SPACE}*©.*", f"{SPACE}*ISBN[{SPACE[1:-1]}-]*\\p{{Nd}}.*",
 )
+#: All of them: what follows the white space has one of a few first characters.
+REMOVED_LINE = f"{SPACE}*+(?=[页B\\p{{Nd}}Pphw©I])(?:{'|'.join(p.removeprefix(f'{SPACE}*') for p in REMOVED_LINES)})"
 _NUMBERS = f"\\[\\p{{Nd}}{{1,4}}(?:[,{SPACE[1:-1]}-]*\\p{{Nd}}{{1,4}})*\\]"
 CITATIONS = f"(?:{_NUMBERS})+"
 
@@ -37,16 +39,38 @@ CITATIONS = f"(?:{_NUMBERS})+"
 @F.arrow_udf(StringType())
 def _nfkc(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for texts in batches:
-        yield pa.array([None if t is None else unicodedata.normalize("NFKC", t) for t in texts.to_pylist()], pa.string())
+        # A few texts at a time are Python strings beside the batch.
+        parts = (texts.slice(at, 128).to_pylist() for at in range(0, len(texts), 128))
+        made = [pa.array([None if t is None else unicodedata.normalize("NFKC", t) for t in part], pa.string()) for part in parts]
+        yield pa.concat_arrays(made) if made else pa.array([], pa.string())
+
+
+#: ASCII, Latin letters to U+00FF and CJK ideographs stand for themselves in normal form KC, alone and in any order.
+NOT_NORMAL = "[^\\x00-\\x7f\\xc0-\\xff\\u4e00-\\u9fff]"
 
 
 def nfkc(c: Column) -> Column:
-    """Unicode normal form KC, in batches."""
-    return _nfkc(c)
+    """Unicode normal form KC, in batches. Texts that are in it for sure do not leave the JVM."""
+    return F.coalesce(_nfkc(F.when(c.rlike(NOT_NORMAL), c)), c)
 
 
 def unix_newlines(c: Column) -> Column:
-    return sub(c, "\\r\\n?", "\n")
+    return F.replace(F.replace(c, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+
+
+def sub_where(c: Column, found: Callable[[Column], Column], f: Callable[[Column], Column]) -> Column:
+    """f(c) where found(c), a cheap test without which f changes nothing; c as it is elsewhere."""
+    return let(c, lambda x: F.when(found(x), f(x)).otherwise(x))
+
+
+def few_blanks(c: Column) -> Column:
+    """No more than one blank line."""
+    return sub_where(c, lambda x: F.contains(x, F.lit("\n\n\n")), lambda x: sub(x, "\\n{3,}", "\n\n"))
+
+
+def single_spaces(c: Column) -> Column:
+    """Runs of spaces and tabs to one space."""
+    return sub_where(c, lambda x: F.contains(x, F.lit("  ")) | F.contains(x, F.lit("\t")), lambda x: sub(x, "[ \\t]{2,}|\\t", " "))
 
 
 def clean_text(c: Column, normal_form: bool = True) -> Column:
@@ -54,7 +78,7 @@ def clean_text(c: Column, normal_form: bool = True) -> Column:
     empty."""
     c = text_of(c)
     c = unix_newlines(nfkc(c) if normal_form else c)
-    return strip(sub(sub(c, "[ \\t]+", " "), "\\n{3,}", "\n\n"))
+    return strip(few_blanks(single_spaces(c)))
 
 
 def _within(c: Column, pattern: str) -> Column:
@@ -66,24 +90,31 @@ def clean_book(c: Column, normal_form: bool = True) -> Column:
     mended, citations dropped, blank lines squeezed."""
     c = text_of(c)
     c = nfkc(c) if normal_form else c
-    c = F.translate(F.replace(c, F.lit("…"), F.lit("...")), PLAIN_FROM + REMOVED, PLAIN_TO)
-    c = sub(unix_newlines(c), f"({WORD})-\\n([a-z])", "$1$2")
+    c = sub_where(F.replace(c, F.lit("…"), F.lit("...")), lambda x: x.rlike(f"[[^\\x00-\\x7f]&&[{PLAIN_FROM}{REMOVED}]]"), lambda x: F.translate(x, PLAIN_FROM + REMOVED, PLAIN_TO))
+    c = sub_where(unix_newlines(c), lambda x: F.contains(x, F.lit("-\n")), lambda x: sub(x, f"({WORD})-\\n([a-z])", "$1$2"))
 
-    def mend(line: Column) -> Column:
+    def ligatures(line: Column) -> Column:
         for wrong, right in LIGATURES:
             line = sub(line, f"(?<!{WORD}){wrong}(?!{WORD})", right)
-        return sub(sub(line, CITATIONS), "[ \\t]+", " ")
+        return line
+
+    def mended(s: Column) -> Column:
+        # One pass over the text tells whether any of the ligatures is in it.
+        lines = F.filter(F.transform(F.split(s, "\n", -1), rstrip), lambda x: ~_within(x, REMOVED_LINE))
+        lines = F.when(s.rlike(any_ligature), F.transform(lines, ligatures)).otherwise(lines)
+        lines = F.when(F.contains(s, F.lit("[")), F.transform(lines, lambda x: sub(x, CITATIONS))).otherwise(lines)
+        return few_blanks(single_spaces(F.array_join(lines, "\n")))
 
-    dropped = "|".join(REMOVED_LINES)
-    lines = F.filter(F.transform(F.split(c, "\n", -1), rstrip), lambda x: ~_within(x, dropped))
-    return strip(sub(F.array_join(F.transform(lines, mend), "\n"), "\\n{3,}", "\n\n"))
+    any_ligature = f"(?=[{''.join(sorted({w[0] for w, _ in LIGATURES}))}])(?<!{WORD})(?:{'|'.join(w for w, _ in LIGATURES)})(?!{WORD})"
+    return strip(let(c, mended))
 
 
 def clean_ocr(c: Column) -> Column:
     """OCR text: no byte order marks or nulls, words and sentences joined over line ends, single spaces."""
-    c = unix_newlines(sub(text_of(c), "[\\ufeff\\x00]"))
-    c = sub(c, f"(?<={WORD})-\\n(?={WORD})")
-    return sub(sub(c, f"(?<={WORD})\\n(?=[a-z])", " "), "[ \\t]+", " ")
+    c = unix_newlines(F.replace(F.replace(text_of(c), F.lit("\ufeff"), F.lit("")), F.lit("\0"), F.lit("")))
+    # What is to be found comes first in the patterns, and what stands before it is looked at only there.
+    c = sub(c, f"-\\n(?<={WORD}-\\n)(?={WORD})")
+    return single_spaces(sub(c, f"\\n(?=[a-z])(?<={WORD}\\n)", " "))
 
 
 def line_norm(line: Column) -> Column:
@@ -91,8 +122,8 @@ def line_norm(line: Column) -> Column:
 
 
 def repeated(values: Column, times: int) -> Column:
-    """The values that an array holds so often: those that equal the one times - 1 places on, once sorted."""
-    ordered = F.array_sort(values)
+    """The values that an array without nulls holds so often: those that equal the one times - 1 places on, once sorted."""
+    ordered = F.sort_array(values)
     pairs = let(ordered, lambda s: F.zip_with(F.slice(s, F.lit(1), F.greatest(F.size(s) - (times - 1), F.lit(0))), F.slice(s, F.lit(times), F.greatest(F.size(s) - (times - 1), F.lit(0))), lambda a, b: F.when(a == b, a)))
     return F.array_distinct(F.array_compact(pairs))
 
@@ -105,7 +136,7 @@ def drop_repeated_lines(c: Column, min_repeats: int = 4) -> Column:
         short = F.filter(norms, lambda x: n_chars(x).between(3, 100))
         return let(
             F.struct(lines.alias("lines"), repeated(short, min_repeats).alias("often")),
-            lambda s: F.filter(s["lines"], lambda x: ~F.array_contains(s["often"], line_norm(x))),
+            lambda s: F.when(F.size(s["often"]) == 0, s["lines"]).otherwise(F.filter(s["lines"], lambda x: ~F.array_contains(s["often"], line_norm(x)))),
         )
 
     return F.array_join(let(split_lines(text_of(c)), kept), "\n")
@@ -123,33 +154,40 @@ def prefilter(c: Column) -> Column:
 
     def good(line: Column) -> Column:
         s = strip(line)
-        return ~(_within(s, PAGE_NUMBER) | _within(s, URL_ONLY) | s.rlike(COPYRIGHT) | (s.rlike(ISBN) & (n_chars(s) < 120)))
+        return ~(s.rlike(f"\\A(?:(?:{PAGE_NUMBER}|{URL_ONLY})\\z|{COPYRIGHT[2:]})") | (F.contains(s, F.lit("ISBN")) & s.rlike(ISBN) & (n_chars(s) < 120)))
 
     lines = F.filter(split_lines(drop_repeated_lines(clean_ocr(c))), good)
-    return strip(sub(F.array_join(lines, "\n"), "\\n{3,}", "\n\n"))
+    return strip(few_blanks(F.array_join(lines, "\n")))
 
 
 # Lines that the light cleaning removes.
 LIGHT_PAGE = "\\p{Nd}{1,4}"
 LIGHT_URL = f"https?://[^{SPACE[1:-1]}]+"
-LIGHT_ISBN = f"(?i)(?<!{WORD})ISBN[{SPACE[1:-1]}\\-:]*[\\p{{Nd}}\\-X]+"
+LIGHT_ISBN = f"(?i)ISBN(?<!{WORD}ISBN)[{SPACE[1:-1]}\\-:]*[\\p{{Nd}}\\-X]+"
 LIGHT_COPYRIGHT = f"(?i)\\A(©|\\(c\\)|Copyright){SPACE}+\\p{{Nd}}{{4}}"
 LIGHT_CITATION = f"[A-Z][a-zA-Z'\\-]+({SPACE}+[A-Z]\\.?){{0,3}}.*(?<!{WORD})(19|20)\\p{{Nd}}{{2}}(?!{WORD}).*[;:].*\\p{{Nd}}+[-\\p{{Nd}}]*\\.?"
 
 
-def light_clean(c: Column) -> Column:
-    """The cleaning used when a model gives no answer: obvious noise lines dropped, blank runs squeezed."""
+def light_lines(c: Column) -> Column:
+    """array<string>: the lines that the light cleaning keeps; those of white space are empty."""
 
-    def good(line: Column) -> Column:
+    def noise(line: Column) -> Column:
         s = strip(line)
-        noise = (
-            _within(s, LIGHT_PAGE) | _within(s, LIGHT_URL) | (s.rlike(LIGHT_ISBN) & (n_chars(s) < 80)) | s.rlike(LIGHT_COPYRIGHT)
-            | (_within(s, LIGHT_CITATION) & (n_chars(s) < 200))
+        return (
+            s.rlike(f"\\A(?:(?:{LIGHT_PAGE}|{LIGHT_URL})\\z|{LIGHT_COPYRIGHT.replace(chr(92) + 'A', '')})") | ((n_chars(s) < 80) & s.rlike(LIGHT_ISBN))
+            | ((n_chars(s) < 200) & _within(s, LIGHT_CITATION))
         )
-        return (s == "") | ~noise
 
-    lines = F.transform(F.filter(F.split(text_of(c), "\n", -1), good), lambda x: F.when(strip(x) == "", F.lit("")).otherwise(x))
-    return strip(sub(F.array_join(lines, "\n"), "\\n{3,}", "\n\n"))
+    return F.transform(F.filter(F.split(text_of(c), "\n", -1), lambda x: ~noise(x)), lambda x: F.when(strip(x) == "", F.lit("")).otherwise(x))
+
+
+def light_clean(c: Column) -> Column:
+    """The cleaning used when a model gives no answer: obvious noise lines dropped, blank runs squeezed."""
+    return light_joined(light_lines(c))
+
+
+def light_joined(lines: Column) -> Column:
+    return strip(few_blanks(F.array_join(lines, "\n")))
 
 
 def clean_answer(c: Column) -> Column:
@@ -162,8 +200,9 @@ def clean_answer(c: Column) -> Column:
 def dedup_key(c: Column, keep_all_scripts: bool = False) -> Column:
     """Lower case, single spaces, only a-z, 0-9, Latin letters to U+024F and CJK; all letters and numbers with
     keep_all_scripts (else other scripts leave an empty key)."""
-    kept = "\\p{L}\\p{M}\\p{N}" if keep_all_scripts else "a-z0-9À-ɏ一-鿿"
-    return squeeze(sub(F.lower(text_of(c)), f"[^{kept}{SPACE[1:-1]}]", " "))
+    kept = "\\p{L}\\p{M}\\p{N}" if keep_all_scripts else listed("az", "09", "Àÿ") + "Ā-ɏ一-鿿"
+    # A run of what is not kept, or of white space, becomes one space; a plain space alone stays as it is.
+    return F.btrim(sub(F.lower(text_of(c)), f"(?![a-z]| [a-z])(?:[^{kept} ][^{kept}]*| [^{kept}]+)", " "), F.lit(" "))
 
 
 def key_hash(c: Column) -> Column:
@@ -181,7 +220,7 @@ def ascii_key(c: Column) -> Column:
 
 def squeezed_key(c: Column, n: int = 500) -> Column:
     """Squeezed first, then cut: not the same as prefix_key."""
-    return F.left(sub(F.lower(strip(text_of(c))), f"{SPACE}+", " "), F.lit(n))
+    return F.left(F.lower(squeeze(text_of(c))), F.lit(n))
 
 
 def forum_text(c: Column) -> Column:
@@ -310,7 +349,7 @@ def inverted_abstract(index: Column) -> Column:
     def last(s: Column) -> Column:
         return F.filter(s, lambda e, i: (i + 1 == F.size(s)) | (F.get(s, i + 1)["p"] != e["p"]))
 
-    return F.array_join(F.transform(let(F.array_sort(numbered), last), lambda e: e["w"]), " ")
+    return F.array_join(F.transform(let(F.sort_array(numbered), last), lambda e: e["w"]), " ")
 
 
 __all__ = [n for n in dir() if not n.startswith("_") and n not in ("annotations", "LINE_BREAK")]

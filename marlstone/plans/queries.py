@@ -106,7 +106,7 @@ def normalise_lines(spark, sf_dir):
     """Book cleaning. The oracle has no ligature repairs and no removal of invisible characters: these texts have
     none."""
     cleaned = T.clean_book(F.col("text"), normal_form=False)
-    lines = F.filter(F.split(text_of(F.col("text")), "\n", -1), lambda x: ~F.coalesce(x.rlike("\\A(?:" + "|".join(T.REMOVED_LINES) + ")\\z"), F.lit(False)))
+    lines = F.filter(F.split(text_of(F.col("text")), "\n", -1), lambda x: ~F.coalesce(x.rlike(f"\\A(?:{T.REMOVED_LINE})\\z"), F.lit(False)))
     return documents(spark, sf_dir).select("doc_id", F.size(lines).cast("long").alias("n_lines"), F.sha1(cleaned).alias("cleaned"))
 
 
@@ -158,9 +158,8 @@ def repeated_line_fraction(spark, sf_dir):
   sha1(left(regexp_replace(lower(@STRIP(coalesce(text, ''))), '[\\t-\\r\\x1c-\\x20\\x85\\xa0]+', ' ', 'g'), 500)) AS squeezed_hash FROM documents""")
 def dedup_keys(spark, sf_dir):
     c = F.col("text")
-    return documents(spark, sf_dir).select(
-        "doc_id", (T.dedup_key(c) == "").alias("is_empty"), T.key_hash(c).alias("key_hash"), F.sha1(T.prefix_key(c)).alias("prefix_hash"), F.sha1(T.squeezed_key(c)).alias("squeezed_hash")
-    )
+    keys = documents(spark, sf_dir).select("doc_id", T.dedup_key(c).alias("key"), T.prefix_key(c).alias("prefix"), T.squeezed_key(c).alias("squeezed"))
+    return keys.select("doc_id", (F.col("key") == "").alias("is_empty"), *[F.sha1(k).alias(f"{k}_hash") for k in ("key", "prefix", "squeezed")])
 
 
 # Filters and measures
@@ -658,7 +657,7 @@ def inverted_abstracts(spark, sf_dir):
     """Texts turned into maps from words to positions, and back."""
     def places(w):
         """The map within the row: positions sorted by word, one entry a word."""
-        ordered = F.array_sort(F.transform(w, lambda x, i: F.struct(x.alias("w"), i.alias("i"))))
+        ordered = F.sort_array(F.transform(w, lambda x, i: F.struct(x.alias("w"), i.alias("i"))))
 
         def grouped(o):
             starts = F.filter(F.sequence(F.lit(0), F.size(o) - 1), lambda i: (i == 0) | (F.get(o, i)["w"] != F.get(o, F.greatest(i - 1, F.lit(0)))["w"]))
@@ -753,8 +752,8 @@ _NOISE = rf"""(regexp_matches(s, '^\p{{Nd}}{{1,4}}$') OR regexp_matches(s, '^htt
 SELECT doc_id, len(k)::BIGINT AS n_lines, sha1(@STRIP(regexp_replace(array_to_string(k, chr(10)), '\n{{3,}}', chr(10) || chr(10), 'g'))) AS cleaned FROM k""")
 def light_clean_lines(spark, sf_dir):
     c = F.col("text")
-    dropped = F.filter(F.split(text_of(c), "\n", -1), lambda x: (strip(x) != "") & (T.light_clean(x) == ""))
-    return documents(spark, sf_dir).select("doc_id", (F.size(F.split(text_of(c), "\n", -1)) - F.size(dropped)).cast("long").alias("n_lines"), F.sha1(T.light_clean(c)).alias("cleaned"))
+    kept = documents(spark, sf_dir).select("doc_id", T.light_lines(c).alias("l"))
+    return kept.select("doc_id", F.size("l").cast("long").alias("n_lines"), F.sha1(T.light_joined(F.col("l"))).alias("cleaned"))
 
 
 _DAMAGE = "CASE doc_id % 5 WHEN 0 THEN '' WHEN 1 THEN left(text, length(text) // 2) WHEN 2 THEN 'Sure, here: ' || text || text WHEN 3 THEN '![i](u) ' || left(text, length(text) // 8) ELSE text || ' As an AI' END"
@@ -793,8 +792,8 @@ def benchmark_contamination(spark, sf_dir):
     """Documents that hold a line of a benchmark item, of eight words and more, up to its key."""
 
     def keys(df, id_col):
-        lines = unfold(df.where("text is not null"), [id_col], F.split("text", "\n", -1), "i", "line")
-        return lines.where(word_count(F.col("line")) >= 8).select(id_col, T.key_hash(F.col("line")).alias("k")).distinct()
+        long = F.filter(F.split("text", "\n", -1), lambda x: word_count(x) >= 8)
+        return unfold(df.where("text is not null"), [id_col], F.array_distinct(F.transform(long, T.key_hash)), "i", "k").select(id_col, "k")
 
     met = keys(table(spark, sf_dir, "benchmark"), "item_id").join(keys(documents(spark, sf_dir), "doc_id"), "k")
     return met.select("item_id", "doc_id").distinct().groupBy("item_id").agg(F.count("*").alias("documents"))

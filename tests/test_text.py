@@ -201,3 +201,55 @@ def test_filters(spark):
     assert row(P.cleaning_warnings_simple(l("x" * 10), l("Sure, here it is: x"))) == ["unexpected_growth", "assistant_preface_detected"]
     assert row(P.chunk_warnings(l("x" * 10), l("x" * 7))) == ["length_ratio_0.70"] and row(P.chunk_warnings(l("x"), l(""))) == ["empty_output"]
     assert row(P.preparation_warnings(l("x" * 10), l("![i](u)"))) == ["residual_markdown", "very_short"]
+
+
+ODD_TEXTS = ["", " ", "a", " a\t\tb \n", "x\x85y　　z", " a b\xa0", "one two  three\r\n four\r\rfive", "\x1c\x1d", "Äb ç-d, e! 漢字 Ə ", "\U0001d4d0 \U0001f600  q"]
+
+
+def test_white_space_as_python_has_it(spark):
+    """Trimming, squeezing, counting and splitting, where most white space is one plain space and where it is not."""
+    from marlstone.functions import expr as E
+
+    c = F.col("t")
+    for r in spark.createDataFrame([(t,) for t in ODD_TEXTS], "t string").select("t", E.strip(c), E.rstrip(c), E.squeeze(c), E.words(c), E.word_count(c), E.split_lines(c)).collect():
+        t = r[0]
+        assert list(r)[1:] == [t.strip(), t.rstrip(), " ".join(t.split()), t.split(), len(t.split()), t.splitlines()]
+
+
+def test_dedup_key_of_odd_texts(spark):
+    import re
+
+    c = F.col("t")
+    for r in spark.createDataFrame([(t,) for t in ODD_TEXTS], "t string").select("t", T.dedup_key(c), T.squeezed_key(c, 5)).collect():
+        assert r[1] == " ".join(re.sub("[^a-z0-9À-ɏ一-鿿\\s\x1c-\x1f\x85]", " ", r[0].lower()).split())
+        assert r[2] == " ".join(r[0].lower().split())[:5]
+
+
+def test_characters_that_normal_form_leaves(spark):
+    import re
+    import unicodedata
+
+    from marlstone.functions.text import NOT_NORMAL
+
+    kept = [chr(x) for x in range(0x10000) if not 0xD800 <= x < 0xE000 and not re.match(NOT_NORMAL, chr(x))]
+    assert len(kept) > 20_000 and unicodedata.normalize("NFKC", "".join(kept)) == "".join(kept)
+    texts = ["plain", "Äé漢", "ﬁ x²", "é", "", None] * 300
+    got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(T.nfkc(F.col("t"))).collect()]
+    assert got == [t and unicodedata.normalize("NFKC", t) for t in texts]
+
+
+@pytest.mark.parametrize("work", ["relevant", "light_clean", "clean_book", "prefilter"])
+def test_work_on_text_is_a_few_passes(spark, work):
+    """A megabyte of lines: the patterns of a list were tried one by one at every character, lines were trimmed for each
+    rule anew, and that took from 5 to 17 seconds a core."""
+    import time
+
+    f = {"relevant": P.relevant, "light_clean": T.light_clean, "clean_book": lambda c: T.clean_book(c, False), "prefilter": T.prefilter}[work]
+    line = "Verlauf und Ergebnis der langen Reihe, wie sie im Buch steht; nichts davon ist neu.\n"
+    df = spark.createDataFrame([(line.replace("neu", f"neu {i}") * 300,) for i in range(80)], "t string").repartition(1).cache()
+    assert df.count() == 80
+    f_of = lambda n: df.limit(n).select(F.max(F.hash(f(F.col("t"))))).collect()
+    f_of(10)
+    began = time.perf_counter()
+    f_of(40)
+    assert time.perf_counter() - began < 3
