@@ -90,8 +90,9 @@ def unseen(df: DataFrame, seen: DataFrame, key: Column, seen_key: Column) -> Dat
 def dedup_across_shapes(questions: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """First-wins over one key space: a text whose beginning has the key of a question kept is dropped too."""
     q = first_wins(questions, F.sha1(dedup_key(F.col("question"))), "src_rank", "ord")
-    t = first_wins(texts, F.sha1(dedup_key(F.left("text", F.lit(500)))), "src_rank", "ord")
-    return q, unseen(t, q, F.sha1(dedup_key(F.left("text", F.lit(500)))), F.sha1(dedup_key(F.col("question"))))
+    # The key goes along, so that texts move only where they are asked for.
+    t = first_wins(texts.withColumn("_k", F.sha1(dedup_key(F.left("text", F.lit(500))))), F.col("_k"), "src_rank", "ord")
+    return q, unseen(t, q, F.col("_k"), F.sha1(dedup_key(F.col("question")))).drop("_k")
 
 
 def listed(df: DataFrame, allowed: DataFrame, key: str) -> DataFrame:
