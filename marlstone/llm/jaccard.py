@@ -63,6 +63,9 @@ DEPTH, STEP, LAST = 3, 2, 17
 SKETCH, LIKELY, SETTLED = 128, 0.62, 0.85
 #: Bitmaps that are broadcast at most, of 4 KB for each 32,768 numbers. With more of them nodes are found by a join.
 MOST_MAPS = 8192
+#: Buckets that go on to a further choice whose numbers, 8 bytes each, are sent to all tasks at most. Of more of them, nodes
+#: go on from all their paths, and what is not wanted is dropped after.
+MOST_SPLIT = 65_536
 _WORD = re.compile(r"\w+")
 _KNOWN_WORDS = 200_000
 _U = np.uint64
@@ -177,14 +180,16 @@ def _sets(runs: int, threshold: float):
     return run
 
 
-def _deeper(threshold: float):
-    """Each path b of a node with the paths by which it goes on from there, STEP choices on."""
+def _deeper(threshold: float, wanted: np.ndarray | None = None):
+    """Each path b of a node with the paths by which it goes on from there, STEP choices on; of those wanted alone, if they
+    are given."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, starts, on = [], [], []
             for node, tokens, paths in zip(*[batch[c].to_pylist() for c in ("node", "tokens", "paths")]):
-                start = ends = np.array(paths, dtype=np.int64).view(np.uint64)
+                paths = np.array(paths, dtype=np.int64)
+                start = ends = (paths if wanted is None else paths[np.isin(paths, wanted)]).view(np.uint64)
                 for _ in range(STEP):
                     ends, of = choices(np.frombuffer(tokens, dtype="<u4"), ends, threshold)
                     start = start[of]
@@ -376,7 +381,9 @@ def _candidate_edges(sets: DataFrame, nodes: DataFrame, threshold: float) -> tup
         # After the first choice a node goes on from all its paths where its set is, and those that end here are dropped;
         # later, of many possible paths, those that go on are brought to it.
         if depth == 1:
-            on = here.select("node", "tokens", "paths").mapInArrow(_deeper(threshold), _ON).join(on, ["node", "b"], "left_semi")
+            split = [r["b"] for r in of.where(~ends).select("b").limit(MOST_SPLIT + 1).collect()]
+            wanted = np.array(split, dtype=np.int64) if len(split) <= MOST_SPLIT else None
+            on = here.select("node", "tokens", "paths").mapInArrow(_deeper(threshold, wanted), _ON).join(on, ["node", "b"], "left_semi")
         else:
             on = here.select("node", "tokens").join(on.groupBy("node").agg(F.collect_set("b").alias("paths")), "node").mapInArrow(_deeper(threshold), _ON)
         rows = save(on.select("node", F.col("path").alias("b")), "open")

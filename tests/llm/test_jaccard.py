@@ -259,3 +259,18 @@ def test_sets_that_meet_nothing_are_not_moved(spark):
     assert len(got) == 201 and sorted(r.doc_id for r in got if r.class_size == 2) == [0, 1000]
     sets = 4 * sum(len(jc.Shingler()(t)) for _, t in rows)
     assert moved < sets / 4
+
+
+def test_nodes_go_on_from_the_wanted_paths_alone():
+    """Of a node's paths most end where they are: the rest of its rows was made to be dropped."""
+    import pyarrow as pa
+
+    import marlstone.llm.jaccard as j
+
+    tokens = np.arange(1, 200, dtype=np.uint32)
+    paths = j.chosen(tokens, j.first_ends(20), 0.8).view(np.int64)
+    batch = pa.record_batch([pa.array([7], pa.int64()), pa.array([tokens.tobytes()]), pa.array([paths.tolist()], pa.list_(pa.int64()))], names=["node", "tokens", "paths"])
+    rows = lambda wanted: {tuple(r.values()) for b in j._deeper(0.8, wanted)([batch]) for r in b.to_pylist()}
+    every = rows(None)
+    wanted = np.array(sorted({b for _, b, _ in every})[:3] + [1], dtype=np.int64)
+    assert rows(wanted) == {r for r in every if r[1] in wanted} and 0 < len(rows(wanted)) < len(every)
