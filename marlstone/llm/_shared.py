@@ -13,7 +13,7 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shipping import ship
+from ..shipping import bounded_batches, ship  # noqa: F401
 
 LONG_MIN, LONG_MAX = -(2**63), 2**63 - 1
 
@@ -105,16 +105,6 @@ def _delete(items: list[tuple[SparkSession, str]]) -> None:
 atexit.register(release)
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small, where the session has Spark's own bounds: a worker holds a few at a time,
-    with their texts as Python strings beside them."""
-    ship(spark)
-    for key, usual, ours in (("maxRecordsPerBatch", "10000", "2000"), ("maxBytesPerBatch", "67108864b", "8m")):
-        key = f"spark.sql.execution.arrow.{key}"
-        if spark.conf.get(key, usual) == usual:
-            spark.conf.set(key, ours)
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

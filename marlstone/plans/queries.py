@@ -20,7 +20,7 @@ from ..operators import chunking as C
 from ..operators import models as M
 from ..operators import reports as R
 from ..operators import rows as O
-from ..shipping import ship
+from ..shipping import bounded_batches
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -73,7 +73,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ship(spark)
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

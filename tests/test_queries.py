@@ -60,3 +60,12 @@ def test_the_rest_without_the_llm_subpackage(tmp_path):
     # Those that need no session of their own for long; the whole of them would run this test again.
     done = subprocess.run([sys.executable, "-m", "pytest", "-q", "-x", "tests/test_rows_and_reports.py", "tests/test_images.py"], cwd=tmp_path, env=env, capture_output=True, text=True)
     assert done.returncode == 0, done.stdout[-2000:]
+
+
+def test_arrow_batches_of_texts_are_bounded(spark, sf_dir):
+    """A worker of clean_text held 10,000 texts of any length, several times over."""
+    for key in ("maxRecordsPerBatch", "maxBytesPerBatch"):
+        spark.conf.unset(f"spark.sql.execution.arrow.{key}")
+    entry.queries()["clean_text"](spark, sf_dir)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "2000"
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "8m"
